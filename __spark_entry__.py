@@ -146,7 +146,8 @@ def _indicator(column):
 
 def avg_volume_7d(spark, sf):
     bars = fx.typed_bars(spark, sf)
-    return bars.select(*BAR_KEY, gold.moving_average("volume", 7, 0).alias("avg_volume_7d"))
+    averaged = gold.with_rounded(bars, {"avg_volume_7d": (gold.moving_average("volume", 7), 0)})
+    return averaged.select(*BAR_KEY, "avg_volume_7d")
 
 
 def volume_rank_query(spark, sf):
@@ -296,7 +297,7 @@ def stream_daily_bars_query(spark, sf):
     ticks = events.select(
         F.col("event_type").alias("symbol"),
         F.when(F.col("user_id") % 2 == 0, "NSE").otherwise("BSE").alias("exchange_code"),
-        F.col("ts").cast("timestamp").alias("ts"), F.col("value").cast("decimal(12,2)").alias("px"), "event_id")
+        "ts", F.col("value").cast("decimal(12,2)").alias("px"), "event_id")
     stream_daily_bars(spark, ticks, "ts", "px", "event_id", f"{base}/bars", f"{base}/checkpoint").awaitTermination()
     return fx.plain(read_fact(spark, f"{base}/bars"), *BAR_OUT)
 

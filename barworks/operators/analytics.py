@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from barworks.functions.dates import month_start
 from barworks.functions.numeric import pct_change, round_stable
-from barworks.operators.gold import LONG_ROWS, SHORT_ROWS, moving_average, previous_close
+from barworks.operators.gold import LONG_ROWS, SHORT_ROWS, moving_average, previous_close, with_rounded
 from barworks.operators.ranks import attach_ranks, rank_key, value_ranks
 from barworks.schemas import LISTING
 
@@ -88,10 +88,10 @@ def moving_averages(fact, symbol=None, exchange_code=None, rows=None):
     """Q4: 7 and 30 row averages of close and 7 row average of volume."""
     picked = _for_listing(fact, symbol, exchange_code).select(
         *LISTING, "trade_date", _close().alias("close_price"), "volume")
-    averaged = picked.withColumns({
-        "ma_7day": moving_average("close_price", SHORT_ROWS, 2),
-        "ma_30day": moving_average("close_price", LONG_ROWS, 2),
-        "avg_volume_7day": moving_average("volume", SHORT_ROWS, 0),
+    averaged = with_rounded(picked, {
+        "ma_7day": (moving_average("close_price", SHORT_ROWS), 2),
+        "ma_30day": (moving_average("close_price", LONG_ROWS), 2),
+        "avg_volume_7day": (moving_average("volume", SHORT_ROWS), 0),
     }).drop("volume")
     return _latest_rows(averaged, rows)
 
@@ -110,10 +110,10 @@ def gainers_losers(fact, k=5):
     )
     ranks = value_ranks(keyed, group, "_change_key").filter(
         (F.col("rank_desc") <= k) | (F.col("rank_asc") <= k))
-    return attach_ranks(
+    ranked = attach_ranks(
         keyed, ranks, group, "_change_key",
-        {"rank_desc": "gain_rank", "rank_asc": "loss_rank"}, how="inner",
-    ).drop("_change_key")
+        {"rank_desc": "gain_rank", "rank_asc": "loss_rank"}, how="inner")
+    return ranked.select(*LISTING, "trade_date", "close_price", "change_pct", "gain_rank", "loss_rank")
 
 
 def monthly_returns(fact):

@@ -25,17 +25,23 @@ def rolling(rows, partition_cols=LISTING):
     return by_listing(partition_cols).rowsBetween(1 - rows, 0)
 
 
-def moving_average(column, rows, scale, partition_cols=LISTING):
-    c = F.col(column).cast("double")
-    return round_stable(F.avg(c).over(rolling(rows, partition_cols)), scale)
+def moving_average(column, rows, partition_cols=LISTING):
+    return F.avg(F.col(column).cast("double")).over(rolling(rows, partition_cols))
 
 
 def previous_close(partition_cols=LISTING):
     return F.lag(F.col("close_price").cast("double"), 1).over(by_listing(partition_cols))
 
 
-def daily_return(scale=4, partition_cols=LISTING):
-    return pct_change(F.col("close_price"), previous_close(partition_cols), scale)
+def with_rounded(df, windows):
+    """Add window results, given as {name: (expression, scale)}, rounded.
+
+    Rounding mentions its argument twice, so it reads a finished column: written
+    around the window itself, every frame would be evaluated twice.
+    """
+    df = df.withColumns({f"_{name}": window for name, (window, _) in windows.items()})
+    df = df.withColumns({name: round_stable(f"_{name}", scale) for name, (_, scale) in windows.items()})
+    return df.drop(*[f"_{name}" for name in windows])
 
 
 def listing_indicators(silver, partition_cols=LISTING):
@@ -44,13 +50,14 @@ def listing_indicators(silver, partition_cols=LISTING):
     Volatility reads the rounded return, so it needs a second window step, but
     on the same partitioning and order.
     """
-    first = silver.withColumns({
-        "ma_7d": moving_average("close_price", SHORT_ROWS, 2, partition_cols),
-        "ma_30d": moving_average("close_price", LONG_ROWS, 2, partition_cols),
-        "daily_return_pct": daily_return(4, partition_cols),
+    averaged = with_rounded(silver.withColumn("_previous", previous_close(partition_cols)), {
+        "ma_7d": (moving_average("close_price", SHORT_ROWS, partition_cols), 2),
+        "ma_30d": (moving_average("close_price", LONG_ROWS, partition_cols), 2),
     })
+    returned = averaged.withColumn(
+        "daily_return_pct", pct_change("close_price", "_previous", 4)).drop("_previous")
     spread = F.stddev_samp("daily_return_pct").over(rolling(LONG_ROWS, partition_cols))
-    return first.withColumn("volatility_30d", round_stable(spread, 4))
+    return with_rounded(returned, {"volatility_30d": (spread, 4)})
 
 
 def silver_to_gold(silver, partition_cols=LISTING):

@@ -37,8 +37,7 @@ def value_ranks(df, group, key):
     ranges = counts.groupBy(*group, "_range").agg(
         F.sum("_n").alias("_rows"), F.count(F.lit(1)).alias("_values"))
     offsets = ranges.select(
-        *[F.col(c).alias(f"_r_{c}") for c in group],
-        F.col("_range").alias("_r_range"),
+        *group, "_range",
         F.coalesce(F.sum("_rows").over(top_down), F.lit(0)).alias("_rows_above"),
         F.coalesce(F.sum("_values").over(top_down), F.lit(0)).alias("_values_above"),
         F.sum("_rows").over(whole).alias("_rows_all"),
@@ -52,11 +51,8 @@ def value_ranks(df, group, key):
         F.row_number().over(in_range).alias("_local_values"),
     )
 
-    same = F.col("_range") == F.col("_r_range")
-    for c in group:
-        same = same & F.col(c).eqNullSafe(F.col(f"_r_{c}"))
     rows_above = F.col("_rows_above") + F.col("_local_rows")
-    return local.join(offsets, same).select(
+    return local.join(offsets, [*group, "_range"]).select(
         *group, key,
         (rows_above + 1).alias("rank_desc"),
         (F.col("_values_above") + F.col("_local_values")).alias("dense_rank_desc"),
@@ -65,17 +61,14 @@ def value_ranks(df, group, key):
 
 
 def attach_ranks(df, ranks, group, key, columns, how="left"):
-    """Join value ranks back to rows. One row per value on the right, so a hot
-    value only makes the left side large, which the adaptive skew join splits."""
-    right = ranks.select(
-        *[F.col(c).alias(f"_r_{c}") for c in group],
-        F.col(key).alias("_r_key"),
-        *[F.col(c).alias(alias) for c, alias in columns.items()],
-    )
-    same = F.col(key) == F.col("_r_key")
-    for c in group:
-        same = same & F.col(c).eqNullSafe(F.col(f"_r_{c}"))
-    return df.join(right, same, how).drop("_r_key", *[f"_r_{c}" for c in group])
+    """Join value ranks, renamed by ``columns``, back to rows.
+
+    There is one row per value on the right, so a hot value only makes the left
+    side large, which the adaptive skew join splits. Rows without a group (null
+    date) are kept by the left join and have no rank.
+    """
+    named = ranks.select(*group, key, *[F.col(c).alias(alias) for c, alias in columns.items()])
+    return df.join(named, [*group, key], how)
 
 
 def volume_rank(df, group=("trade_date",), column="volume", alias="volume_rank"):
@@ -83,6 +76,5 @@ def volume_rank(df, group=("trade_date",), column="volume", alias="volume_rank")
     group = list(group)
     keyed = df.withColumn("_volume_key", rank_key(column))
     ranks = value_ranks(keyed, group, "_volume_key")
-    return attach_ranks(
-        keyed, ranks, group, "_volume_key", {"dense_rank_desc": alias}
-    ).drop("_volume_key")
+    ranked = attach_ranks(keyed, ranks, group, "_volume_key", {"dense_rank_desc": alias})
+    return ranked.select(*df.columns, alias)

@@ -9,11 +9,18 @@ from barworks.sources.ticks import bar_aggregates
 
 def daily_bar_stream(ticks, ts, price, tick_order, watermark="1 day", **parts):
     """The streaming aggregate: one bar per listing and day, state kept until
-    the watermark has passed the day."""
-    day = F.window(ts, "1 day")
-    bars = ticks.withWatermark(ts, watermark).groupBy("symbol", "exchange_code", day).agg(
+    the watermark has passed the day.
+
+    Event time must be an instant, and day windows are cut in UTC. A wall-clock
+    column is therefore read as UTC, whatever the session's time zone is, and
+    the day is read back the same way.
+    """
+    if dict(ticks.dtypes)[ts] == "timestamp_ntz":
+        ticks = ticks.withColumn(ts, F.convert_timezone(F.lit("UTC"), F.current_timezone(), F.col(ts)).cast("timestamp"))
+    bars = ticks.withWatermark(ts, watermark).groupBy("symbol", "exchange_code", F.window(ts, "1 day")).agg(
         *bar_aggregates(price, tick_order, **parts))
-    return bars.withColumn("trade_date", F.to_date("window.start")).drop("window")
+    start = F.convert_timezone(F.current_timezone(), F.lit("UTC"), F.col("window.start").cast("timestamp_ntz"))
+    return bars.withColumn("trade_date", start.cast("date")).drop("window")
 
 
 def stream_daily_bars(spark, ticks, ts, price, tick_order, bars_path, checkpoint_path,

@@ -290,14 +290,14 @@ def oracle_sql(tables):
             CASE WHEN open_price = 0 THEN 0.0 ELSE {pct('close_price', 'open_price', 2)} END AS change_pct FROM silver""",
         # contracts
         "row_contract_bars": f"""WITH {CONTRACT} SELECT symbol, exchange_code, coalesce(CAST(trade_date AS VARCHAR), 'none') AS trade_date,
-            volume, copy AS late_copy, violations FROM contract""",
+            volume, CAST(copy AS BIGINT) AS late_copy, violations FROM contract""",
         "row_contract_symbols": """SELECT upper(trim(name)) AS symbol, code AS exchange_code,
             concat_ws(',', CASE WHEN trim(name) = '' THEN 'symbol_empty' END,
               CASE WHEN code NOT IN ('NSE', 'BSE') THEN 'exchange_unknown' END) AS violations
             FROM (SELECT CASE WHEN c_custkey % 10 = 0 THEN '  ' ELSE c_name END AS name,
               CASE WHEN c_custkey % 3 = 0 THEN 'NSE' WHEN c_custkey % 3 = 1 THEN 'BSE' ELSE 'NYSE' END AS code FROM customer)""",
         "quarantine_counts": f"WITH {CONTRACT} SELECT reason, count(*) AS row_count FROM (SELECT unnest(rules) AS reason FROM contract) WHERE reason IS NOT NULL GROUP BY reason",
-        "valid_bars": f"WITH {CONTRACT} SELECT {BAR_OUT}, copy AS late_copy FROM contract WHERE violations = ''",
+        "valid_bars": f"WITH {CONTRACT} SELECT {BAR_OUT}, CAST(copy AS BIGINT) AS late_copy FROM contract WHERE violations = ''",
         # analytics
         "q1_price_stats": f"""WITH {FACT} SELECT symbol, exchange_code, count(*) AS total_trading_days,
             {r('avg(close_price)', 2)} AS avg_close_price, {r('min(close_price)', 2)} AS min_close_price,
