@@ -290,6 +290,21 @@ def stream_ingest_query(spark, sf):
     return fx.plain(read_fact(spark, f"{base}/fact"), *BAR_OUT, "daily_range", "change_pct")
 
 
+def incremental_gold_query(spark, sf):
+    """Two batches through check, upsert and gold refresh: the second one brings
+    new days and corrects old ones."""
+    base = scratch_path(spark, "incremental-gold")
+    bars = fx.fact_bars(spark, sf)
+    hit = F.col("trade_date").between(_day("1998-03-01"), _day("1998-03-05"))
+    fixed = bars.filter(hit).withColumns({
+        "close_price": F.col("close_price") + 1, "volume": F.col("volume") + 7})
+    old, new = fx.date_slices(bars, ["2001-06-01"])
+    for number, batch in enumerate([old, new.unionByName(fixed)]):
+        load_batch(spark, batch, f"{base}/fact", f"{base}/state", f"{base}/quarantine", number,
+                   gold_path=f"{base}/gold", lookback_days=90)
+    return read_fact(spark, f"{base}/gold").select(*GOLD_OUT)
+
+
 def stream_daily_bars_query(spark, sf):
     base = scratch_path(spark, "stream-bars")
     schema = fx.table(spark, sf, "events").schema
@@ -386,6 +401,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "upsert_counts": lambda s, sf: upsert.upsert_counts(*_upsert_sides(s, sf)),
         "insert_absent": lambda s, sf: upsert.insert_absent(*_upsert_sides(s, sf), BAR_KEY).select(*BAR_KEY, "close_price"),
         "upsert_table": upsert_table_query,
+        "incremental_gold": incremental_gold_query,
         "stream_ingest": stream_ingest_query,
         "stream_daily_bars": stream_daily_bars_query,
     }

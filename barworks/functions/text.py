@@ -32,4 +32,4 @@ def base_symbol(ticker):
 
 def split_list(c):
     """A comma separated list as an array of trimmed, non-empty items."""
-    return F.filter(F.transform(F.split(_col(c), ","), F.trim), lambda item: item != "")
+    return F.filter(F.transform(F.split(_col(c), ","), lambda item: F.trim(item)), lambda item: item != "")

@@ -6,9 +6,10 @@ days in the history (some 36,500 rows for a century). A day, in contrast, can
 hold any number of listings; its rank is computed in ``ranks``.
 """
 
-from pyspark.sql import Window
+from pyspark.sql import Column, Window
 from pyspark.sql import functions as F
 
+from barworks.functions.dates import MONTH_COLUMN, date_bounded
 from barworks.functions.numeric import pct_change, round_stable
 from barworks.operators.ranks import volume_rank
 from barworks.schemas import BAR_KEY, LISTING
@@ -74,30 +75,61 @@ def moving_average_cross(df, partition_cols=LISTING):
     return crossed.withColumn("signal", signal).filter(F.col("signal").isNotNull()).drop("_side", "_before")
 
 
-def gold_delta(silver, gold, changed, partition_cols=LISTING):
+def touched_history(silver, changed, partition_cols=LISTING, since=None, listed=None):
+    """Rows of the changed listings, reaching back far enough for the windows.
+
+    Without ``since`` this is their whole history. With it, only rows from that
+    day on are read (a pruned scan when silver is partitioned by month), plus the
+    older rows of those listings that have fewer than 30 rows between ``since``
+    and their first change. ``listed`` (listing, listed_date) tells which of
+    these simply have no older rows; when no listing is left, adaptive execution
+    drops the scan of the old months altogether.
+    """
+    cols = list(partition_cols)
+    firsts = changed.groupBy(*cols).agg(F.min("trade_date").alias("_first"))
+    if since is None:
+        return silver.join(firsts.select(*cols), cols, "left_semi")
+    since = since if isinstance(since, Column) else F.lit(since).cast("date")
+    recent = date_bounded(silver, since=since).join(firsts.select(*cols), cols, "left_semi")
+    before = recent.select(*cols, "trade_date").join(firsts, cols).filter(
+        F.col("trade_date") < F.col("_first")).groupBy(*cols).agg(F.count(F.lit(1)).alias("_rows"))
+    short = firsts.join(before, cols, "left").filter(F.coalesce("_rows", F.lit(0)) < LONG_ROWS)
+    if listed is not None:
+        known = listed.select(*cols, "listed_date")
+        short = short.join(known, cols, "left").filter(F.coalesce(F.col("listed_date") < since, F.lit(True)))
+    older = date_bounded(silver, until=F.date_sub(since, 1)).join(short.select(*cols), cols, "left_semi")
+    return recent.unionByName(older)
+
+
+def gold_delta(silver, gold, changed, partition_cols=LISTING, since=None, listed=None):
     """The gold rows that must be rewritten after ``changed`` silver keys.
 
     ``silver`` already contains the change. A row's indicators read at most 30
     earlier rows of its listing, so a change at position p alters p..p+30. Every
     row of a changed day also gets a new volume rank. The result holds exactly
-    these rows, ready for an upsert into gold.
+    these rows, ready for an upsert into gold. ``since`` and ``listed`` bound the
+    history that is read, see :func:`touched_history`; for the ranks only the
+    months between the first and the last changed day are read.
     """
+    bounds = changed.agg(F.min("trade_date").alias("lo"), F.max("trade_date").alias("hi"))
+    span = {"since": bounds.select("lo").scalar(), "until": bounds.select("hi").scalar()}
     keys = changed.select(*BAR_KEY).distinct()
-    listings = changed.select(*partition_cols).distinct()
     days = changed.select("trade_date").distinct()
 
-    history = silver.join(listings, list(partition_cols), "left_semi").join(
+    history = touched_history(silver, changed, partition_cols, since, listed).join(
         keys.withColumn("_changed", F.lit(1)), BAR_KEY, "left")
     reach = by_listing(partition_cols).rowsBetween(-LONG_ROWS, 0)
     fresh = listing_indicators(
         history.withColumn("_hit", F.max("_changed").over(reach)), partition_cols
     ).filter("_hit = 1").drop("_hit", "_changed")
 
-    today = volume_rank(silver.join(days, "trade_date", "left_semi").select(*BAR_KEY, "volume"))
+    on_days = lambda df: date_bounded(df, **span).join(days, "trade_date", "left_semi")
+    today = volume_rank(on_days(silver).select(*BAR_KEY, "volume"))
     new_rank = today.select(*BAR_KEY, F.col("volume_rank").alias("_new_rank"))
 
-    fresh = fresh.join(gold.select(*BAR_KEY, "volume_rank"), BAR_KEY, "left")
-    same_day = gold.join(days, "trade_date", "left_semi").join(fresh.select(*BAR_KEY), BAR_KEY, "left_anti")
+    old_rank = date_bounded(gold, since=span["since"]).select(*BAR_KEY, "volume_rank")
+    fresh = fresh.drop(MONTH_COLUMN).join(old_rank, BAR_KEY, "left")
+    same_day = on_days(gold).join(fresh.select(*BAR_KEY), BAR_KEY, "left_anti")
     rows = fresh.unionByName(same_day.select(*fresh.columns))
     return rows.join(new_rank, BAR_KEY, "left").withColumn(
         "volume_rank", F.coalesce("_new_rank", "volume_rank")).drop("_new_rank")

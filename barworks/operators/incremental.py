@@ -1,8 +1,9 @@
 """Per-listing high-water marks: what to extract, and how far a load got."""
 
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from barworks.functions.dates import safe_date
+from barworks.functions.dates import date_bounded, safe_date
 from barworks.schemas import LISTING
 
 # Load periods, as (unit, amount) back from the reference day.
@@ -24,16 +25,14 @@ def period_start(as_of, period):
     if PERIODS[period] is None:
         return F.lit(None).cast("date")
     unit, amount = PERIODS[period]
-    day = F.lit(as_of).cast("date")
+    day = as_of if isinstance(as_of, Column) else F.lit(as_of).cast("date")
     return F.date_sub(day, amount) if unit == "day" else F.add_months(day, -amount)
 
 
 def period_extract(bars, as_of, period="1mo"):
     """Full mode: all rows of the period, whatever was loaded before."""
-    until = F.col("trade_date") <= F.lit(as_of).cast("date")
-    if PERIODS.get(period, ()) is None:
-        return bars.filter(until)
-    return bars.filter(until & (F.col("trade_date") >= period_start(as_of, period)))
+    start = period_start(as_of, period)
+    return date_bounded(bars, None if PERIODS[period] is None else start, as_of)
 
 
 def incremental_extract(bars, state, as_of, period="max", lookback_days=0):
@@ -41,17 +40,24 @@ def incremental_extract(bars, state, as_of, period="max", lookback_days=0):
 
     A listing without a watermark takes the whole ``period``. ``lookback_days``
     re-reads that many days before the watermark to pick up late corrections.
-    The date bound is applied to the scan; the state is joined without a
-    broadcast hint because it grows with the number of listings.
+
+    The scan is bounded by ``as_of`` and, unless the period is the whole
+    history, by the oldest day any listing can still need: a scalar subquery
+    that skips months and row groups. The state is joined without a broadcast
+    hint because it grows with the number of listings.
     """
     as_of = F.lit(as_of).cast("date")
     marks = state.select(*LISTING, safe_date("watermark").alias("_mark"))
     if lookback_days:
         marks = marks.withColumn("_mark", F.date_sub("_mark", lookback_days))
     start = period_start(as_of, period)
+    oldest = None
+    if PERIODS[period] is not None:
+        oldest = marks.agg(F.least(F.date_add(F.min("_mark"), 1), start)).scalar()
     fresh = F.when(F.col("_mark").isNotNull(), F.col("trade_date") > F.col("_mark")).otherwise(
         F.coalesce(F.col("trade_date") >= start, F.lit(True)))
-    return bars.filter(F.col("trade_date") < as_of).join(marks, LISTING, "left").filter(fresh).drop("_mark")
+    candidates = date_bounded(bars, oldest, F.date_sub(as_of, 1))
+    return candidates.join(marks, LISTING, "left").filter(fresh).drop("_mark")
 
 
 def watermark_candidates(loaded):

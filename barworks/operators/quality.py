@@ -11,10 +11,11 @@ makes for them would multiply the rows of the cheap ones.
 from dataclasses import dataclass, field
 from typing import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from barworks.functions.dates import safe_date
-from barworks.functions.numeric import guarded_ratio, is_missing, round_stable
+from barworks.functions.numeric import guarded_ratio, is_missing, round_stable, safe_double
 from barworks.schemas import BAR_KEY, PRICES
 
 WARN, CRITICAL = "WARN", "CRITICAL"
@@ -60,12 +61,14 @@ def unique(columns, severity=CRITICAL, name=None):
 def in_range(column, min_val=None, max_val=None, severity=CRITICAL):
     """Values inside inclusive bounds; missing values are not looked at."""
     def measures(types):
-        present = ~is_missing(column, types[column])
+        text = types[column] == "string"
+        value = safe_double(column) if text else F.col(column)
+        present = ~is_missing(value, "double" if text else types[column])
         failed = F.lit(0).cast("bigint")
         if min_val is not None:
-            failed = failed + F.count_if(present & (F.col(column) < F.lit(min_val)))
+            failed = failed + F.count_if(present & (value < F.lit(min_val)))
         if max_val is not None:
-            failed = failed + F.count_if(present & (F.col(column) > F.lit(max_val)))
+            failed = failed + F.count_if(present & (value > F.lit(max_val)))
         return {"failed": failed, "checked": F.count_if(present)}
     return Check(f"in_range({column}, {min_val}..{max_val})", severity, (column,), measures)
 
@@ -116,16 +119,26 @@ def custom_check(name, predicate, severity=CRITICAL, columns=()):
     })
 
 
-def _result_struct(suite, number, check, types):
+def _result_struct(df, suite, number, check, types):
+    """One check as a struct of its result columns.
+
+    A check that cannot be planned on this frame (a column is missing, an
+    expression does not fit) is a failed check, not a failed suite.
+    """
+    found, problem = {}, None
     absent = [c for c in check.columns if c not in types]
     if absent:
-        failed, checked, passed = F.lit(0).cast("bigint"), F.lit(0).cast("bigint"), F.lit(False)
-        detail = F.lit(f"column not found: {', '.join(absent)}")
+        problem = f"column not found: {', '.join(absent)}"
     else:
-        found = check.measures(types)
-        failed, checked = found["failed"], found["checked"]
-        passed = found.get("passed", failed == 0)
-        detail = found.get("detail", F.lit(""))
+        try:
+            found = check.measures(types)
+            df.agg(*[e.alias(k) for k, e in found.items()])
+        except AnalysisException as exc:
+            found, problem = {}, f"check could not run: {exc.getCondition()}"
+    none = F.lit(0).cast("bigint")
+    failed, checked = found.get("failed", none), found.get("checked", none)
+    passed = F.lit(False) if problem else found.get("passed", failed == 0)
+    detail = F.lit(problem) if problem else found.get("detail", F.lit(""))
     share = F.coalesce(round_stable(guarded_ratio(failed, checked) * 100, 1), F.lit(0.0))
     return F.struct(
         F.lit(suite).alias("suite"), F.lit(number).cast("bigint").alias("check_no"),
@@ -142,7 +155,7 @@ def run_suite(df, checks, suite="quality"):
     numbered = list(enumerate(checks, start=1))
     parts = []
     for wants_distinct in (False, True):
-        structs = [_result_struct(suite, n, c, types) for n, c in numbered if c.distinct is wants_distinct]
+        structs = [_result_struct(df, suite, n, c, types) for n, c in numbered if c.distinct is wants_distinct]
         if structs:
             parts.append(df.agg(F.array(*structs).alias("r")).select(F.inline("r")))
     return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])

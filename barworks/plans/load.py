@@ -8,8 +8,10 @@ from pyspark.sql import functions as F
 from barworks.operators.contracts import row_contract_bars, split_valid
 from barworks.operators.incremental import incremental_extract, period_extract
 from barworks.operators.quality import bar_suite, enforce
+from barworks.plans.medallion import refresh_gold
 from barworks.plans.state import WatermarkTable
 from barworks.plans.tables import to_fact, upsert_table
+from barworks.schemas import BAR_KEY
 from barworks.session import delete_path, scratch_path, write_and_reread
 from barworks.sources.bars import with_bar_metrics
 
@@ -27,14 +29,16 @@ class LoadResult:
 
 
 def load_batch(spark, bars, fact_path, state_path=None, quarantine_path=None, batch_id=0,
-               checks=None, loaded_at=None, dry_run=False):
+               checks=None, loaded_at=None, dry_run=False, gold_path=None, lookback_days=None):
     """Check a batch of bars and upsert it.
 
     The batch is written once to the shared folder and read back from there by
     every later step. With a ``quarantine_path``, rows that break a contract are
     set aside and the rest is loaded; without one, the quality suite sees every
     row and a critical failure stops the load. The watermark moves only after
-    the upsert, so a run that dies in between is simply repeated.
+    the upsert, so a run that dies in between is simply repeated. With a
+    ``gold_path``, the gold rows that the batch affects are brought up to date
+    before the watermark moves.
     """
     started = time.time()
     stage = scratch_path(spark, f"batch-{batch_id}")
@@ -57,6 +61,8 @@ def load_batch(spark, bars, fact_path, state_path=None, quarantine_path=None, ba
         if dry_run:
             return LoadResult(sizes["all"], 0, bad_rows, [], results, time.time() - started, message="dry run")
         months = upsert_table(spark, fact_path, to_fact(good, loaded_at))
+        if gold_path is not None:
+            refresh_gold(spark, fact_path, gold_path, good.select(*BAR_KEY), lookback_days)
         if state_path is not None:
             WatermarkTable(spark, state_path).advance(good)
         return LoadResult(sizes["all"], sizes["all"] - bad_rows, bad_rows, months, results, time.time() - started)
@@ -65,11 +71,11 @@ def load_batch(spark, bars, fact_path, state_path=None, quarantine_path=None, ba
 
 
 def run_incremental(spark, feed, fact_path, state_path, as_of, period="1mo", incremental=True,
-                    lookback_days=0, **options):
+                    reread_days=0, **options):
     """Extract what is new in ``feed`` (or a whole period) and load it."""
     if incremental:
         state = WatermarkTable(spark, state_path).read()
-        batch = incremental_extract(feed, state, as_of, period, lookback_days)
+        batch = incremental_extract(feed, state, as_of, period, reread_days)
     else:
         batch = period_extract(feed, as_of, period)
     return load_batch(spark, batch, fact_path, state_path, **options)

@@ -5,10 +5,15 @@ import time
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
-from barworks.operators.gold import silver_to_gold
-from barworks.operators.silver import bronze_to_silver, stamp
+from barworks.functions.dates import MONTH_COLUMN as MONTH
+from barworks.operators.gold import gold_delta, silver_to_gold
+from barworks.operators.silver import bronze_to_silver, silver_cast, stamp
 from barworks.operators.summary import daily_summary, sector_daily_summary
+from barworks.plans.tables import upsert_table
+from barworks.schemas import BAR_KEY
+from barworks.session import delete_path, path_exists, scratch_path, write_and_reread
 from barworks.sources.catalog import load_layer, save_layer
+from barworks.sources.scan import read_fact
 
 LAYERS = {
     "silver": "silver_stock_prices",
@@ -60,3 +65,28 @@ def run_medallion(spark, bronze, database=None, root=None, dim_symbol=None, fmt=
             _target("sector", database, root), metrics, fmt=fmt, by_month=None)
     out["run_metrics"] = spark.createDataFrame(metrics, RUN_METRICS)
     return out
+
+
+GOLD_INPUT = [*BAR_KEY, "open_price", "high_price", "low_price", "close_price", "volume"]
+
+
+def refresh_gold(spark, fact_path, gold_path, changed, lookback_days=None, listed=None):
+    """Bring the gold table up to date after ``changed`` keys were upserted.
+
+    The fact table holds one row per key, so it serves as silver once cast. With
+    ``lookback_days`` the scan starts that many days before the first change;
+    see ``gold_delta`` for listings that need more. The result equals a full rebuild.
+    """
+    silver = silver_cast(read_fact(spark, fact_path, keep_month=True)).select(*GOLD_INPUT, MONTH)
+    if not path_exists(spark, gold_path):
+        return save_layer(silver_to_gold(silver.drop(MONTH)), path=gold_path)
+    since = None
+    if lookback_days is not None:
+        since = F.date_sub(changed.agg(F.min("trade_date")).scalar(), lookback_days)
+    gold = read_fact(spark, gold_path, keep_month=True)
+    stage = scratch_path(spark, "gold-delta")
+    try:
+        delta = write_and_reread(gold_delta(silver, gold, changed, since=since, listed=listed), stage)
+        return upsert_table(spark, gold_path, delta, settle=False)
+    finally:
+        delete_path(spark, stage)

@@ -13,14 +13,12 @@ import hashlib
 
 from pyspark.sql import functions as F
 
+from barworks.functions.dates import MONTH_COLUMN as MONTH
 from barworks.functions.dates import month_start
 from barworks.operators.upsert import merge_rows, upsert_bars
 from barworks.schemas import BAR_KEY, FACT_BARS
 from barworks.session import delete_path, path_exists, shared_dir, touch_path
 
-MONTH = "trade_month"
-
-
 def to_fact(df, loaded_at=None):
     """Project a batch onto the fact schema; the load time is the writer's."""
     if loaded_at is not None:

@@ -1,8 +1,6 @@
 """Reading the bronze layer."""
 
-from pyspark.sql import functions as F
-
-from barworks.functions.dates import month_start
+from barworks.functions.dates import MONTH_COLUMN, date_bounded
 
 
 def scan_bronze(spark, path=None, *, fmt="parquet", query=None, columns=None, schema=None, **options):
@@ -21,17 +19,11 @@ def scan_bronze(spark, path=None, *, fmt="parquet", query=None, columns=None, sc
     return df.select(*columns) if columns else df
 
 
-def read_fact(spark, path, since=None, until=None):
-    """The month-partitioned fact table, bounded on both sides where possible.
+def read_fact(spark, path, since=None, until=None, keep_month=False):
+    """A month-partitioned bar table, bounded on both sides where possible.
 
-    The bounds filter the partition column as well as the date, so whole months
-    are skipped before any file is opened.
+    With ``keep_month`` the partition column stays, so that operators can prune
+    by dates they only know at run time.
     """
-    df = spark.read.parquet(path)
-    if since is not None:
-        since = F.lit(since).cast("date")
-        df = df.filter((F.col("trade_month") >= month_start(since)) & (F.col("trade_date") >= since))
-    if until is not None:
-        until = F.lit(until).cast("date")
-        df = df.filter((F.col("trade_month") <= month_start(until)) & (F.col("trade_date") <= until))
-    return df.drop("trade_month")
+    df = date_bounded(spark.read.parquet(path), since, until)
+    return df if keep_month else df.drop(MONTH_COLUMN)

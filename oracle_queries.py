@@ -406,6 +406,7 @@ def oracle_sql(tables):
         "stream_ingest": f"WITH {FACT} SELECT {BAR_OUT}, daily_range, change_pct FROM fact",
         "stream_daily_bars": f"WITH {EVENT_BARS} SELECT {BAR_OUT} FROM event_bars",
     }
+    out["incremental_gold"] = out["gold_refresh"]
     day_over_day = f"""SELECT {KEY}, close_price, prev_close, close_price - prev_close AS daily_change,
         {pct('close_price', 'prev_close', 2)} AS daily_change_pct, nth FROM (
         SELECT *, lag(close_price) OVER (PARTITION BY symbol, exchange_code ORDER BY trade_date) AS prev_close,
