@@ -21,7 +21,7 @@ from barworks.plans.medallion import run_medallion  # noqa: E402
 from barworks.plans.state import WatermarkTable  # noqa: E402
 from barworks.plans.tables import to_fact, upsert_table  # noqa: E402
 from barworks.schemas import BAR_KEY, LISTING, PRICES  # noqa: E402
-from barworks.session import scratch_path  # noqa: E402
+from barworks.session import scratch_path, write_and_reread  # noqa: E402
 from barworks.sources import (  # noqa: E402
     bars_from_ticks, create_star_schema, list_tables, normalize_bars, read_fact, resample_bars,
     run_sql, scan_bronze, table_counts, union_frames, with_bar_metrics,
@@ -82,8 +82,8 @@ def param_query(spark, sf):
 def star_schema_load(spark, sf):
     database = "star_" + scratch_path(spark, "db").rsplit("-", 1)[1]
     create_star_schema(spark, database, scratch_path(spark, "star"))
-    fact = fx.fact_bars(spark, sf).drop("source")
-    fact = to_fact(fact.withColumn("source", F.lit("feed"))).withColumn("trade_month", F.trunc("trade_date", "MM"))
+    bars = write_and_reread(fx.fact_bars(spark, sf), scratch_path(spark, "bars"))
+    fact = to_fact(bars).withColumn("trade_month", F.trunc("trade_date", "MM"))
     frames = {
         "fact_stock_prices": fact,
         "dim_date": dims.dim_date_covering(fact),
@@ -267,7 +267,7 @@ def _upsert_sides(spark, sf):
 def upsert_table_query(spark, sf):
     """Load in date slices through the partitioned table, then apply corrections."""
     path = scratch_path(spark, "fact")
-    fact = to_fact(fx.fact_bars(spark, sf).withColumn("source", F.lit("feed")))
+    fact = write_and_reread(to_fact(fx.fact_bars(spark, sf)), scratch_path(spark, "bars"))
     for piece in fx.date_slices(fact, ["1997-01-01", "1999-01-01"]):
         upsert_table(spark, path, piece)
     late = fact.filter(F.col("trade_date") >= _day("1997-01-01")).withColumns({
@@ -294,7 +294,7 @@ def incremental_gold_query(spark, sf):
     """Two batches through check, upsert and gold refresh: the second one brings
     new days and corrects old ones."""
     base = scratch_path(spark, "incremental-gold")
-    bars = fx.fact_bars(spark, sf)
+    bars = write_and_reread(fx.fact_bars(spark, sf), f"{base}/bars")
     hit = F.col("trade_date").between(_day("1998-03-01"), _day("1998-03-05"))
     fixed = bars.filter(hit).withColumns({
         "close_price": F.col("close_price") + 1, "volume": F.col("volume") + 7})

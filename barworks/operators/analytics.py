@@ -4,7 +4,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from barworks.functions.dates import month_start
-from barworks.functions.numeric import pct_change, round_stable
+from barworks.functions.numeric import guarded_ratio, pct_change, round_stable
 from barworks.operators.gold import LONG_ROWS, SHORT_ROWS, moving_average, previous_close, with_rounded
 from barworks.operators.ranks import attach_ranks, rank_key, value_ranks
 from barworks.schemas import LISTING
@@ -141,6 +141,10 @@ def sector_monthly(fact, dim_symbol):
 def trading_days(fact, dim_date, calendar_days=None):
     """Q7: rollup by month and fiscal quarter over the calendar's working days.
 
+    Both distinct counts come from one hash aggregation per symbol and month:
+    its rows are the distinct symbols, and the days of a month fit in the bits
+    of a long. Counting distinct values directly would expand every bar to three.
+
     Pass ``calendar_days`` (the size of ``dim_date``, known where it is built) to
     let a small calendar be broadcast; otherwise adaptive execution decides.
     """
@@ -148,19 +152,29 @@ def trading_days(fact, dim_date, calendar_days=None):
         "date_key", "month_name", "month_number", "year", "fiscal_quarter")
     if calendar_days is not None and calendar_days <= CALENDAR_BROADCAST_DAYS:
         days = F.broadcast(days)
-    joined = fact.join(days, fact["trade_date"] == days["date_key"], "inner")
-    return joined.groupBy("month_name", "year", "fiscal_quarter", "month_number").agg(
-        F.count_distinct("trade_date").alias("trading_days"),
-        F.count_distinct("symbol").alias("stocks_traded"),
-        round_stable(F.avg(_close()), 2).alias("avg_close_across_all"),
-        F.sum("volume").cast("bigint").alias("total_volume"),
+    group = ["month_name", "year", "fiscal_quarter", "month_number"]
+    bars = fact.select("symbol", "trade_date", _close().alias("close_price"), "volume")
+    joined = bars.join(days, bars["trade_date"] == days["date_key"], "inner")
+    day_bit = F.expr("shiftleft(1L, dayofmonth(trade_date) - 1)")
+    by_symbol = joined.groupBy("symbol", *group).agg(
+        F.bit_or(day_bit).alias("_days"),
+        F.sum("close_price").alias("_close_sum"),
+        F.count("close_price").alias("_closes"),
+        F.sum("volume").alias("_volume"),
+    )
+    return by_symbol.groupBy(*group).agg(
+        F.bit_count(F.bit_or("_days")).cast("bigint").alias("trading_days"),
+        F.count("symbol").alias("stocks_traded"),
+        round_stable(guarded_ratio(F.sum("_close_sum"), F.sum("_closes")), 2).alias("avg_close_across_all"),
+        F.sum("_volume").cast("bigint").alias("total_volume"),
     )
 
 
 def ingest_counts(df):
-    """Rows, symbols and listings of a batch."""
-    return df.agg(
-        F.count(F.lit(1)).alias("row_count"),
+    """Rows, symbols and listings of a batch, from one row per listing."""
+    per_listing = df.groupBy(*LISTING).agg(F.count(F.lit(1)).alias("_rows"))
+    return per_listing.agg(
+        F.coalesce(F.sum("_rows"), F.lit(0)).alias("row_count"),
         F.count_distinct("symbol").alias("symbol_count"),
-        F.count_distinct(F.struct(*LISTING)).alias("listing_count"),
+        F.count(F.lit(1)).alias("listing_count"),
     )

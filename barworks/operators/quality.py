@@ -119,22 +119,24 @@ def custom_check(name, predicate, severity=CRITICAL, columns=()):
     })
 
 
-def _result_struct(df, suite, number, check, types):
+def _result_struct(df, suite, number, check, types, probe):
     """One check as a struct of its result columns.
 
-    A check that cannot be planned on this frame (a column is missing, an
-    expression does not fit) is a failed check, not a failed suite.
+    A check that cannot be planned on this frame (a column is missing or, with
+    ``probe``, an expression turns out not to fit) is a failed check, not a
+    failed suite.
     """
     found, problem = {}, None
     absent = [c for c in check.columns if c not in types]
     if absent:
         problem = f"column not found: {', '.join(absent)}"
     else:
-        try:
-            found = check.measures(types)
-            df.agg(*[e.alias(k) for k, e in found.items()])
-        except AnalysisException as exc:
-            found, problem = {}, f"check could not run: {exc.getCondition()}"
+        found = check.measures(types)
+        if probe:
+            try:
+                df.agg(*[e.alias(k) for k, e in found.items()])
+            except AnalysisException as exc:
+                found, problem = {}, f"check could not run: {exc.getCondition()}"
     none = F.lit(0).cast("bigint")
     failed, checked = found.get("failed", none), found.get("checked", none)
     passed = F.lit(False) if problem else found.get("passed", failed == 0)
@@ -151,11 +153,18 @@ def _result_struct(df, suite, number, check, types):
 
 def run_suite(df, checks, suite="quality"):
     """One row per check, as a lazy DataFrame."""
+    try:
+        return _plan_suite(df, checks, suite, probe=False)
+    except AnalysisException:
+        return _plan_suite(df, checks, suite, probe=True)
+
+
+def _plan_suite(df, checks, suite, probe):
     types = dict(df.dtypes)
-    numbered = list(enumerate(checks, start=1))
     parts = []
     for wants_distinct in (False, True):
-        structs = [_result_struct(df, suite, n, c, types) for n, c in numbered if c.distinct is wants_distinct]
+        structs = [_result_struct(df, suite, n, c, types, probe)
+                   for n, c in enumerate(checks, start=1) if c.distinct is wants_distinct]
         if structs:
             parts.append(df.agg(F.array(*structs).alias("r")).select(F.inline("r")))
     return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])

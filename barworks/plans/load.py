@@ -3,6 +3,7 @@
 import time
 from dataclasses import dataclass
 
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from barworks.operators.contracts import row_contract_bars, split_valid
@@ -46,9 +47,10 @@ def load_batch(spark, bars, fact_path, state_path=None, quarantine_path=None, ba
     if "daily_range" not in checked.columns or "change_pct" not in checked.columns:
         checked = with_bar_metrics(checked)
     try:
-        checked = write_and_reread(checked, stage)
-        sizes = checked.agg(
-            F.count(F.lit(1)).alias("all"), F.count_if(F.size("violations") > 0).alias("bad")).first()
+        seen = Observation(f"batch-{batch_id}")
+        counted = checked.observe(seen, F.count(F.lit(1)).alias("all"),
+                                  F.count_if(F.size("violations") > 0).alias("bad"))
+        checked, sizes = write_and_reread(counted, stage), seen.get
         if sizes["all"] == 0:
             return LoadResult(0, 0, 0, [], [], time.time() - started, message="nothing to load")
         bad_rows = 0

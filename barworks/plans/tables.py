@@ -1,7 +1,7 @@
 """Upserts into a month-partitioned parquet table.
 
-Parquet has no MERGE. Only the months touched by a batch are rewritten, in two
-steps: the merged months are first written in full to a stage in the shared
+Parquet has no MERGE. A batch of new keys is appended. One that also updates
+rows has the months it touches rewritten, in two steps: the merged months are first written in full to a stage in the shared
 folder, then copied over the table's partitions. The stage is a redo log. If a
 run dies during the copy, the next one finds the finished stage and copies it
 again before doing anything else, so no partition stays half replaced.
@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 
 from barworks.functions.dates import MONTH_COLUMN as MONTH
 from barworks.functions.dates import month_start
-from barworks.operators.upsert import merge_rows, upsert_bars
+from barworks.operators.silver import dedupe_bars
+from barworks.operators.upsert import merge_rows
 from barworks.schemas import BAR_KEY, FACT_BARS
 from barworks.session import delete_path, path_exists, shared_dir, touch_path
 
@@ -39,16 +40,16 @@ def _stage_path(spark, path):
     return f"{shared_dir(spark)}/barworks/upsert-stage-{name}"
 
 
-def _months(df):
-    """The distinct months of a batch: a handful of dates, 12 per year of data."""
-    return [r[0] for r in df.select(month_start("trade_date").alias(MONTH)).distinct().collect()]
+def _span(df):
+    """The months of a batch and its first and last day: 12 rows per year of data."""
+    by_month = df.groupBy(month_start("trade_date").alias(MONTH)).agg(
+        F.min("trade_date").alias("lo"), F.max("trade_date").alias("hi"))
+    rows = by_month.collect()
+    return sorted(r[MONTH] for r in rows), min((r["lo"] for r in rows), default=None), max((r["hi"] for r in rows), default=None)
 
 
-def _write(df, path, dynamic=False):
-    writer = df.write.mode("overwrite").partitionBy(MONTH)
-    if dynamic:
-        writer = writer.option("partitionOverwriteMode", "dynamic")
-    writer.parquet(path)
+def _write(df, path, mode="overwrite", replace="static"):
+    df.write.mode(mode).option("partitionOverwriteMode", replace).partitionBy(MONTH).parquet(path)
 
 
 def recover(spark, path):
@@ -68,29 +69,45 @@ def _clear(spark, stage):
 
 
 def _apply(spark, path, stage):
-    _write(spark.read.parquet(stage), path, dynamic=True)
+    _write(spark.read.parquet(stage), path, replace="dynamic")
 
 
 def upsert_table(spark, path, source, keys=BAR_KEY, settle=True):
     """Upsert ``source`` into the table at ``path``; creates it on first use.
 
+    A batch of keys the table does not hold (the usual new day) is appended, at
+    the cost of its own rows. Otherwise the touched months are merged and
+    rewritten. An append that dies half way leaves some of its keys behind, so
+    its repetition takes the merge and ends in the same table.
+
     Hand in a batch that is already written somewhere (see
     ``session.write_and_reread``): it is read more than once here. ``settle``
-    removes duplicate keys from the batch, newest ``loaded_at`` first.
+    removes duplicate keys from the batch, newest ``loaded_at`` first. Returns
+    the months that were touched.
     """
     recover(spark, path)
-    months = _months(source)
+    months, first, last = _span(source)
     if not months:
         return []
-    if path_exists(spark, path):
-        target = spark.read.parquet(path).filter(F.col(MONTH).isin(months)).drop(MONTH)
-    else:
-        target = source.limit(0)
-    merged = upsert_bars(target, source, keys) if settle else merge_rows(target, source, keys)
-    merged = merged.withColumn(MONTH, month_start("trade_date")).hint("rebalance", F.col(MONTH))
+    if settle:
+        source = dedupe_bars(source, keys)
+    if not path_exists(spark, path):
+        _write(_laid_out(source), path, "append")
+        return months
+    target = spark.read.parquet(path).filter(F.col(MONTH).isin(months)).drop(MONTH)
+    same_days = target.filter(F.col("trade_date").between(F.lit(first), F.lit(last)))
+    if same_days.select(*keys).join(source.select(*keys), list(keys), "left_semi").isEmpty():
+        _write(_laid_out(source), path, "append")
+        return months
     stage = _stage_path(spark, path)
-    _write(merged.sortWithinPartitions(MONTH, "symbol", "trade_date"), stage)
+    _write(_laid_out(merge_rows(target, source, keys)), stage)
     touch_path(spark, f"{stage}.ready")
     _apply(spark, path, stage)
     _clear(spark, stage)
-    return sorted(months)
+    return months
+
+
+def _laid_out(df):
+    """Files of one month each, sized by adaptive execution, sorted by listing."""
+    df = df.withColumn(MONTH, month_start("trade_date")).hint("rebalance", F.col(MONTH))
+    return df.sortWithinPartitions(MONTH, "symbol", "trade_date")

@@ -73,9 +73,24 @@ def test_only_touched_months_are_rewritten(spark, bars, tmp_path):
     assert {k for k in after if after[k] != before[k]} == {"trade_month=1998-05-01"}
 
 
+def test_new_keys_are_appended_and_a_torn_append_is_repaired(spark, bars, rows, tmp_path):
+    path = str(tmp_path / "fact")
+    month = fact(bars.filter(F.trunc("trade_date", "MM") == day("1998-05-01")))
+    early, late = fx.date_slices(month, ["1998-05-15"])
+    tables.upsert_table(spark, path, early)
+    files = lambda: {p.name for p in (tmp_path / "fact").rglob("*.parquet")}
+    before = files()
+    tables.upsert_table(spark, path, late.filter("exchange_code = 'NSE'"))
+    assert before < files()
+    tables.upsert_table(spark, path, late)
+    assert not before & files()
+    assert rows(read_fact(spark, path)) == rows(month)
+
+
 def test_interrupted_copy_is_finished_by_the_next_run(spark, bars, rows, tmp_path, monkeypatch):
     path = str(tmp_path / "fact")
     first, second = fx.date_slices(fact(bars), ["1998-01-01"])
+    second = second.unionByName(first.filter(F.col("trade_date") >= day("1997-12-01")))
     tables.upsert_table(spark, path, first)
 
     def dies(*args):
