@@ -189,7 +189,7 @@ def medallion_counts(spark, sf):
 
 
 def gold_refresh(spark, sf):
-    before = fx.typed_bars(spark, sf)
+    before = write_and_reread(fx.typed_bars(spark, sf), scratch_path(spark, "bars"))
     hit = F.col("trade_date").between(_day("1998-03-01"), _day("1998-03-05"))
     after = before.withColumns({
         "close_price": F.col("close_price") + F.when(hit, 1.0).otherwise(0.0),

@@ -63,6 +63,8 @@ def latest_bars(fact):
 
 
 def _latest_rows(df, rows):
+    """The latest rows of each listing. The limit also applies before the shuffle,
+    so each task sends at most that many rows of a listing."""
     if rows is None:
         return df
     newest = Window.partitionBy(*LISTING).orderBy(F.col("trade_date").desc())
@@ -72,10 +74,13 @@ def _latest_rows(df, rows):
 def day_over_day(fact, symbol=None, exchange_code=None, rows=None):
     """Q3: previous close and change per listing; ``rows`` keeps the latest n days.
 
-    Filters on the listing reach the scan because they are window keys.
+    Filters on the listing reach the scan. With ``rows``, only as many days as the
+    answer reads (one more than it shows) take part in the windows.
     """
     picked = _for_listing(fact, symbol, exchange_code).select(
         *LISTING, "trade_date", _close().alias("close_price"))
+    if rows is not None:
+        picked = _latest_rows(picked, rows + 1)
     changed = picked.withColumn("prev_close", previous_close())
     changed = changed.withColumns({
         "daily_change": F.col("close_price") - F.col("prev_close"),
@@ -85,9 +90,14 @@ def day_over_day(fact, symbol=None, exchange_code=None, rows=None):
 
 
 def moving_averages(fact, symbol=None, exchange_code=None, rows=None):
-    """Q4: 7 and 30 row averages of close and 7 row average of volume."""
+    """Q4: 7 and 30 row averages of close and 7 row average of volume.
+
+    With ``rows``, only the days shown and the 29 before them are shuffled.
+    """
     picked = _for_listing(fact, symbol, exchange_code).select(
         *LISTING, "trade_date", _close().alias("close_price"), "volume")
+    if rows is not None:
+        picked = _latest_rows(picked, rows + LONG_ROWS - 1)
     averaged = with_rounded(picked, {
         "ma_7day": (moving_average("close_price", SHORT_ROWS), 2),
         "ma_30day": (moving_average("close_price", LONG_ROWS), 2),

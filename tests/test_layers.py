@@ -133,6 +133,15 @@ def test_listing_filter_reaches_the_scan(bars, plan):
     assert analytics.day_over_day(bars, "S1", "NSE", rows=30).count() == 30
 
 
+def test_latest_days_are_cut_before_the_shuffle(bars, plan, rows):
+    for query, n, reach in ((analytics.day_over_day, 30, 31), (analytics.moving_averages, 60, 89)):
+        cut = query(bars, rows=n)
+        assert f"row_number(), {reach}, Partial" in plan(cut)
+        newest = Window.partitionBy("symbol", "exchange_code").orderBy(F.col("trade_date").desc())
+        whole = query(bars).withColumn("n", F.row_number().over(newest)).filter(F.col("n") <= n).drop("n")
+        assert rows(cut) == rows(whole)
+
+
 def test_gainers_losers_keep_ties(spark):
     df = spark.createDataFrame(
         [("S%d" % i, "NSE", dt.date(2024, 1, 1), 1.0, c) for i, c in enumerate([5.0, 5.0, 5.0, 1.0, -2.0, None])],
