@@ -348,6 +348,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "quarantine_counts": lambda s, sf: contracts.quarantine_counts(_contract(s, sf)),
         "valid_bars": valid_bars,
         "q1_price_stats": lambda s, sf: analytics.price_stats(fx.fact_bars(s, sf)),
+        "q1_top_20": lambda s, sf: analytics.report(analytics.price_stats(fx.fact_bars(s, sf)), "price_stats", 20),
         "q2_latest_price": lambda s, sf: fx.plain(analytics.latest_bars(fx.fact_bars(s, sf).drop("loaded_at"))),
         "q3_day_over_day": lambda s, sf: analytics.day_over_day(fx.typed_bars(s, sf)),
         "q3_latest_30": lambda s, sf: analytics.day_over_day(fx.typed_bars(s, sf), rows=30),

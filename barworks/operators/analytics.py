@@ -13,6 +13,29 @@ from barworks.schemas import LISTING
 # enough to copy to every executor; a longer one is joined by a shuffle.
 CALENDAR_BROADCAST_DAYS = 200_000
 
+# How each answer is shown: columns, largest first where marked with "-".
+REPORT_ORDER = {
+    "price_stats": ["-avg_close_price", "symbol", "exchange_code"],
+    "latest_bars": ["symbol", "exchange_code"],
+    "day_over_day": ["-trade_date", "symbol", "exchange_code"],
+    "moving_averages": ["-trade_date", "symbol", "exchange_code"],
+    "gainers_losers": ["-trade_date", "gain_rank", "exchange_code", "symbol"],
+    "sector_monthly": ["-month_start", "-avg_sector_return_pct", "sector"],
+    "trading_days": ["-year", "-month_number"],
+    "daily_summary": ["trade_date", "exchange_code"],
+}
+
+
+def report(df, question, rows=None):
+    """An answer in display order, optionally its first rows only.
+
+    With ``rows`` each task keeps that many candidates and no full sort happens.
+    """
+    order = [F.col(c[1:]).desc_nulls_last() if c.startswith("-") else F.col(c).asc_nulls_last()
+             for c in REPORT_ORDER[question]]
+    ordered = df.orderBy(*order)
+    return ordered if rows is None else ordered.limit(rows)
+
 
 def _close():
     return F.col("close_price").cast("double")

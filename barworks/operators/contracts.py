@@ -9,14 +9,14 @@ from pyspark.sql import functions as F
 from barworks.functions.dates import safe_date
 from barworks.functions.numeric import is_missing, safe_double, safe_long
 from barworks.functions.text import clean_upper
-from barworks.schemas import EXCHANGES, PRICES
+from barworks.schemas import EXCHANGES, PRICES, RECORD_SOURCE
 
 
 def _violations(rules):
     return F.array_compact(F.array(*[F.when(broken, F.lit(name)) for name, broken in rules.items()]))
 
 
-def row_contract_bars(df, default_source="warehouse", strict=False):
+def row_contract_bars(df, default_source=RECORD_SOURCE, strict=False):
     """Coerce a bar and list the rules it breaks.
 
     Required: symbol, trade_date, four prices. Prices and volume may not be

@@ -19,6 +19,8 @@ EXCHANGE_NAMES = {
 }
 TIME_FRAMES = ["1d", "1wk", "1mo"]
 MARKET_STATUSES = ["OPEN", "CLOSED", "PRE_MARKET", "POST_MARKET"]
+DATA_SOURCES = ["snowflake", "yfinance", "nse_api", "manual"]
+FEED_SOURCE, RECORD_SOURCE = "yfinance", "snowflake"
 
 _PRICE = T.DecimalType(18, 4)
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from barworks.functions.dates import safe_date
 from barworks.functions.numeric import pct_change, round_stable
 from barworks.functions.text import base_symbol, exchange_from_suffix
-from barworks.schemas import BAR_COLUMNS, RAW_BARS
+from barworks.schemas import BAR_COLUMNS, FEED_SOURCE, RAW_BARS
 
 # Column names of the bar feed.
 FEED_COLUMNS = {
@@ -37,7 +37,7 @@ def with_bar_metrics(df, scale=4, zero_open=None, change_from_open=False):
     return df.withColumns(added)
 
 
-def normalize_bars(raw, ticker="ticker", source="feed"):
+def normalize_bars(raw, ticker="ticker", source=FEED_SOURCE):
     """Rename, split the ticker into symbol and exchange, derive, keep 11 columns.
 
     Columns the feed did not send are left out rather than invented.

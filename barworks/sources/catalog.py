@@ -28,7 +28,7 @@ COLUMN_DEFAULTS = {
     ("dim_date", "is_month_end"): "false",
     ("dim_date", "is_quarter_end"): "false",
     ("fact_stock_prices", "volume"): "0",
-    ("fact_stock_prices", "source"): "'feed'",
+    ("fact_stock_prices", "source"): f"'{schemas.FEED_SOURCE}'",
 }
 
 
@@ -75,6 +75,12 @@ def table_counts(frames):
     return reduce(lambda a, b: a.unionByName(b), counts)
 
 
+def database_counts(spark, database):
+    """Row counts of every table of a database; only its table names reach the driver."""
+    names = [r["table_name"] for r in list_tables(spark, database).filter("table_type = 'TABLE'").collect()]
+    return table_counts({n: spark.table(f"{database}.{n}") for n in names})
+
+
 def run_sql(spark, statement, args=None, limit=None):
     """Ad-hoc SQL with named markers (``:name``); the limit is part of the plan."""
     df = spark.sql(statement, args=args or {})

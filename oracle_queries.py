@@ -259,7 +259,7 @@ def oracle_sql(tables):
     out = {
         # scans and sources
         "scan_bronze": "SELECT l_suppkey, CAST(l_shipdate AS DATE) AS trade_date, l_extendedprice AS price, l_quantity AS quantity FROM lineitem",
-        "normalize_bars": f"WITH {FACT} SELECT {BAR_OUT}, daily_range, change_pct, source FROM fact",
+        "normalize_bars": f"WITH {FACT} SELECT {BAR_OUT}, daily_range, change_pct, 'yfinance' AS source FROM fact",
         "union_symbol_frames": f"""WITH {TYPED} SELECT {KEY}, close_price,
             CASE WHEN exchange_code = 'NSE' THEN volume ELSE -1 END AS volume FROM typed""",
         "bars_from_ticks": f"WITH {EVENT_BARS} SELECT {BAR_OUT} FROM event_bars",
@@ -406,6 +406,7 @@ def oracle_sql(tables):
         "stream_ingest": f"WITH {FACT} SELECT {BAR_OUT}, daily_range, change_pct FROM fact",
         "stream_daily_bars": f"WITH {EVENT_BARS} SELECT {BAR_OUT} FROM event_bars",
     }
+    out["q1_top_20"] = f"SELECT * FROM ({out['q1_price_stats']}) ORDER BY avg_close_price DESC NULLS LAST, symbol, exchange_code LIMIT 20"
     out["incremental_gold"] = out["gold_refresh"]
     day_over_day = f"""SELECT {KEY}, close_price, prev_close, close_price - prev_close AS daily_change,
         {pct('close_price', 'prev_close', 2)} AS daily_change_pct, nth FROM (

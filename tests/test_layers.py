@@ -142,6 +142,14 @@ def test_latest_days_are_cut_before_the_shuffle(bars, plan, rows):
         assert rows(cut) == rows(whole)
 
 
+def test_reports_are_ordered_and_top_n_needs_no_full_sort(bars, plan):
+    stats = analytics.price_stats(bars)
+    top = analytics.report(stats, "price_stats", 5)
+    assert "TakeOrderedAndProject(limit=5" in plan(top)
+    shown = [r.avg_close_price for r in analytics.report(stats, "price_stats").collect()]
+    assert shown == sorted(shown, reverse=True) and [r.avg_close_price for r in top.collect()] == shown[:5]
+
+
 def test_gainers_losers_keep_ties(spark):
     df = spark.createDataFrame(
         [("S%d" % i, "NSE", dt.date(2024, 1, 1), 1.0, c) for i, c in enumerate([5.0, 5.0, 5.0, 1.0, -2.0, None])],

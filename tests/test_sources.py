@@ -17,6 +17,7 @@ def test_normalise_one_bar(spark):
     row = out.first()
     assert (row.symbol, row.exchange_code, row.trade_date) == ("TCS", "NSE", dt.date(2026, 3, 5))
     assert (row.daily_range, row.change_pct, row.volume) == (70.0, 1.1053, 1_000_000)
+    assert row.source == "yfinance"
 
 
 def test_suffixes(spark):
@@ -113,8 +114,8 @@ def test_catalog_probes_and_star_schema(spark, tmp_path):
     spark.sql("INSERT INTO star_test.dim_exchange (exchange_id, exchange_code, exchange_name) VALUES (1, 'NSE', 'x')")
     row = spark.table("star_test.dim_exchange").first()
     assert (row.country, row.currency, row.timezone) == ("India", "INR", "Asia/Kolkata")
-    counts = sources.table_counts({"dim_exchange": spark.table("star_test.dim_exchange")}).first()
-    assert tuple(counts) == ("dim_exchange", 1)
+    counts = {r.table_name: r.row_count for r in sources.database_counts(spark, "star_test").collect()}
+    assert counts == {"dim_exchange": 1, "dim_symbol": 0, "dim_date": 0, "fact_stock_prices": 0}
 
 
 def test_scan_prunes_columns(spark, plan):
