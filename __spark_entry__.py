@@ -37,6 +37,11 @@ def _day(text):
     return F.lit(text).cast("date")
 
 
+def _written(df):
+    """For inputs that a plan reads more than once: write once, read columns."""
+    return write_and_reread(df, scratch_path(df.sparkSession, "input"))
+
+
 def _silver(spark, sf):
     return silver.bronze_to_silver(fx.dirty_bronze(spark, sf))
 
@@ -82,7 +87,7 @@ def param_query(spark, sf):
 def star_schema_load(spark, sf):
     database = "star_" + scratch_path(spark, "db").rsplit("-", 1)[1]
     create_star_schema(spark, database, scratch_path(spark, "star"))
-    bars = write_and_reread(fx.fact_bars(spark, sf), scratch_path(spark, "bars"))
+    bars = _written(fx.fact_bars(spark, sf))
     fact = to_fact(bars).withColumn("trade_month", F.trunc("trade_date", "MM"))
     frames = {
         "fact_stock_prices": fact,
@@ -155,7 +160,7 @@ def volume_rank_query(spark, sf):
 
 
 def gold_query(spark, sf):
-    return gold.silver_to_gold(_silver(spark, sf)).select(*GOLD_OUT)
+    return gold.silver_to_gold(_written(_silver(spark, sf).select(*BAR_OUT))).select(*GOLD_OUT)
 
 
 def _indicators(spark, sf):
@@ -189,7 +194,7 @@ def medallion_counts(spark, sf):
 
 
 def gold_refresh(spark, sf):
-    before = write_and_reread(fx.typed_bars(spark, sf), scratch_path(spark, "bars"))
+    before = _written(fx.typed_bars(spark, sf))
     hit = F.col("trade_date").between(_day("1998-03-01"), _day("1998-03-05"))
     after = before.withColumns({
         "close_price": F.col("close_price") + F.when(hit, 1.0).otherwise(0.0),
@@ -223,13 +228,13 @@ def trading_days(spark, sf):
 
 def _suite(checks, source=None):
     def query(spark, sf):
-        df = silver.silver_cast(fx.dirty_bronze(spark, sf)) if source is None else source(spark, sf)
+        df = silver.silver_cast(_written(fx.dirty_bronze(spark, sf))) if source is None else source(spark, sf)
         return quality.run_suite(df, checks(), "bars").select(*CHECK_OUT)
     return query
 
 
 def qc_suite_summary(spark, sf):
-    df = silver.silver_cast(fx.dirty_bronze(spark, sf))
+    df = silver.silver_cast(_written(fx.dirty_bronze(spark, sf)))
     return quality.suite_summary(quality.run_suite(df, quality.bar_suite(max_rows=None), "bars"))
 
 
@@ -258,7 +263,7 @@ def watermark_reset(spark, sf):
 
 
 def _upsert_sides(spark, sf):
-    fact = fx.fact_bars(spark, sf).withColumn("close_price", F.col("close_price").cast("double"))
+    fact = _written(fx.fact_bars(spark, sf)).withColumn("close_price", F.col("close_price").cast("double"))
     target = fact.filter(F.col("trade_date") < _day("1999-01-01"))
     batch = fact.filter(F.col("trade_date") >= _day("1997-01-01")).withColumn("close_price", F.col("close_price") + 1)
     return target, batch
@@ -267,7 +272,7 @@ def _upsert_sides(spark, sf):
 def upsert_table_query(spark, sf):
     """Load in date slices through the partitioned table, then apply corrections."""
     path = scratch_path(spark, "fact")
-    fact = write_and_reread(to_fact(fx.fact_bars(spark, sf)), scratch_path(spark, "bars"))
+    fact = _written(to_fact(fx.fact_bars(spark, sf)))
     for piece in fx.date_slices(fact, ["1997-01-01", "1999-01-01"]):
         upsert_table(spark, path, piece)
     late = fact.filter(F.col("trade_date") >= _day("1997-01-01")).withColumns({
@@ -294,7 +299,7 @@ def incremental_gold_query(spark, sf):
     """Two batches through check, upsert and gold refresh: the second one brings
     new days and corrects old ones."""
     base = scratch_path(spark, "incremental-gold")
-    bars = write_and_reread(fx.fact_bars(spark, sf), f"{base}/bars")
+    bars = _written(fx.fact_bars(spark, sf))
     hit = F.col("trade_date").between(_day("1998-03-01"), _day("1998-03-05"))
     fixed = bars.filter(hit).withColumns({
         "close_price": F.col("close_price") + 1, "volume": F.col("volume") + 7})
@@ -354,7 +359,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "q3_latest_30": lambda s, sf: analytics.day_over_day(fx.typed_bars(s, sf), rows=30),
         "q4_moving_averages": lambda s, sf: analytics.moving_averages(fx.typed_bars(s, sf)),
         "q4_latest_60": lambda s, sf: analytics.moving_averages(fx.typed_bars(s, sf), rows=60),
-        "q5_gainers_losers": lambda s, sf: analytics.gainers_losers(fx.fact_bars(s, sf)),
+        "q5_gainers_losers": lambda s, sf: analytics.gainers_losers(_written(fx.fact_bars(s, sf))),
         "monthly_returns": lambda s, sf: analytics.monthly_returns(fx.fact_bars(s, sf)),
         "q6_sector_monthly": lambda s, sf: analytics.sector_monthly(fx.fact_bars(s, sf), fx.listings(s, sf)),
         "q7_trading_days": trading_days,

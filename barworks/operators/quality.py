@@ -11,7 +11,8 @@ makes for them would multiply the rows of the cheap ones.
 from dataclasses import dataclass, field
 from typing import Callable
 
-from pyspark.errors import AnalysisException
+from pyspark.errors import AnalysisException, PySparkException
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from barworks.functions.dates import safe_date
@@ -202,6 +203,24 @@ class QualityGateError(RuntimeError):
         self.failed = failed
 
 
+def _collect(df, checks, suite):
+    """Result rows of a suite. If its one job fails on some value (an expression
+    that raises), each check runs alone and only the culprits fail."""
+    try:
+        return run_suite(df, checks, suite).collect()
+    except PySparkException:
+        rows = []
+        for number, check in enumerate(checks, start=1):
+            try:
+                row = run_suite(df, [check], suite).first().asDict()
+            except PySparkException as exc:
+                row = dict(suite=suite, check_name=check.name, severity=check.severity, passed=False,
+                           failed_rows=0, checked_rows=0, failed_pct=0.0,
+                           detail=f"check raised {exc.getCondition() or type(exc).__name__}")
+            rows.append(Row(**{**row, "check_no": number}))
+        return rows
+
+
 def enforce(df, checks, suite="quality"):
     """Run a suite (one action) and raise if a CRITICAL check failed.
 
@@ -209,7 +228,7 @@ def enforce(df, checks, suite="quality"):
     there is nothing to reject. The data itself is never touched.
     """
     probe = row_count_between(0, None, WARN)
-    rows = run_suite(df, [*checks, probe], suite).collect()
+    rows = _collect(df, [*checks, probe], suite)
     size = next(r for r in rows if r["check_name"] == probe.name and r["check_no"] == len(checks) + 1)
     if size["checked_rows"] == 0:
         return []

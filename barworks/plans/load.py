@@ -1,6 +1,7 @@
 """Extract, check, load and only then advance: the incremental job."""
 
 import time
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import Observation
@@ -29,19 +30,20 @@ class LoadResult:
     message: str = ""
 
 
-def load_batch(spark, bars, fact_path, state_path=None, quarantine_path=None, batch_id=0,
+def load_batch(spark, bars, fact_path, state_path=None, quarantine_path=None, batch_id=None,
                checks=None, loaded_at=None, dry_run=False, gold_path=None, lookback_days=None):
     """Check a batch of bars and upsert it.
 
     The batch is written once to the shared folder and read back from there by
     every later step. With a ``quarantine_path``, rows that break a contract are
-    set aside and the rest is loaded; without one, the quality suite sees every
+    set aside under ``batch_id`` and the rest is loaded; without one, the quality suite sees every
     row and a critical failure stops the load. The watermark moves only after
     the upsert, so a run that dies in between is simply repeated. With a
     ``gold_path``, the gold rows that the batch affects are brought up to date
     before the watermark moves.
     """
     started = time.time()
+    batch_id = uuid.uuid4().hex if batch_id is None else batch_id
     stage = scratch_path(spark, f"batch-{batch_id}")
     checked = row_contract_bars(bars)
     if "daily_range" not in checked.columns or "change_pct" not in checked.columns:
@@ -74,10 +76,15 @@ def load_batch(spark, bars, fact_path, state_path=None, quarantine_path=None, ba
 
 def run_incremental(spark, feed, fact_path, state_path, as_of, period="1mo", incremental=True,
                     reread_days=0, **options):
-    """Extract what is new in ``feed`` (or a whole period) and load it."""
+    """Extract what is new in ``feed`` (or a whole period) and load it.
+
+    The batch is named after ``as_of``, so repeating a run replaces its own
+    quarantined rows and nobody else's.
+    """
     if incremental:
         state = WatermarkTable(spark, state_path).read()
         batch = incremental_extract(feed, state, as_of, period, reread_days)
     else:
         batch = period_extract(feed, as_of, period)
+    options.setdefault("batch_id", str(as_of))
     return load_batch(spark, batch, fact_path, state_path, **options)

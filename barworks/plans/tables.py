@@ -45,6 +45,8 @@ def _span(df):
     by_month = df.groupBy(month_start("trade_date").alias(MONTH)).agg(
         F.min("trade_date").alias("lo"), F.max("trade_date").alias("hi"))
     rows = by_month.collect()
+    if any(r[MONTH] is None for r in rows):
+        raise ValueError("a batch to upsert must not hold rows without a trade_date")
     return sorted(r[MONTH] for r in rows), min((r["lo"] for r in rows), default=None), max((r["hi"] for r in rows), default=None)
 
 
@@ -69,7 +71,7 @@ def _clear(spark, stage):
 
 
 def _apply(spark, path, stage):
-    _write(spark.read.parquet(stage), path, replace="dynamic")
+    _write(_sorted(spark.read.parquet(stage)), path, replace="dynamic")
 
 
 def upsert_table(spark, path, source, keys=BAR_KEY, settle=True):
@@ -107,7 +109,10 @@ def upsert_table(spark, path, source, keys=BAR_KEY, settle=True):
     return months
 
 
+def _sorted(df):
+    return df.sortWithinPartitions(MONTH, "symbol", "trade_date")
+
+
 def _laid_out(df):
     """Files of one month each, sized by adaptive execution, sorted by listing."""
-    df = df.withColumn(MONTH, month_start("trade_date")).hint("rebalance", F.col(MONTH))
-    return df.sortWithinPartitions(MONTH, "symbol", "trade_date")
+    return _sorted(df.withColumn(MONTH, month_start("trade_date")).hint("rebalance", F.col(MONTH)))

@@ -84,6 +84,13 @@ def test_bar_suite_and_gate(spark):
     assert e.value.failed == ["row_count(1..3)"]
 
 
+def test_a_check_that_raises_fails_alone(spark):
+    risky = q.custom_check("raises", F.max(F.col("symbol").cast("int")) > 0)
+    with pytest.raises(q.QualityGateError) as e:
+        q.enforce(bars(spark), [*q.bar_suite(), risky])
+    assert e.value.failed == ["raises"]
+
+
 def test_warnings_do_not_halt(spark):
     twice = bars(spark).unionByName(bars(spark))
     results = q.enforce(twice, q.bar_suite())
