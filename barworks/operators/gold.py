@@ -75,39 +75,55 @@ def moving_average_cross(df, partition_cols=LISTING):
     return crossed.withColumn("signal", signal).filter(F.col("signal").isNotNull()).drop("_side", "_before")
 
 
-def touched_history(silver, changed, partition_cols=LISTING, since=None, listed=None):
-    """Rows of the changed listings, reaching back far enough for the windows.
+def _first_changes(changed, partition_cols):
+    return changed.groupBy(*partition_cols).agg(F.min("trade_date").alias("_first"))
 
-    Without ``since`` this is their whole history. With it, only rows from that
-    day on are read (a pruned scan when silver is partitioned by month), plus the
-    older rows of those listings that have fewer than 30 rows between ``since``
-    and their first change. ``listed`` (listing, listed_date) tells which of
-    these simply have no older rows; when no listing is left, adaptive execution
-    drops the scan of the old months altogether.
+
+def short_listings(silver, changed, since, listed=None, partition_cols=LISTING):
+    """Changed listings whose windows reach behind ``since``.
+
+    These have fewer than 30 rows between ``since`` and their first change, and
+    may have older ones. ``listed`` (listing, listed_date) rules out those that
+    started after ``since``.
     """
     cols = list(partition_cols)
-    firsts = changed.groupBy(*cols).agg(F.min("trade_date").alias("_first"))
-    if since is None:
-        return silver.join(firsts.select(*cols), cols, "left_semi")
+    firsts = _first_changes(changed, cols)
     since = since if isinstance(since, Column) else F.lit(since).cast("date")
-    recent = date_bounded(silver, since=since).join(firsts.select(*cols), cols, "left_semi")
-    before = recent.select(*cols, "trade_date").join(firsts, cols).filter(
+    before = date_bounded(silver, since=since).select(*cols, "trade_date").join(firsts, cols).filter(
         F.col("trade_date") < F.col("_first")).groupBy(*cols).agg(F.count(F.lit(1)).alias("_rows"))
     short = firsts.join(before, cols, "left").filter(F.coalesce("_rows", F.lit(0)) < LONG_ROWS)
     if listed is not None:
         known = listed.select(*cols, "listed_date")
         short = short.join(known, cols, "left").filter(F.coalesce(F.col("listed_date") < since, F.lit(True)))
-    older = date_bounded(silver, until=F.date_sub(since, 1)).join(short.select(*cols), cols, "left_semi")
-    return recent.unionByName(older)
+    return short.select(*cols)
+
+
+def touched_history(silver, changed, partition_cols=LISTING, since=None, older=None):
+    """Rows of the changed listings, reaching back far enough for the windows.
+
+    Without ``since`` this is their whole history. With it, only rows from that
+    day on are read (a pruned scan when silver is partitioned by month), plus
+    everything of the listings in ``older``, see :func:`short_listings`.
+    """
+    cols = list(partition_cols)
+    touched = _first_changes(changed, cols).select(*cols)
+    if since is None:
+        return silver.join(touched, cols, "left_semi")
+    since = since if isinstance(since, Column) else F.lit(since).cast("date")
+    recent = date_bounded(silver, since=since).join(touched, cols, "left_semi")
+    if older is None:
+        return recent
+    return recent.unionByName(
+        date_bounded(silver, until=F.date_sub(since, 1)).join(older, cols, "left_semi"))
 
 
-def gold_delta(silver, gold, changed, partition_cols=LISTING, since=None, listed=None):
+def gold_delta(silver, gold, changed, partition_cols=LISTING, since=None, older=None):
     """The gold rows that must be rewritten after ``changed`` silver keys.
 
     ``silver`` already contains the change. A row's indicators read at most 30
     earlier rows of its listing, so a change at position p alters p..p+30. Every
     row of a changed day also gets a new volume rank. The result holds exactly
-    these rows, ready for an upsert into gold. ``since`` and ``listed`` bound the
+    these rows, ready for an upsert into gold. ``since`` and ``older`` bound the
     history that is read, see :func:`touched_history`; for the ranks only the
     months between the first and the last changed day are read.
     """
@@ -116,7 +132,7 @@ def gold_delta(silver, gold, changed, partition_cols=LISTING, since=None, listed
     keys = changed.select(*BAR_KEY).distinct()
     days = changed.select("trade_date").distinct()
 
-    history = touched_history(silver, changed, partition_cols, since, listed).join(
+    history = touched_history(silver, changed, partition_cols, since, older).join(
         keys.withColumn("_changed", F.lit(1)), BAR_KEY, "left")
     reach = by_listing(partition_cols).rowsBetween(-LONG_ROWS, 0)
     fresh = listing_indicators(

@@ -13,7 +13,7 @@ from barworks.operators.quality import bar_suite, enforce
 from barworks.plans.medallion import refresh_gold
 from barworks.plans.state import WatermarkTable
 from barworks.plans.tables import to_fact, upsert_table
-from barworks.schemas import BAR_KEY
+from barworks.schemas import BAR_KEY, LISTING
 from barworks.session import delete_path, scratch_path, write_and_reread
 from barworks.sources.bars import with_bar_metrics
 
@@ -31,7 +31,8 @@ class LoadResult:
 
 
 def load_batch(spark, bars, fact_path, state_path=None, quarantine_path=None, batch_id=None,
-               checks=None, loaded_at=None, dry_run=False, gold_path=None, lookback_days=None):
+               checks=None, loaded_at=None, dry_run=False, gold_path=None, lookback_days=None,
+               listed=None):
     """Check a batch of bars and upsert it.
 
     The batch is written once to the shared folder and read back from there by
@@ -40,7 +41,10 @@ def load_batch(spark, bars, fact_path, state_path=None, quarantine_path=None, ba
     row and a critical failure stops the load. The watermark moves only after
     the upsert, so a run that dies in between is simply repeated. With a
     ``gold_path``, the gold rows that the batch affects are brought up to date
-    before the watermark moves.
+    before the watermark moves. ``listed`` is a function of the session that
+    gives the listing dimension of everything loaded so far (symbol,
+    exchange_code, listed_date); it spares the refresh from looking for older
+    rows of young listings.
     """
     started = time.time()
     batch_id = uuid.uuid4().hex if batch_id is None else batch_id
@@ -66,7 +70,8 @@ def load_batch(spark, bars, fact_path, state_path=None, quarantine_path=None, ba
             return LoadResult(sizes["all"], 0, bad_rows, [], results, time.time() - started, message="dry run")
         months = upsert_table(spark, fact_path, to_fact(good, loaded_at))
         if gold_path is not None:
-            refresh_gold(spark, fact_path, gold_path, good.select(*BAR_KEY), lookback_days)
+            known = None if listed is None else _with_new_listings(listed(spark), good)
+            refresh_gold(spark, fact_path, gold_path, good.select(*BAR_KEY), lookback_days, known)
         if state_path is not None:
             WatermarkTable(spark, state_path).advance(good)
         return LoadResult(sizes["all"], sizes["all"] - bad_rows, bad_rows, months, results, time.time() - started)
@@ -74,6 +79,13 @@ def load_batch(spark, bars, fact_path, state_path=None, quarantine_path=None, ba
         delete_path(spark, stage)
 
 
+def _with_new_listings(listed, batch):
+    """The listing dimension with the listings that this batch brings for the first time."""
+    new = batch.groupBy(*LISTING).agg(F.min("trade_date").alias("listed_date"))
+    known = listed.select(*LISTING, "listed_date")
+    return known.unionByName(new.join(known, LISTING, "left_anti"))
+
+
 def run_incremental(spark, feed, fact_path, state_path, as_of, period="1mo", incremental=True,
                     reread_days=0, **options):
     """Extract what is new in ``feed`` (or a whole period) and load it.

@@ -6,7 +6,7 @@ from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from barworks.functions.dates import MONTH_COLUMN as MONTH
-from barworks.operators.gold import gold_delta, silver_to_gold
+from barworks.operators.gold import gold_delta, short_listings, silver_to_gold
 from barworks.operators.silver import bronze_to_silver, silver_cast, stamp
 from barworks.operators.summary import daily_summary, sector_daily_summary
 from barworks.plans.tables import upsert_table
@@ -74,19 +74,26 @@ def refresh_gold(spark, fact_path, gold_path, changed, lookback_days=None, liste
     """Bring the gold table up to date after ``changed`` keys were upserted.
 
     The fact table holds one row per key, so it serves as silver once cast. With
-    ``lookback_days`` the scan starts that many days before the first change;
-    see ``gold_delta`` for listings that need more. The result equals a full rebuild.
+    ``lookback_days`` the scan starts that many days before the first change. A
+    listing with fewer than 30 rows in that time needs its older months too; they
+    are scanned only if there is such a listing. ``listed`` (symbol,
+    exchange_code, listed_date: the listing dimension) tells young listings
+    apart, whose older months hold nothing; a listing it does not name is looked
+    up. The result equals a full rebuild.
     """
     silver = silver_cast(read_fact(spark, fact_path, keep_month=True)).select(*GOLD_INPUT, MONTH)
     if not path_exists(spark, gold_path):
         return save_layer(silver_to_gold(silver.drop(MONTH)), path=gold_path)
-    since = None
+    since = older = None
     if lookback_days is not None:
         since = F.date_sub(changed.agg(F.min("trade_date")).scalar(), lookback_days)
+        older = short_listings(silver, changed, since, listed)
+        if older.isEmpty():
+            older = None
     gold = read_fact(spark, gold_path, keep_month=True)
     stage = scratch_path(spark, "gold-delta")
     try:
-        delta = write_and_reread(gold_delta(silver, gold, changed, since=since, listed=listed), stage)
+        delta = write_and_reread(gold_delta(silver, gold, changed, since=since, older=older), stage)
         return upsert_table(spark, gold_path, delta, settle=False)
     finally:
         delete_path(spark, stage)

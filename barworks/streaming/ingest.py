@@ -7,7 +7,8 @@ from barworks.sources.bars import normalize_bars
 
 def stream_ingest(spark, source_path, fact_path, state_path, checkpoint_path, quarantine_path=None,
                   schema=RAW_BARS, fmt="parquet", max_files_per_trigger=None, available_now=True,
-                  checks=None, loaded_at=None, gold_path=None, lookback_days=None):
+                  checks=None, loaded_at=None, gold_path=None, lookback_days=None,
+                  listed=None):
     """Follow a folder of raw bar files; returns the started query.
 
     Each micro-batch is normalised, checked and upserted. The upsert and the
@@ -21,7 +22,8 @@ def stream_ingest(spark, source_path, fact_path, state_path, checkpoint_path, qu
 
     def load(batch, batch_id):
         load_batch(batch.sparkSession, normalize_bars(batch), fact_path, state_path, quarantine_path,
-                   batch_id, checks, loaded_at, gold_path=gold_path, lookback_days=lookback_days)
+                   batch_id, checks, loaded_at, gold_path=gold_path, lookback_days=lookback_days,
+                   listed=listed)
 
     writer = reader.load(source_path).writeStream.option("checkpointLocation", checkpoint_path).foreachBatch(load)
     return (writer.trigger(availableNow=True) if available_now else writer).start()

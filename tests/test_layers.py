@@ -103,8 +103,14 @@ def test_gold_delta_equals_full_rebuild(bars, rows):
         "volume": F.when(hit, F.col("volume") + 5).otherwise(F.col("volume"))})
     old, changed = gold.silver_to_gold(before), after.filter(hit).select(*BAR_KEY)
     full = gold.silver_to_gold(after)
+    since = "1998-02-20"
     listed = bars.groupBy("symbol", "exchange_code").agg(F.min("trade_date").alias("listed_date"))
-    for bound in ({}, {"since": "1998-02-20"}, {"since": "1998-02-20", "listed": listed}, {"since": "1990-01-01"}):
+    young = listed.withColumn("listed_date", day("1998-02-25"))
+    assert gold.short_listings(after, changed, since, listed).count() > 0
+    assert gold.short_listings(after, changed, since, young).isEmpty()
+    assert gold.short_listings(after, changed, "1990-01-01").isEmpty()
+    older = gold.short_listings(after, changed, since)
+    for bound in ({}, {"since": since, "older": older}, {"since": "1990-01-01"}):
         delta = gold.gold_delta(after, old, changed, **bound)
         merged = old.join(delta, BAR_KEY, "left_anti").unionByName(delta)
         assert rows(merged) == rows(full)

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import market_fixtures as fx
+from barworks.operators import dims
 from barworks.operators.gold import silver_to_gold
 from barworks.plans.state import WatermarkTable
 from barworks.sources import read_fact
@@ -21,7 +22,8 @@ def test_files_arrive_in_two_rounds_and_a_replay_changes_nothing(spark, quarter,
 
     def follow(checkpoint):
         stream_ingest(spark, feed, where("fact"), where("state"), where(checkpoint), max_files_per_trigger=1,
-                      gold_path=where("gold"), lookback_days=90).awaitTermination()
+                      gold_path=where("gold"), lookback_days=10,
+                      listed=lambda session: dims.listings_in(read_fact(session, where("fact")))).awaitTermination()
 
     for piece in (early, late):
         fx.raw_feed(piece).drop("Dividends").coalesce(1).write.mode("append").parquet(feed)
