@@ -397,7 +397,7 @@ def oracle_sql(tables):
             FROM batch b LEFT JOIN target t ON b.symbol = t.symbol AND b.exchange_code = t.exchange_code AND b.trade_date = t.trade_date""",
         "insert_absent": f"""WITH {UPSERT} SELECT {KEY}, close_price FROM target
             UNION ALL SELECT {KEY}, close_price FROM batch WHERE trade_date >= DATE '1999-01-01'""",
-        "upsert_table": f"WITH {TYPED} SELECT {KEY}, close_price + CASE WHEN trade_date >= DATE '1997-01-01' THEN 1 ELSE 0 END AS close_price, volume FROM typed",
+        "upsert_table": f"WITH {BARS} SELECT {KEY}, {d("close_price + CASE WHEN trade_date >= DATE '1997-01-01' THEN 1 ELSE 0 END")} AS close_price, volume FROM bars",
         "gold_refresh": f"""WITH {TYPED}, corrected AS (SELECT * REPLACE (
               close_price + CASE WHEN trade_date BETWEEN DATE '1998-03-01' AND DATE '1998-03-05' THEN 1 ELSE 0 END AS close_price,
               volume + CASE WHEN trade_date BETWEEN DATE '1998-03-01' AND DATE '1998-03-05' THEN 7 ELSE 0 END AS volume)
