@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import importlib.util
 import os
 import sys
 from collections.abc import Callable
@@ -329,7 +330,20 @@ def entry(spark: SparkSession) -> DataFrame:
     return summary.daily_summary(gold.silver_to_gold(_silver(spark, sf)))
 
 
+def _training_data():
+    """The queries of the optional subpackage, where it is installed."""
+    if importlib.util.find_spec("barworks.llm") is None:
+        return None
+    from barworks.llm import queries as llm
+    return llm
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    llm = _training_data()
+    return {**_own_queries(), **(llm.queries() if llm else {})}
+
+
+def _own_queries():
     return {
         "scan_bronze": scan_bronze_query,
         "normalize_bars": normalize_bars_query,
@@ -414,4 +428,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return oracle_queries.oracle_sql(fx.TABLES)
+    llm = _training_data()
+    return {**oracle_queries.oracle_sql(fx.TABLES), **(llm.oracle_sql() if llm else {})}
