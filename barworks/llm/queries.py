@@ -2,14 +2,36 @@
 
 from pyspark.sql import functions as F
 
-from barworks.llm.common import table
+from barworks.llm.bpe import decode, encode
+from barworks.llm.common import held_out, table
 from barworks.llm.decontaminate import find_contamination
+from barworks.llm.language import predict, train as train_languages
 from barworks.llm.line_dedup import dedup_lines
+from barworks.llm.quality import THRESHOLD, score, train
 from barworks.llm.simhash import near_components
+from barworks.llm.url_filter import filter_urls
 
 UPPER, LOWERED = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
+def vocabulary_path():
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op1_bpe(spark, sf):
+    encoded = encode(table(spark, sf, "documents").select("doc_id", "text"), vocabulary_path())
+    decoded = decode(encoded.drop("text"), vocabulary_path())
+    return decoded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op2_quality(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    scored = score(docs, train(docs, table(spark, sf, "labels")))
+    return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
+
+
 def op3_decontaminate(spark, sf):
     found = find_contamination(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
     names = F.array_join(F.array_sort(F.transform("items", lambda i: i.cast("string"))), ",")
@@ -22,14 +44,34 @@ def op6_line_dedup(spark, sf):
         "doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
+#: The rules of the query: host, path, verdict.
+URL_RULES = (("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow"))
+
+
+def op7_url_filter(spark, sf):
+    rules = spark.sql(f"SELECT * FROM VALUES {', '.join(map(str, URL_RULES))} AS rules(host, path, verdict)")
+    judged = filter_urls(table(spark, sf, "pages").select("page_id", "url"), rules)
+    return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
+def op8_language(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "text", "lang")
+    model = train_languages(docs.filter(~held_out(F.col("doc_id"))))
+    return predict(docs.drop("lang"), model).select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
 def op9_simhash(spark, sf):
     return near_components(table(spark, sf, "documents"))
 
 
 def queries():
     return {
+        "op1_bpe": op1_bpe,
+        "op2_quality": op2_quality,
         "op3_decontaminate": op3_decontaminate,
         "op6_line_dedup": op6_line_dedup,
+        "op7_url_filter": op7_url_filter,
+        "op8_language": op8_language,
         "op9_simhash": op9_simhash,
     }
 
@@ -66,5 +108,16 @@ FROM judged GROUP BY doc_id
 """
 
 
+OP7_SQL = f"""
+WITH parts AS (
+  SELECT page_id, translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1), '{UPPER}', '{LOWERED}') AS host,
+         regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path FROM pages),
+rules(h, p, v) AS (VALUES {", ".join(map(str, URL_RULES))}),
+fits AS (SELECT parts.*, h || p AS rule, v FROM parts LEFT JOIN rules ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p)),
+best AS (SELECT *, row_number() OVER (PARTITION BY page_id ORDER BY length(rule) DESC NULLS LAST) AS n FROM fits)
+SELECT page_id, host, path, rule, coalesce(v, 'allow') AS verdict FROM best WHERE n = 1
+"""
+
+
 def oracle_sql():
-    return {"op3_decontaminate": OP3_SQL, "op6_line_dedup": OP6_SQL}
+    return {"op3_decontaminate": OP3_SQL, "op6_line_dedup": OP6_SQL, "op7_url_filter": OP7_SQL}
