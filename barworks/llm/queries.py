@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from barworks.llm.bpe import decode, encode
 from barworks.llm.common import held_out, table
 from barworks.llm.decontaminate import find_contamination
+from barworks.llm.html_text import extract_text
 from barworks.llm.language import predict, train as train_languages
 from barworks.llm.line_dedup import dedup_lines
 from barworks.llm.quality import THRESHOLD, score, train
@@ -39,6 +40,10 @@ def op3_decontaminate(spark, sf):
                         F.sha2(names, 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
 
 
+def op4_html(spark, sf):
+    return extract_text(table(spark, sf, "pages")).select("page_id", "url", "text", "n_chars")
+
+
 def op6_line_dedup(spark, sf):
     return dedup_lines(table(spark, sf, "documents")).select(
         "doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
@@ -64,15 +69,23 @@ def op9_simhash(spark, sf):
     return near_components(table(spark, sf, "documents"))
 
 
+def pipeline(spark, sf):
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf)
+
+
 def queries():
     return {
         "op1_bpe": op1_bpe,
         "op2_quality": op2_quality,
         "op3_decontaminate": op3_decontaminate,
+        "op4_html": op4_html,
         "op6_line_dedup": op6_line_dedup,
         "op7_url_filter": op7_url_filter,
         "op8_language": op8_language,
         "op9_simhash": op9_simhash,
+        "pipeline": pipeline,
     }
 
 
