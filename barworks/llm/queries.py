@@ -8,6 +8,7 @@ from barworks.llm.decontaminate import find_contamination
 from barworks.llm.html_text import extract_text
 from barworks.llm.language import predict, train as train_languages
 from barworks.llm.line_dedup import dedup_lines
+from barworks.llm.pii import ADDED_KINDS, BASE_KINDS, find_personal_data, span_text
 from barworks.llm.quality import THRESHOLD, score, train
 from barworks.llm.simhash import near_components
 from barworks.llm.url_filter import filter_urls
@@ -44,6 +45,13 @@ def op4_html(spark, sf):
     return extract_text(table(spark, sf, "pages")).select("page_id", "url", "text", "n_chars")
 
 
+def op5_pii(spark, sf):
+    found = find_personal_data(table(spark, sf, "documents").select("doc_id", "text"))
+    counts = [F.size(kind).cast("bigint").alias(f"n_{kind}") for kind in BASE_KINDS]
+    return found.select("doc_id", *counts, F.sha2(span_text(BASE_KINDS), 256).alias("base_sha256"),
+                        span_text(BASE_KINDS + ADDED_KINDS).alias("spans"))
+
+
 def op6_line_dedup(spark, sf):
     return dedup_lines(table(spark, sf, "documents")).select(
         "doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
@@ -81,6 +89,7 @@ def queries():
         "op2_quality": op2_quality,
         "op3_decontaminate": op3_decontaminate,
         "op4_html": op4_html,
+        "op5_pii": op5_pii,
         "op6_line_dedup": op6_line_dedup,
         "op7_url_filter": op7_url_filter,
         "op8_language": op8_language,
