@@ -8,6 +8,7 @@ from barworks.llm.decontaminate import find_contamination
 from barworks.llm.html_text import extract_text
 from barworks.llm.language import predict, train as train_languages
 from barworks.llm.line_dedup import dedup_lines
+from barworks.llm.minhash import compare_edited
 from barworks.llm.pii import ADDED_KINDS, BASE_KINDS, find_personal_data, span_text
 from barworks.llm.quality import THRESHOLD, score, train
 from barworks.llm.simhash import near_components
@@ -77,6 +78,12 @@ def op9_simhash(spark, sf):
     return near_components(table(spark, sf, "documents"))
 
 
+def op10_minhash(spark, sf):
+    made = compare_edited(table(spark, sf, "documents"))
+    return made.select("doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "fingerprint", "edited_fingerprint",
+                       "near_edited", "near_next")
+
+
 def pipeline(spark, sf):
     import corpus_pipeline
 
@@ -94,6 +101,7 @@ def queries():
         "op7_url_filter": op7_url_filter,
         "op8_language": op8_language,
         "op9_simhash": op9_simhash,
+        "op10_minhash": op10_minhash,
         "pipeline": pipeline,
     }
 
