@@ -1,0 +1,63 @@
+import hashlib
+import random
+import re
+
+from pyspark.sql import functions as F
+
+from barworks.llm.pii import ADDED_KINDS, BASE_KINDS, find_personal_data
+from barworks.llm.queries import op5_pii
+
+PATTERNS = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+            "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
+
+
+def luhn(digits):
+    return sum((2 * int(c) - 9 * (int(c) > 4)) if i % 2 else int(c) for i, c in enumerate(reversed(digits))) % 10 == 0
+
+
+def fits(kind, match):
+    digits = re.sub("[^0-9]", "", match)
+    return {"email": lambda: True, "ip": lambda: all(int(p) <= 255 for p in match.split(".")),
+            "card": lambda: 16 <= len(digits) <= 19 and luhn(digits), "phone": lambda: 8 <= len(digits) <= 15}[kind]()
+
+
+def brute(text):
+    return [f"{k}:{m.start()}:{m.end()}" for k, p in PATTERNS.items() for m in re.finditer(p, text or "") if fits(k, m[0])]
+
+
+def check(spark, written, docs, rows):
+    out = op5_pii(spark, written(documents=docs(rows))).collect()
+    assert len(out) == len(rows)
+    want = sorted((tuple(sum(s.startswith(k + ":") for s in b) for k in BASE_KINDS), hashlib.sha256(",".join(b).encode()).hexdigest())
+                  for b in (brute(t) for _, t in rows))
+    assert sorted(((r.n_email, r.n_ip, r.n_card, r.n_phone), r.base_sha256) for r in out) == want
+    return out
+
+
+def test_random_texts(spark, docs, written):
+    source = random.Random(3)
+    parts = list("ab1234567890") * 2 + list("@@..+++---  %_()é😀\n") + [
+        "4111 1111 1111 1111", "a@b.c", "10.0.0.255", "010.000.1.0255", "+1 (523) 555-1055", "DE89 3704 0044 0532 0130 00", "ssn 123-45-6789"]
+    rows = [(k, "".join(source.choices(parts, k=source.randint(0, 80)))) for k in range(2000)]
+    rows += [(9000, "a@b.c_d@e.f"), (9001, "1.2.3.4.5.6.7.8"), (9002, "1" * 20000), (9003, "a@b" + ".c" * 5000), (9004, "1.1" * 3000)]
+    check(spark, written, docs, rows)
+
+
+def test_odd_rows(spark, docs, written, odd_rows):
+    check(spark, written, docs, odd_rows)
+    assert op5_pii(spark, written(documents=docs([]))).count() == 0
+
+
+def test_added_kinds(docs):
+    text = ("é IBAN DE89 3704 0044 0532 0130 00, not DE88 3704 0044 0532 0130 00. My ssn is 123-45-6789; "
+            "then comes a good deal of quite different text, and page 123-45-6789 of it. "
+            'token = "24be64439e3e49cf46b2d7c90f3602a3d0b907ff" and plain 24be64439e3e49cf46b2d7c90f3602a3d0b907ff')
+    row = find_personal_data(docs([(1, text)]).withColumn("email", F.lit(1))).first()
+    assert [text[s["at"]:s["stop"]] for s in row.iban] == ["DE89 3704 0044 0532 0130 00"]
+    assert [s["at"] for s in row.id_number] == [text.index("123-45")]
+    assert len(row.secret) == 1 and row.secret[0]["at"] == text.index("24be")
+    assert row.email == [] and set(BASE_KINDS + ADDED_KINDS) < set(row.asDict())
+
+
+def test_no_python_in_the_plan(docs, plan):
+    assert not re.search("EvalPython|Pandas|MapInArrow|ArrowEval", plan(find_personal_data(docs([(1, "a")]))))
