@@ -60,6 +60,13 @@ def normalize_bars_query(spark, sf):
     return normalize_bars(fx.raw_feed(fx.lineitem_bars(spark, sf)))
 
 
+def normalize_zoned(spark, sf):
+    """The feed with zoned timestamps: midnight of the exchange, whatever the session's zone."""
+    feed = fx.raw_feed(fx.lineitem_bars(spark, sf))
+    instant = F.convert_timezone(F.lit("Asia/Kolkata"), F.current_timezone(), "Date").cast("timestamp")
+    return normalize_bars(feed.withColumn("Date", instant))
+
+
 def union_symbol_frames(spark, sf):
     bars = fx.typed_bars(spark, sf)
     nse = bars.filter("exchange_code = 'NSE'").select(*BAR_KEY, "close_price", "volume")
@@ -119,7 +126,7 @@ def derived_columns_2dp(spark, sf):
 
 def _contract(spark, sf):
     late = F.when(F.col("loaded_at").cast("date") > F.col("trade_date").try_cast("date"), 1).otherwise(0)
-    return contracts.row_contract_bars(fx.dirty_bronze(spark, sf)).withColumn("late_copy", late.cast("bigint"))
+    return contracts.row_contract_bars(fx.dirty_bronze(spark, sf, more=True)).withColumn("late_copy", late.cast("bigint"))
 
 
 def row_contract_bars(spark, sf):
@@ -200,16 +207,33 @@ def gold_refresh(spark, sf):
     after = before.withColumns({
         "close_price": F.col("close_price") + F.when(hit, 1.0).otherwise(0.0),
         "volume": F.col("volume") + F.when(hit, 7).otherwise(0)})
-    old = gold.silver_to_gold(before)
-    delta = gold.gold_delta(after, old, after.filter(hit).select(*BAR_KEY))
+    old = _written(gold.silver_to_gold(before))
+    changed = _written(after.filter(hit).select(*BAR_KEY))
+    since = F.date_sub(changed.agg(F.min("trade_date")).scalar(), 90)
+    older = gold.short_listings(after, changed, since)
+    delta = gold.gold_delta(after, old, changed, since=since, older=older)
     return upsert.merge_rows(old, delta, BAR_KEY).select(*GOLD_OUT)
 
 
+def medallion_clean(spark, sf):
+    layers = run_medallion(spark, fx.dirty_bronze(spark, sf, more=True), root=scratch_path(spark, "medallion"), contract=True)
+    return layers["summary"]
+
+
+def ctas_silver(spark, sf):
+    """The silver text as a table, made twice: the second time it replaces the first."""
+    database = "ctas_" + scratch_path(spark, "db").rsplit("-", 1)[1]
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{scratch_path(spark, database)}'")
+    fx.dirty_bronze(spark, sf).createOrReplaceTempView("bronze_for_ctas")
+    sql_plans.create_table_as(spark, f"{database}.silver", "SELECT 1 AS old")
+    return sql_plans.create_table_as(spark, f"{database}.silver", sql_plans.silver_select("bronze_for_ctas"))
+
+
 # ---- dimensions --------------------------------------------------------------
 
 def dim_exchange(spark, sf):
-    seen = dims.exchanges_in(fx.lineitem_bars(spark, sf).filter("exchange_code = 'BSE'"))
-    return dims.dim_exchange(seen, dims.exchange_seed(spark)).select(
+    known = dims.exchange_seed(spark, {"NSE": dims.EXCHANGE_NAMES["NSE"]})
+    return dims.dim_exchange(known, dims.exchanges_in(fx.lineitem_bars(spark, sf))).select(
         "exchange_code", "exchange_name", "country", "currency", "timezone")
 
 
@@ -229,14 +253,17 @@ def trading_days(spark, sf):
 
 def _suite(checks, source=None):
     def query(spark, sf):
-        df = silver.silver_cast(_written(fx.dirty_bronze(spark, sf))) if source is None else source(spark, sf)
+        # Suites that also count distinct values aggregate twice.
+        distinct = any(c.distinct for c in checks()) and not all(c.distinct for c in checks())
+        given = _written if distinct else lambda df: df
+        df = silver.silver_cast(given(fx.dirty_bronze(spark, sf))) if source is None else source(spark, sf)
         return quality.run_suite(df, checks(), "bars").select(*CHECK_OUT)
     return query
 
 
 def qc_suite_summary(spark, sf):
     df = silver.silver_cast(_written(fx.dirty_bronze(spark, sf)))
-    return quality.suite_summary(quality.run_suite(df, quality.bar_suite(max_rows=None), "bars"))
+    return quality.suite_summary(quality.run_suite(df, quality.bar_suite(), "bars"))
 
 
 # ---- incremental -------------------------------------------------------------
@@ -253,7 +280,7 @@ def incremental_extract(spark, sf):
 
 def watermark_advance(spark, sf):
     bars = fx.typed_bars(spark, sf)
-    loaded = bars.filter((F.col("trade_date") >= _day("1996-06-01")) & (F.col("trade_date") < _day("1999-01-01")))
+    loaded = bars.filter(F.col("trade_date") >= _day("1996-06-01"))
     return incremental.watermark_advance(_state(bars), loaded)
 
 
@@ -282,6 +309,33 @@ def upsert_table_query(spark, sf):
     return fx.plain(read_fact(spark, path), *BAR_KEY, "close_price", "volume")
 
 
+def _load_dirt(spark, sf, base):
+    dirty = fx.dirty_bronze(spark, sf, more=True)
+    late = F.col("loaded_at").cast("date") > F.col("trade_date").try_cast("date")
+    dirty = dirty.withColumn("late_copy", F.when(late, 1).otherwise(0).cast("bigint"))
+    load_batch(spark, dirty, f"{base}/fact", f"{base}/state", f"{base}/quarantine", "same-name")
+    return dirty
+
+
+def load_quarantine(spark, sf):
+    """What a load sets aside, after two more of the same name: a replay, and one of other rows."""
+    base = scratch_path(spark, "dirty-load")
+    dirty = _load_dirt(spark, sf, base)
+    _load_dirt(spark, sf, base)
+    load_batch(spark, contracts.split_valid(contracts.row_contract_bars(dirty))[0], f"{base}/fact", None, f"{base}/quarantine", "same-name")
+    return spark.read.parquet(f"{base}/quarantine").select(
+        F.coalesce("symbol", F.lit("none")).alias("symbol"), "exchange_code",
+        F.coalesce(F.col("trade_date").cast("string"), F.lit("none")).alias("trade_date"), "late_copy",
+        F.array_join("violations", ",").alias("violations"))
+
+
+def watermark_table(spark, sf):
+    """The stored watermarks after a load with dirt: they stop before the first bad day."""
+    base = scratch_path(spark, "dirty-load")
+    _load_dirt(spark, sf, base)
+    return WatermarkTable(spark, f"{base}/state").read()
+
+
 # ---- streaming ---------------------------------------------------------------
 
 def stream_ingest_query(spark, sf):
@@ -347,6 +401,7 @@ def _own_queries():
     return {
         "scan_bronze": scan_bronze_query,
         "normalize_bars": normalize_bars_query,
+        "normalize_zoned": normalize_zoned,
         "union_symbol_frames": union_symbol_frames,
         "bars_from_ticks": lambda s, sf: fx.plain(bars_from_ticks(fx.event_ticks(s, sf), "px", "event_id")),
         "resample_weekly": lambda s, sf: resample_bars(fx.typed_bars(s, sf), "1wk"),
@@ -371,6 +426,8 @@ def _own_queries():
         "q2_latest_price": lambda s, sf: fx.plain(analytics.latest_bars(fx.fact_bars(s, sf).drop("loaded_at"))),
         "q3_day_over_day": lambda s, sf: analytics.day_over_day(fx.typed_bars(s, sf)),
         "q3_latest_30": lambda s, sf: analytics.day_over_day(fx.typed_bars(s, sf), rows=30),
+        "q3_one_listing": lambda s, sf: analytics.day_over_day(fx.typed_bars(s, sf), "S1", "NSE", rows=30),
+        "q4_one_listing": lambda s, sf: analytics.moving_averages(fx.typed_bars(s, sf), "S1", "NSE", rows=60),
         "q4_moving_averages": lambda s, sf: analytics.moving_averages(fx.typed_bars(s, sf)),
         "q4_latest_60": lambda s, sf: analytics.moving_averages(fx.typed_bars(s, sf), rows=60),
         "q5_gainers_losers": lambda s, sf: analytics.gainers_losers(_written(fx.fact_bars(s, sf))),
@@ -395,6 +452,10 @@ def _own_queries():
         "gold_sql": gold_sql,
         "medallion_run": lambda s, sf: _medallion(s, sf)["summary"],
         "medallion_counts": medallion_counts,
+        "medallion_clean": medallion_clean,
+        "ctas_silver": ctas_silver,
+        "load_quarantine": load_quarantine,
+        "watermark_table": watermark_table,
         "gold_refresh": gold_refresh,
         "dim_date": lambda s, sf: fx.plain(dims.dim_date_covering(fx.lineitem_bars(s, sf)).drop("is_month_end", "is_quarter_end")),
         "dim_date_flags": lambda s, sf: dims.dim_date_covering(fx.lineitem_bars(s, sf)).select("date_key", "is_month_end", "is_quarter_end"),
@@ -411,7 +472,7 @@ def _own_queries():
                                      quality.schema_match(["symbol", "volume", "isin"]), quality.row_count_between(1)]),
         "qc_custom": _suite(lambda: [quality.custom_check(
             "no_future_dates", F.max("trade_date") <= _day("2000-01-01"), columns=["trade_date"])]),
-        "qc_bar_suite": _suite(lambda: quality.bar_suite(max_rows=None)),
+        "qc_bar_suite": _suite(quality.bar_suite),
         "qc_suite_summary": qc_suite_summary,
         "incremental_extract": incremental_extract,
         "period_extract": lambda s, sf: incremental.period_extract(fx.typed_bars(s, sf), "1998-06-30", "3mo").select(*BAR_KEY, "close_price"),

@@ -4,15 +4,11 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from barworks.functions.dates import month_start
-from barworks.functions.numeric import guarded_ratio, pct_change, round_stable
+from barworks.functions.numeric import guarded_ratio, is_missing, pct_change, round_stable
 from barworks.operators.gold import LONG_ROWS, SHORT_ROWS, moving_average, previous_close, with_rounded
 from barworks.operators.ranks import attach_ranks, rank_key, value_ranks
 from barworks.schemas import LISTING
 
-# dim_date has one row per day: below this many days (five centuries) it is small
-# enough to copy to every executor; a longer one is joined by a shuffle.
-CALENDAR_BROADCAST_DAYS = 200_000
-
 # How each answer is shown: columns, largest first where marked with "-".
 REPORT_ORDER = {
     "price_stats": ["-avg_close_price", "symbol", "exchange_code"],
@@ -85,48 +81,56 @@ def latest_bars(fact):
     ).select(*fact.columns)
 
 
+def _newest_first():
+    return Window.partitionBy(*LISTING).orderBy(F.col("trade_date").desc())
+
+
 def _latest_rows(df, rows):
-    """The latest rows of each listing. The limit also applies before the shuffle,
-    so each task sends at most that many rows of a listing."""
-    if rows is None:
-        return df
-    newest = Window.partitionBy(*LISTING).orderBy(F.col("trade_date").desc())
-    return df.withColumn("_nth", F.row_number().over(newest)).filter(F.col("_nth") <= rows).drop("_nth")
+    """The latest rows of each listing, numbered in ``_nth``. The limit also applies
+    before the shuffle, so each task sends at most that many rows of a listing."""
+    return df.withColumn("_nth", F.row_number().over(_newest_first())).filter(F.col("_nth") <= rows)
 
 
 def day_over_day(fact, symbol=None, exchange_code=None, rows=None):
     """Q3: previous close and change per listing; ``rows`` keeps the latest n days.
 
     Filters on the listing reach the scan. With ``rows``, only as many days as the
-    answer reads (one more than it shows) take part in the windows.
+    answer reads (one more than it shows) take part in the windows, and all of
+    them look back along one descending order.
     """
     picked = _for_listing(fact, symbol, exchange_code).select(
         *LISTING, "trade_date", _close().alias("close_price"))
+    previous = previous_close()
     if rows is not None:
         picked = _latest_rows(picked, rows + 1)
-    changed = picked.withColumn("prev_close", previous_close())
-    changed = changed.withColumns({
+        previous = F.lead("close_price", 1).over(_newest_first())
+    changed = picked.withColumn("prev_close", previous)
+    if rows is not None:
+        changed = changed.filter(F.col("_nth") <= rows).drop("_nth")
+    return changed.withColumns({
         "daily_change": F.col("close_price") - F.col("prev_close"),
         "daily_change_pct": pct_change("close_price", "prev_close", 2),
     })
-    return _latest_rows(changed, rows)
 
 
 def moving_averages(fact, symbol=None, exchange_code=None, rows=None):
     """Q4: 7 and 30 row averages of close and 7 row average of volume.
 
-    With ``rows``, only the days shown and the 29 before them are shuffled.
+    With ``rows``, only the days shown and the 29 before them are shuffled, and
+    the frames reach forward along the descending order of the cut.
     """
     picked = _for_listing(fact, symbol, exchange_code).select(
         *LISTING, "trade_date", _close().alias("close_price"), "volume")
+    average = moving_average
     if rows is not None:
         picked = _latest_rows(picked, rows + LONG_ROWS - 1)
+        average = lambda c, n: F.avg(F.col(c).cast("double")).over(_newest_first().rowsBetween(0, n - 1))
     averaged = with_rounded(picked, {
-        "ma_7day": (moving_average("close_price", SHORT_ROWS), 2),
-        "ma_30day": (moving_average("close_price", LONG_ROWS), 2),
-        "avg_volume_7day": (moving_average("volume", SHORT_ROWS), 0),
+        "ma_7day": (average("close_price", SHORT_ROWS), 2),
+        "ma_30day": (average("close_price", LONG_ROWS), 2),
+        "avg_volume_7day": (average("volume", SHORT_ROWS), 0),
     }).drop("volume")
-    return _latest_rows(averaged, rows)
+    return averaged if rows is None else averaged.filter(F.col("_nth") <= rows).drop("_nth")
 
 
 def gainers_losers(fact, k=5):
@@ -136,10 +140,11 @@ def gainers_losers(fact, k=5):
     whole day; only the surviving changes are joined back to rows.
     """
     group = ["trade_date", "exchange_code"]
-    keyed = fact.filter(F.col("change_pct").isNotNull()).select(
+    kind = dict(fact.dtypes)["change_pct"]
+    keyed = fact.filter(~is_missing("change_pct", kind)).select(
         *LISTING, "trade_date", _close().alias("close_price"),
         F.col("change_pct").cast("double").alias("change_pct"),
-        rank_key("change_pct", scale=4).alias("_change_key"),
+        rank_key("change_pct", kind).alias("_change_key"),
     )
     ranks = value_ranks(keyed, group, "_change_key").filter(
         (F.col("rank_desc") <= k) | (F.col("rank_asc") <= k))
@@ -171,20 +176,15 @@ def sector_monthly(fact, dim_symbol):
     )
 
 
-def trading_days(fact, dim_date, calendar_days=None):
+def trading_days(fact, dim_date):
     """Q7: rollup by month and fiscal quarter over the calendar's working days.
 
     Both distinct counts come from one hash aggregation per symbol and month:
     its rows are the distinct symbols, and the days of a month fit in the bits
     of a long. Counting distinct values directly would expand every bar to three.
-
-    Pass ``calendar_days`` (the size of ``dim_date``, known where it is built) to
-    let a small calendar be broadcast; otherwise adaptive execution decides.
     """
     days = dim_date.filter(~F.col("is_weekend")).select(
         "date_key", "month_name", "month_number", "year", "fiscal_quarter")
-    if calendar_days is not None and calendar_days <= CALENDAR_BROADCAST_DAYS:
-        days = F.broadcast(days)
     group = ["month_name", "year", "fiscal_quarter", "month_number"]
     bars = fact.select("symbol", "trade_date", _close().alias("close_price"), "volume")
     joined = bars.join(days, bars["trade_date"] == days["date_key"], "inner")

@@ -7,7 +7,7 @@ Instead of raising on the first bad record, a contract adds ``violations``
 from pyspark.sql import functions as F
 
 from barworks.functions.dates import safe_date
-from barworks.functions.numeric import is_missing, safe_double, safe_long
+from barworks.functions.numeric import is_infinite, is_missing, safe_double, whole_number
 from barworks.functions.text import clean_upper
 from barworks.schemas import EXCHANGES, PRICES, RECORD_SOURCE
 
@@ -20,15 +20,19 @@ def row_contract_bars(df, default_source=RECORD_SOURCE, strict=False):
     """Coerce a bar and list the rules it breaks.
 
     Required: symbol, trade_date, four prices. Prices and volume may not be
-    negative, and high may not be below low. ``strict`` also asks that open and
-    close lie between low and high.
+    negative, prices must be finite, and high may not be below low. An absent
+    volume is 0; one that is no whole number is named and stays null. ``strict``
+    also asks that open and close lie between low and high.
     """
     defaults = {"exchange_code": F.lit("NSE"), "volume": F.lit(0).cast("bigint"), "source": F.lit(default_source)}
     for column, value in defaults.items():
         current = F.col(column) if column in df.columns else F.lit(None).cast("string")
         if column == "volume":
-            current = safe_long(current)
-        df = df.withColumn(column, F.coalesce(current, value))
+            given = F.when(~is_missing(current.try_cast("double"), "double") | current.try_cast("double").isNull(), current)
+            df = df.withColumn("_no_volume", given.isNotNull() & whole_number(given).isNull())
+            df = df.withColumn("volume", F.when(~F.col("_no_volume"), F.coalesce(whole_number(given), value)))
+        else:
+            df = df.withColumn(column, F.coalesce(current, value))
     df = df.withColumns({
         "symbol": clean_upper("symbol"),
         "trade_date": safe_date("trade_date"),
@@ -42,11 +46,14 @@ def row_contract_bars(df, default_source=RECORD_SOURCE, strict=False):
         rules[f"{c}_missing"] = is_missing(c)
     for c in [*PRICES, "volume"]:
         rules[f"{c}_negative"] = F.col(c) < 0
+    for c in PRICES:
+        rules[f"{c}_not_finite"] = is_infinite(c)
+    rules["volume_unparsable"] = F.col("_no_volume")
     rules["high_below_low"] = F.col("high_price") < F.col("low_price")
     if strict:
         rules["open_outside_range"] = ~F.col("open_price").between(F.col("low_price"), F.col("high_price"))
         rules["close_outside_range"] = ~F.col("close_price").between(F.col("low_price"), F.col("high_price"))
-    return df.withColumn("violations", _violations(rules))
+    return df.withColumn("violations", _violations(rules)).drop("_no_volume")
 
 
 def row_contract_symbols(df, exchanges=EXCHANGES):

@@ -5,7 +5,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from barworks.functions.dates import fiscal_quarter, fiscal_year
-from barworks.operators.upsert import insert_absent, merge_rows
+from barworks.operators.upsert import insert_absent
 from barworks.schemas import EXCHANGE_NAMES, LISTING
 
 DEFAULT_START, DEFAULT_END = dt.date(2020, 1, 1), dt.date(2030, 12, 31)
@@ -45,19 +45,25 @@ def _with_holidays(calendar, holidays):
 
 def dim_date(spark, start=DEFAULT_START, end=DEFAULT_END, fiscal_start_month=4, holidays=None):
     """One row per day from ``start`` to ``end`` (4,018 by default)."""
-    bounds = spark.range(1).select(
-        F.sequence(F.lit(start).cast("date"), F.lit(end).cast("date")).alias("days"))
-    calendar = bounds.select(F.explode("days").alias("date_key")).withColumns(
-        calendar_columns("date_key", fiscal_start_month))
-    return _with_holidays(calendar, holidays)
+    first, last = _as_date(start), _as_date(end)
+    return _calendar(spark, first, max(0, (last - first).days + 1), fiscal_start_month, holidays)
+
+
+def _as_date(day):
+    return day if isinstance(day, dt.date) else dt.date.fromisoformat(str(day))
+
+
+def _calendar(spark, first, days, fiscal_start_month, holidays):
+    """Day numbers dealt over tasks, not one long array in one row."""
+    numbered = spark.range(days).select(F.date_add(F.lit(first), F.col("id").cast("int")).alias("date_key"))
+    return _with_holidays(numbered.withColumns(calendar_columns("date_key", fiscal_start_month)), holidays)
 
 
 def dim_date_covering(fact, fiscal_start_month=4, holidays=None):
-    """The calendar from the first to the last trade date of a table."""
-    bounds = fact.agg(F.min("trade_date").alias("lo"), F.max("trade_date").alias("hi")).filter("lo is not null")
-    calendar = bounds.select(F.explode(F.sequence("lo", "hi")).alias("date_key")).withColumns(
-        calendar_columns("date_key", fiscal_start_month))
-    return _with_holidays(calendar, holidays)
+    """The calendar from the first to the last trade date of a table (found by one aggregate)."""
+    lo, hi = fact.agg(F.min("trade_date"), F.max("trade_date")).first()
+    first = dt.date(1970, 1, 1) if lo is None else lo
+    return _calendar(fact.sparkSession, first, 0 if lo is None else (hi - lo).days + 1, fiscal_start_month, holidays)
 
 
 def surrogate_id(*natural_key):
@@ -66,7 +72,7 @@ def surrogate_id(*natural_key):
 
 
 def exchange_seed(spark, names=EXCHANGE_NAMES):
-    """The known exchanges with their default attributes (a constant of the model)."""
+    """The known exchanges with their default attributes (fixed values of the model)."""
     rows = [(code, name, "India", "INR", "Asia/Kolkata") for code, name in names.items()]
     seed = spark.createDataFrame(
         rows, "exchange_code string, exchange_name string, country string, currency string, timezone string")
@@ -102,9 +108,12 @@ def dim_symbol_scd1(existing, described, fact):
     """Listing dimension, type 1: new listings are added, attributes overwritten.
 
     ``described`` carries the current attributes per listing; they replace the
-    stored ones and no history is kept.
+    stored ones and no history is kept. Of several descriptions of a listing the
+    largest (by attributes, in order) holds. Listings nobody describes keep theirs.
     """
     with_new = insert_absent(existing, listings_in(fact), LISTING)
     attributes = [c for c in ("company_name", "sector", "industry", "isin", "is_active") if c in described.columns]
-    update = with_new.drop(*attributes).join(described.select(*LISTING, *attributes), LISTING, "inner")
-    return merge_rows(with_new, update.select(*with_new.columns), LISTING)
+    current = described.groupBy(*LISTING).agg(F.max(F.struct(*attributes)).alias("_now"))
+    updated = with_new.join(current, LISTING, "left").withColumns(
+        {c: F.when(F.col("_now").isNotNull(), F.col(f"_now.{c}")).otherwise(F.col(c)) for c in attributes})
+    return updated.select(*with_new.columns)

@@ -171,10 +171,11 @@ def _plan_suite(df, checks, suite, probe):
     return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
 
 
-def bar_suite(min_rows=1, max_rows=100_000, as_of=None, freshness_days=None):
+def bar_suite(min_rows=1, max_rows=None, as_of=None, freshness_days=None):
     """The standard checks of a bar batch (11, plus freshness where asked for).
 
-    ``max_rows`` guards against a runaway extract; pass None for a full load.
+    The names are fixed values. ``max_rows`` guards against a runaway extract
+    where the caller knows a bound; by default a batch may have any size.
     """
     checks = [not_null(c) for c in ("symbol", "trade_date", "close_price")]
     checks += [in_range(c, min_val=0) for c in (*PRICES, "volume")]

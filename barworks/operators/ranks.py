@@ -6,30 +6,45 @@ only ranges (not groups) are sorted in a task:
 
     rank(value) = counts in higher ranges + counts above it in its own range
 
-Values are longs. A range spans 2**RANGE_BITS values, so it cannot hold more
-than that many distinct ones, however many rows the group has; and the table of
-ranges of one group stays equally small for values up to 2**(2 * RANGE_BITS).
+A range covers values within 1/4096 of each other (near zero, less than 1/4096
+apart). So a group has at most some 360,000 ranges over all longs, however many
+rows it has, and rows that share a range differ little. Ranks compare the
+values themselves; ranges only deal them out.
 """
 
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+# For the ranks in SQL text, whose values are longs: a range spans 2**RANGE_BITS of them.
 RANGE_BITS = 17
 NO_VALUE = -(2 ** 63)
+RANGES_PER_E = 4096
 
 
-def rank_key(c, scale=0):
-    """A long that orders like ``c`` at ``scale`` decimals; null sorts lowest."""
+def rank_key(c, data_type="bigint"):
+    """The value to rank by: a long, a decimal or a double. Null and NaN sort lowest."""
     c = F.col(c) if isinstance(c, str) else c
-    if scale:
-        c = F.round(c * F.lit(10 ** scale))
+    if data_type in ("double", "float"):
+        return F.when(F.isnan(c) | c.isNull(), F.lit(float("-inf"))).otherwise(c.cast("double"))
+    if data_type.startswith("decimal"):
+        precision, scale = map(int, data_type[8:-1].split(","))
+        if precision > 18:
+            return rank_key(c.cast("double"), "double")
+        return F.coalesce((c.cast("decimal(38,18)") * F.lit(10 ** scale)).cast("bigint"), F.lit(NO_VALUE))
     return F.coalesce(c.cast("bigint"), F.lit(NO_VALUE))
 
 
+def _range_of(key):
+    """A whole number that never falls as the key rises."""
+    value = F.col(key).cast("double")
+    spread = F.signum(value) * F.log1p(F.abs(value)) * F.lit(RANGES_PER_E)
+    return F.when(F.abs(value) == F.lit(float("inf")), F.signum(value) * F.lit(1e9)).otherwise(F.floor(spread)).cast("bigint")
+
+
 def value_ranks(df, group, key):
     """One row per group and value: rank and dense_rank from the top, rank from the bottom."""
     counts = df.groupBy(*group, key).agg(F.count(F.lit(1)).alias("_n"))
-    counts = counts.withColumn("_range", F.shiftright(key, RANGE_BITS))
+    counts = counts.withColumn("_range", _range_of(key))
 
     top_down = Window.partitionBy(*group).orderBy(F.col("_range").desc()).rowsBetween(
         Window.unboundedPreceding, -1)
@@ -74,7 +89,7 @@ def attach_ranks(df, ranks, group, key, columns, how="left"):
 def volume_rank(df, group=("trade_date",), column="volume", alias="volume_rank"):
     """Dense rank by volume, largest first, within each day."""
     group = list(group)
-    keyed = df.withColumn("_volume_key", rank_key(column))
+    keyed = df.withColumn("_volume_key", rank_key(column, dict(df.dtypes)[column]))
     ranks = value_ranks(keyed, group, "_volume_key")
     ranked = attach_ranks(keyed, ranks, group, "_volume_key", {"dense_rank_desc": alias})
     return ranked.select(*df.columns, alias)

@@ -6,20 +6,23 @@ from barworks.operators.silver import dedupe_bars
 from barworks.schemas import BAR_KEY
 
 
-def merge_rows(target, source, keys):
+def merge_rows(target, source, keys, source_keys=None):
     """Source rows replace target rows with the same key; the rest are added.
 
     ``source`` must hold one row per key. The anti join only ships the keys of
     the source, and adaptive execution broadcasts them when the batch is small,
-    in which case the target is not shuffled at all.
+    in which case the target is not shuffled at all. ``source_keys`` is a
+    cheaper frame with the same keys, repeated ones allowed: the batch before it
+    was settled.
     """
-    untouched = target.join(source.select(*keys), list(keys), "left_anti")
+    found = source if source_keys is None else source_keys
+    untouched = target.join(found.select(*keys), list(keys), "left_anti")
     return untouched.unionByName(source, allowMissingColumns=True)
 
 
 def upsert_bars(target, source, keys=BAR_KEY, latest="loaded_at"):
     """Idempotent upsert of bars; duplicates in the batch are settled first."""
-    return merge_rows(target, dedupe_bars(source, keys, latest), keys)
+    return merge_rows(target, dedupe_bars(source, keys, latest), keys, source)
 
 
 def insert_absent(target, source, keys):

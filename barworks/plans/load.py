@@ -37,9 +37,12 @@ def load_batch(spark, bars, fact_path, state_path=None, quarantine_path=None, ba
 
     The batch is written once to the shared folder and read back from there by
     every later step. With a ``quarantine_path``, rows that break a contract are
-    set aside under ``batch_id`` and the rest is loaded; without one, the quality suite sees every
-    row and a critical failure stops the load. The watermark moves only after
-    the upsert, so a run that dies in between is simply repeated. With a
+    set aside and the rest is loaded; without one, the quality suite sees every
+    row and a critical failure stops the load. Quarantined rows lie under
+    ``batch_id`` and a digest of themselves: a replay writes the same place, other
+    rows of the same name go beside them. The watermark moves only after
+    the upsert, so a run that dies in between is simply repeated, and it stops before
+    the first quarantined day of a listing, so that a corrected row is read. With a
     ``gold_path``, the gold rows that the batch affects are brought up to date
     before the watermark moves. ``listed`` is a function of the session that
     gives the listing dimension of everything loaded so far (symbol,
@@ -54,18 +57,20 @@ def load_batch(spark, bars, fact_path, state_path=None, quarantine_path=None, ba
         checked = with_bar_metrics(checked)
     try:
         seen = Observation(f"batch-{batch_id}")
-        counted = checked.observe(seen, F.count(F.lit(1)).alias("all"),
-                                  F.count_if(F.size("violations") > 0).alias("bad"))
+        broken = F.size("violations") > 0
+        digest = F.sum(F.when(broken, F.xxhash64(*checked.columns)).cast("decimal(38,0)"))
+        counted = checked.observe(seen, F.count(F.lit(1)).alias("all"), F.count_if(broken).alias("bad"),
+                                  F.coalesce(digest, F.lit(0).cast("decimal(38,0)")).cast("string").alias("digest"))
         checked, sizes = write_and_reread(counted, stage), seen.get
         if sizes["all"] == 0:
             return LoadResult(0, 0, 0, [], [], time.time() - started, message="nothing to load")
         bad_rows = 0
-        good = checked.drop("violations")
-        if quarantine_path is not None:
+        good, bad = checked.drop("violations"), None
+        if quarantine_path is not None and sizes["bad"]:
             good, bad = split_valid(checked)
             bad_rows = sizes["bad"]
-            bad.write.mode("overwrite").parquet(f"{quarantine_path}/batch_id={batch_id}")
-        results = enforce(good, bar_suite(max_rows=None) if checks is None else checks, "bar_load")
+            bad.write.mode("overwrite").parquet(f"{quarantine_path}/batch_id={batch_id}/rows={sizes['digest']}")
+        results = enforce(good, bar_suite() if checks is None else checks, "bar_load")
         if dry_run:
             return LoadResult(sizes["all"], 0, bad_rows, [], results, time.time() - started, message="dry run")
         months = upsert_table(spark, fact_path, to_fact(good, loaded_at))
@@ -73,12 +78,21 @@ def load_batch(spark, bars, fact_path, state_path=None, quarantine_path=None, ba
             known = None if listed is None else _with_new_listings(listed(spark), good)
             refresh_gold(spark, fact_path, gold_path, good.select(*BAR_KEY), lookback_days, known)
         if state_path is not None:
-            WatermarkTable(spark, state_path).advance(good)
+            WatermarkTable(spark, state_path).advance(good if bad is None else before_first(good, bad))
         return LoadResult(sizes["all"], sizes["all"] - bad_rows, bad_rows, months, results, time.time() - started)
     finally:
         delete_path(spark, stage)
 
 
+def before_first(good, bad):
+    """The good rows of each listing that come before its first bad day.
+
+    Bad rows without a symbol or a date hold nothing back: they name no listing or day.
+    """
+    held = bad.filter("symbol IS NOT NULL AND trade_date IS NOT NULL").groupBy(*LISTING).agg(F.min("trade_date").alias("_held"))
+    return good.join(held, LISTING, "left").filter(F.coalesce(F.col("trade_date") < F.col("_held"), F.lit(True))).drop("_held")
+
+
 def _with_new_listings(listed, batch):
     """The listing dimension with the listings that this batch brings for the first time."""
     new = batch.groupBy(*LISTING).agg(F.min("trade_date").alias("listed_date"))
@@ -90,8 +104,8 @@ def run_incremental(spark, feed, fact_path, state_path, as_of, period="1mo", inc
                     reread_days=0, **options):
     """Extract what is new in ``feed`` (or a whole period) and load it.
 
-    The batch is named after ``as_of``, so repeating a run replaces its own
-    quarantined rows and nobody else's.
+    The batch is named after ``as_of``; repeating a run on the same rows leaves
+    one copy of what it quarantines, on other rows both.
     """
     if incremental:
         state = WatermarkTable(spark, state_path).read()

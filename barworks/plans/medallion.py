@@ -6,15 +6,17 @@ from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from barworks.functions.dates import MONTH_COLUMN as MONTH
+from barworks.operators.contracts import row_contract_bars, split_valid
 from barworks.operators.gold import gold_delta, short_listings, silver_to_gold
 from barworks.operators.silver import bronze_to_silver, silver_cast, stamp
 from barworks.operators.summary import daily_summary, sector_daily_summary
-from barworks.plans.tables import upsert_table
+from barworks.plans.tables import create_table, has_data, upsert_table
 from barworks.schemas import BAR_KEY
-from barworks.session import delete_path, path_exists, scratch_path, write_and_reread
+from barworks.session import delete_path, scratch_path, write_and_reread
 from barworks.sources.catalog import load_layer, save_layer
 from barworks.sources.scan import read_fact
 
+# Table names of the layers.
 LAYERS = {
     "silver": "silver_stock_prices",
     "gold": "gold_stock_analytics",
@@ -37,21 +39,28 @@ def _write(spark, layer, df, target, metrics, **options):
     try:
         save_layer(df.observe(seen, F.count(F.lit(1)).alias("rows")), **target, **options)
     except Exception as exc:
-        metrics.append((layer, None, time.time() - started, "FAILED", str(exc)[:500]))
+        metrics.append((layer, None, time.time() - started, "FAILED", str(exc)))
         raise
     metrics.append((layer, seen.get["rows"], time.time() - started, "OK", ""))
     return load_layer(spark, **target, fmt=options.get("fmt", "parquet"))
 
 
-def run_medallion(spark, bronze, database=None, root=None, dim_symbol=None, fmt="parquet", source="barworks", metrics=None):
+def run_medallion(spark, bronze, database=None, root=None, dim_symbol=None, fmt="parquet", source="barworks", metrics=None,
+                  contract=False):
     """Build all layers; returns them with ``run_metrics`` (one row per layer).
 
+    With ``contract``, bars pass the row contract first: spellings of one symbol
+    become one listing, and rows that break a rule are returned as ``quarantine``
+    instead of entering silver.
+
     Layers are catalog tables, or plain paths under ``root``. Each one is read
     back before the next is built, so no layer computes an earlier one again.
     Pass a list as ``metrics`` to keep the rows of a run that fails.
     """
     metrics = [] if metrics is None else metrics
     out = {}
+    if contract:
+        bronze, out["quarantine"] = split_valid(row_contract_bars(bronze))
     silver = stamp(bronze_to_silver(bronze), "silver", source)
     out["silver"] = _write(spark, "silver", silver, _target("silver", database, root), metrics, fmt=fmt)
     gold = stamp(silver_to_gold(out["silver"]), "gold")
@@ -82,8 +91,8 @@ def refresh_gold(spark, fact_path, gold_path, changed, lookback_days=None, liste
     up. The result equals a full rebuild.
     """
     silver = silver_cast(read_fact(spark, fact_path, keep_month=True)).select(*GOLD_INPUT, MONTH)
-    if not path_exists(spark, gold_path):
-        return save_layer(silver_to_gold(silver.drop(MONTH)), path=gold_path)
+    if not has_data(spark, gold_path):
+        return create_table(spark, gold_path, silver_to_gold(silver.drop(MONTH)))
     since = older = None
     if lookback_days is not None:
         since = F.date_sub(changed.agg(F.min("trade_date")).scalar(), lookback_days)

@@ -5,6 +5,8 @@ per listing, rounding away from zero, and a volume rank that never sorts a
 whole day in one task.
 """
 
+import uuid
+
 from barworks.functions.numeric import TIE_NUDGE
 from barworks.operators.ranks import RANGE_BITS
 
@@ -89,9 +91,18 @@ GROUP BY trade_date, exchange_code"""
 
 
 def create_table_as(spark, table, select, partition_by=None, location=None):
-    """CREATE TABLE ... USING parquet AS SELECT, replacing an older table."""
-    spark.sql(f"DROP TABLE IF EXISTS {table}")
+    """CREATE TABLE ... USING parquet AS SELECT, replacing an older table.
+
+    The new table is complete under another name before the old one goes, so a
+    SELECT that fails leaves the old one as it was.
+    """
     split = f" PARTITIONED BY ({partition_by})" if partition_by else ""
-    place = f" LOCATION '{location}'" if location else ""
-    spark.sql(f"CREATE TABLE {table} USING parquet{split}{place} AS {select}")
+    fresh = f"{table}_new_{uuid.uuid4().hex[:12]}"
+    spark.sql(f"CREATE TABLE {fresh} USING parquet{split} AS {select}")
+    spark.sql(f"DROP TABLE IF EXISTS {table}")
+    if location:
+        spark.sql(f"CREATE TABLE {table} USING parquet{split} LOCATION '{location}' AS SELECT * FROM {fresh}")
+        spark.sql(f"DROP TABLE {fresh}")
+    else:
+        spark.sql(f"ALTER TABLE {fresh} RENAME TO {table}")
     return spark.table(table)

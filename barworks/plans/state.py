@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from barworks.operators.incremental import watermark_candidates
 from barworks.schemas import LISTING, WATERMARK_LOG
-from barworks.session import path_exists
+from barworks.session import delete_path, files_in, path_exists
 
 
 class WatermarkTable:
@@ -67,7 +67,16 @@ class WatermarkTable:
         """Forget every listing: the next run is a full load."""
         self._forget(self._folded())
 
-    def compact(self, path):
-        """Write the folded state to a new place and continue there."""
-        self._folded().write.mode("overwrite").parquet(path)
-        self.path = path
+    def compact(self):
+        """Replace the log by its folded state, in place, for every reader.
+
+        The folded rows are appended before the older files go, and folding takes
+        the largest, so readers see the same state at any moment. Not to be run
+        while a load writes.
+        """
+        if not path_exists(self.spark, self.path):
+            return
+        older = [f for f in files_in(self.spark, self.path) if "/part-" in f]
+        self._folded().coalesce(1).write.mode("append").parquet(self.path)
+        for file in older:
+            delete_path(self.spark, file)

@@ -1,15 +1,16 @@
 """Upserts into a month-partitioned parquet table.
 
-Parquet has no MERGE. A batch of new keys is appended. One that also updates
-rows has the months it touches rewritten, in two steps: the merged months are first written in full to a stage in the shared
-folder, then copied over the table's partitions. The stage is a redo log. If a
+Parquet has no MERGE. A batch of new keys is appended. The first load, and one
+that also updates rows, writes the months it touches in two steps: the merged
+months are first written in full to a stage beside the table, then copied over
+the table's partitions. The stage is a redo log. If a
 run dies during the copy, the next one finds the finished stage and copies it
 again before doing anything else, so no partition stays half replaced.
 Concurrent writers of one table are out of scope; a table format with MERGE has
 them.
 """
 
-import hashlib
+from functools import reduce
 
 from pyspark.sql import functions as F
 
@@ -17,8 +18,10 @@ from barworks.functions.dates import MONTH_COLUMN as MONTH
 from barworks.functions.dates import month_start
 from barworks.operators.silver import dedupe_bars
 from barworks.operators.upsert import merge_rows
-from barworks.schemas import BAR_KEY, FACT_BARS
-from barworks.session import delete_path, path_exists, shared_dir, touch_path
+from barworks.functions.numeric import is_infinite
+from barworks.schemas import BAR_KEY, FACT_BARS, PRICES
+from barworks.session import any_file, delete_path, path_exists, qualified_path, touch_path
+
 
 def to_fact(df, loaded_at=None):
     """Project a batch onto the fact schema; the load time is the writer's."""
@@ -30,23 +33,30 @@ def to_fact(df, loaded_at=None):
     for field in FACT_BARS:
         value = F.col(field.name) if field.name in df.columns else F.lit(None)
         # An absurd percentage becomes null; an absurd price must not pass unnoticed.
+        if field.name in PRICES and dict(df.dtypes).get(field.name) in ("double", "float"):
+            value = F.when(is_infinite(value), F.raise_error(F.lit(f"{field.name} is infinite")).cast("double")).otherwise(value)
         typed = value.try_cast(field.dataType) if field.name == "change_pct" else value.cast(field.dataType)
         columns.append(typed.alias(field.name))
     return df.select(*columns)
 
 
 def _stage_path(spark, path):
-    name = hashlib.sha256(path.rstrip("/").encode()).hexdigest()[:24]
-    return f"{shared_dir(spark)}/barworks/upsert-stage-{name}"
+    return f"{qualified_path(spark, path)}.upsert-stage"
+
+
+def has_data(spark, path):
+    """Whether the table has committed files: a folder of a load that died in its commit has none."""
+    return any_file(spark, f"{path.rstrip('/')}/{MONTH}=*/part-*")
 
 
-def _span(df):
+def _span(df, keys):
     """The months of a batch and its first and last day: 12 rows per year of data."""
+    lacking = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
     by_month = df.groupBy(month_start("trade_date").alias(MONTH)).agg(
-        F.min("trade_date").alias("lo"), F.max("trade_date").alias("hi"))
+        F.min("trade_date").alias("lo"), F.max("trade_date").alias("hi"), F.count_if(lacking).alias("lacking"))
     rows = by_month.collect()
-    if any(r[MONTH] is None for r in rows):
-        raise ValueError("a batch to upsert must not hold rows without a trade_date")
+    if any(r[MONTH] is None or r["lacking"] for r in rows):
+        raise ValueError(f"a batch to upsert must not hold rows without {', '.join(keys)}")
     return sorted(r[MONTH] for r in rows), min((r["lo"] for r in rows), default=None), max((r["hi"] for r in rows), default=None)
 
 
@@ -88,25 +98,36 @@ def upsert_table(spark, path, source, keys=BAR_KEY, settle=True):
     the months that were touched.
     """
     recover(spark, path)
-    months, first, last = _span(source)
+    months, first, last = _span(source, keys)
     if not months:
         return []
+    given = source
     if settle:
         source = dedupe_bars(source, keys)
-    if not path_exists(spark, path):
-        _write(_laid_out(source), path, "append")
+    if not has_data(spark, path):
+        _replace(spark, path, source)
         return months
     target = spark.read.parquet(path).filter(F.col(MONTH).isin(months)).drop(MONTH)
     same_days = target.filter(F.col("trade_date").between(F.lit(first), F.lit(last)))
-    if same_days.select(*keys).join(source.select(*keys), list(keys), "left_semi").isEmpty():
+    if same_days.select(*keys).join(given.select(*keys), list(keys), "left_semi").isEmpty():
         _write(_laid_out(source), path, "append")
         return months
+    _replace(spark, path, merge_rows(target, source, keys, given))
+    return months
+
+
+def create_table(spark, path, df):
+    """The first content of a table, through the same redo log."""
+    recover(spark, path)
+    _replace(spark, path, df)
+
+
+def _replace(spark, path, df):
     stage = _stage_path(spark, path)
-    _write(_laid_out(merge_rows(target, source, keys)), stage)
+    _write(_laid_out(df), stage)
     touch_path(spark, f"{stage}.ready")
     _apply(spark, path, stage)
     _clear(spark, stage)
-    return months
 
 
 def _sorted(df):

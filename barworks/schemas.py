@@ -21,6 +21,7 @@ TIME_FRAMES = ["1d", "1wk", "1mo"]
 MARKET_STATUSES = ["OPEN", "CLOSED", "PRE_MARKET", "POST_MARKET"]
 DATA_SOURCES = ["snowflake", "yfinance", "nse_api", "manual"]
 FEED_SOURCE, RECORD_SOURCE = "yfinance", "snowflake"
+FEED_TIMEZONE = "Asia/Kolkata"
 
 _PRICE = T.DecimalType(18, 4)
 

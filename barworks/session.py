@@ -1,5 +1,6 @@
 """Session settings and the shared folder for data that must outlive an executor."""
 
+import re
 import tempfile
 import uuid
 
@@ -30,13 +31,16 @@ def build_session(app_name="barworks", master=None, **conf):
 def shared_dir(spark):
     """The folder named by spark.checkpoint.dir, which every executor can reach.
 
-    Only where it is unset (single-machine tests) is a temporary folder made.
+    Only where it is unset and the session runs in one process (tests) is a
+    temporary folder made; on a cluster each executor would write to its own disk.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
     current = spark.sparkContext.getCheckpointDir()
     if current is None:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="barworks-"))
         current = spark.sparkContext.getCheckpointDir()
     return current.rstrip("/")
@@ -63,6 +67,24 @@ def delete_path(spark, path):
     return fs.delete(jvm_path, True)
 
 
+def qualified_path(spark, path):
+    """The path with its scheme, the same however it was spelled."""
+    jvm_path, fs = _path_and_fs(spark, path.rstrip("/"))
+    return fs.makeQualified(jvm_path).toString()
+
+
+def any_file(spark, pattern):
+    """Whether a file matches a glob pattern."""
+    jvm_path, fs = _path_and_fs(spark, pattern)
+    return len(fs.globStatus(jvm_path) or []) > 0
+
+
+def files_in(spark, path):
+    """Paths of the files that lie directly in a folder."""
+    jvm_path, fs = _path_and_fs(spark, path)
+    return [f.getPath().toString() for f in fs.listStatus(jvm_path) if f.isFile()]
+
+
 def touch_path(spark, path):
     jvm_path, fs = _path_and_fs(spark, path)
     fs.create(jvm_path, True).close()

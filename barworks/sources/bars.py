@@ -1,13 +1,11 @@
 """From the feed's spelling of a bar to the library's own."""
 
-from functools import reduce
-
 from pyspark.sql import functions as F
 
 from barworks.functions.dates import safe_date
 from barworks.functions.numeric import pct_change, round_stable
 from barworks.functions.text import base_symbol, exchange_from_suffix
-from barworks.schemas import BAR_COLUMNS, FEED_SOURCE, RAW_BARS
+from barworks.schemas import BAR_COLUMNS, FEED_SOURCE, FEED_TIMEZONE, RAW_BARS
 
 # Column names of the bar feed.
 FEED_COLUMNS = {
@@ -37,10 +35,12 @@ def with_bar_metrics(df, scale=4, zero_open=None, change_from_open=False):
     return df.withColumns(added)
 
 
-def normalize_bars(raw, ticker="ticker", source=FEED_SOURCE):
+def normalize_bars(raw, ticker="ticker", source=FEED_SOURCE, feed_timezone=FEED_TIMEZONE):
     """Rename, split the ticker into symbol and exchange, derive, keep 11 columns.
 
-    Columns the feed did not send are left out rather than invented.
+    Columns the feed did not send are left out rather than invented. A zoned
+    timestamp is dated in ``feed_timezone``, whatever the session's zone is; a
+    plain timestamp, a date or a text carries its own day.
     """
     present = {c.lower(): c for c in raw.columns}
     renames = {present[k.lower()]: v for k, v in FEED_COLUMNS.items() if k.lower() in present}
@@ -51,6 +51,9 @@ def normalize_bars(raw, ticker="ticker", source=FEED_SOURCE):
         "source": F.lit(source),
     })
     if "trade_date" in df.columns:
+        if dict(df.dtypes)["trade_date"] == "timestamp":
+            local = F.col("trade_date").cast("timestamp_ntz")
+            df = df.withColumn("trade_date", F.convert_timezone(F.current_timezone(), F.lit(feed_timezone), local))
         df = df.withColumn("trade_date", safe_date("trade_date"))
     if {"open_price", "high_price", "low_price", "close_price"} <= set(df.columns):
         df = with_bar_metrics(df)
@@ -62,7 +65,10 @@ def union_frames(frames):
     frames = [f for f in frames if f is not None]
     if not frames:
         return None
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+    while len(frames) > 1:  # in pairs: the plan is as deep as the logarithm of the frames
+        pairs = [frames[k:k + 2] for k in range(0, len(frames), 2)]
+        frames = [p[0] if len(p) == 1 else p[0].unionByName(p[1], allowMissingColumns=True) for p in pairs]
+    return frames[0]
 
 
 def read_bar_files(spark, paths, fmt="parquet", schema=RAW_BARS):

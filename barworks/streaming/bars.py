@@ -24,11 +24,14 @@ def daily_bar_stream(ticks, ts, price, tick_order, watermark="1 day", **parts):
 
 
 def stream_daily_bars(spark, ticks, ts, price, tick_order, bars_path, checkpoint_path,
-                      watermark="1 day", available_now=True, **parts):
+                      watermark="1 day", available_now=True, quarantine_path=None, **parts):
     """Keep a table of daily bars up to date; returns the started query.
 
     Runs in update mode and upserts each changed bar, so the bar of a day that
-    is still open is there too and grows with later ticks.
+    is still open is there too and grows with later ticks. Bars without a symbol
+    or an exchange go to ``quarantine_path``; where none is given they stop the
+    query. Ticks later than ``watermark`` no longer change a bar: :func:`late_ticks`
+    counts them.
     """
     bars = daily_bar_stream(ticks, ts, price, tick_order, watermark, **parts)
 
@@ -36,10 +39,20 @@ def stream_daily_bars(spark, ticks, ts, price, tick_order, bars_path, checkpoint
         session = batch.sparkSession
         stage = scratch_path(session, f"tick-bars-{batch_id}")
         try:
-            upsert_table(session, bars_path, write_and_reread(batch, stage), settle=False)
+            written = write_and_reread(batch, stage)
+            if quarantine_path is not None:
+                named = F.col("symbol").isNotNull() & F.col("exchange_code").isNotNull()
+                written.filter(~named).write.mode("overwrite").parquet(f"{quarantine_path}/batch_id={batch_id}")
+                written = written.filter(named)
+            upsert_table(session, bars_path, written, settle=False)
         finally:
             delete_path(session, stage)
 
     writer = (bars.writeStream.outputMode("update")
               .option("checkpointLocation", checkpoint_path).foreachBatch(store))
     return (writer.trigger(availableNow=True) if available_now else writer).start()
+
+
+def late_ticks(query):
+    """Groups of ticks that came after the watermark and were left out, over the progress Spark still keeps of a query."""
+    return sum(op["numRowsDroppedByWatermark"] for p in query.recentProgress for op in p["stateOperators"])

@@ -39,15 +39,21 @@ def lineitem_bars(spark, sf_dir):
     px = F.col("l_extendedprice").cast("decimal(12,2)")
     discounted = (px * (1 - F.col("l_discount").cast("decimal(4,2)"))).cast("decimal(18,4)")
     taxed = (px * (1 + F.col("l_tax").cast("decimal(4,2)"))).cast("decimal(18,4)")
+    # Order, line, part, price in cents and discount in hundredths, as the digits of one
+    # number of fixed width: it sorts like the five and lets Spark aggregate by hash.
+    tick_order = F.lit(0).cast("decimal(38,0)")
+    for value, digits in [(F.col("l_orderkey"), 15), (F.col("l_linenumber"), 2), (F.col("l_partkey"), 9),
+                          (F.round(F.col("l_extendedprice") * 100), 8), (F.round(F.col("l_discount") * 100), 2)]:
+        tick_order = tick_order * F.lit(10 ** digits).cast("decimal(38,0)") + value.cast("decimal(38,0)")
     ticks = table(spark, sf_dir, "lineitem").select(
         "l_suppkey", (F.col("l_linestatus") == "O").alias("is_open"),
         F.col("l_shipdate").cast("date").alias("trade_date"),
         px.cast("decimal(18,4)").alias("px"), discounted.alias("discounted"), taxed.alias("taxed"),
         F.col("l_quantity").cast("bigint").alias("quantity"),
-        "l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice", "l_discount",
+        tick_order.alias("tick_order"),
     )
     bars = bars_from_ticks(
-        ticks, "px", ["l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice", "l_discount"],
+        ticks, "px", "tick_order",
         keys=("l_suppkey", "is_open", "trade_date"),
         open_price="discounted", high="taxed", low="discounted", volume="quantity")
     return bars.select(
@@ -92,8 +98,12 @@ def listings(spark, sf_dir):
         F.col("r_name").alias("sector"))
 
 
-def dirty_bronze(spark, sf_dir):
-    """The fact bars with every kind of dirt, chosen by plain integer arithmetic."""
+def dirty_bronze(spark, sf_dir, more=False):
+    """The fact bars with every kind of dirt, chosen by plain integer arithmetic.
+
+    ``more`` adds what only the row contract names: volumes as text, some of them no
+    whole number, infinite prices and missing symbols.
+    """
     bars = fact_bars(spark, sf_dir)
     supplier = F.expr("cast(substring(symbol, 2) as bigint)")
     days = F.datediff("trade_date", F.lit("1995-01-01").cast("date"))
@@ -110,8 +120,8 @@ def dirty_bronze(spark, sf_dir):
         .when((kind == 3) & second, None)
         .when(kind == 9, "NaN")
         .otherwise(text("close_price")))
-    return spread.select(
-        F.when(kind == 7, F.concat(F.lit(" "), F.lower("symbol"), F.lit(" "))).otherwise(F.col("symbol")).alias("symbol"),
+    dirty = spread.select(
+        "kind", F.when(kind == 7, F.concat(F.lit(" "), F.lower("symbol"), F.lit(" "))).otherwise(F.col("symbol")).alias("symbol"),
         "exchange_code",
         F.when(kind == 8, "bad").otherwise(text("trade_date")).alias("trade_date"),
         F.when(kind == 4, "0").otherwise(text("open_price")).alias("open_price"),
@@ -121,6 +131,13 @@ def dirty_bronze(spark, sf_dir):
         F.when(kind == 6, -F.col("volume")).otherwise(F.col("volume")).alias("volume"),
         "daily_range", "change_pct", "source",
         F.when(second, F.col("loaded_at") + F.expr("interval 1 day")).otherwise(F.col("loaded_at")).alias("loaded_at"))
+    if more:
+        volume = F.when(kind == 10, "x").when(kind == 11, "1.5").when(kind == 12, F.concat(text("volume"), F.lit(".0")))
+        dirty = dirty.withColumns({
+            "volume": F.when(kind != 13, F.coalesce(volume, text("volume"))),
+            "open_price": F.when(kind == 14, "Infinity").otherwise(F.col("open_price")),
+            "symbol": F.when(kind != 15, F.col("symbol"))})
+    return dirty.drop("kind")
 
 
 def raw_feed(bars):

@@ -183,15 +183,26 @@ BAR_RULES = [
     ("trade_date_missing", "trade_date IS NULL"),
     *[(f"{c}_missing", f"{c} IS NULL OR isnan({c})") for c in ("open_price", "high_price", "low_price", "close_price")],
     *[(f"{c}_negative", f"{c} < 0") for c in ("open_price", "high_price", "low_price", "close_price", "volume")],
+    *[(f"{c}_not_finite", f"isinf({c})") for c in ("open_price", "high_price", "low_price", "close_price")],
+    ("volume_unparsable", "no_volume"),
     ("high_below_low", "high_price < low_price"),
 ]
-CONTRACT = DIRTY + """,
+CONTRACT = DIRTY.replace(
+    "CASE WHEN kind = 7 THEN", "CASE WHEN kind = 15 THEN NULL WHEN kind = 7 THEN").replace(
+    "CASE WHEN kind = 4 THEN '0'", "CASE WHEN kind = 14 THEN 'Infinity' WHEN kind = 4 THEN '0'").replace(
+    "CASE WHEN kind = 6 THEN -volume ELSE volume END AS volume",
+    """CASE WHEN kind = 10 THEN 'x' WHEN kind = 11 THEN '1.5' WHEN kind = 12 THEN CAST(volume AS VARCHAR) || '.0'
+      WHEN kind = 13 THEN NULL WHEN kind = 6 THEN CAST(-volume AS VARCHAR) ELSE CAST(volume AS VARCHAR) END AS volume""") + """,
 contract AS (
   SELECT *, [""" + ", ".join(
     f"CASE WHEN {cond} THEN '{name}' END" for name, cond in BAR_RULES) + """] AS rules,
     concat_ws(',', """ + ", ".join(
     f"CASE WHEN {cond} THEN '{name}' END" for name, cond in BAR_RULES) + """) AS violations
-  FROM (SELECT * REPLACE (upper(trim(symbol)) AS symbol) FROM casted)
+  FROM (
+    SELECT * REPLACE (CASE WHEN NOT no_volume THEN coalesce(CAST(TRY_CAST(volume AS DOUBLE) AS BIGINT), 0) END AS volume) FROM (
+      SELECT * REPLACE (upper(trim(symbol)) AS symbol),
+        volume IS NOT NULL AND (TRY_CAST(volume AS DOUBLE) IS NULL OR TRY_CAST(volume AS DOUBLE) <> floor(TRY_CAST(volume AS DOUBLE))) AS no_volume
+      FROM casted))
 )"""
 
 
@@ -352,7 +363,7 @@ def oracle_sql(tables):
         "dim_date": f"WITH {CALENDAR} SELECT * EXCLUDE (is_month_end, is_quarter_end) FROM dim_date",
         "dim_date_flags": f"WITH {CALENDAR} SELECT date_key, is_month_end, is_quarter_end FROM dim_date",
         "dim_exchange": f"""WITH {BARS} SELECT exchange_code, exchange_code AS exchange_name, 'India' AS country, 'INR' AS currency, 'Asia/Kolkata' AS timezone
-            FROM (SELECT DISTINCT exchange_code FROM bars WHERE exchange_code = 'BSE')
+            FROM (SELECT DISTINCT exchange_code FROM bars WHERE exchange_code <> 'NSE')
             UNION ALL SELECT 'NSE', 'National Stock Exchange of India', 'India', 'INR', 'Asia/Kolkata'""",
         "dim_symbol_scd1": f"""WITH {BARS}, {LISTINGS} SELECT b.symbol, b.exchange_code, l.company_name, l.sector, l.industry, b.listed_date
             FROM (SELECT symbol, exchange_code, min(trade_date) AS listed_date FROM bars GROUP BY 1, 2) b
@@ -385,7 +396,7 @@ def oracle_sql(tables):
             WHERE f.trade_date < DATE '1999-01-01' AND CASE WHEN s.watermark IS NOT NULL THEN f.trade_date > s.watermark
               ELSE f.trade_date >= DATE '1998-01-01' END""",
         "period_extract": f"WITH {TYPED} SELECT {KEY}, close_price FROM typed WHERE trade_date BETWEEN DATE '1998-03-30' AND DATE '1998-06-30'",
-        "watermark_advance": f"""WITH {STATE}, loaded AS (SELECT * FROM fact WHERE trade_date >= DATE '1996-06-01' AND trade_date < DATE '1999-01-01')
+        "watermark_advance": f"""WITH {STATE}, loaded AS (SELECT * FROM fact WHERE trade_date >= DATE '1996-06-01')
             SELECT symbol, exchange_code, max(watermark) AS watermark FROM (
               SELECT * FROM state UNION ALL SELECT symbol, exchange_code, max(trade_date) FROM loaded GROUP BY 1, 2) GROUP BY 1, 2""",
         "watermark_reset": f"""WITH {FACT} SELECT symbol, exchange_code, max(trade_date) AS watermark FROM fact
@@ -406,6 +417,19 @@ def oracle_sql(tables):
         "stream_ingest": f"WITH {FACT} SELECT {BAR_OUT}, daily_range, change_pct FROM fact",
         "stream_daily_bars": f"WITH {EVENT_BARS} SELECT {BAR_OUT} FROM event_bars",
     }
+    out["normalize_zoned"] = out["normalize_bars"]
+    out["ctas_silver"] = out["silver_sql"]
+    out["load_quarantine"] = f"""WITH {CONTRACT} SELECT coalesce(symbol, 'none') AS symbol, exchange_code,
+        coalesce(CAST(trade_date AS VARCHAR), 'none') AS trade_date, CAST(copy AS BIGINT) AS late_copy, violations FROM contract WHERE violations <> ''"""
+    out["watermark_table"] = f"""WITH {CONTRACT},
+        held AS (SELECT symbol, exchange_code, min(trade_date) AS first_bad FROM contract
+          WHERE violations <> '' AND symbol IS NOT NULL AND trade_date IS NOT NULL GROUP BY 1, 2)
+        SELECT c.symbol, c.exchange_code, max(trade_date) AS watermark FROM contract c
+          LEFT JOIN held h ON c.symbol = h.symbol AND c.exchange_code = h.exchange_code
+          WHERE violations = '' AND (first_bad IS NULL OR trade_date < first_bad) GROUP BY 1, 2"""
+    out["medallion_clean"] = f"""WITH {CONTRACT}, clean_silver AS (SELECT * FROM (
+          SELECT *, row_number() OVER (PARTITION BY symbol, exchange_code, trade_date ORDER BY copy DESC) AS place
+          FROM contract WHERE violations = '') WHERE place = 1), {gold_ctes('clean_silver')} {summary('gold', AVG_VOL)}"""
     out["q1_top_20"] = f"SELECT * FROM ({out['q1_price_stats']}) ORDER BY avg_close_price DESC NULLS LAST, symbol, exchange_code LIMIT 20"
     out["incremental_gold"] = out["gold_refresh"]
     day_over_day = f"""SELECT {KEY}, close_price, prev_close, close_price - prev_close AS daily_change,
@@ -415,4 +439,7 @@ def oracle_sql(tables):
     out["q3_day_over_day"] = f"WITH {TYPED} SELECT * EXCLUDE (nth) FROM ({day_over_day})"
     out["q3_latest_30"] = f"WITH {TYPED} SELECT * EXCLUDE (nth) FROM ({day_over_day}) WHERE nth <= 30"
     out["q4_latest_60"] = f"SELECT * EXCLUDE (nth) FROM (SELECT *, row_number() OVER (PARTITION BY symbol, exchange_code ORDER BY trade_date DESC) AS nth FROM ({out['q4_moving_averages']})) WHERE nth <= 60"
+    one = "symbol = 'S1' AND exchange_code = 'NSE'"
+    out["q3_one_listing"] = f"SELECT * FROM ({out['q3_latest_30']}) WHERE {one}"
+    out["q4_one_listing"] = f"SELECT * FROM ({out['q4_latest_60']}) WHERE {one}"
     return out

@@ -169,13 +169,21 @@ def test_monthly_returns_are_hash_aggregated(bars, plan):
     assert "SortAggregate" not in text and "Window" not in text
 
 
-def test_small_calendar_is_broadcast_only_when_its_size_is_known(spark, bars, plan):
-    from barworks.operators import dims
-    days = dims.dim_date(spark, dt.date(1995, 1, 1), dt.date(2001, 12, 31))
-    known = analytics.trading_days(bars, days, calendar_days=2557)
-    assert "BroadcastHashJoin" in plan(known)
-    huge = analytics.trading_days(bars, days, calendar_days=10 ** 9)
-    assert "ResolvedHint" not in huge._jdf.queryExecution().analyzed().toString()
+def test_ranks_use_the_whole_value_and_nan_is_missing(spark):
+    rows = [("A", 1.00001), ("B", 1.00002), ("C", float("nan")), ("D", None), ("E", -2.0), ("F", 1e300), ("G", float("inf"))]
+    df = spark.createDataFrame([(s, "NSE", dt.date(2024, 1, 1), 1.0, c) for s, c in rows],
+                               "symbol string, exchange_code string, trade_date date, close_price double, change_pct double")
+    got = {r.symbol: (r.gain_rank, r.loss_rank) for r in analytics.gainers_losers(df).collect()}
+    assert got == {"G": (1, 5), "F": (2, 4), "B": (3, 3), "A": (4, 2), "E": (5, 1)}
+    volumes = df.select("trade_date", "symbol", F.col("change_pct").alias("volume"))
+    assert {r.symbol: r.volume_rank for r in ranks.volume_rank(volumes).collect()} == {"G": 1, "F": 2, "B": 3, "A": 4, "E": 5, "C": 6, "D": 6}
+    exact = df.filter("symbol IN ('A', 'B', 'E')").withColumn("change_pct", F.col("change_pct").cast("decimal(18,6)"))
+    assert {r.symbol: r.gain_rank for r in analytics.gainers_losers(exact).collect()} == {"B": 1, "A": 2, "E": 3}
+
+
+def test_latest_days_share_one_order(bars, plan):
+    for df in (analytics.day_over_day(bars, rows=30), analytics.moving_averages(bars, rows=60)):
+        assert "trade_date#" in plan(df) and "trade_date ASC" not in plan(df)
 
 
 def test_cross_signals(spark):

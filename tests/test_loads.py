@@ -166,14 +166,59 @@ def test_watermark_table(spark, tmp_path):
     assert store.get("A", "NSE") is None and store.get("A", "BSE") == dt.date(2024, 6, 15)
     store.set("A", "NSE", "2024-01-01")
     assert WatermarkTable(spark, store.path).get("A", "NSE") == dt.date(2024, 1, 1)
-    store.compact(str(tmp_path / "state2"))
-    assert store.read().count() == 2
+    other = WatermarkTable(spark, store.path)
+    store.compact()
+    assert store.read().count() == other.read().count() == 2 and other._log().count() == 2
     store.reset()
     assert store.read().count() == 0
     store.advance(loaded(dt.date(2023, 1, 1)))
     assert store.get("A", "BSE") == dt.date(2023, 1, 1)
 
 
+def dated(spark, rows):
+    schema = "symbol string, trade_date string, open_price double, high_price double, low_price double, close_price double, volume string"
+    return spark.createDataFrame([(s, d, p, p, p, p, v) for s, d, p, v in rows], schema)
+
+
+def test_a_quarantined_day_is_read_again_and_nothing_is_overwritten(spark, tmp_path):
+    q, args = str(tmp_path / "q"), (str(tmp_path / "fact"), str(tmp_path / "state"))
+    first = dated(spark, [("A", "2024-01-01", 1.0, "5"), ("A", "2024-01-02", 1.0, "x"), ("A", "2024-01-03", 1.0, "5"), ("B", "2024-01-03", 1.0, "5")])
+    run = lambda df: run_incremental(spark, df.withColumn("exchange_code", F.lit("NSE")).withColumn("trade_date", F.col("trade_date").cast("date")),
+                                     *args, as_of="2024-01-05", period="max", quarantine_path=q)
+    assert run(first).rows_quarantined == 1
+    marks = {r.symbol: r.watermark for r in WatermarkTable(spark, args[1]).read().collect()}
+    assert marks == {"A": dt.date(2024, 1, 1), "B": dt.date(2024, 1, 3)}
+    assert run(first).rows_quarantined == 1 and spark.read.parquet(q).count() == 1
+    mended = dated(spark, [("A", "2024-01-02", 2.0, "6"), ("A", "2024-01-03", 1.0, "5"), ("B", "2024-01-03", 1.0, "5")])
+    assert run(mended).rows_quarantined == 0 and spark.read.parquet(q).count() == 1
+    assert read_fact(spark, args[0]).count() == 4
+    assert WatermarkTable(spark, args[1]).get("A", "NSE") == dt.date(2024, 1, 3)
+    assert run(dated(spark, [("A", "2024-01-04", 1.0, "y")])).rows_quarantined == 1 and spark.read.parquet(q).count() == 2
+
+
+def test_torn_first_loads_are_repeated(spark, bars, rows, tmp_path):
+    path = str(tmp_path / "fact")
+    (tmp_path / "fact" / "_temporary" / "0").mkdir(parents=True)
+    assert not tables.has_data(spark, path)
+    tables.upsert_table(spark, path, fact(bars.limit(50)))
+    assert read_fact(spark, path).count() == 50
+    assert tables._stage_path(spark, path) == tables._stage_path(spark, "file:" + path + "/")
+
+
+def test_rows_without_a_key_and_infinite_prices_are_refused(spark, bars, tmp_path):
+    with pytest.raises(ValueError, match="without symbol"):
+        tables.upsert_table(spark, str(tmp_path / "fact"), fact(bars.limit(3)).withColumn("symbol", F.lit(None).cast("string")))
+    with pytest.raises(Exception, match="open_price is infinite"):
+        fact(bars.limit(3).withColumn("open_price", F.lit(float("inf")))).collect()
+
+
+def test_a_failing_select_leaves_the_table(spark):
+    sql_plans.create_table_as(spark, "kept_table", "SELECT 1 AS a")
+    with pytest.raises(Exception):
+        sql_plans.create_table_as(spark, "kept_table", "SELECT raise_error('no') AS a")
+    assert spark.table("kept_table").collect()[0].a == 1
+
+
 def test_load_batch_moves_the_watermark_only_after_success(spark, bars, tmp_path):
     f, s = str(tmp_path / "fact"), str(tmp_path / "state")
     broken = bars.withColumn("close_price", F.when(F.col("symbol") == "S1", -1.0).otherwise(F.col("close_price")))

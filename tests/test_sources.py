@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from barworks import sources
 from barworks.functions import base_symbol, exchange_from_suffix, fiscal_quarter, fiscal_year, round_stable, split_list
 from barworks.schemas import BAR_COLUMNS, RAW_BARS
+from barworks.sources import normalize_bars
 
 DAY = dt.datetime(2026, 3, 5)
 
@@ -20,6 +21,15 @@ def test_normalise_one_bar(spark):
     assert row.source == "yfinance"
 
 
+def test_zoned_feed_is_dated_by_the_exchange(spark):
+    raw = spark.createDataFrame([("TCS.NS", 1.0, 2.0, 0.5, 1.5, 10)], "ticker string, Open double, High double, Low double, Close double, Volume bigint")
+    zoned = raw.withColumn("Date", F.expr("timestamp'2026-03-05 00:00:00+05:30'"))
+    assert str(normalize_bars(zoned).first().trade_date) == "2026-03-05"
+    assert str(normalize_bars(zoned, feed_timezone="UTC").first().trade_date) == "2026-03-04"
+    plain = raw.withColumn("Date", F.expr("timestamp_ntz'2026-03-05 00:00:00'"))
+    assert str(normalize_bars(plain).first().trade_date) == "2026-03-05"
+
+
 def test_suffixes(spark):
     df = spark.createDataFrame([("INFY.BO",), ("tcs.ns",), ("AAPL",), ("A.NSE",)], "t string")
     got = [tuple(r) for r in df.select(base_symbol("t"), exchange_from_suffix("t")).collect()]
