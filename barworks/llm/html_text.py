@@ -34,35 +34,50 @@ FURNITURE = frozenset("ad ads adv advert adverts advertisement advertising adsen
                       "overlay newsletter subscribe subscription social share sharing related recommended comment comments disqus replies widget "
                       "toolbar pagination pager login signup search skip".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar status".split())
+#: Beginnings of names of furniture, for words written together.
+FURNITURE_STARTS = ("sidebar", "comment", "advert", "adsby", "sponsor", "cookie", "breadcrumb", "newsletter", "navbar", "disqus", "footer")
+#: Furniture that pages also mark up as articles of their own.
+REMARKS = frozenset("comment comments reply replies ad ads advert advertisement sponsor sponsored promo related".split())
+#: Names of a page's head, and those that say that it is the article's.
+HEADS, OF_TEXT = frozenset("header masthead banner navbar".split()), frozenset("post entry article story content".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 HEARTS = frozenset(("article", "main"))
 
 MARKUP = re.compile(r"<(?:!--.*?(?:-->|$)|[!?][^>]*(?:>|$)|/([a-zA-Z][^\s/>]*)[^>]*(?:>|$)|([a-zA-Z][^\s/>]*)((?:[^\"'>]|\"[^\"]*\"|'[^']*')*+)(?:>|$)|([a-zA-Z][^\s/>]*)[^>]*(?:>|$))", re.S)
 ATTRIBUTE = re.compile(r"([^\s\"'<>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
-TOKEN = re.compile(r"[a-z]+")
+CAMEL, TOKEN = re.compile(r"(?<=[a-z])(?=[A-Z])"), re.compile(r"[a-z]+")
 
 
 class Node:
     __slots__ = ("tag", "parent", "children", "hinted", "chars", "tags", "link_chars", "link_tags", "heart", "density", "total")
 
-    def __init__(self, tag, parent, hinted=False):
-        self.tag, self.parent, self.hinted = tag, parent, hinted
+    def __init__(self, tag, parent, hinted=None):
+        self.tag, self.parent = tag, parent
+        self.hinted = hinted  # None, "head" or "furniture"
         self.children = []  # nodes, and texts as strings
-        self.heart = tag in HEARTS or tag == "h1"
+        # What keeps furniture around it: an article, or the title of one.
+        self.heart = tag in HEARTS and not hinted or tag == "h1"
 
 
 def _attributes(text):
     return {m[1].lower(): html.unescape(m[2] or m[3] or m[4] or "") for m in ATTRIBUTE.finditer(text)}
 
 
-def _is_hinted(tag, text):
-    """Whether an element's attributes say that it is furniture."""
-    if not text or text.isspace() or tag in ("html", "body"):
-        return False
+def _hint(tag, text):
+    """What an element's attributes say that it is: "furniture", the page's "head", or None."""
+    if not text or text.isspace() or tag in ("html", "body", "main"):
+        return None
     attributes = _attributes(text)
+    names = set(TOKEN.findall(CAMEL.sub(" ", f"{attributes.get('class', '')} {attributes.get('id', '')}").lower()))
+    if tag == "article":
+        return "furniture" if names & REMARKS else None
     if "hidden" in attributes or attributes.get("aria-hidden") == "true" or attributes.get("role", "").lower() in ROLES:
-        return True
-    names = f"{attributes.get('class', '')} {attributes.get('id', '')}".lower()
-    return bool(FURNITURE.intersection(TOKEN.findall(names)))
+        return "furniture"
+    if "display:none" in "".join(attributes.get("style", "").split()).lower():
+        return "furniture"
+    if names & HEADS and not names & OF_TEXT:
+        return "head"
+    return "furniture" if names & FURNITURE or any(n.startswith(FURNITURE_STARTS) for n in names) else None
 
 
 def parse(text):
@@ -91,7 +106,7 @@ def parse(text):
                 continue
             if (ended := _ended_by(node, tag)) is not None:
                 node = _leave(node, ended.tag, open_tags)
-            child = Node(tag, node, _is_hinted(tag, attributes))
+            child = Node(tag, node, _hint(tag, attributes))
             node.children.append(child)
             if tag not in VOID and not attributes.endswith("/"):
                 node = child
@@ -140,8 +155,17 @@ def _nodes(root):
     return order
 
 
+def _is_furniture(node, inside):
+    """Whether an element goes; ``inside``: it lies in an article. An article or title inside keeps furniture, but not the page's head."""
+    if node.tag in LEFT_OUT:
+        return True
+    if node.tag == "header" or node.hinted == "head":
+        return not (inside and node.heart) and not any(n.tag in HEARTS and not n.hinted for n in _nodes(node))
+    return bool(node.hinted) and not node.heart
+
+
 def _prune(root):
-    """Leaves out furniture: by tag, or by attributes where no article or heading is inside."""
+    """Leaves out furniture, by tag or by attributes."""
     for node in reversed(_nodes(root)):
         if node.parent is not None and node.heart:
             node.parent.heart = True
@@ -149,8 +173,7 @@ def _prune(root):
     while stack:
         node, inside = stack.pop()
         inside = inside or node.tag in HEARTS
-        node.children = [c for c in node.children if isinstance(c, str) or not (
-            c.tag in LEFT_OUT or c.tag == "header" and not (inside and c.heart) or c.hinted and not c.heart)]
+        node.children = [c for c in node.children if isinstance(c, str) or not _is_furniture(c, inside)]
         stack += [(c, inside) for c in node.children if isinstance(c, Node)]
 
 
@@ -176,7 +199,7 @@ def _measure(root):
 
 
 def _content(root):
-    """The element that holds the text."""
+    """The element that holds the text: an article around the heart, or the body without what falls below the threshold."""
     order = _measure(root)
     body = next((n for n in order if n.tag == "body"), root)
     heart = max((n for n in order if n.chars), key=lambda n: n.total, default=body)
@@ -188,11 +211,11 @@ def _content(root):
         return heart
     path = path[:path.index(body) + 1]
     threshold = min(n.density for n in path)
-    # Around the heart the text goes on as far as elements stay above the threshold.
-    for node in reversed(path):
-        if node is body or node.density >= threshold:
-            return node
-    return heart
+    for node in path[1:]:
+        # Beside the path to the heart, blocks of links below the threshold are menus.
+        node.children = [c for c in node.children if isinstance(c, str) or c in path or c.tag not in BLOCKS or c.tag in HEADINGS
+                         or c.density >= threshold or 2 * c.link_chars < c.chars]
+    return body
 
 
 def _blocks(node):
