@@ -386,7 +386,7 @@ def entry(spark: SparkSession) -> DataFrame:
 
 def _training_data():
     """The queries of the optional subpackage, where it is installed."""
-    if importlib.util.find_spec("barworks.llm") is None:
+    if importlib.util.find_spec("barworks.llm") is None or importlib.util.find_spec("barworks.llm.queries") is None:
         return None
     from barworks.llm import queries as llm
     return llm
