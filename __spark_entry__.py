@@ -309,11 +309,11 @@ def upsert_table_query(spark, sf):
     return fx.plain(read_fact(spark, path), *BAR_KEY, "close_price", "volume")
 
 
-def _load_dirt(spark, sf, base):
+def _load_dirt(spark, sf, base, name="same-name", **options):
     dirty = fx.dirty_bronze(spark, sf, more=True)
     late = F.col("loaded_at").cast("date") > F.col("trade_date").try_cast("date")
     dirty = dirty.withColumn("late_copy", F.when(late, 1).otherwise(0).cast("bigint"))
-    load_batch(spark, dirty, f"{base}/fact", f"{base}/state", f"{base}/quarantine", "same-name")
+    load_batch(spark, dirty, f"{base}/fact", f"{base}/state", f"{base}/quarantine", name, **options)
     return dirty
 
 
@@ -329,6 +329,14 @@ def load_quarantine(spark, sf):
         F.array_join("violations", ",").alias("violations"))
 
 
+def run_metrics(spark, sf):
+    """What is stored about a load with dirt and its repetition."""
+    base = scratch_path(spark, "dirty-load")
+    for name in ("run-1", "run-2"):
+        _load_dirt(spark, sf, base, name, metrics_path=f"{base}/metrics")
+    return spark.read.parquet(f"{base}/metrics").select("batch_id", "rows_in", "rows_quarantined", "rows_inserted", "rows_updated", "status")
+
+
 def watermark_table(spark, sf):
     """The stored watermarks after a load with dirt: they stop before the first bad day."""
     base = scratch_path(spark, "dirty-load")
@@ -456,6 +464,7 @@ def _own_queries():
         "ctas_silver": ctas_silver,
         "load_quarantine": load_quarantine,
         "watermark_table": watermark_table,
+        "run_metrics": run_metrics,
         "gold_refresh": gold_refresh,
         "dim_date": lambda s, sf: fx.plain(dims.dim_date_covering(fx.lineitem_bars(s, sf)).drop("is_month_end", "is_quarter_end")),
         "dim_date_flags": lambda s, sf: dims.dim_date_covering(fx.lineitem_bars(s, sf)).select("date_key", "is_month_end", "is_quarter_end"),

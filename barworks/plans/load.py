@@ -1,5 +1,6 @@
 """Extract, check, load and only then advance: the incremental job."""
 
+import datetime as dt
 import time
 import uuid
 from dataclasses import dataclass
@@ -28,12 +29,40 @@ class LoadResult:
     seconds: float
     success: bool = True
     message: str = ""
+    rows_inserted: int = 0
+    rows_updated: int = 0
+
+
+RUN_METRICS = ("batch_id string, started_at timestamp, rows_in bigint, rows_quarantined bigint, rows_loaded bigint, "
+               "rows_inserted bigint, rows_updated bigint, seconds double, status string, message string")
+
+
+def _record(spark, path, batch_id, started, result):
+    """One row of the stored run metrics."""
+    row = (str(batch_id), dt.datetime.fromtimestamp(started), result.rows_in, result.rows_quarantined, result.rows_loaded,
+           result.rows_inserted, result.rows_updated, result.seconds, "OK" if result.success else "FAILED", result.message)
+    spark.createDataFrame([row], RUN_METRICS).coalesce(1).write.mode("append").parquet(path)
 
 
 def load_batch(spark, bars, fact_path, state_path=None, quarantine_path=None, batch_id=None,
                checks=None, loaded_at=None, dry_run=False, gold_path=None, lookback_days=None,
-               listed=None):
-    """Check a batch of bars and upsert it.
+               listed=None, metrics_path=None):
+    """Check a batch of bars and upsert it; with a ``metrics_path`` the outcome, good or bad, is stored as a row there."""
+    started = time.time()
+    batch_id = uuid.uuid4().hex if batch_id is None else batch_id
+    try:
+        result = _load(spark, bars, fact_path, state_path, quarantine_path, batch_id, checks, loaded_at, dry_run, gold_path, lookback_days, listed)
+    except Exception as exc:
+        if metrics_path is not None:
+            _record(spark, metrics_path, batch_id, started, LoadResult(0, 0, 0, [], [], time.time() - started, False, str(exc)))
+        raise
+    if metrics_path is not None:
+        _record(spark, metrics_path, batch_id, started, result)
+    return result
+
+
+def _load(spark, bars, fact_path, state_path, quarantine_path, batch_id, checks, loaded_at, dry_run, gold_path, lookback_days, listed):
+    """The load itself.
 
     The batch is written once to the shared folder and read back from there by
     every later step. With a ``quarantine_path``, rows that break a contract are
@@ -50,7 +79,6 @@ def load_batch(spark, bars, fact_path, state_path=None, quarantine_path=None, ba
     rows of young listings.
     """
     started = time.time()
-    batch_id = uuid.uuid4().hex if batch_id is None else batch_id
     stage = scratch_path(spark, f"batch-{batch_id}")
     checked = row_contract_bars(bars)
     if "daily_range" not in checked.columns or "change_pct" not in checked.columns:
@@ -73,13 +101,15 @@ def load_batch(spark, bars, fact_path, state_path=None, quarantine_path=None, ba
         results = enforce(good, bar_suite() if checks is None else checks, "bar_load")
         if dry_run:
             return LoadResult(sizes["all"], 0, bad_rows, [], results, time.time() - started, message="dry run")
-        months = upsert_table(spark, fact_path, to_fact(good, loaded_at))
+        counts = {}
+        months = upsert_table(spark, fact_path, to_fact(good, loaded_at), counts=counts)
         if gold_path is not None:
             known = None if listed is None else _with_new_listings(listed(spark), good)
             refresh_gold(spark, fact_path, gold_path, good.select(*BAR_KEY), lookback_days, known)
         if state_path is not None:
             WatermarkTable(spark, state_path).advance(good if bad is None else before_first(good, bad))
-        return LoadResult(sizes["all"], sizes["all"] - bad_rows, bad_rows, months, results, time.time() - started)
+        return LoadResult(sizes["all"], sizes["all"] - bad_rows, bad_rows, months, results, time.time() - started,
+                          rows_inserted=counts.get("inserted", 0), rows_updated=counts.get("updated", 0))
     finally:
         delete_path(spark, stage)
 

@@ -12,6 +12,7 @@ them.
 
 from functools import reduce
 
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from barworks.functions.dates import MONTH_COLUMN as MONTH
@@ -84,7 +85,7 @@ def _apply(spark, path, stage):
     _write(_sorted(spark.read.parquet(stage)), path, replace="dynamic")
 
 
-def upsert_table(spark, path, source, keys=BAR_KEY, settle=True):
+def upsert_table(spark, path, source, keys=BAR_KEY, settle=True, counts=None):
     """Upsert ``source`` into the table at ``path``; creates it on first use.
 
     A batch of keys the table does not hold (the usual new day) is appended, at
@@ -95,7 +96,9 @@ def upsert_table(spark, path, source, keys=BAR_KEY, settle=True):
     Hand in a batch that is already written somewhere (see
     ``session.write_and_reread``): it is read more than once here. ``settle``
     removes duplicate keys from the batch, newest ``loaded_at`` first. Returns
-    the months that were touched.
+    the months that were touched. A dict given as ``counts`` gets ``inserted`` and
+    ``updated``: the settled rows are counted as they are written, the keys they
+    replace by the join that looks for them.
     """
     recover(spark, path)
     months, first, last = _span(source, keys)
@@ -104,15 +107,28 @@ def upsert_table(spark, path, source, keys=BAR_KEY, settle=True):
     given = source
     if settle:
         source = dedupe_bars(source, keys)
+    seen = Observation()
+    if counts is not None:
+        source = source.observe(seen, F.count(F.lit(1)).alias("rows"))
+        counts["updated"] = 0
     if not has_data(spark, path):
         _replace(spark, path, source)
-        return months
+        return _counted(counts, seen, months)
     target = spark.read.parquet(path).filter(F.col(MONTH).isin(months)).drop(MONTH)
     same_days = target.filter(F.col("trade_date").between(F.lit(first), F.lit(last)))
-    if same_days.select(*keys).join(given.select(*keys), list(keys), "left_semi").isEmpty():
+    known = same_days.select(*keys).join(given.select(*keys), list(keys), "left_semi")
+    if counts is not None:
+        counts["updated"] = known.count()
+    if known.isEmpty() if counts is None else not counts["updated"]:
         _write(_laid_out(source), path, "append")
-        return months
-    _replace(spark, path, merge_rows(target, source, keys, given))
+    else:
+        _replace(spark, path, merge_rows(target, source, keys, given))
+    return _counted(counts, seen, months)
+
+
+def _counted(counts, seen, months):
+    if counts is not None:
+        counts["inserted"] = seen.get["rows"] - counts["updated"]
     return months
 
 

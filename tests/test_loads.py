@@ -190,7 +190,8 @@ def test_a_quarantined_day_is_read_again_and_nothing_is_overwritten(spark, tmp_p
     assert marks == {"A": dt.date(2024, 1, 1), "B": dt.date(2024, 1, 3)}
     assert run(first).rows_quarantined == 1 and spark.read.parquet(q).count() == 1
     mended = dated(spark, [("A", "2024-01-02", 2.0, "6"), ("A", "2024-01-03", 1.0, "5"), ("B", "2024-01-03", 1.0, "5")])
-    assert run(mended).rows_quarantined == 0 and spark.read.parquet(q).count() == 1
+    result = run(mended)
+    assert (result.rows_inserted, result.rows_updated, result.rows_quarantined) == (1, 1, 0) and spark.read.parquet(q).count() == 1
     assert read_fact(spark, args[0]).count() == 4
     assert WatermarkTable(spark, args[1]).get("A", "NSE") == dt.date(2024, 1, 3)
     assert run(dated(spark, [("A", "2024-01-04", 1.0, "y")])).rows_quarantined == 1 and spark.read.parquet(q).count() == 2
@@ -206,6 +207,10 @@ def test_torn_first_loads_are_repeated(spark, bars, rows, tmp_path):
 
 
 def test_rows_without_a_key_and_infinite_prices_are_refused(spark, bars, tmp_path):
+    metrics = str(tmp_path / "metrics")
+    with pytest.raises(QualityGateError):
+        load_batch(spark, bars.limit(3).withColumn("close_price", F.lit(-1.0)), str(tmp_path / "no"), metrics_path=metrics)
+    assert [r.status for r in spark.read.parquet(metrics).collect()] == ["FAILED"]
     with pytest.raises(ValueError, match="without symbol"):
         tables.upsert_table(spark, str(tmp_path / "fact"), fact(bars.limit(3)).withColumn("symbol", F.lit(None).cast("string")))
     with pytest.raises(Exception, match="open_price is infinite"):
