@@ -171,7 +171,8 @@ def drop_near_duplicates(docs, id_col="doc_id", text_col="text", words=3):
     found = near_components(known, id_col, text_col, words)
     kept = found.filter(F.col("doc_id") == F.col("component_id")).groupBy(F.col("doc_id").alias(own)).agg(F.count(F.lit(1)).alias("rows"))
     kept = write_and_reread(kept, scratch_path(docs.sparkSession, "simhash-kept"))
-    rest = known.join(kept.drop("rows"), F.col(id_col) == F.col(own), "left_semi")
+    # The kept ids grow with the documents: the same join at every size.
+    rest = known.join(kept.drop("rows").hint("merge"), F.col(id_col) == F.col(own), "left_semi")
     if not kept.filter("rows > 1").isEmpty():
         rest = rest.dropDuplicates([id_col])
     return rest.unionByName(docs.filter(F.col(id_col).isNull()))
