@@ -22,7 +22,7 @@ from barworks.llm.common import SLICE_BYTES, keep_columns, with_fields
 NO_PAIR = np.iinfo(np.int32).max
 #: Words of more symbols than this are merged one by one, not side by side.
 WIDE = 64
-CACHED_WORDS = 500_000
+CACHED_WORDS = 200_000
 #: Code points with the property White_Space.
 SPACE = regex.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
 #: Spaces for str.split() that have no such property.
