@@ -112,5 +112,5 @@ def filter_urls(urls, rules, url_col="url", default="allow", blocks=BLOCKS):
     # A written table joins row by row with the urls, so that a hot url's rows can be split.
     best = write_and_reread(best, scratch_path(urls.sparkSession, "url-rules"))
     judged = urls.withColumns({"host": host_of(F.col(url_col)), "path": path_of(F.col(url_col))}).join(
-        best, (F.col("host") == F.col(own_host)) & (F.col("path") == F.col(own_path)), "left").drop(own_host, own_path)
+        best.hint("merge"), (F.col("host") == F.col(own_host)) & (F.col("path") == F.col(own_path)), "left").drop(own_host, own_path)
     return judged.withColumn("verdict", F.coalesce("verdict", F.lit(default)))
