@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from barworks.llm.common import fresh
 from barworks.llm.components import connected_components
+from barworks.llm.near_copies import SHINGLE_WORDS, band_keys, similar_links
 from barworks.session import scratch_path, write_and_reread
 
 RADIUS = 3
@@ -68,6 +69,20 @@ def fingerprints(docs, id_col="doc_id", text_col="text", words=3):
     return docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text")).mapInArrow(compute, "id bigint, fp bigint")
 
 
+def _signatures(docs, id_col, text_col, words):
+    """(id, digest, fp, bands): with the fingerprint a hash of the text and the keys of its five-word shingles."""
+    def compute(batches):
+        for batch in batches:
+            texts = batch.column(2).cast(pa.binary()).to_pylist()
+            found = [fingerprint(shingle_hashes(t, words)) if t else 0 for t in texts]
+            bands = [band_keys(shingle_hashes(t, SHINGLE_WORDS)) if t else [] for t in texts]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.int64()), pa.array(bands, pa.list_(pa.int64()))],
+                                             names=["id", "digest", "fp", "bands"])
+
+    rows = docs.select(F.col(id_col).cast("bigint").alias("id"), F.xxhash64(text_col).alias("digest"), F.col(text_col).alias("text"))
+    return rows.mapInArrow(compute, "id bigint, digest bigint, fp bigint, bands array<bigint>")
+
+
 def _mask(bits):
     """A bigint with the given bits set."""
     value = sum(1 << b for b in bits)
@@ -136,6 +151,19 @@ def near_links(fps, bucket=16):
     return write_and_reread(pairs.unionByName(stars).distinct(), scratch_path(spark, "simhash-links"))
 
 
+def _classes(fps, links):
+    """Written table (class_fp, component_id): the smallest ``least`` reachable from each fingerprint."""
+    spark = fps.sparkSession
+    groups = connected_components(links)
+    members = write_and_reread(groups.join(fps, F.col("node") == F.col("fp")).select("fp", "component", "least"),
+                               scratch_path(spark, "simhash-members"))
+    smallest = members.groupBy("component").agg(F.min("least").alias("component_id")).withColumnRenamed("component", "named")
+    joined = members.join(smallest, F.col("component") == F.col("named")).select(F.col("fp").alias("member"), "component_id")
+    named = fps.join(joined, F.col("fp") == F.col("member"), "left").select(
+        F.col("fp").alias("class_fp"), F.when(F.col("member").isNull(), F.col("least")).otherwise(F.col("component_id")).alias("component_id"))
+    return write_and_reread(named, scratch_path(spark, "simhash-classes"))
+
+
 def near_components(docs, id_col="doc_id", text_col="text", words=3):
     """(doc_id, fingerprint, component_id) of every document.
 
@@ -148,27 +176,39 @@ def near_components(docs, id_col="doc_id", text_col="text", words=3):
     spark = docs.sparkSession
     found = write_and_reread(fingerprints(docs, id_col, text_col, words), scratch_path(spark, "simhash"))
     fps = write_and_reread(found.groupBy("fp").agg(F.min("id").alias("least")), scratch_path(spark, "simhash-distinct"))
-    groups = connected_components(near_links(fps))
-    members = write_and_reread(groups.join(fps, F.col("node") == F.col("fp")).select("fp", "component", "least"),
-                               scratch_path(spark, "simhash-members"))
-    smallest = members.groupBy("component").agg(F.min("least").alias("component_id")).withColumnRenamed("component", "named")
-    joined = members.join(smallest, F.col("component") == F.col("named")).select(F.col("fp").alias("member"), "component_id")
-    named = fps.join(joined, F.col("fp") == F.col("member"), "left").select(
-        F.col("fp").alias("class_fp"), F.when(F.col("member").isNull(), F.col("least")).otherwise(F.col("component_id")).alias("component_id"))
-    named = write_and_reread(named, scratch_path(spark, "simhash-classes"))
+    named = _classes(fps, near_links(fps))
     return found.join(named, F.col("fp") == F.col("class_fp"), "left").select(
         F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def drop_near_duplicates(docs, id_col="doc_id", text_col="text", words=3):
+def _similar_components(docs, id_col, text_col, words, share):
+    """(doc_id, component_id) of every document: links are those of ``near_components`` and a share of five-word shingles."""
+    spark = docs.sparkSession
+    found = write_and_reread(_signatures(docs, id_col, text_col, words), scratch_path(spark, "simhash"))
+    first = F.min(F.struct("id", "digest", "bands"))
+    firsts = found.groupBy("fp").agg(first.alias("first")).select(
+        "fp", F.struct("first.id", "first.digest").alias("least"), F.col("first.bands").alias("bands"))
+    firsts = write_and_reread(firsts, scratch_path(spark, "simhash-distinct"))
+    links = near_links(firsts.select("fp")).unionByName(similar_links(firsts, docs, id_col, text_col, shingle_hashes, share, RADIUS))
+    named = _classes(firsts.select("fp", F.col("least.id").alias("least")), links)
+    return found.join(named, F.col("fp") == F.col("class_fp"), "left").select(F.col("id").alias("doc_id"), "component_id")
+
+
+def drop_near_duplicates(docs, id_col="doc_id", text_col="text", words=3, share=None):
     """One document of each component, the one with the smallest id, all input columns as they are.
 
+    With ``share``, documents that have at least this share of their distinct
+    five-word shingles in common link too, whatever their fingerprints; documents
+    of one fingerprint are stood for by the first of them.
     Of repeated rows of that id one stays. Rows with a null id cannot be told
     apart or ordered: they neither link nor go.
     """
     own = fresh("id")
     known = docs.filter(F.col(id_col).isNotNull())
-    found = near_components(known, id_col, text_col, words)
+    if share is None:
+        found = near_components(known, id_col, text_col, words)
+    else:
+        found = _similar_components(known, id_col, text_col, words, share)
     kept = found.filter(F.col("doc_id") == F.col("component_id")).groupBy(F.col("doc_id").alias(own)).agg(F.count(F.lit(1)).alias("rows"))
     kept = write_and_reread(kept, scratch_path(docs.sparkSession, "simhash-kept"))
     # The kept ids grow with the documents: the same join at every size.

@@ -110,3 +110,36 @@ def test_components_of_chains_and_stars(spark):
     got = {r.node: r.component for r in connected_components(links).collect()}
     assert got == {**{k: 0 for k in range(71)}, **{1000 + k: 1000 for k in range(200)}, 2000: 1999, 1999: 1999, -5: -9, -9: -9}
     assert connected_components(links.limit(0)).count() == 0
+
+
+def shingles(text):
+    w = text.split()
+    return {tuple(w[i:i + 5]) for i in range(max(1, len(w) - 4))}
+
+
+def share(a, b):
+    a, b = shingles(a), shingles(b)
+    return len(a & b) / len(a | b)
+
+
+def test_stage_drops_texts_that_share_most_shingles(spark, docs):
+    """Near copies whose fingerprints lie further apart than 3 bits, in small groups and in a large one."""
+    source = random.Random(9)
+    vocabulary = ["w%d" % k for k in range(3000)]
+    rows = []
+    for k in range(40):
+        base = source.choices(vocabulary, k=source.randint(30, 200))
+        rows.append((1000 + 100 * k, " ".join(base)))
+        for n in range(60 if k == 0 else 2):
+            w = list(base)
+            at = source.randrange(len(w) - 9)
+            w[at:at + len(w) // 30] = source.choices(vocabulary, k=len(w) // 30)
+            rows.append((1001 + 100 * k + n, " ".join(w)))
+    pairs = [(a, b) for i, (a, s) in enumerate(rows) for b, t in rows[i + 1:] if share(s, t) >= 0.8]
+    fps = {d: brute_fingerprint(t) for d, t in rows}
+    assert sum((fps[a] ^ fps[b]).bit_count() > 3 for a, b in pairs) > 20
+    kept = {r.doc_id for r in drop_near_duplicates(docs(rows), share=0.8).collect()}
+    assert not [p for p in pairs if kept.issuperset(p)]
+    assert kept >= {1000 + 100 * k for k in range(40)}
+    # What has no near copy stays.
+    assert kept >= {d for d, _ in rows} - {x for p in pairs for x in p} - {b for a in fps for b in fps if a < b and (fps[a] ^ fps[b]).bit_count() <= 3}
