@@ -106,7 +106,7 @@ class Benchmark:
                 if end >= size:
                     own = self.windows.setdefault((self.automaton.cut(state, size), size), set())
                     own.add(number)
-        self.sizes = sorted({size for _, size in self.windows})
+        self.window, self.sizes = window, sorted({size for _, size in self.windows})
         pairs = {(a << 32) | b for _, ids in texts for a, b in zip(ids, ids[1:])}
         self.pairs = np.sort(np.fromiter(pairs, np.int64, len(pairs)))
         words = list(self.vocabulary)
@@ -140,7 +140,7 @@ class Benchmark:
         return out
 
     def scan(self, data, offsets):
-        """Of texts in one byte array: words of each, then {text: (hit spans in bytes, hit words, items)}."""
+        """Of texts in one byte array: words of each, then {text: (hit spans in bytes and whether they hold a whole short item, hit words, items)}."""
         data = LOWER[data]
         starts, ends, owner = word_bounds(WORD_BYTES[data], offsets)
         n_words = np.bincount(owner, minlength=len(offsets) - 1)
@@ -158,8 +158,8 @@ class Benchmark:
             hit, items = self._run(run)
             if items:
                 spans, count, own = found.setdefault(int(owner[a]), ([], [0], set()))
-                count[0] += sum(y - x for x, y in hit)
-                spans += [(int(starts[a + x] - offsets[owner[a]]), int(ends[a + y - 1] - offsets[owner[a]])) for x, y in hit]
+                count[0] += sum(y - x for x, y, _ in hit)
+                spans += [(int(starts[a + x] - offsets[owner[a]]), int(ends[a + y - 1] - offsets[owner[a]]), whole) for x, y, whole in hit]
                 own |= items
         return n_words, {k: (spans, count[0], own) for k, (spans, count, own) in found.items()}
 
@@ -172,16 +172,18 @@ class Benchmark:
                 own = self.windows.get((self.automaton.cut(state, size), size))
                 if own:
                     items |= own
-                    start = end - size
+                    start, whole = end - size, size < self.window
                     while spans and spans[-1][1] >= start:
-                        start = min(start, spans.pop()[0])
-                    spans.append((start, end))
+                        before, _, had = spans.pop()
+                        start, whole = min(start, before), whole or had
+                    spans.append((start, end, whole))
         return spans, items
 
 
 FOUND = T.StructType([
     T.StructField("n_words", T.LongType()), T.StructField("n_hit", T.LongType()),
-    T.StructField("spans", T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("stop", T.LongType())]))),
+    T.StructField("spans", T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("stop", T.LongType()),
+                                                     T.StructField("whole", T.BooleanType())]))),
     T.StructField("items", T.ArrayType(T.LongType()))])
 
 
@@ -196,17 +198,18 @@ def _blocks(benchmark, item_col, text_col, block_bytes):
 
 def _union(spans):
     out = []
-    for start, stop in sorted(spans):
+    for start, stop, whole in sorted(spans):
         if out and start <= out[-1][1]:
-            out[-1][1] = max(out[-1][1], stop)
+            out[-1][1:] = max(out[-1][1], stop), out[-1][2] or whole
         else:
-            out.append([start, stop])
+            out.append([start, stop, whole])
     return out
 
 
 def find_contamination(docs, benchmark, text_col="text", item_col="item_id", item_text_col="text",
                        window=WINDOW, block_bytes=BLOCK_BYTES):
-    """The documents with ``n_words``, ``n_hit``, ``spans`` (hit words, in UTF-8 bytes, end exclusive) and ``items``.
+    """The documents with ``n_words``, ``n_hit``, ``spans`` (hit words, in UTF-8 bytes, end exclusive; ``whole``
+    where one holds all of an item shorter than a window) and ``items``.
 
     A window is ``window`` consecutive words of an item, or all words of a
     shorter one. A benchmark of more than ``block_bytes`` is searched for in
@@ -248,17 +251,17 @@ def _pass(shared, window, text_col, number):
                 texts = batch.column(text_col).cast(pa.binary())
                 for k, (old, old_items) in enumerate(zip(batch.column("spans").to_pylist(), batch.column("items").to_pylist())):
                     if old and k in found:
-                        spans[k] = _union([(s["start"], s["stop"]) for s in old] + spans[k])
+                        spans[k] = _union([(s["start"], s["stop"], s["whole"]) for s in old] + spans[k])
                         text = texts[k].as_py()
-                        hits[k] = sum(len(words_of(text[a:b])) for a, b in spans[k])
+                        hits[k] = sum(len(words_of(text[a:b])) for a, b, _ in spans[k])
                     elif old:
-                        spans[k] = [(s["start"], s["stop"]) for s in old]
+                        spans[k] = [(s["start"], s["stop"], s["whole"]) for s in old]
                         hits[k] = batch.column("n_hit")[k].as_py()
                     items[k] = items[k] + old_items
-            pair = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))
+            pair = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64()), ("whole", pa.bool_())]))
             yield keep_columns(
                 batch, n_words=pa.array(words), n_hit=pa.array(hits, pa.int64()),
-                spans=pa.array([[{"start": a, "stop": b} for a, b in own] for own in spans], pair),
+                spans=pa.array([[{"start": a, "stop": b, "whole": whole} for a, b, whole in own] for own in spans], pair),
                 items=pa.array([sorted({i for i in own if i is not None}) for own in items], pa.list_(pa.int64())))
     return scan
 
@@ -266,9 +269,10 @@ def _pass(shared, window, text_col, number):
 def decontaminate(docs, benchmark, text_col="text", max_coverage=0.5, max_length=WINDOW, **options):
     """The documents without test passages, with all their input columns.
 
-    Spans of ``max_length`` words or more are cut out of a text. A document of
+    Spans of ``max_length`` words or more are cut out of a text, and so are those that
+    hold the whole of an item shorter than a window. A document of
     whose words more than ``max_coverage`` are hit goes as a whole. What a cut
-    joins is searched again until nothing is hit, so no passage is left.
+    joins is searched again until nothing is to be cut, so no such passage is left.
 
     A span of several short windows counts with all its words. Texts without hits,
     null and empty ones stay as they are.
@@ -309,7 +313,7 @@ def decontaminate(docs, benchmark, text_col="text", max_coverage=0.5, max_length
 
 
 def _long(text, spans, max_length):
-    return [(a, b) for a, b in _union(spans) if len(words_of(text[a:b])) >= max_length]
+    return [(a, b) for a, b, whole in _union(spans) if whole or len(words_of(text[a:b])) >= max_length]
 
 
 def _without(text, spans):
@@ -333,7 +337,7 @@ def _decontaminate_blocks(docs, benchmark, text_col, max_coverage, max_length, o
                 texts, flags = batch.column(text_col).to_pylist(), []
                 for k, spans in enumerate(batch.column("spans").to_pylist()):
                     text = (texts[k] or "").encode()
-                    long = _long(text, [(s["start"], s["stop"]) for s in spans], max_length)
+                    long = _long(text, [(s["start"], s["stop"], s["whole"]) for s in spans], max_length)
                     if long:
                         texts[k] = _without(text, long).decode()
                     flags.append(bool(long))

@@ -88,3 +88,15 @@ def test_empty_tables_and_odd_rows(spark, docs, odd_rows):
     assert find_contamination(docs([]), bench).count() == 0
     none = find_contamination(docs(odd_rows).withColumn("spans", F.lit(1)), items_frame(spark, []))
     assert none.filter("n_hit > 0 OR size(spans) > 0").count() == 0
+
+
+@pytest.mark.parametrize("block_bytes", [1 << 20, 20])
+def test_whole_short_items_go(spark, docs, block_bytes):
+    bench = items_frame(spark, [(1, "the capital of France"), (2, "seven by nine"), (3, "one two three four five six seven eight nine ten eleven twelve")])
+    tail = "and many other words that keep this document in its place"
+    texts = [(1, f"So: the capital of FRANCE, {tail}"), (2, f"seven seven by nine by nine {tail}"), (3, f"the capital of Spain {tail}"),
+             (4, f"two three four five six seven eight nine ten, {tail}")]
+    cleaned = decontaminate(docs(texts), bench, block_bytes=block_bytes)
+    out = {r.doc_id: r.text for r in cleaned.collect()}
+    assert out == {1: f"So: , {tail}", 2: out[2], 3: texts[2][1], 4: texts[3][1]} and out[2].split() == tail.split()
+    assert find_contamination(cleaned, bench).filter("n_hit > 0").count() == 0
