@@ -4,7 +4,8 @@ Every element gets its density: characters for each tag, lowered where links hol
 them. The element whose children's densities sum up highest is the heart of the
 text. The lowest density on the path from it to the body is the threshold: it
 decides how far the text reaches around the heart. Elements that say what they
-are (menus, forms, adverts, comments and so on) are left out before.
+are (menus, forms, adverts, comments and so on) are left out before; a class, an id
+or a form counts as a penalty only, so that none that holds the heart goes.
 
 Pages pass one by one in a map without a shuffle.
 """
@@ -42,6 +43,8 @@ REMARKS = frozenset("comment comments reply replies ad ads advert advertisement
 HEADS, OF_TEXT = frozenset("header masthead banner navbar".split()), frozenset("post entry article story content".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 HEARTS = frozenset(("article", "main"))
+#: What the densities in an element are worth where its class, its id or a form speaks against it.
+PENALTY = 0.25
 
 MARKUP = re.compile(r"<(?:!--.*?(?:-->|$)|[!?][^>]*(?:>|$)|/([a-zA-Z][^\s/>]*)[^>]*(?:>|$)|([a-zA-Z][^\s/>]*)((?:[^\"'>]|\"[^\"]*\"|'[^']*')*+)(?:>|$)|([a-zA-Z][^\s/>]*)[^>]*(?:>|$))", re.S)
 ATTRIBUTE = re.compile(r"([^\s\"'<>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
@@ -49,11 +52,11 @@ CAMEL, TOKEN = re.compile(r"(?<=[a-z])(?=[A-Z])"), re.compile(r"[a-z]+")
 
 
 class Node:
-    __slots__ = ("tag", "parent", "children", "hinted", "chars", "tags", "link_chars", "link_tags", "heart", "density", "total")
+    __slots__ = ("tag", "parent", "children", "hinted", "chars", "tags", "link_chars", "link_tags", "heart", "density", "total", "weight")
 
     def __init__(self, tag, parent, hinted=None):
         self.tag, self.parent = tag, parent
-        self.hinted = hinted  # None, "head" or "furniture"
+        self.hinted = hinted  # None, "head", "furniture" or "hidden"
         self.children = []  # nodes, and texts as strings
         # What keeps furniture around it: an article, or the title of one.
         self.heart = tag in HEARTS and not hinted or tag == "h1"
@@ -64,7 +67,7 @@ def _attributes(text):
 
 
 def _hint(tag, text):
-    """What an element's attributes say that it is: "furniture", the page's "head", or None."""
+    """What an element's attributes say that it is: "furniture" or the page's "head" by its names, "hidden" by a state or role, or None."""
     if not text or text.isspace() or tag in ("html", "body", "main"):
         return None
     attributes = _attributes(text)
@@ -72,9 +75,9 @@ def _hint(tag, text):
     if tag == "article":
         return "furniture" if names & REMARKS else None
     if "hidden" in attributes or attributes.get("aria-hidden") == "true" or attributes.get("role", "").lower() in ROLES:
-        return "furniture"
+        return "hidden"
     if "display:none" in "".join(attributes.get("style", "").split()).lower():
-        return "furniture"
+        return "hidden"
     if names & HEADS and not names & OF_TEXT:
         return "head"
     return "furniture" if names & FURNITURE or any(n.startswith(FURNITURE_STARTS) for n in names) else None
@@ -165,18 +168,44 @@ def _is_furniture(node, inside):
 
 
 def _prune(root):
-    """Leaves out furniture, by tag or by attributes."""
+    """Leaves out furniture: by tag, state or role at once, by names or as a form where it does not hold the heart."""
     for node in reversed(_nodes(root)):
         if node.parent is not None and node.heart:
             node.parent.heart = True
+    stack = [root]
+    while stack:
+        node = stack.pop()
+        node.children = [c for c in node.children if isinstance(c, str) or c.tag == "form"
+                         or not (c.tag in LEFT_OUT or c.hinted == "hidden" and not c.heart)]
+        stack += [c for c in node.children if isinstance(c, Node)]
+    kept = _heart_path(root)
     stack = [(root, False)]
     while stack:
         node, inside = stack.pop()
         inside = inside or node.tag in HEARTS
-        node.children = [c for c in node.children if isinstance(c, str) or not _is_furniture(c, inside)]
+        node.children = [c for c in node.children if isinstance(c, str) or c in kept or not _is_furniture(c, inside)]
         stack += [(c, inside) for c in node.children if isinstance(c, Node)]
 
 
+def _heart_path(root):
+    """The elements that hold the heart, as densities are after the penalties of names and forms."""
+    order = _measure(root)
+    for node in order:
+        against = node.hinted or node.tag in ("form", "header")
+        node.weight = (node.parent.weight if node.parent else 1.0) * (PENALTY if against else 1.0)
+    worth = {n: sum(c.density * c.weight for c in n.children if isinstance(c, Node)) for n in order if n.chars}
+    if not worth:
+        return set()
+    heart = max(worth, key=worth.get)
+    # Where most of the heart's sum is one element's, or all its text, that element holds it too.
+    down = heart
+    while down is not None:
+        heart, texts = down, any(isinstance(c, str) and not c.isspace() for c in down.children)
+        down = next((c for c in heart.children if isinstance(c, Node) and c.density * c.weight > worth[heart] / 2
+                     or isinstance(c, Node) and not texts and c.chars == heart.chars and c.chars), None)
+    return set(_path(heart))
+
+
 def _measure(root):
     order = _nodes(root)
     for node in reversed(order):

@@ -57,3 +57,23 @@ def test_tables(spark):
     assert sorted((r.text, r.n_chars) for r in out.collect()) == [("", 0), ("", 0), ("a", 1)]
     assert extract_text(spark.createDataFrame([], schema)).count() == 0
     assert extract_text(spark.createDataFrame(rows, schema), text_col="html").filter(F.col("html") == "a").count() == 1
+
+
+TEXT = "The council agreed on Monday to rebuild the old bridge, and work will begin in the early spring of next year."
+WRAPPED = f"<h2>A title</h2><p>{TEXT}</p><p>{TEXT}</p>"
+
+
+@pytest.mark.parametrize("page", [
+    f"<body><div class='content with-sidebar'>{WRAPPED}</div><div class=sidebar><p>Other news</p></div></body>",
+    f"<body><div class='post has-share-bar'>{WRAPPED}</div></body>",
+    f"<body><div id=no-sidebar><div class=x>{WRAPPED}</div></div><div class=comments><p>Nice post, thanks!</p></div></body>",
+    f"<body><form id=aspnetForm><nav><a href=x>Home</a></nav><article>{WRAPPED}</article></form></body>",
+    f"<body><form><div>{WRAPPED}</div></form><form class=search><label>Find</label></form></body>",
+])
+def test_furniture_names_do_not_drop_the_heart(page):
+    assert main_text(page) == f"A title\n{TEXT}\n{TEXT}"
+
+
+def test_lone_text_in_a_named_wrapper():
+    assert main_text(f"<body><div class=no-sidebar>{TEXT}</div></body>") == TEXT
+    assert main_text(f"<body><div class=no-sidebar><p>{TEXT}</p></div></body>") == TEXT
