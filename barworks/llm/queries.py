@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from barworks.llm.bpe import decode, encode
+from barworks.llm.clustering import centroid_clusters, centroid_digest
 from barworks.llm.common import held_out, table
 from barworks.llm.decontaminate import find_contamination
 from barworks.llm.html_text import extract_text
@@ -11,6 +12,8 @@ from barworks.llm.line_dedup import dedup_lines
 from barworks.llm.minhash import compare_edited
 from barworks.llm.pii import ADDED_KINDS, BASE_KINDS, find_personal_data, span_text
 from barworks.llm.quality import THRESHOLD, score, train
+from barworks.llm.resampling import resample
+from barworks.llm.sharding import assign_shards
 from barworks.llm.simhash import near_components
 from barworks.llm.url_filter import filter_urls
 
@@ -84,6 +87,21 @@ def op10_minhash(spark, sf):
                        "near_edited", "near_next")
 
 
+def op11_sharding(spark, sf):
+    placed = assign_shards(table(spark, sf, "documents"), keep=["doc_id"])
+    return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+def op12_clustering(spark, sf):
+    placed = centroid_clusters(table(spark, sf, "embeddings"))
+    return placed.select("vec_id", "cluster", "distance", "cluster_inertia", "inertia", centroid_digest(F.col("centroid")).alias("centroid_sha256"))
+
+
+def op13_resampling(spark, sf):
+    ranked = resample(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+    return ranked.select("doc_id", "n_features", "weight", "score", "rank")
+
+
 def pipeline(spark, sf):
     import corpus_pipeline
 
@@ -102,6 +120,9 @@ def queries():
         "op8_language": op8_language,
         "op9_simhash": op9_simhash,
         "op10_minhash": op10_minhash,
+        "op11_sharding": op11_sharding,
+        "op12_clustering": op12_clustering,
+        "op13_resampling": op13_resampling,
         "pipeline": pipeline,
     }
 
@@ -149,5 +170,67 @@ SELECT page_id, host, path, rule, coalesce(v, 'allow') AS verdict FROM best WHER
 """
 
 
+def _floor_div(a, b):
+    return f"(({a}) - ((({a}) % ({b})) + ({b})) % ({b})) // ({b})"
+
+
+def _clusters_sql(dimensions=64, centroids=8, rounds=10):
+    """The rounds one after the other, every vector against every centroid."""
+    steps = []
+    for k in range(rounds + 1):
+        steps.append(f"""a{k} AS MATERIALIZED (
+  SELECT vec_id, v, k, d FROM (
+    SELECT vec_id, v, k, list_sum(list_transform(list_zip(v, c), lambda p: (p[1] - p[2]) * (p[1] - p[2])))::BIGINT AS d FROM kept, c{k})
+  QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY d, k) = 1)""")
+        if k < rounds:
+            steps.append(f"""c{k + 1} AS MATERIALIZED (
+  SELECT k, coalesce(m.c, c{k}.c) AS c FROM c{k} LEFT JOIN (
+    SELECT k, list(x ORDER BY p) AS c FROM (
+      SELECT k, p, ({_floor_div("sum(x)::HUGEINT", "count(*)::HUGEINT")})::BIGINT AS x
+      FROM (SELECT k, unnest(v) AS x, generate_subscripts(v, 1) AS p FROM a{k}) GROUP BY k, p) GROUP BY k) m USING (k))""")
+    return f"""
+WITH kept AS MATERIALIZED (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE len(embedding) = {dimensions} AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = {dimensions}),
+c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY sha256('3:' || vec_id), v) - 1 AS k, v AS c FROM kept QUALIFY k < {centroids}),
+{", ".join(steps)}
+SELECT vec_id, k::INTEGER AS cluster, d AS distance, (sum(d) OVER (PARTITION BY k))::BIGINT AS cluster_inertia, (sum(d) OVER ())::BIGINT AS inertia,
+       sha256(array_to_string(c, ',')) AS centroid_sha256
+FROM a{rounds} JOIN c{rounds} USING (k)
+"""
+
+
+def _words_sql(text):
+    return f"regexp_extract_all(translate(coalesce({text}, ''), '{UPPER}', '{LOWERED}'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+
+
+#: CRC-32 by a table of 256 entries, made by its rule; bytes come from the hex digits.
+OP13_SQL = f"""
+WITH crc AS MATERIALIZED (
+  SELECT list(c ORDER BY i) AS t FROM (
+    SELECT i, list_reduce([i] || range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c FROM range(256) r(i))),
+d AS MATERIALIZED (SELECT doc_id, {_words_sql("text")} AS w FROM documents),
+b AS MATERIALIZED (SELECT {_words_sql("text")} AS w FROM benchmark),
+df AS MATERIALIZED (SELECT doc_id, unnest(w || list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS f FROM d),
+bf AS MATERIALIZED (SELECT unnest(w || list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS f FROM b),
+bytes AS (SELECT f, list_transform(range(1, len(h), 2), lambda i: ('0x' || h[i:i + 1])::BIGINT) AS x FROM (SELECT f, hex(f) AS h FROM (SELECT f FROM df UNION SELECT f FROM bf))),
+hashed AS MATERIALIZED (
+  SELECT f, xor(4294967295, list_reduce([4294967295] || x, lambda c, y: xor(c >> 8, t[(xor(c, y) & 255) + 1]))) % 10000 AS k FROM bytes, crc),
+raw AS (SELECT k, count(*) AS s FROM df JOIN hashed USING (f) GROUP BY k),
+target AS (SELECT k, count(*) AS t FROM bf JOIN hashed USING (f) GROUP BY k),
+gains AS MATERIALIZED (
+  SELECT k, floor(1000 * ln(((coalesce(t, 0) + 1) * ((SELECT count(*) FROM df) + 10000))::DOUBLE / ((coalesce(s, 0) + 1) * ((SELECT count(*) FROM bf) + 10000))::DOUBLE))::BIGINT AS gain
+  FROM (SELECT DISTINCT k FROM hashed) LEFT JOIN raw USING (k) LEFT JOIN target USING (k)),
+weighed AS (SELECT doc_id, count(*) AS n, ({_floor_div("sum(gain)::HUGEINT", "count(*)::HUGEINT")})::BIGINT AS weight FROM df JOIN hashed USING (f) JOIN gains USING (k) GROUP BY doc_id),
+scored AS (
+  SELECT doc_id, len(w) AS words, coalesce(n, 0)::BIGINT AS n_features, coalesce(weight, 0)::BIGINT AS weight,
+         coalesce(weight, 0)::BIGINT + floor(-1000 * ln(-ln((('0x' || sha256('7:' || doc_id)[1:8])::BIGINT + 0.5::DOUBLE) / 4294967296)))::BIGINT AS score
+  FROM d LEFT JOIN weighed USING (doc_id)),
+ranked AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS n, count(*) OVER () AS total FROM scored WHERE words >= 20)
+SELECT doc_id, n_features, weight, score, CASE WHEN n <= 25 * total // 100 THEN n END AS rank FROM scored LEFT JOIN ranked USING (doc_id)
+"""
+
+
 def oracle_sql():
-    return {"op3_decontaminate": OP3_SQL, "op6_line_dedup": OP6_SQL, "op7_url_filter": OP7_SQL}
+    return {"op12_clustering": _clusters_sql(), "op13_resampling": OP13_SQL,
+            "op3_decontaminate": OP3_SQL, "op6_line_dedup": OP6_SQL, "op7_url_filter": OP7_SQL}

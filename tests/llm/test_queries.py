@@ -15,7 +15,7 @@ SF = "/root/testdata/sf0.001"
 
 def test_all_are_registered():
     names = [n for n in e.queries() if n.startswith("op") or n == "pipeline"]
-    assert sorted(n.split("_")[0] for n in names) == sorted(["pipeline"] + [f"op{k}" for k in range(1, 11)])
+    assert sorted(n.split("_")[0] for n in names) == sorted(["pipeline"] + [f"op{k}" for k in range(1, 14)])
     assert set(llm.oracle_sql()) < set(llm.queries())
 
 
