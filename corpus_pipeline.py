@@ -37,8 +37,8 @@ def line_stage(spark, docs, sf_dir):
 
 
 def near_duplicate_stage(spark, docs, sf_dir):
-    """Of documents linked by SimHash or by 0.8 of their five-word shingles, the one of smallest id stays."""
-    return drop_near_duplicates(docs, share=0.8)
+    """Of documents linked by SimHash (three-word shingles, 3 bits), the one of smallest id stays."""
+    return drop_near_duplicates(docs)
 
 
 def decontamination_stage(spark, docs, sf_dir):
