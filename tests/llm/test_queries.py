@@ -6,7 +6,7 @@ import __spark_entry__ as e
 import check_oracle
 import corpus_pipeline
 from barworks.llm import queries as llm
-from test_decontaminate import WORD, brute as brute_hits
+from test_decontaminate import WORD
 from test_line_dedup import brute as brute_lines
 from test_simhash import brute_classes, brute_fingerprint, signed
 
@@ -25,47 +25,58 @@ def test_query_matches_sql(spark, name):
     assert ok, note
 
 
+def lowered(text):
+    return "".join(c.lower() if "A" <= c <= "Z" else c for c in text)
+
+
 def decontaminated(text, items):
-    """The text without its hit passages of ten words or more, or None where most of it is hit."""
-    n, hit, _ = brute_hits(text, items)
-    if hit > 0.5 * n:
-        return None
+    """The text without its hit passages of ten words or more, or of a whole shorter item; None where most of it is hit."""
+    windows = set()
+    for _, t in items:
+        i = WORD.findall(lowered(t or ""))
+        n = min(10, len(i))
+        windows |= {tuple(i[k:k + n]) for k in range(len(i) - n + 1)} if n else set()
+    sizes, first = sorted({len(w) for w in windows}), True
     while True:
-        words = list(WORD.finditer("".join(c.lower() if "A" <= c <= "Z" else c for c in text)))
-        hits = np.zeros(len(words), bool)
-        for k in range(len(words)):
-            part = " ".join(w[0] for w in words[k:k + 10])
-            hits[k:k + 10] |= brute_hits(part, items)[1] == 10
-        if not hits.any():
+        words = list(WORD.finditer(lowered(text)))
+        plain, hits, whole = [w[0] for w in words], np.zeros(len(words) + 1, bool), np.zeros(len(words) + 1, bool)
+        for n in sizes:
+            for k in range(len(words) - n + 1):
+                if tuple(plain[k:k + n]) in windows:
+                    hits[k:k + n] = True
+                    whole[k] |= n < 10
+        if first and hits.sum() > 0.5 * len(words):
+            return None
+        edges, first = np.flatnonzero(np.diff(np.concatenate([[False], hits]).astype(int))), False
+        cuts = [(a, b) for a, b in zip(edges[::2], edges[1::2]) if b - a >= 10 or whole[a:b].any()]
+        if not cuts:
             return text
-        for stop in sorted(np.flatnonzero(hits & ~np.append(hits[1:], False)), reverse=True):
-            start = stop
-            while start and hits[start - 1]:
-                start -= 1
-            text = text[:words[start].start()] + text[words[stop].end():]
+        for a, b in reversed(cuts):
+            text = text[:words[a].start()] + text[words[b - 1].end():]
 
 
 def test_pipeline_against_brute_force(spark, written):
-    """The classifier's verdicts are taken from its query's operator; the other stages are worked out anew."""
-    docs = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    """The classifier's verdicts are taken from its query's operator; the other stages are worked out anew.
+
+    Items of fewer than ten words, taken from the documents, are added to the benchmark.
+    """
+    given = spark.read.parquet(f"{SF}/documents.parquet")
+    docs = {r.doc_id: r.text for r in given.collect()}
     items = [tuple(r) for r in spark.read.parquet(f"{SF}/benchmark.parquet").select("item_id", "text").collect()]
-    items = [(k, t) for k, t in items if len(WORD.findall(t)) >= 10]
-    good = {r.doc_id for r in llm.op2_quality(spark, SF).filter("predicted = 1").collect()}
+    long = [WORD.findall(t) for t in docs.values() if len(WORD.findall(t)) > 60]
+    items += [(10_000 + k, " ".join(long[k][20:20 + n])) for k, n in enumerate((4, 6, 9, 7))] + [(10_009, None), (10_010, "")]
+    folder = written(documents=given, labels=spark.read.parquet(f"{SF}/labels.parquet"), benchmark=spark.createDataFrame(items, "item_id bigint, text string"))
+    good = {r.doc_id for r in llm.op2_quality(spark, folder).filter("predicted = 1").collect()}
     rows = [(d, n) for d, _, _, n in brute_lines([(d, t) for d, t in docs.items() if d in good])]
     fps = {t: signed(brute_fingerprint(t)) for _, t in rows}
     classes, least = brute_classes(set(fps.values())), {}
     for d, t in rows:
         least[classes[fps[t]]] = min(d, least.get(classes[fps[t]], d))
-    words = {w for _, t in items for w in WORD.findall(t.lower())}
-    want = {}
-    for d, t in rows:
-        if d in least.values():
-            maybe = sum(w in words for w in WORD.findall(t.lower())) >= 10
-            clean = decontaminated(t, items) if maybe else t
-            if clean is not None:
-                want[d] = clean
+    kept = [(d, t) for d, t in rows if d in least.values()]
+    want = {d: clean for d, t in kept if (clean := decontaminated(t, items)) is not None}
+    assert sum(want.get(d) != t for d, t in kept) > 4
     library = Tokenizer.from_file(llm.vocabulary_path())
-    out = corpus_pipeline.run(spark, SF).collect()
+    out = corpus_pipeline.run(spark, folder).collect()
     assert {r.doc_id: r.text for r in out} == want
     for r in out:
         assert r.n_chars == len(r.text) and np.frombuffer(r.ids, "<u4").tolist() == library.encode(r.text, add_special_tokens=False).ids
