@@ -17,7 +17,8 @@ import oracle_queries  # noqa: E402
 from barworks.operators import analytics, contracts, dims, gold, incremental, quality, silver, summary, upsert  # noqa: E402
 from barworks.operators.ranks import volume_rank  # noqa: E402
 from barworks.plans import sql as sql_plans  # noqa: E402
-from barworks.plans.load import load_batch  # noqa: E402
+from barworks.plans.gaps import GapTable  # noqa: E402
+from barworks.plans.load import load_batch, run_incremental  # noqa: E402
 from barworks.plans.medallion import run_medallion  # noqa: E402
 from barworks.plans.state import WatermarkTable  # noqa: E402
 from barworks.plans.tables import to_fact, upsert_table  # noqa: E402
@@ -27,7 +28,7 @@ from barworks.sources import (  # noqa: E402
     bars_from_ticks, create_star_schema, list_tables, normalize_bars, read_fact, resample_bars,
     run_sql, scan_bronze, table_counts, union_frames, with_bar_metrics,
 )
-from barworks.streaming import stream_daily_bars, stream_ingest  # noqa: E402
+from barworks.streaming import stream_daily_bars, stream_ingest, stream_late_ticks  # noqa: E402
 
 BAR_OUT = [*BAR_KEY, *PRICES, "volume"]
 GOLD_OUT = [*BAR_KEY, "close_price", "ma_7d", "ma_30d", "daily_return_pct", "volatility_30d", "volume_rank"]
@@ -338,12 +339,41 @@ def run_metrics(spark, sf):
 
 
 def watermark_table(spark, sf):
-    """The stored watermarks after a load with dirt: they stop before the first bad day."""
+    """The stored watermarks after a load with dirt: bad days are passed, as gaps."""
     base = scratch_path(spark, "dirty-load")
     _load_dirt(spark, sf, base)
     return WatermarkTable(spark, f"{base}/state").read()
 
 
+def gap_watermarks(spark, sf):
+    """Three loads of a feed with bad days: they read the new days and the open gaps. Between the last two the gaps
+    of one exchange before 1995 are given up, and the feed corrects every other bad day."""
+    base = scratch_path(spark, "gap-loads")
+    bars = _written(fx.fact_bars(spark, sf))
+    days = F.datediff("trade_date", _day("1992-01-01"))
+    bad = (F.substring("symbol", 2, 9).cast("bigint") * 31 + days) % 17 < 2
+
+    def load(as_of, still_bad):
+        feed = bars.withColumn("close_price", F.when(still_bad, -F.col("close_price")).otherwise(F.col("close_price")))
+        run_incremental(spark, feed, f"{base}/fact", f"{base}/state", as_of, period="max",
+                        quarantine_path=f"{base}/quarantine", metrics_path=f"{base}/metrics")
+
+    gaps = GapTable(spark, f"{base}/state")
+    load("1994-01-01", bad)
+    load("1996-01-01", bad)
+    gaps.release(bars.filter("exchange_code = 'BSE'").select(*LISTING).distinct(), last="1994-12-31")
+    load("1998-01-01", bad & (days % 2 == 0))
+    marks = WatermarkTable(spark, f"{base}/state").read().join(gaps.read(), LISTING, "left")
+    spans = F.transform("gaps", lambda g: F.concat_ws("/", g["first"].cast("string"), g["last"].cast("string")))
+    listings = marks.select(*LISTING, F.col("watermark").cast("string").alias("watermark"),
+                            F.coalesce(F.array_join(spans, ","), F.lit("")).alias("gaps"),
+                            *[F.lit(None).cast("bigint").alias(c) for c in ("rows_in", "rows_quarantined", "rows_updated")])
+    runs = spark.read.parquet(f"{base}/metrics").select(
+        F.concat(F.lit("load "), "batch_id").alias("symbol"), F.lit("").alias("exchange_code"), F.lit(None).cast("string").alias("watermark"),
+        F.lit("").alias("gaps"), "rows_in", "rows_quarantined", "rows_updated")
+    return listings.unionByName(runs)
+
+
 # ---- streaming ---------------------------------------------------------------
 
 def stream_ingest_query(spark, sf):
@@ -385,6 +415,39 @@ def stream_daily_bars_query(spark, sf):
     return fx.plain(read_fact(spark, f"{base}/bars"), *BAR_OUT)
 
 
+def _arriving(spark, sf, base):
+    schema = fx.arriving_ticks(spark, sf, f"{base}/ticks")
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", fx.ARRIVAL_FILES).parquet(f"{base}/ticks")
+
+
+def stream_ticks_replayed(spark, sf):
+    """Bars of a feed that delivers a third of its ticks twice and a few of them weeks late."""
+    base = scratch_path(spark, "stream-replayed")
+    stream_daily_bars(spark, _arriving(spark, sf, base), "ts", "px", "event_id", f"{base}/bars", f"{base}/checkpoint",
+                      watermark="7 days", tick_id="event_id").awaitTermination()
+    return fx.plain(read_fact(spark, f"{base}/bars"), *BAR_OUT)
+
+
+def stream_late_ticks_query(spark, sf):
+    """What of the same feed came too late, by the micro-batch it came with."""
+    base = scratch_path(spark, "stream-late")
+    stream_late_ticks(spark, _arriving(spark, sf, base), "ts", f"{base}/late", f"{base}/checkpoint", watermark="7 days").awaitTermination()
+    return spark.read.parquet(f"{base}/late").select("event_id", "symbol", "exchange_code", F.col("batch_id").cast("bigint").alias("batch_id"))
+
+
+def stream_metrics(spark, sf):
+    """One stored row for each micro-batch of bar files: four files of a year each, one file a batch, some bars negative."""
+    base = scratch_path(spark, "stream-metrics")
+    bars = _written(fx.lineitem_bars(spark, sf).filter(F.year("trade_date").between(1993, 1996)))
+    feed = fx.raw_feed(bars).drop("Dividends").withColumn("Low", F.when(F.col("Volume") % 10 == 0, -F.col("Low")).otherwise(F.col("Low")))
+    for year in range(1993, 1997):
+        feed.filter(F.year("Date") == year).coalesce(1).write.mode("append").parquet(f"{base}/in")
+    stream_ingest(spark, f"{base}/in", f"{base}/fact", f"{base}/state", f"{base}/checkpoint", quarantine_path=f"{base}/quarantine",
+                  max_files_per_trigger=1, metrics_path=f"{base}/metrics").awaitTermination()
+    return spark.read.parquet(f"{base}/metrics").select(
+        "batch_id", "rows_in", "rows_quarantined", "rows_loaded", "rows_inserted", "rows_updated", "status")
+
+
 # ---- registry ----------------------------------------------------------------
 
 def entry(spark: SparkSession) -> DataFrame:
@@ -465,6 +528,7 @@ def _own_queries():
         "load_quarantine": load_quarantine,
         "watermark_table": watermark_table,
         "run_metrics": run_metrics,
+        "gap_watermarks": gap_watermarks,
         "gold_refresh": gold_refresh,
         "dim_date": lambda s, sf: fx.plain(dims.dim_date_covering(fx.lineitem_bars(s, sf)).drop("is_month_end", "is_quarter_end")),
         "dim_date_flags": lambda s, sf: dims.dim_date_covering(fx.lineitem_bars(s, sf)).select("date_key", "is_month_end", "is_quarter_end"),
@@ -494,6 +558,9 @@ def _own_queries():
         "incremental_gold": incremental_gold_query,
         "stream_ingest": stream_ingest_query,
         "stream_daily_bars": stream_daily_bars_query,
+        "stream_ticks_replayed": stream_ticks_replayed,
+        "stream_late_ticks": stream_late_ticks_query,
+        "stream_metrics": stream_metrics,
     }
 
 

@@ -4,6 +4,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from barworks.functions.dates import date_bounded, safe_date
+from barworks.operators.gaps import gap_days
 from barworks.schemas import LISTING
 
 # Load periods, as (unit, amount) back from the reference day.
@@ -35,8 +36,8 @@ def period_extract(bars, as_of, period="1mo"):
     return date_bounded(bars, None if PERIODS[period] is None else start, as_of)
 
 
-def incremental_extract(bars, state, as_of, period="max", lookback_days=0):
-    """Rows after each listing's watermark and before ``as_of``.
+def incremental_extract(bars, state, as_of, period="max", lookback_days=0, gaps=None):
+    """Rows after each listing's watermark and before ``as_of``, and those of its open gaps.
 
     A listing without a watermark takes the whole ``period``. ``lookback_days``
     re-reads that many days before the watermark to pick up late corrections.
@@ -44,7 +45,8 @@ def incremental_extract(bars, state, as_of, period="max", lookback_days=0):
     The scan is bounded by ``as_of`` and, unless the period is the whole
     history, by the oldest day any listing can still need: a scalar subquery
     that skips months and row groups. The state is joined without a broadcast
-    hint because it grows with the number of listings.
+    hint because it grows with the number of listings. ``gaps`` (symbol, exchange_code,
+    intervals) is a second, narrow branch: its scan is bounded by the first and the last open day.
     """
     as_of = F.lit(as_of).cast("date")
     marks = state.select(*LISTING, safe_date("watermark").alias("_mark"))
@@ -57,7 +59,13 @@ def incremental_extract(bars, state, as_of, period="max", lookback_days=0):
     fresh = F.when(F.col("_mark").isNotNull(), F.col("trade_date") > F.col("_mark")).otherwise(
         F.coalesce(F.col("trade_date") >= start, F.lit(True)))
     candidates = date_bounded(bars, oldest, F.date_sub(as_of, 1))
-    return candidates.join(marks, LISTING, "left").filter(fresh).drop("_mark")
+    new = candidates.join(marks, LISTING, "left").filter(fresh).drop("_mark")
+    if gaps is None:
+        return new
+    days = gap_days(gaps)
+    between = date_bounded(bars, days.agg(F.min("trade_date")).scalar(), days.agg(F.max("trade_date")).scalar())
+    missed = between.join(days, [*LISTING, "trade_date"], "left_semi").join(marks, LISTING, "left").filter(~fresh).drop("_mark")
+    return new.unionByName(missed.filter(F.col("trade_date") < as_of))
 
 
 def watermark_candidates(loaded):

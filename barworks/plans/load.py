@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from barworks.operators.contracts import row_contract_bars, split_valid
 from barworks.operators.incremental import incremental_extract, period_extract
 from barworks.operators.quality import bar_suite, enforce
+from barworks.plans.gaps import GapTable, set_aside
 from barworks.plans.medallion import refresh_gold
 from barworks.plans.state import WatermarkTable
 from barworks.plans.tables import to_fact, upsert_table
@@ -67,11 +68,11 @@ def _load(spark, bars, fact_path, state_path, quarantine_path, batch_id, checks,
     The batch is written once to the shared folder and read back from there by
     every later step. With a ``quarantine_path``, rows that break a contract are
     set aside and the rest is loaded; without one, the quality suite sees every
-    row and a critical failure stops the load. Quarantined rows lie under
-    ``batch_id`` and a digest of themselves: a replay writes the same place, other
-    rows of the same name go beside them. The watermark moves only after
-    the upsert, so a run that dies in between is simply repeated, and it stops before
-    the first quarantined day of a listing, so that a corrected row is read. With a
+    row and a critical failure stops the load. Quarantined rows are kept once each, by
+    their content (see :func:`barworks.plans.gaps.set_aside`). The watermark moves only after
+    the upsert, so a run that dies in between is simply repeated. A day of which only
+    bad rows came is recorded as a gap before the watermark passes it: later runs read it again,
+    until a good row closes it or ``GapTable.release`` gives it up. With a
     ``gold_path``, the gold rows that the batch affects are brought up to date
     before the watermark moves. ``listed`` is a function of the session that
     gives the listing dimension of everything loaded so far (symbol,
@@ -97,7 +98,7 @@ def _load(spark, bars, fact_path, state_path, quarantine_path, batch_id, checks,
         if quarantine_path is not None and sizes["bad"]:
             good, bad = split_valid(checked)
             bad_rows = sizes["bad"]
-            bad.write.mode("overwrite").parquet(f"{quarantine_path}/batch_id={batch_id}/rows={sizes['digest']}")
+            set_aside(spark, bad, quarantine_path, batch_id, sizes["digest"])
         results = enforce(good, bar_suite() if checks is None else checks, "bar_load")
         if dry_run:
             return LoadResult(sizes["all"], 0, bad_rows, [], results, time.time() - started, message="dry run")
@@ -107,20 +108,17 @@ def _load(spark, bars, fact_path, state_path, quarantine_path, batch_id, checks,
             known = None if listed is None else _with_new_listings(listed(spark), good)
             refresh_gold(spark, fact_path, gold_path, good.select(*BAR_KEY), lookback_days, known)
         if state_path is not None:
-            WatermarkTable(spark, state_path).advance(good if bad is None else before_first(good, bad))
+            GapTable(spark, state_path).settle(good, bad)
+            WatermarkTable(spark, state_path).advance(good if bad is None else seen_days(good, bad))
         return LoadResult(sizes["all"], sizes["all"] - bad_rows, bad_rows, months, results, time.time() - started,
                           rows_inserted=counts.get("inserted", 0), rows_updated=counts.get("updated", 0))
     finally:
         delete_path(spark, stage)
 
 
-def before_first(good, bad):
-    """The good rows of each listing that come before its first bad day.
-
-    Bad rows without a symbol or a date hold nothing back: they name no listing or day.
-    """
-    held = bad.filter("symbol IS NOT NULL AND trade_date IS NOT NULL").groupBy(*LISTING).agg(F.min("trade_date").alias("_held"))
-    return good.join(held, LISTING, "left").filter(F.coalesce(F.col("trade_date") < F.col("_held"), F.lit(True))).drop("_held")
+def seen_days(good, bad):
+    """The days a batch brought, taken or not; bad rows without a symbol or a date name none."""
+    return good.select(*BAR_KEY).unionByName(bad.filter("symbol IS NOT NULL AND trade_date IS NOT NULL").select(*BAR_KEY))
 
 
 def _with_new_listings(listed, batch):
@@ -134,12 +132,12 @@ def run_incremental(spark, feed, fact_path, state_path, as_of, period="1mo", inc
                     reread_days=0, **options):
     """Extract what is new in ``feed`` (or a whole period) and load it.
 
-    The batch is named after ``as_of``; repeating a run on the same rows leaves
-    one copy of what it quarantines, on other rows both.
+    A run reads the days after each listing's watermark and its open gaps. The batch is
+    named after ``as_of``.
     """
     if incremental:
-        state = WatermarkTable(spark, state_path).read()
-        batch = incremental_extract(feed, state, as_of, period, reread_days)
+        state, gaps = WatermarkTable(spark, state_path).read(), GapTable(spark, state_path).read()
+        batch = incremental_extract(feed, state, as_of, period, reread_days, gaps)
     else:
         batch = period_extract(feed, as_of, period)
     options.setdefault("batch_id", str(as_of))

@@ -101,3 +101,11 @@ WATERMARK_LOG = T.StructType([
     T.StructField("epoch", T.LongType()),
     T.StructField("watermark", T.DateType()),
 ])
+
+GAP_LOG = T.StructType([
+    T.StructField("symbol", T.StringType()),
+    T.StructField("exchange_code", T.StringType()),
+    T.StructField("trade_date", T.DateType()),
+    T.StructField("turn", T.LongType()),
+    T.StructField("is_open", T.BooleanType()),
+])

@@ -161,3 +161,22 @@ def date_slices(bars, cuts):
         wanted += [F.col("trade_date") < F.lit(hi).cast("date")] if hi else []
         slices.append(bars.filter(reduce(lambda a, b: a & b, wanted)))
     return slices
+
+
+ARRIVALS, ARRIVAL_FILES = 5, 4
+
+
+def arriving_ticks(spark, sf_dir, path):
+    """The event ticks as files of five arrivals of six days each, one micro-batch each with ARRIVAL_FILES files a trigger.
+
+    Every third tick arrives again with the next arrival; every 50th of the first six days is
+    withheld until the last one. Returns the schema.
+    """
+    ticks = event_ticks(spark, sf_dir).drop("trade_date")
+    own = F.least(F.floor((F.dayofmonth("ts") - 1) / 6), F.lit(ARRIVALS - 1))
+    withheld = (own == 0) & (F.col("event_id") % 50 == 0)
+    for arrival in range(ARRIVALS):
+        again = (own == arrival - 1) & (F.col("event_id") % 3 == 0)
+        part = ticks.filter(~withheld & ((own == arrival) | again) | (withheld & F.lit(arrival == ARRIVALS - 1)))
+        part.repartition(ARRIVAL_FILES).write.mode("append").parquet(path)
+    return ticks.schema

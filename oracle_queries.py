@@ -421,12 +421,47 @@ def oracle_sql(tables):
     out["ctas_silver"] = out["silver_sql"]
     out["load_quarantine"] = f"""WITH {CONTRACT} SELECT coalesce(symbol, 'none') AS symbol, exchange_code,
         coalesce(CAST(trade_date AS VARCHAR), 'none') AS trade_date, CAST(copy AS BIGINT) AS late_copy, violations FROM contract WHERE violations <> ''"""
-    out["watermark_table"] = f"""WITH {CONTRACT},
-        held AS (SELECT symbol, exchange_code, min(trade_date) AS first_bad FROM contract
-          WHERE violations <> '' AND symbol IS NOT NULL AND trade_date IS NOT NULL GROUP BY 1, 2)
-        SELECT c.symbol, c.exchange_code, max(trade_date) AS watermark FROM contract c
-          LEFT JOIN held h ON c.symbol = h.symbol AND c.exchange_code = h.exchange_code
-          WHERE violations = '' AND (first_bad IS NULL OR trade_date < first_bad) GROUP BY 1, 2"""
+    # Five arrivals of six days; a third of the ticks comes again with the next one, a few of the first only with the last.
+    arrivals = """own AS (SELECT *, least(CAST(floor((day(ts) - 1) / 6) AS BIGINT), 4) AS slot FROM events),
+        marked AS (SELECT *, slot = 0 AND event_id % 50 = 0 AS withheld FROM own),
+        arriving AS (SELECT *, CASE WHEN withheld THEN 4 ELSE slot END AS batch_id FROM marked
+          UNION ALL SELECT *, slot + 1 FROM marked WHERE NOT withheld AND event_id % 3 = 0 AND slot < 4)"""
+    listed = "event_type AS symbol, CASE WHEN user_id % 2 = 0 THEN 'NSE' ELSE 'BSE' END AS exchange_code"
+    out["stream_ticks_replayed"] = f"""WITH {arrivals}, t AS (SELECT {listed}, CAST(ts AS DATE) AS trade_date,
+            CAST(value AS DECIMAL(12,2)) AS px, event_id FROM marked WHERE NOT withheld)
+        SELECT symbol, exchange_code, trade_date, {d('arg_min(px, event_id)')} AS open_price, {d('max(px)')} AS high_price,
+          {d('min(px)')} AS low_price, {d('arg_max(px, event_id)')} AS close_price, count(*) AS volume FROM t GROUP BY 1, 2, 3"""
+    out["stream_late_ticks"] = f"""WITH {arrivals},
+        latest AS (SELECT batch_id, max(date_trunc('millisecond', ts)) AS latest FROM arriving GROUP BY 1)
+        SELECT event_id, {listed}, batch_id FROM arriving a
+        WHERE ts <= (SELECT max(latest) FROM latest l WHERE l.batch_id < a.batch_id) - INTERVAL 7 DAY"""
+    out["stream_metrics"] = f"""WITH {BARS}, year AS (SELECT CAST(year(trade_date) - 1993 AS VARCHAR) AS batch_id, count(*) AS rows_in,
+            count(*) FILTER (WHERE volume % 10 = 0) AS bad FROM bars WHERE year(trade_date) BETWEEN 1993 AND 1996 GROUP BY 1)
+        SELECT batch_id, rows_in, bad AS rows_quarantined, rows_in - bad AS rows_loaded, rows_in - bad AS rows_inserted, 0 AS rows_updated, 'OK' AS status FROM year"""
+    out["watermark_table"] = f"""WITH {CONTRACT} SELECT symbol, exchange_code, max(trade_date) AS watermark FROM contract
+        WHERE symbol IS NOT NULL AND trade_date IS NOT NULL GROUP BY 1, 2"""
+    # A load reads what is new and what is still open: open days stay bad until given up or corrected.
+    bad = "(CAST(substr(symbol, 2) AS BIGINT) * 31 + date_diff('day', DATE '1992-01-01', trade_date)) % 17 < 2"
+    out["gap_watermarks"] = f"""WITH {FACT}, f AS (
+          SELECT symbol, exchange_code, trade_date, {bad} AS bad, date_diff('day', DATE '1992-01-01', trade_date) % 2 = 0 AS stays,
+            exchange_code = 'BSE' AND trade_date <= DATE '1994-12-31' AS given_up FROM fact WHERE trade_date < DATE '1998-01-01'),
+        open AS (SELECT *, trade_date - CAST(row_number() OVER (PARTITION BY symbol, exchange_code ORDER BY trade_date) AS INTEGER) AS island
+          FROM f WHERE bad AND NOT (given_up AND trade_date < DATE '1996-01-01') AND stays),
+        spans AS (SELECT symbol, exchange_code, CAST(min(trade_date) AS VARCHAR) || '/' || CAST(max(trade_date) AS VARCHAR) AS span
+          FROM open GROUP BY symbol, exchange_code, island),
+        gaps AS (SELECT symbol, exchange_code, string_agg(span, ',' ORDER BY span) AS gaps FROM spans GROUP BY 1, 2),
+        marks AS (SELECT symbol, exchange_code, CAST(max(trade_date) AS VARCHAR) AS watermark FROM f GROUP BY 1, 2),
+        runs AS (
+          SELECT 'load 1994-01-01' AS symbol, count(*) AS rows_in, count(*) FILTER (WHERE bad) AS rows_quarantined FROM f WHERE trade_date < DATE '1994-01-01'
+          UNION ALL
+          SELECT 'load 1996-01-01', count(*), count(*) FILTER (WHERE bad) FROM f
+            WHERE trade_date < DATE '1996-01-01' AND (trade_date >= DATE '1994-01-01' OR bad)
+          UNION ALL
+          SELECT 'load 1998-01-01', count(*), count(*) FILTER (WHERE bad AND stays) FROM f
+            WHERE trade_date >= DATE '1996-01-01' OR (bad AND NOT given_up))
+        SELECT symbol, exchange_code, watermark, coalesce(gaps, '') AS gaps, CAST(NULL AS BIGINT) AS rows_in, CAST(NULL AS BIGINT) AS rows_quarantined,
+          CAST(NULL AS BIGINT) AS rows_updated FROM marks LEFT JOIN gaps USING (symbol, exchange_code)
+        UNION ALL SELECT symbol, '', NULL, '', rows_in, rows_quarantined, 0 FROM runs"""
     totals = """count(*) AS rows_in, count(*) FILTER (WHERE violations <> '') AS rows_quarantined"""
     keys = "count(DISTINCT row(symbol, exchange_code, trade_date)) FILTER (WHERE violations = '')"
     out["run_metrics"] = f"""WITH {CONTRACT} SELECT 'run-1' AS batch_id, {totals}, {keys} AS rows_inserted, 0 AS rows_updated, 'OK' AS status FROM contract

@@ -5,9 +5,11 @@ from pyspark.sql import functions as F
 
 import market_fixtures as fx
 from barworks.operators import dims, incremental, upsert
+from barworks.operators import gaps as gap_ops
 from barworks.operators.quality import QualityGateError
 from barworks.plans import sql as sql_plans
 from barworks.plans import tables
+from barworks.plans.gaps import GapTable
 from barworks.plans.load import load_batch, run_incremental
 from barworks.plans.medallion import run_medallion
 from barworks.plans.state import WatermarkTable
@@ -187,16 +189,53 @@ def test_a_quarantined_day_is_read_again_and_nothing_is_overwritten(spark, tmp_p
                                      *args, as_of="2024-01-05", period="max", quarantine_path=q)
     assert run(first).rows_quarantined == 1
     marks = {r.symbol: r.watermark for r in WatermarkTable(spark, args[1]).read().collect()}
-    assert marks == {"A": dt.date(2024, 1, 1), "B": dt.date(2024, 1, 3)}
+    assert marks == {"A": dt.date(2024, 1, 3), "B": dt.date(2024, 1, 3)}
+    assert [(r.symbol, r.gaps) for r in GapTable(spark, args[1]).read().collect()] == [("A", [(dt.date(2024, 1, 2), dt.date(2024, 1, 2))])]
     assert run(first).rows_quarantined == 1 and spark.read.parquet(q).count() == 1
     mended = dated(spark, [("A", "2024-01-02", 2.0, "6"), ("A", "2024-01-03", 1.0, "5"), ("B", "2024-01-03", 1.0, "5")])
     result = run(mended)
-    assert (result.rows_inserted, result.rows_updated, result.rows_quarantined) == (1, 1, 0) and spark.read.parquet(q).count() == 1
+    assert (result.rows_inserted, result.rows_updated, result.rows_quarantined) == (1, 0, 0) and spark.read.parquet(q).count() == 1
     assert read_fact(spark, args[0]).count() == 4
-    assert WatermarkTable(spark, args[1]).get("A", "NSE") == dt.date(2024, 1, 3)
+    assert WatermarkTable(spark, args[1]).get("A", "NSE") == dt.date(2024, 1, 3) and GapTable(spark, args[1]).days().isEmpty()
     assert run(dated(spark, [("A", "2024-01-04", 1.0, "y")])).rows_quarantined == 1 and spark.read.parquet(q).count() == 2
 
 
+def test_a_bad_day_holds_back_only_itself(spark, tmp_path):
+    """Loads of 3, 6 and 9 days with one bad day read the new days and the gap, and keep the bad row once."""
+    q, args = str(tmp_path / "q"), (str(tmp_path / "fact"), str(tmp_path / "state"))
+    feed = lambda bad: dated(spark, [("A", f"2024-01-{k:02}", 1.0, "x" if k in bad else "5") for k in range(1, 13)]).withColumn(
+        "exchange_code", F.lit("NSE")).withColumn("trade_date", F.col("trade_date").cast("date"))
+    run = lambda bad, to: run_incremental(spark, feed(bad), *args, as_of=f"2024-01-{to:02}", period="max", quarantine_path=q)
+    results = [run({2}, to) for to in (4, 7, 10)]
+    assert [r.rows_in for r in results] == [3, 4, 4] and [r.rows_updated for r in results] == [0, 0, 0]
+    assert spark.read.parquet(q).count() == 1
+    gaps = GapTable(spark, args[1])
+    # A correction that is bad again opens no second gap; a day of good rows that turns bad does.
+    assert run({2, 10, 11}, 13).rows_quarantined == 3
+    assert [r.gaps for r in gaps.read().collect()] == [[(dt.date(2024, 1, 2), dt.date(2024, 1, 2)), (dt.date(2024, 1, 10), dt.date(2024, 1, 11))]]
+    gaps.release(first="2024-01-11")
+    assert run({11}, 13).rows_in == 2 and gaps.days().isEmpty()
+    assert run({11}, 13).rows_in == 0 and read_fact(spark, args[0]).count() == 11
+    WatermarkTable(spark, args[1]).reset()
+    assert run(set(), 13).rows_in == 12
+    gaps.release(spark.createDataFrame([("A", "NSE")], "symbol string, exchange_code string"))
+    assert gaps.days().isEmpty()
+
+
+def test_gaps_are_read_once_and_within_bounds(spark, plan):
+    days = lambda *d: spark.createDataFrame([("A", "NSE", dt.date(2024, 1, k)) for k in d], "symbol string, exchange_code string, trade_date date")
+    bars, state = days(*range(1, 15)), incremental.watermark_candidates(days(8))
+    gaps = gap_ops.as_intervals(days(2, 3, 5, 8))
+    assert gaps.first().gaps == [(dt.date(2024, 1, 2), dt.date(2024, 1, 3)), (dt.date(2024, 1, 5),) * 2, (dt.date(2024, 1, 8),) * 2]
+    read = lambda **o: sorted(r.trade_date.day for r in incremental.incremental_extract(bars, state, "2024-01-11", gaps=gaps, **o).collect())
+    assert read() == [2, 3, 5, 8, 9, 10]
+    assert read(lookback_days=4) == [2, 3, 5, 6, 7, 8, 9, 10]
+    assert read(period="5d") == [2, 3, 5, 8, 9, 10]
+    assert [r.trade_date.day for r in incremental.incremental_extract(bars, state.limit(0), "2024-01-11", period="5d", gaps=gaps).orderBy("trade_date").collect()] == [2, 3, 5, 6, 7, 8, 9, 10]
+    after = gap_ops.gap_advance(days(2, 3, 5, 8), days(3, 9), days(9, 10).withColumn("symbol", F.when(F.col("trade_date") < "2024-01-20", F.col("symbol"))))
+    assert sorted(r.trade_date.day for r in after.collect()) == [2, 5, 8, 10]
+
+
 def test_torn_first_loads_are_repeated(spark, bars, rows, tmp_path):
     path = str(tmp_path / "fact")
     (tmp_path / "fact" / "_temporary" / "0").mkdir(parents=True)
@@ -234,7 +273,7 @@ def test_load_batch_moves_the_watermark_only_after_success(spark, bars, tmp_path
     bad = bars.filter("symbol = 'S1'").count()
     assert (result.rows_in, result.rows_quarantined, result.rows_loaded) == (bars.count(), bad, bars.count() - bad)
     assert spark.read.parquet(str(tmp_path / "q" / "batch_id=7")).count() == bad
-    assert WatermarkTable(spark, s).read().count() == 18
+    assert WatermarkTable(spark, s).read().count() == 20 and GapTable(spark, s).days().count() == bad
     assert load_batch(spark, bars.limit(0), f, s).rows_in == 0
     assert load_batch(spark, bars, f, s, dry_run=True).rows_loaded == 0
     assert read_fact(spark, f).count() == bars.count() - bad
