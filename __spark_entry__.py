@@ -347,7 +347,7 @@ def watermark_table(spark, sf):
 
 def gap_watermarks(spark, sf):
     """Three loads of a feed with bad days: they read the new days and the open gaps. Between the last two the gaps
-    of one exchange before 1995 are given up, and the feed corrects every other bad day."""
+    of one exchange before 1998 are given up, and the feed corrects every other bad day."""
     base = scratch_path(spark, "gap-loads")
     bars = _written(fx.fact_bars(spark, sf))
     days = F.datediff("trade_date", _day("1992-01-01"))
@@ -359,10 +359,10 @@ def gap_watermarks(spark, sf):
                         quarantine_path=f"{base}/quarantine", metrics_path=f"{base}/metrics")
 
     gaps = GapTable(spark, f"{base}/state")
-    load("1994-01-01", bad)
-    load("1996-01-01", bad)
-    gaps.release(bars.filter("exchange_code = 'BSE'").select(*LISTING).distinct(), last="1994-12-31")
-    load("1998-01-01", bad & (days % 2 == 0))
+    load("1997-01-01", bad)
+    load("1999-01-01", bad)
+    gaps.release(bars.filter("exchange_code = 'BSE'").select(*LISTING).distinct(), last="1997-12-31")
+    load("2001-01-01", bad & (days % 2 == 0))
     marks = WatermarkTable(spark, f"{base}/state").read().join(gaps.read(), LISTING, "left")
     spans = F.transform("gaps", lambda g: F.concat_ws("/", g["first"].cast("string"), g["last"].cast("string")))
     listings = marks.select(*LISTING, F.col("watermark").cast("string").alias("watermark"),
@@ -438,9 +438,9 @@ def stream_late_ticks_query(spark, sf):
 def stream_metrics(spark, sf):
     """One stored row for each micro-batch of bar files: four files of a year each, one file a batch, some bars negative."""
     base = scratch_path(spark, "stream-metrics")
-    bars = _written(fx.lineitem_bars(spark, sf).filter(F.year("trade_date").between(1993, 1996)))
+    bars = _written(fx.lineitem_bars(spark, sf).filter(F.year("trade_date").between(1996, 1999)))
     feed = fx.raw_feed(bars).drop("Dividends").withColumn("Low", F.when(F.col("Volume") % 10 == 0, -F.col("Low")).otherwise(F.col("Low")))
-    for year in range(1993, 1997):
+    for year in range(1996, 2000):
         feed.filter(F.year("Date") == year).coalesce(1).write.mode("append").parquet(f"{base}/in")
     stream_ingest(spark, f"{base}/in", f"{base}/fact", f"{base}/state", f"{base}/checkpoint", quarantine_path=f"{base}/quarantine",
                   max_files_per_trigger=1, metrics_path=f"{base}/metrics").awaitTermination()

@@ -435,8 +435,8 @@ def oracle_sql(tables):
         latest AS (SELECT batch_id, max(date_trunc('millisecond', ts)) AS latest FROM arriving GROUP BY 1)
         SELECT event_id, {listed}, batch_id FROM arriving a
         WHERE ts <= (SELECT max(latest) FROM latest l WHERE l.batch_id < a.batch_id) - INTERVAL 7 DAY"""
-    out["stream_metrics"] = f"""WITH {BARS}, year AS (SELECT CAST(year(trade_date) - 1993 AS VARCHAR) AS batch_id, count(*) AS rows_in,
-            count(*) FILTER (WHERE volume % 10 = 0) AS bad FROM bars WHERE year(trade_date) BETWEEN 1993 AND 1996 GROUP BY 1)
+    out["stream_metrics"] = f"""WITH {BARS}, year AS (SELECT CAST(year(trade_date) - 1996 AS VARCHAR) AS batch_id, count(*) AS rows_in,
+            count(*) FILTER (WHERE volume % 10 = 0) AS bad FROM bars WHERE year(trade_date) BETWEEN 1996 AND 1999 GROUP BY 1)
         SELECT batch_id, rows_in, bad AS rows_quarantined, rows_in - bad AS rows_loaded, rows_in - bad AS rows_inserted, 0 AS rows_updated, 'OK' AS status FROM year"""
     out["watermark_table"] = f"""WITH {CONTRACT} SELECT symbol, exchange_code, max(trade_date) AS watermark FROM contract
         WHERE symbol IS NOT NULL AND trade_date IS NOT NULL GROUP BY 1, 2"""
@@ -444,21 +444,21 @@ def oracle_sql(tables):
     bad = "(CAST(substr(symbol, 2) AS BIGINT) * 31 + date_diff('day', DATE '1992-01-01', trade_date)) % 17 < 2"
     out["gap_watermarks"] = f"""WITH {FACT}, f AS (
           SELECT symbol, exchange_code, trade_date, {bad} AS bad, date_diff('day', DATE '1992-01-01', trade_date) % 2 = 0 AS stays,
-            exchange_code = 'BSE' AND trade_date <= DATE '1994-12-31' AS given_up FROM fact WHERE trade_date < DATE '1998-01-01'),
+            exchange_code = 'BSE' AND trade_date <= DATE '1997-12-31' AS given_up FROM fact WHERE trade_date < DATE '2001-01-01'),
         open AS (SELECT *, trade_date - CAST(row_number() OVER (PARTITION BY symbol, exchange_code ORDER BY trade_date) AS INTEGER) AS island
-          FROM f WHERE bad AND NOT (given_up AND trade_date < DATE '1996-01-01') AND stays),
+          FROM f WHERE bad AND NOT (given_up AND trade_date < DATE '1999-01-01') AND stays),
         spans AS (SELECT symbol, exchange_code, CAST(min(trade_date) AS VARCHAR) || '/' || CAST(max(trade_date) AS VARCHAR) AS span
           FROM open GROUP BY symbol, exchange_code, island),
         gaps AS (SELECT symbol, exchange_code, string_agg(span, ',' ORDER BY span) AS gaps FROM spans GROUP BY 1, 2),
         marks AS (SELECT symbol, exchange_code, CAST(max(trade_date) AS VARCHAR) AS watermark FROM f GROUP BY 1, 2),
         runs AS (
-          SELECT 'load 1994-01-01' AS symbol, count(*) AS rows_in, count(*) FILTER (WHERE bad) AS rows_quarantined FROM f WHERE trade_date < DATE '1994-01-01'
+          SELECT 'load 1997-01-01' AS symbol, count(*) AS rows_in, count(*) FILTER (WHERE bad) AS rows_quarantined FROM f WHERE trade_date < DATE '1997-01-01'
           UNION ALL
-          SELECT 'load 1996-01-01', count(*), count(*) FILTER (WHERE bad) FROM f
-            WHERE trade_date < DATE '1996-01-01' AND (trade_date >= DATE '1994-01-01' OR bad)
+          SELECT 'load 1999-01-01', count(*), count(*) FILTER (WHERE bad) FROM f
+            WHERE trade_date < DATE '1999-01-01' AND (trade_date >= DATE '1997-01-01' OR bad)
           UNION ALL
-          SELECT 'load 1998-01-01', count(*), count(*) FILTER (WHERE bad AND stays) FROM f
-            WHERE trade_date >= DATE '1996-01-01' OR (bad AND NOT given_up))
+          SELECT 'load 2001-01-01', count(*), count(*) FILTER (WHERE bad AND stays) FROM f
+            WHERE trade_date >= DATE '1999-01-01' OR (bad AND NOT given_up))
         SELECT symbol, exchange_code, watermark, coalesce(gaps, '') AS gaps, CAST(NULL AS BIGINT) AS rows_in, CAST(NULL AS BIGINT) AS rows_quarantined,
           CAST(NULL AS BIGINT) AS rows_updated FROM marks LEFT JOIN gaps USING (symbol, exchange_code)
         UNION ALL SELECT symbol, '', NULL, '', rows_in, rows_quarantined, 0 FROM runs"""
