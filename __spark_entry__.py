@@ -25,7 +25,7 @@ from barworks.plans.tables import to_fact, upsert_table  # noqa: E402
 from barworks.schemas import BAR_KEY, LISTING, PRICES  # noqa: E402
 from barworks.session import scratch_path, write_and_reread  # noqa: E402
 from barworks.sources import (  # noqa: E402
-    bars_from_ticks, create_star_schema, list_tables, normalize_bars, read_fact, resample_bars,
+    bars_from_ticks, create_star_schema, list_tables, normalize_bars, read_fact, read_parts, resample_bars,
     run_sql, scan_bronze, table_counts, union_frames, with_bar_metrics,
 )
 from barworks.streaming import stream_daily_bars, stream_ingest, stream_late_ticks  # noqa: E402
@@ -75,6 +75,22 @@ def union_symbol_frames(spark, sf):
     return union_frames([nse, None, bse]).withColumn("volume", F.coalesce("volume", F.lit(-1)))
 
 
+def file_outcomes(spark, sf):
+    """Bars in a folder for each supplier: two of the folders are empty, one holds no bar files, some are not there."""
+    root = scratch_path(spark, "parts")
+    feed = fx.raw_feed(fx.lineitem_bars(spark, sf)).drop("Dividends")
+    slot = F.upper(F.regexp_extract("ticker", "(?i)(s[0-9]+)", 1))
+    feed.withColumn("slot", slot).filter(~slot.isin("S3", "S5", "S7")).repartition("slot").write.partitionBy("slot").parquet(root)
+    for part in ("S3", "S7"):
+        feed.limit(0).write.parquet(f"{root}/slot={part}")
+    feed.select("ticker").distinct().coalesce(1).write.text(f"{root}/slot=S5")
+    expected = fx.table(spark, sf, "supplier").select(F.concat(F.lit("slot=S"), "s_suppkey").alias("part"))
+    more = spark.range(-2, 0).select(F.concat(F.lit("slot=S"), "id").alias("part"))
+    bars, outcomes = read_parts(spark, root, expected.unionByName(more))
+    total = bars.agg(F.lit("all").alias("part"), F.lit("").alias("status"), F.count(F.lit(1)).alias("row_count"))
+    return outcomes.select("part", "status", "row_count").unionByName(total)
+
+
 def table_list(spark, sf):
     counts = {}
     for name in fx.TABLES:
@@ -216,6 +232,22 @@ def gold_refresh(spark, sf):
     return upsert.merge_rows(old, delta, BAR_KEY).select(*GOLD_OUT)
 
 
+def summary_refresh(spark, sf):
+    """The daily and the sector summary kept up to date by three loads: history, corrections with new days, one listing's day alone."""
+    base = scratch_path(spark, "summary-refresh")
+    bars, dim = _written(fx.fact_bars(spark, sf)), _written(fx.listings(spark, sf))
+    hit = F.col("trade_date").between(_day("1998-03-01"), _day("1998-03-05"))
+    fixed = bars.filter(hit).withColumn("close_price", F.col("close_price") + 1)
+    old, new = fx.date_slices(bars, ["2001-06-01"])
+    one = new.filter("symbol = 'S1'").withColumn("volume", F.col("volume") + 7)
+    summaries = {f"{base}/daily": summary.daily_summary, f"{base}/sector": lambda g: summary.sector_daily_summary(g, dim)}
+    for number, batch in enumerate([old, new.unionByName(fixed), one]):
+        load_batch(spark, batch, f"{base}/fact", f"{base}/state", f"{base}/quarantine", number,
+                   gold_path=f"{base}/gold", lookback_days=90, summaries=summaries)
+    daily = read_fact(spark, f"{base}/daily").withColumnRenamed("exchange_code", "part")
+    return daily.unionByName(read_fact(spark, f"{base}/sector").withColumnRenamed("sector", "part"))
+
+
 def medallion_clean(spark, sf):
     layers = run_medallion(spark, fx.dirty_bronze(spark, sf, more=True), root=scratch_path(spark, "medallion"), contract=True)
     return layers["summary"]
@@ -474,6 +506,7 @@ def _own_queries():
         "normalize_bars": normalize_bars_query,
         "normalize_zoned": normalize_zoned,
         "union_symbol_frames": union_symbol_frames,
+        "file_outcomes": file_outcomes,
         "bars_from_ticks": lambda s, sf: fx.plain(bars_from_ticks(fx.event_ticks(s, sf), "px", "event_id")),
         "resample_weekly": lambda s, sf: resample_bars(fx.typed_bars(s, sf), "1wk"),
         "resample_monthly": lambda s, sf: resample_bars(fx.typed_bars(s, sf), "1mo"),
@@ -530,6 +563,7 @@ def _own_queries():
         "run_metrics": run_metrics,
         "gap_watermarks": gap_watermarks,
         "gold_refresh": gold_refresh,
+        "summary_refresh": summary_refresh,
         "dim_date": lambda s, sf: fx.plain(dims.dim_date_covering(fx.lineitem_bars(s, sf)).drop("is_month_end", "is_quarter_end")),
         "dim_date_flags": lambda s, sf: dims.dim_date_covering(fx.lineitem_bars(s, sf)).select("date_key", "is_month_end", "is_quarter_end"),
         "dim_exchange": dim_exchange,

@@ -47,12 +47,12 @@ def _record(spark, path, batch_id, started, result):
 
 def load_batch(spark, bars, fact_path, state_path=None, quarantine_path=None, batch_id=None,
                checks=None, loaded_at=None, dry_run=False, gold_path=None, lookback_days=None,
-               listed=None, metrics_path=None):
+               listed=None, metrics_path=None, summaries=None):
     """Check a batch of bars and upsert it; with a ``metrics_path`` the outcome, good or bad, is stored as a row there."""
     started = time.time()
     batch_id = uuid.uuid4().hex if batch_id is None else batch_id
     try:
-        result = _load(spark, bars, fact_path, state_path, quarantine_path, batch_id, checks, loaded_at, dry_run, gold_path, lookback_days, listed)
+        result = _load(spark, bars, fact_path, state_path, quarantine_path, batch_id, checks, loaded_at, dry_run, gold_path, lookback_days, listed, summaries)
     except Exception as exc:
         if metrics_path is not None:
             _record(spark, metrics_path, batch_id, started, LoadResult(0, 0, 0, [], [], time.time() - started, False, str(exc)))
@@ -62,7 +62,7 @@ def load_batch(spark, bars, fact_path, state_path=None, quarantine_path=None, ba
     return result
 
 
-def _load(spark, bars, fact_path, state_path, quarantine_path, batch_id, checks, loaded_at, dry_run, gold_path, lookback_days, listed):
+def _load(spark, bars, fact_path, state_path, quarantine_path, batch_id, checks, loaded_at, dry_run, gold_path, lookback_days, listed, summaries):
     """The load itself.
 
     The batch is written once to the shared folder and read back from there by
@@ -74,7 +74,8 @@ def _load(spark, bars, fact_path, state_path, quarantine_path, batch_id, checks,
     bad rows came is recorded as a gap before the watermark passes it: later runs read it again,
     until a good row closes it or ``GapTable.release`` gives it up. With a
     ``gold_path``, the gold rows that the batch affects are brought up to date
-    before the watermark moves. ``listed`` is a function of the session that
+    before the watermark moves, and with them ``summaries`` ({path: function of gold rows}: the
+    days the batch touches are summarised anew). ``listed`` is a function of the session that
     gives the listing dimension of everything loaded so far (symbol,
     exchange_code, listed_date); it spares the refresh from looking for older
     rows of young listings.
@@ -106,7 +107,7 @@ def _load(spark, bars, fact_path, state_path, quarantine_path, batch_id, checks,
         months = upsert_table(spark, fact_path, to_fact(good, loaded_at), counts=counts)
         if gold_path is not None:
             known = None if listed is None else _with_new_listings(listed(spark), good)
-            refresh_gold(spark, fact_path, gold_path, good.select(*BAR_KEY), lookback_days, known)
+            refresh_gold(spark, fact_path, gold_path, good.select(*BAR_KEY), lookback_days, known, summaries)
         if state_path is not None:
             GapTable(spark, state_path).settle(good, bad)
             WatermarkTable(spark, state_path).advance(good if bad is None else seen_days(good, bad))

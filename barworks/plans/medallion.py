@@ -5,12 +5,12 @@ import time
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
-from barworks.functions.dates import MONTH_COLUMN as MONTH
+from barworks.functions.dates import MONTH_COLUMN as MONTH, date_bounded
 from barworks.operators.contracts import row_contract_bars, split_valid
 from barworks.operators.gold import gold_delta, short_listings, silver_to_gold
 from barworks.operators.silver import bronze_to_silver, silver_cast, stamp
 from barworks.operators.summary import daily_summary, sector_daily_summary
-from barworks.plans.tables import create_table, has_data, upsert_table
+from barworks.plans.tables import create_table, has_data, replace_days, upsert_table
 from barworks.schemas import BAR_KEY
 from barworks.session import delete_path, scratch_path, write_and_reread
 from barworks.sources.catalog import load_layer, save_layer
@@ -79,7 +79,7 @@ def run_medallion(spark, bronze, database=None, root=None, dim_symbol=None, fmt=
 GOLD_INPUT = [*BAR_KEY, "open_price", "high_price", "low_price", "close_price", "volume"]
 
 
-def refresh_gold(spark, fact_path, gold_path, changed, lookback_days=None, listed=None):
+def refresh_gold(spark, fact_path, gold_path, changed, lookback_days=None, listed=None, summaries=None):
     """Bring the gold table up to date after ``changed`` keys were upserted.
 
     The fact table holds one row per key, so it serves as silver once cast. With
@@ -88,11 +88,15 @@ def refresh_gold(spark, fact_path, gold_path, changed, lookback_days=None, liste
     are scanned only if there is such a listing. ``listed`` (symbol,
     exchange_code, listed_date: the listing dimension) tells young listings
     apart, whose older months hold nothing; a listing it does not name is looked
-    up. The result equals a full rebuild.
+    up. The result equals a full rebuild. ``summaries`` ({path: function of gold rows}) are
+    brought up to date with it, see :func:`refresh_summary`.
     """
     silver = silver_cast(read_fact(spark, fact_path, keep_month=True)).select(*GOLD_INPUT, MONTH)
     if not has_data(spark, gold_path):
-        return create_table(spark, gold_path, silver_to_gold(silver.drop(MONTH)))
+        create_table(spark, gold_path, silver_to_gold(silver.drop(MONTH)))
+        for path, summarise in (summaries or {}).items():
+            create_table(spark, path, summarise(read_fact(spark, gold_path)))
+        return None
     since = older = None
     if lookback_days is not None:
         since = F.date_sub(changed.agg(F.min("trade_date")).scalar(), lookback_days)
@@ -103,6 +107,23 @@ def refresh_gold(spark, fact_path, gold_path, changed, lookback_days=None, liste
     stage = scratch_path(spark, "gold-delta")
     try:
         delta = write_and_reread(gold_delta(silver, gold, changed, since=since, older=older), stage)
-        return upsert_table(spark, gold_path, delta, settle=False)
+        months = upsert_table(spark, gold_path, delta, settle=False)
+        for path, summarise in (summaries or {}).items():
+            refresh_summary(spark, gold_path, path, delta.select("trade_date").distinct(), summarise)
+        return months
     finally:
         delete_path(spark, stage)
+
+
+def refresh_summary(spark, gold_path, path, days, summarise):
+    """Recompute a table of aggregates per day for ``days`` only, and put them in place of what it held for these.
+
+    ``summarise`` turns gold rows into the aggregates, with ``trade_date`` among the
+    groups. Only the months of these days are read and written. A table that is not there yet is built.
+    """
+    gold = read_fact(spark, gold_path, keep_month=True)
+    if not has_data(spark, path):
+        return create_table(spark, path, summarise(gold.drop(MONTH)))
+    bounds = days.agg(F.min("trade_date").alias("lo"), F.max("trade_date").alias("hi"))
+    touched = date_bounded(gold, bounds.select("lo").scalar(), bounds.select("hi").scalar()).join(days, "trade_date", "left_semi")
+    return replace_days(spark, path, summarise(touched.drop(MONTH)), days)

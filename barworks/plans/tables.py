@@ -2,10 +2,10 @@
 
 Parquet has no MERGE. A batch of new keys is appended. The first load, and one
 that also updates rows, writes the months it touches in two steps: the merged
-months are first written in full to a stage beside the table, then copied over
-the table's partitions. The stage is a redo log. If a
-run dies during the copy, the next one finds the finished stage and copies it
-again before doing anything else, so no partition stays half replaced.
+months are first written in full to a stage beside the table, then moved in place of
+the table's partitions: each month is written once. The stage is a redo log. If a
+run dies during the move, the next one finds the finished stage and moves what is left
+of it before doing anything else, so no partition stays half replaced.
 Concurrent writers of one table are out of scope; a table format with MERGE has
 them.
 """
@@ -21,7 +21,7 @@ from barworks.operators.silver import dedupe_bars
 from barworks.operators.upsert import merge_rows
 from barworks.functions.numeric import is_infinite
 from barworks.schemas import BAR_KEY, FACT_BARS, PRICES
-from barworks.session import any_file, delete_path, path_exists, qualified_path, touch_path
+from barworks.session import any_file, delete_path, folders_in, path_exists, qualified_path, replace_path, touch_path
 
 
 def to_fact(df, loaded_at=None):
@@ -61,8 +61,8 @@ def _span(df, keys):
     return sorted(r[MONTH] for r in rows), min((r["lo"] for r in rows), default=None), max((r["hi"] for r in rows), default=None)
 
 
-def _write(df, path, mode="overwrite", replace="static"):
-    df.write.mode(mode).option("partitionOverwriteMode", replace).partitionBy(MONTH).parquet(path)
+def _write(df, path, mode="overwrite"):
+    df.write.mode(mode).option("partitionOverwriteMode", "static").partitionBy(MONTH).parquet(path)
 
 
 def recover(spark, path):
@@ -76,13 +76,15 @@ def recover(spark, path):
 
 
 def _clear(spark, stage):
-    """The marker goes first: a stage without one is never copied."""
+    """The marker goes first: a stage without one is never moved."""
     delete_path(spark, f"{stage}.ready")
     delete_path(spark, stage)
 
 
 def _apply(spark, path, stage):
-    _write(_sorted(spark.read.parquet(stage)), path, replace="dynamic")
+    """Move the staged months into place, each one over the table's. What is still staged is still to be moved."""
+    for folder in folders_in(spark, stage):
+        replace_path(spark, folder, f"{path.rstrip('/')}/{folder.rsplit('/', 1)[1]}")
 
 
 def upsert_table(spark, path, source, keys=BAR_KEY, settle=True, counts=None):
@@ -138,6 +140,19 @@ def create_table(spark, path, df):
     _replace(spark, path, df)
 
 
+def replace_days(spark, path, fresh, days):
+    """Put ``fresh`` in place of all the table's rows of ``days`` (a frame of trade_date), through the same redo log.
+
+    A month in which nothing at all would be left keeps what it held.
+    """
+    recover(spark, path)
+    months = [r[0] for r in days.select(month_start("trade_date")).distinct().collect()]
+    if months:
+        kept = spark.read.parquet(path).filter(F.col(MONTH).isin(months)).drop(MONTH).join(days, "trade_date", "left_anti")
+        _replace(spark, path, kept.unionByName(fresh))
+    return sorted(months)
+
+
 def _replace(spark, path, df):
     stage = _stage_path(spark, path)
     _write(_laid_out(df), stage)
@@ -147,7 +162,7 @@ def _replace(spark, path, df):
 
 
 def _sorted(df):
-    return df.sortWithinPartitions(MONTH, "symbol", "trade_date")
+    return df.sortWithinPartitions(*[c for c in (MONTH, "symbol", "trade_date") if c in df.columns])
 
 
 def _laid_out(df):

@@ -85,6 +85,21 @@ def files_in(spark, path):
     return [f.getPath().toString() for f in fs.listStatus(jvm_path) if f.isFile()]
 
 
+def folders_in(spark, path):
+    """Paths of the folders that lie directly in a folder."""
+    jvm_path, fs = _path_and_fs(spark, path)
+    return [f.getPath().toString() for f in fs.listStatus(jvm_path) if f.isDirectory()]
+
+
+def replace_path(spark, source, target):
+    """Move a file or folder in place of another, on the same file system."""
+    jvm_target, fs = _path_and_fs(spark, target)
+    fs.mkdirs(jvm_target.getParent())
+    fs.delete(jvm_target, True)
+    if not fs.rename(_path_and_fs(spark, source)[0], jvm_target):
+        raise OSError(f"could not move {source} to {target}")
+
+
 def touch_path(spark, path):
     jvm_path, fs = _path_and_fs(spark, path)
     fs.create(jvm_path, True).close()

@@ -438,6 +438,20 @@ def oracle_sql(tables):
     out["stream_metrics"] = f"""WITH {BARS}, year AS (SELECT CAST(year(trade_date) - 1996 AS VARCHAR) AS batch_id, count(*) AS rows_in,
             count(*) FILTER (WHERE volume % 10 = 0) AS bad FROM bars WHERE year(trade_date) BETWEEN 1996 AND 1999 GROUP BY 1)
         SELECT batch_id, rows_in, bad AS rows_quarantined, rows_in - bad AS rows_loaded, rows_in - bad AS rows_inserted, 0 AS rows_updated, 'OK' AS status FROM year"""
+    out["file_outcomes"] = f"""WITH {BARS}, n AS (SELECT symbol, count(*) AS n FROM bars WHERE symbol NOT IN ('S3', 'S5', 'S7') GROUP BY 1)
+        SELECT 'slot=' || s AS part, CASE WHEN n IS NOT NULL THEN 'loaded' WHEN s IN ('S3', 'S7') THEN 'empty'
+            WHEN s = 'S5' THEN 'corrupt' ELSE 'missing' END AS status, coalesce(n, 0) AS row_count
+          FROM (SELECT 'S' || s_suppkey AS s FROM supplier UNION ALL VALUES ('S-2'), ('S-1')) LEFT JOIN n ON s = symbol
+        UNION ALL SELECT 'all', '', CAST(sum(n) AS BIGINT) FROM n"""
+    hit = "trade_date BETWEEN DATE '1998-03-01' AND DATE '1998-03-05'"
+    late = "symbol = 'S1' AND trade_date >= DATE '2001-06-01'"
+    out["summary_refresh"] = f"""WITH {TYPED}, corrected AS (SELECT * REPLACE (
+          close_price + CASE WHEN {hit} THEN 1 ELSE 0 END AS close_price,
+          volume + CASE WHEN {late} THEN 7 ELSE 0 END AS volume) FROM typed), {gold_ctes('corrected')},
+        sectors AS (SELECT 'S' || s_suppkey AS supplier, r_name AS sector FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey),
+        joined AS (SELECT g.*, sector FROM gold g JOIN sectors ON symbol = supplier)
+        SELECT * RENAME (exchange_code AS part) FROM ({summary('gold', AVG_VOL)})
+        UNION ALL BY NAME SELECT * RENAME (sector AS part) FROM ({summary('joined', AVG_VOL, 'trade_date, sector')})"""
     out["watermark_table"] = f"""WITH {CONTRACT} SELECT symbol, exchange_code, max(trade_date) AS watermark FROM contract
         WHERE symbol IS NOT NULL AND trade_date IS NOT NULL GROUP BY 1, 2"""
     # A load reads what is new and what is still open: open days stay bad until given up or corrected.

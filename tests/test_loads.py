@@ -236,6 +236,39 @@ def test_gaps_are_read_once_and_within_bounds(spark, plan):
     assert sorted(r.trade_date.day for r in after.collect()) == [2, 5, 8, 10]
 
 
+def test_a_move_that_stops_half_way_is_finished(spark, bars, rows, tmp_path, monkeypatch):
+    """Months are moved one by one: after a stop some are new and some old, and the next run moves the rest."""
+    path, moved = str(tmp_path / "fact"), []
+    tables.upsert_table(spark, path, fact(bars))
+    batch = fact(bars.withColumn("close_price", F.col("close_price") + 1))
+    move = tables.replace_path
+
+    def some(session, source, target):
+        if len(moved) == 3:
+            raise RuntimeError("stopped")
+        moved.append(target)
+        move(session, source, target)
+
+    with monkeypatch.context() as m:
+        m.setattr(tables, "replace_path", some)
+        with pytest.raises(RuntimeError):
+            tables.upsert_table(spark, path, batch)
+    assert tables.recover(spark, path) is True and not path_exists(spark, tables._stage_path(spark, path))
+    assert rows(read_fact(spark, path), *sorted(batch.columns)) == rows(batch, *sorted(batch.columns))
+
+
+def test_days_are_replaced_as_a_whole(spark, tmp_path):
+    path = str(tmp_path / "summary")
+    schema = "trade_date date, part string, n long"
+    frame = lambda *r: spark.createDataFrame([(dt.date(2024, m, k), part, n) for m, k, part, n in r], schema)
+    tables.create_table(spark, path, frame((1, 1, "a", 1), (1, 1, "b", 1), (1, 2, "a", 1), (2, 1, "a", 1), (3, 1, "a", 1)))
+    days = frame((1, 1, "", 0), (2, 1, "", 0)).select("trade_date")
+    assert len(tables.replace_days(spark, path, frame((1, 1, "a", 5), (2, 1, "c", 6)), days)) == 2
+    assert sorted((r.trade_date.month, r.trade_date.day, r.part, r.n) for r in read_fact(spark, path).collect()) == [
+        (1, 1, "a", 5), (1, 2, "a", 1), (2, 1, "c", 6), (3, 1, "a", 1)]
+    assert tables.replace_days(spark, path, frame(), days.limit(0)) == []
+
+
 def test_torn_first_loads_are_repeated(spark, bars, rows, tmp_path):
     path = str(tmp_path / "fact")
     (tmp_path / "fact" / "_temporary" / "0").mkdir(parents=True)

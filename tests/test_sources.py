@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from barworks import sources
 from barworks.functions import base_symbol, exchange_from_suffix, fiscal_quarter, fiscal_year, round_stable, split_list
 from barworks.schemas import BAR_COLUMNS, RAW_BARS
-from barworks.sources import normalize_bars
+from barworks.sources import normalize_bars, read_parts
 
 DAY = dt.datetime(2026, 3, 5)
 
@@ -139,3 +139,25 @@ def test_fiscal_calendar_and_lists(spark):
     df = spark.createDataFrame([(dt.date(2026, 3, 5),), (dt.date(2026, 4, 1),), (dt.date(2026, 12, 31),)], "d date")
     assert [tuple(r) for r in df.select(fiscal_year("d"), fiscal_quarter("d")).collect()] == [(2026, 4), (2027, 1), (2027, 3)]
     assert spark.range(1).select(split_list(F.lit(" TCS.NS, ,INFY.NS,"))).first()[0] == ["TCS.NS", "INFY.NS"]
+
+
+def test_parts_and_their_outcomes(spark, tmp_path):
+    """Good, empty, cut short, foreign and absent files in one scan; names that need escapes."""
+    root = tmp_path / "feed"
+    raw = spark.createDataFrame([("S1.NS", 1.0), ("S1.NS", 2.0)], "ticker string, Open double")
+    for name, df in (("a b+c%.parquet", raw), ("sub/deep/x", raw), ("sub/empty", raw.limit(0))):
+        df.coalesce(1).write.parquet(str(root / name))
+    whole = next((root / "sub/deep/x").glob("part-*")).read_bytes()
+    (root / "cut.parquet").write_bytes(whole[:len(whole) // 2])
+    (root / "nothing.parquet").write_bytes(b"")
+    (root / "text.parquet").write_text("not parquet at all")
+    expected = spark.createDataFrame([(p,) for p in ("a b+c%.parquet", "sub/deep", "sub/empty", "cut.parquet", "nothing.parquet", "text.parquet", "gone", "gone")], "part string")
+    bars, outcomes = read_parts(spark, str(root), expected)
+    assert bars.count() == 4 and set(bars.columns) == {f.name for f in RAW_BARS}
+    got = {r.part: (r.status, r.row_count, r.files) for r in outcomes.collect()}
+    assert got.pop("nothing.parquet")[:2] == ("empty", 0)
+    assert got == {"a b+c%.parquet": ("loaded", 2, 1), "sub/deep": ("loaded", 2, 1), "sub/empty": ("empty", 0, 1), "cut.parquet": ("corrupt", 0, 1),
+                   "text.parquet": ("corrupt", 0, 1), "gone": ("missing", 0, 0)}
+    every = read_parts(spark, str(root))[1].collect()
+    assert sorted(r.status for r in every if "nothing" not in r.part) == ["corrupt", "corrupt", "empty", "loaded", "loaded"]
+    assert {r.reason for r in every if r.status == "loaded"} == {""}
