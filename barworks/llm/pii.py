@@ -14,10 +14,12 @@ EMAIL = r"(?:(?<![A-Za-z0-9._%+-])|\G)[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Z
 IP = r"(?:(?<![0-9])|\G)[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"
 CARD = r"[0-9](?:[\x20-]?[0-9])++"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
-# Kinds that the method adds.
+# Kinds that the method adds; fixed values: the forms of key ids and key blocks.
 IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}+(?![A-Za-z0-9])"
 ID_NUMBER = r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"
-SECRET = r"(?<![A-Za-z0-9])[A-Za-z0-9_/+-]{24,200}+(?![A-Za-z0-9_/+-])"
+KEY_ID = r"(?<![A-Za-z0-9])(?:AKIA|ASIA)[A-Z0-9]{16}(?![A-Za-z0-9])"
+KEY_BLOCK = r"-----BEGIN [A-Z0-9 ]{0,40}PRIVATE KEY-----[A-Za-z0-9+/=\s:,.-]*?-----END [A-Z0-9 ]{0,40}PRIVATE KEY-----"
+SECRET = r"(?<![A-Za-z0-9])[A-Za-z0-9_/+-]{24,}+(?![A-Za-z0-9_/+-])"
 
 #: Words that make a number or a string more likely to be personal, and those that make it less so.
 ID_WORDS = r"(?i)(?:ssn|social|security|identity|passport|licen[cs]e|insurance|tax)"
@@ -98,7 +100,7 @@ def _found(text, pattern, fits):
 
 
 BASE_KINDS = ("email", "ip", "card", "phone")
-ADDED_KINDS = ("iban", "id_number", "secret")
+ADDED_KINDS = ("iban", "id_number", "key_block", "key_id", "secret")
 
 
 def find_personal_data(docs, text_col="text"):
@@ -106,7 +108,7 @@ def find_personal_data(docs, text_col="text"):
 
     Kinds are ``email``, ``ip`` (parts of 255 at most), ``card`` (16 to 19 digits passing
     Luhn), ``phone`` (8 to 15 digits), and beyond these ``iban`` (remainder 1 modulo
-    97), ``id_number`` and ``secret`` (by context). Positions are code points, ends exclusive.
+    97), ``id_number`` and ``secret`` (by context), ``key_id`` and ``key_block`` (by form). Positions are code points, ends exclusive.
 
     A null text counts as empty, and an empty one has no spans. Texts are searched
     whole. Spans of different kinds may overlap. Rows pass one by one, repeated ones
@@ -121,6 +123,8 @@ def find_personal_data(docs, text_col="text"):
         "phone": _found(text, PHONE, _phone_fits),
         "iban": _found(text, IBAN, lambda s: mod97(s.match)),
         "id_number": _found(text, ID_NUMBER, lambda s: _score(text, s, 0.3, ID_WORDS) >= LEAST_SCORE),
+        "key_block": _found(text, KEY_BLOCK, lambda s: F.lit(True)),
+        "key_id": _found(text, KEY_ID, lambda s: F.lit(True)),
         "secret": _found(text, SECRET, lambda s: (_score(text, s, 0.2, SECRET_WORDS) >= LEAST_SCORE) & s.match.rlike("[0-9]")),
     })
 
