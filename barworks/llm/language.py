@@ -62,15 +62,22 @@ def count_trigrams(docs, text_col="text", lang_col="lang"):
 
 
 def train(docs, text_col="text", lang_col="lang"):
-    """(languages in order, log likelihoods by language and bucket). The counts of at most MOST_LANGUAGES reach the driver."""
-    counts = count_trigrams(docs, text_col, lang_col)
-    found = counts.toArrow()
-    names = sorted(set(found.column("lang").to_pylist()))
-    if len(names) > MOST_LANGUAGES:
-        raise ValueError(f"{len(names)} languages; a model holds {MOST_LANGUAGES}")
+    """(languages in order, log likelihoods by language and bucket).
+
+    A training table of more than MOST_LANGUAGES languages fails before anything is counted, so that what
+    reaches the driver is bounded.
+    """
+    given = docs.filter(F.col(text_col).isNotNull() & F.col(lang_col).isNotNull()).select(F.col(lang_col).cast("string").alias("lang"))
+    if given.distinct().limit(MOST_LANGUAGES + 1).count() > MOST_LANGUAGES:
+        raise ValueError(f"more than {MOST_LANGUAGES} languages")
+    found = count_trigrams(docs, text_col, lang_col).toArrow().combine_chunks()
+    langs = found.column("lang").dictionary_encode().combine_chunks()
+    seen = langs.dictionary.to_pylist() if found.num_rows else []
+    names = sorted(seen)
     n = np.zeros((len(names), BUCKETS))
-    at = np.array([names.index(x) for x in found.column("lang").to_pylist()], np.int64) if found.num_rows else np.zeros(0, np.int64)
-    n[at, found.column("bucket").to_numpy()] = found.column("n").to_numpy()
+    if found.num_rows:
+        row = np.array([names.index(x) for x in seen], np.int64)
+        n[row[langs.indices.to_numpy()], found.column("bucket").to_numpy()] = found.column("n").to_numpy()
     return names, np.log((n + SMOOTHING) / (n.sum(axis=1, keepdims=True) + SMOOTHING * BUCKETS)).astype(np.float32)
 
 
@@ -114,7 +121,7 @@ def infer(mixture):
     A language costs half the logarithm of the number of words. Sets are the
     1, 2, ... languages of the largest proportions. Where one language alone is at
     least as good as the whole mixture's likelihood at the cost of two, no other
-    set can be better. The score is the first language's proportion times its odds
+    set can be better. Each document stops at the first set that is no better than the one before. The score is the first language's proportion times its odds
     against the next one alone.
     """
     alone = mixture.single()
@@ -128,18 +135,17 @@ def infer(mixture):
     cost = 0.5 * np.log(mixture.sizes + 1.0)
     share, full = mixture.fit(np.ones(alone.shape))
     mixed = np.flatnonzero(full - 2 * cost > order[-1] - cost)
-    if len(mixed):
-        some, worth = mixture.take(mixed), order[-1][mixed] - cost[mixed]
-        rank = np.argsort(np.argsort(-share[:, mixed], axis=0, kind="stable"), axis=0)
-        for k in range(2, n_lang + 1):
-            own, value = some.fit((rank < k).astype(float))
-            value = value - k * cost[mixed]
-            better = value > worth
-            best[:, mixed[better]] = own[:, better]
-            odds[mixed[better]] = 1.0
-            worth = np.maximum(worth, value)
-            if not better.any():
-                break
+    rank = np.argsort(np.argsort(-share, axis=0, kind="stable"), axis=0)
+    worth = order[-1] - cost
+    for k in range(2, n_lang + 1):
+        if not len(mixed):
+            break
+        own, value = mixture.take(mixed).fit((rank[:, mixed] < k).astype(float))
+        value = value - k * cost[mixed]
+        # A document whose set does not gain from the next language is done, whatever the others do.
+        better = value > worth[mixed]
+        mixed, own, value = mixed[better], own[:, better], value[better]
+        best[:, mixed], worth[mixed], odds[mixed] = own, value, 1.0
     return best, odds * best.max(axis=0)
 
 
