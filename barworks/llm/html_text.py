@@ -2,8 +2,8 @@
 
 Every element gets its density: characters for each tag, lowered where links hold
 them. The element whose children's densities sum up highest is the heart of the
-text. The lowest density on the path from it to the body is the threshold: it
-decides how far the text reaches around the heart. Elements that say what they
+text. The lowest density on the path from it to the body is the threshold: what lies
+beside the path stays where its density reaches it. Elements that say what they
 are (menus, forms, adverts, comments and so on) are left out before; a class, an id
 or a form counts as a penalty only, so that none that holds the heart goes.
 
@@ -43,6 +43,7 @@ REMARKS = frozenset("comment comments reply replies ad ads advert advertisement
 HEADS, OF_TEXT = frozenset("header masthead banner navbar".split()), frozenset("post entry article story content".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 HEARTS = frozenset(("article", "main"))
+CONTAINERS = frozenset("div section center table address details".split())
 #: What the densities in an element are worth where its class, its id or a form speaks against it.
 PENALTY = 0.25
 
@@ -227,24 +228,41 @@ def _measure(root):
     return order
 
 
+def _mostly_links(node):
+    return node.chars and 2 * node.link_chars >= node.chars
+
+
 def _content(root):
-    """The element that holds the text: an article around the heart, or the body without what falls below the threshold."""
+    """The element that holds the text: the maximum-sum subtree with what lies beside its path at or above the threshold.
+
+    Above the heart, blocks below the threshold go, as comments and footers in plain elements do; headings
+    before it stay. Inside an article, marked as one, only menus of links go, as its short lists and captions
+    have low densities too. Where the heart is the body itself, the containers in it are held
+    against the threshold, not its paragraphs.
+    """
     order = _measure(root)
     body = next((n for n in order if n.tag == "body"), root)
     heart = max((n for n in order if n.chars), key=lambda n: n.total, default=body)
     path = list(_path(heart))
-    for node in reversed(path):
-        if node.tag in HEARTS:
-            return node
     if body not in path:
         return heart
     path = path[:path.index(body) + 1]
     threshold = min(n.density for n in path)
-    for node in path[1:]:
-        # Beside the path to the heart, blocks of links below the threshold are menus.
-        node.children = [c for c in node.children if isinstance(c, str) or c in path or c.tag not in BLOCKS or c.tag in HEADINGS
-                         or c.density >= threshold or 2 * c.link_chars < c.chars]
-    return body
+    article = next((n for n in reversed(path) if n.tag in HEARTS), None)
+    if article is None:
+        for below, node in zip(path, path[1:]):
+            place = node.children.index(below)
+            node.children = [c for k, c in enumerate(node.children) if isinstance(c, str) or c is below or c.density >= threshold
+                             or (k < place and c.tag in HEADINGS) or (c.tag not in BLOCKS and not _mostly_links(c))]
+        if heart is body:
+            body.children = [c for c in body.children if isinstance(c, str) or c.tag not in CONTAINERS or c.density >= threshold]
+    stack = [article or body]
+    while stack:
+        node = stack.pop()
+        node.children = [c for c in node.children if isinstance(c, str) or c in path or c.tag not in BLOCKS or c.link_tags < 2
+                         or c.density >= threshold or not _mostly_links(c)]
+        stack += [c for c in node.children if isinstance(c, Node)]
+    return article or body
 
 
 def _blocks(node):

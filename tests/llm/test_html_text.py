@@ -1,10 +1,11 @@
 import html
+import math
 import re
 
 import pytest
 from pyspark.sql import functions as F
 
-from barworks.llm.html_text import extract_text, main_text
+from barworks.llm.html_text import _measure, extract_text, main_text, parse
 
 PAGE = """<html><body class="has-sidebar"><header><h1>Site</h1><p>slogan of the site</p></header><nav><a href=x>Home</a></nav>
 <div id="cookie-notice">We use cookies &amp; more on this page, please accept all of these.</div>
@@ -77,3 +78,44 @@ def test_furniture_names_do_not_drop_the_heart(page):
 def test_lone_text_in_a_named_wrapper():
     assert main_text(f"<body><div class=no-sidebar>{TEXT}</div></body>") == TEXT
     assert main_text(f"<body><div class=no-sidebar><p>{TEXT}</p></div></body>") == TEXT
+
+
+@pytest.mark.parametrize("page,text", [
+    # Nothing but densities tells the article from remarks and a footer.
+    (f"<body><div>{WRAPPED}</div><div>Anna: nice post!</div><div>Copyright 2020 The Paper</div></body>", f"A title\n{TEXT}\n{TEXT}"),
+    (f"<body><h1>Top</h1><div>{WRAPPED}<ul><li>a short item</ul></div><h3>Comments</h3><div><p>Anna: nice post!</p></div></body>",
+     f"Top\nA title\n{TEXT}\n{TEXT}\na short item"),
+    (f"<body><p>{TEXT}</p><p>{TEXT}</p><p>Short.</p><div>Anna: nice post!</div></body>", f"{TEXT}\n{TEXT}\nShort."),
+    (f"<body><a href=x>Home</a> <a href=y>About</a><div>{WRAPPED}</div></body>", f"A title\n{TEXT}\n{TEXT}"),
+    # A menu of links inside an article goes, a short list and a lone link stay.
+    (f"<article>{WRAPPED}<ul><li><a href=x>Read more</a><li><a href=y>Also</a></ul></article>", f"A title\n{TEXT}\n{TEXT}"),
+    (f"<article>{WRAPPED}<ul><li>one<li>two</ul><p><a href=x>Source</a></p></article>", f"A title\n{TEXT}\n{TEXT}\none\ntwo\nSource"),
+])
+def test_densities_decide(page, text):
+    assert main_text(page) == text
+
+
+def test_densities_against_their_definition():
+    """Composite density and sums of every element, worked out from each subtree anew."""
+    root = parse(PAGE)
+    order = _measure(root)
+
+    def subtree(node):
+        return [node] + [x for c in node.children if not isinstance(c, str) for x in subtree(c)]
+
+    def chars(node):
+        return sum(len("".join(c.split())) if isinstance(c, str) else chars(c) for c in node.children)
+
+    def linked(node):
+        return chars(node) if node.tag == "a" else sum(linked(c) for c in node.children if not isinstance(c, str))
+
+    share = linked(root) / chars(root)
+    expected = {}
+    for node in order:
+        c, t, lc = chars(node), max(1, len(subtree(node)) - 1), max(1, linked(node))
+        lt = max(1, sum(x.tag == "a" for x in subtree(node)))
+        base = math.log(c / max(1, c - lc) * lc + share * c + math.e)
+        expected[node] = c / t * math.log(max(1, c / lc * t / lt)) / math.log(base) if c else 0
+    for node in order:
+        assert node.density == pytest.approx(expected[node])
+        assert node.total == pytest.approx(sum(expected[c] for c in node.children if not isinstance(c, str)))
