@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from barworks.llm.common import (
-    LEADING, LOWER, SPACE_BYTES, WordHash, byte_table, held_out, keep_columns, per_text, text_slices, with_fields, word_bounds,
+    fresh, LEADING, LOWER, SPACE_BYTES, WordHash, byte_table, held_out, keep_columns, per_text, text_slices, with_fields, word_bounds,
 )
 
 #: Labelled rows that a model is trained on, at most: those of smallest hash.
@@ -259,6 +259,6 @@ def score(docs, model, text_col="text", score_col="score"):
 
 def reject_low_quality(docs, labels, threshold=THRESHOLD, **options):
     """The documents scored ``threshold`` or more, with all their columns."""
-    names = docs.columns
-    return score(docs, train(docs, labels, **options), options.get("text_col", "text"), "__quality").filter(
-        F.col("__quality") >= threshold).select(*names)
+    names, own = docs.columns, fresh("quality")
+    return score(docs, train(docs, labels, **options), options.get("text_col", "text"), own).filter(
+        F.col(own) >= threshold).select(*names)
