@@ -124,16 +124,18 @@ def star_schema_load(spark, sf):
         df.createOrReplaceTempView(f"load_{table}")
         columns = ", ".join(df.columns)
         spark.sql(f"INSERT INTO {database}.{table} ({columns}) SELECT {columns} FROM load_{table}")
-    return table_counts({t: spark.table(f"{database}.{t}") for t in frames})
+    stored = {table: spark.table(f"{database}.{table}") for table in frames}
+    days = stored["dim_date"].select(F.col("date_key").alias("trade_date"), "day_name", "fiscal_year", "is_trading_day")
+    joined = (stored["fact_stock_prices"].join(days, "trade_date")
+              .join(stored["dim_exchange"].select("exchange_code", "exchange_name"), "exchange_code")
+              .join(stored["dim_symbol"].select(*LISTING, "listed_date"), LISTING))
+    return fx.plain(joined, *BAR_OUT, "change_pct", "day_name", "fiscal_year", "is_trading_day", "exchange_name", "listed_date")
 
 
 # ---- silver and contracts ----------------------------------------------------
 
 def silver_cast(spark, sf):
-    df = silver.silver_cast(fx.dirty_bronze(spark, sf))
-    return df.groupBy("exchange_code", F.coalesce(F.col("trade_date").cast("string"), F.lit("none")).alias("trade_date")).agg(
-        F.count(F.lit(1)).alias("row_count"), F.count("open_price").alias("opens"), F.count("high_price").alias("highs"),
-        F.count("low_price").alias("lows"), F.count("close_price").alias("closes"), F.sum("volume").alias("volume"))
+    return silver.silver_cast(fx.dirty_bronze(spark, sf)).select(*BAR_OUT)
 
 
 def derived_columns_2dp(spark, sf):

@@ -9,6 +9,7 @@ import uuid
 
 from barworks.functions.numeric import TIE_NUDGE
 from barworks.operators.ranks import RANGE_BITS
+from barworks.session import delete_path, qualified_path
 
 
 def _rounded(x, scale):
@@ -93,16 +94,23 @@ GROUP BY trade_date, exchange_code"""
 def create_table_as(spark, table, select, partition_by=None, location=None):
     """CREATE TABLE ... USING parquet AS SELECT, replacing an older table.
 
-    The new table is complete under another name before the old one goes, so a
-    SELECT that fails leaves the old one as it was.
+    The new table is complete under another name, and at ``location`` in a folder of its own, before the
+    old one is moved aside; that goes last. A SELECT that fails leaves the old table as it was, and a
+    stop between the two renames leaves both under their other names.
     """
     split = f" PARTITIONED BY ({partition_by})" if partition_by else ""
-    fresh = f"{table}_new_{uuid.uuid4().hex[:12]}"
-    spark.sql(f"CREATE TABLE {fresh} USING parquet{split} AS {select}")
-    spark.sql(f"DROP TABLE IF EXISTS {table}")
-    if location:
-        spark.sql(f"CREATE TABLE {table} USING parquet{split} LOCATION '{location}' AS SELECT * FROM {fresh}")
-        spark.sql(f"DROP TABLE {fresh}")
-    else:
-        spark.sql(f"ALTER TABLE {fresh} RENAME TO {table}")
+    turn = uuid.uuid4().hex[:12]
+    fresh, aside = f"{table}_new_{turn}", f"{table}_old_{turn}"
+    place = f" LOCATION '{location.rstrip('/')}/{turn}'" if location else ""
+    spark.sql(f"CREATE TABLE {fresh} USING parquet{split}{place} AS {select}")
+    replaces = spark.catalog.tableExists(table)
+    if replaces:
+        spark.sql(f"ALTER TABLE {table} RENAME TO {aside}")
+    spark.sql(f"ALTER TABLE {fresh} RENAME TO {table}")
+    if replaces:
+        old = spark.sql(f"DESCRIBE TABLE EXTENDED {aside}").filter("col_name = 'Location'").first()
+        spark.sql(f"DROP TABLE {aside}")
+        # What an earlier call wrote under the location is no table's any more.
+        if location and qualified_path(spark, old.data_type).rsplit("/", 1)[0] == qualified_path(spark, location):
+            delete_path(spark, old.data_type)
     return spark.table(table)

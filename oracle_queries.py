@@ -291,7 +291,7 @@ def oracle_sql(tables):
         "param_query": f"""WITH {FACT} SELECT symbol, exchange_code, count(*) AS up_days, max(change_pct) AS best_change
             FROM fact WHERE change_pct > 0.5 GROUP BY 1, 2""",
         # projections
-        "silver_cast": f"WITH {DIRTY} SELECT exchange_code, coalesce(CAST(trade_date AS VARCHAR), 'none') AS trade_date, count(*) AS row_count, count(open_price) AS opens, count(high_price) AS highs, count(low_price) AS lows, count(close_price) AS closes, CAST(sum(volume) AS BIGINT) AS volume FROM casted GROUP BY 1, 2",
+        "silver_cast": f"WITH {DIRTY} SELECT {BAR_OUT} FROM casted",
         "silver_filter": f"WITH {DIRTY} SELECT {BAR_OUT} FROM filtered",
         "dedupe_bars": f"WITH {DIRTY} SELECT {KEY}, close_price, open_price FROM silver",
         "bronze_to_silver": f"WITH {DIRTY} SELECT {BAR_OUT}, daily_range, change_pct, source FROM silver",
@@ -368,10 +368,10 @@ def oracle_sql(tables):
         "dim_symbol_scd1": f"""WITH {BARS}, {LISTINGS} SELECT b.symbol, b.exchange_code, l.company_name, l.sector, l.industry, b.listed_date
             FROM (SELECT symbol, exchange_code, min(trade_date) AS listed_date FROM bars GROUP BY 1, 2) b
             JOIN listings l ON b.symbol = l.symbol AND b.exchange_code = l.exchange_code""",
-        "star_schema_load": f"""WITH {CALENDAR} SELECT 'fact_stock_prices' AS table_name, count(*) AS row_count FROM fact
-            UNION ALL SELECT 'dim_date', count(*) FROM dim_date
-            UNION ALL SELECT 'dim_exchange', count(DISTINCT exchange_code) FROM fact
-            UNION ALL SELECT 'dim_symbol', count(DISTINCT row(symbol, exchange_code)) FROM fact""",
+        "star_schema_load": f"""WITH {CALENDAR} SELECT {BAR_OUT}, change_pct, day_name, CAST(fiscal_year AS BIGINT) AS fiscal_year, is_trading_day,
+            exchange_code AS exchange_name,
+            min(trade_date) OVER (PARTITION BY symbol, exchange_code) AS listed_date
+            FROM fact JOIN dim_date ON date_key = trade_date""",
         # quality
         "qc_not_null": suite(NOT_NULLS),
         "qc_unique": suite([("unique(trade_date)", "CRITICAL", *duplicates("trade_date"))]),

@@ -296,6 +296,16 @@ def test_a_failing_select_leaves_the_table(spark):
     assert spark.table("kept_table").collect()[0].a == 1
 
 
+def test_a_table_with_a_location_is_replaced_when_the_new_one_is_whole(spark, tmp_path):
+    place = tmp_path / "placed"
+    for value in (1, 2):
+        sql_plans.create_table_as(spark, "placed_table", f"SELECT {value} AS a", location=str(place))
+    with pytest.raises(Exception):
+        sql_plans.create_table_as(spark, "placed_table", "SELECT raise_error('no') AS a", location=str(place))
+    assert spark.table("placed_table").collect()[0].a == 2
+    assert [len(list(f.glob("part-*"))) for f in place.iterdir() if list(f.glob("part-*"))] == [1]
+
+
 def test_load_batch_moves_the_watermark_only_after_success(spark, bars, tmp_path):
     f, s = str(tmp_path / "fact"), str(tmp_path / "state")
     broken = bars.withColumn("close_price", F.when(F.col("symbol") == "S1", -1.0).otherwise(F.col("close_price")))
