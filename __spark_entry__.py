@@ -18,6 +18,7 @@ from barworks.operators import analytics, contracts, dims, gold, incremental, qu
 from barworks.operators.ranks import volume_rank  # noqa: E402
 from barworks.plans import sql as sql_plans  # noqa: E402
 from barworks.plans.gaps import GapTable  # noqa: E402
+from barworks.plans.listings import create_listing_table, upsert_listing_table  # noqa: E402
 from barworks.plans.load import load_batch, run_incremental  # noqa: E402
 from barworks.plans.medallion import run_medallion  # noqa: E402
 from barworks.plans.state import WatermarkTable  # noqa: E402
@@ -25,8 +26,8 @@ from barworks.plans.tables import to_fact, upsert_table  # noqa: E402
 from barworks.schemas import BAR_KEY, LISTING, PRICES  # noqa: E402
 from barworks.session import scratch_path, write_and_reread  # noqa: E402
 from barworks.sources import (  # noqa: E402
-    bars_from_ticks, create_star_schema, list_tables, normalize_bars, read_fact, read_parts, resample_bars,
-    run_sql, scan_bronze, table_counts, union_frames, with_bar_metrics,
+    bars_from_ticks, create_star_schema, list_tables, month_bounds, normalize_bars, read_fact, read_parts, resample_bars,
+    run_sql, save_layer, scan_bronze, table_counts, union_frames, with_bar_metrics,
 )
 from barworks.streaming import stream_daily_bars, stream_ingest, stream_late_ticks  # noqa: E402
 
@@ -100,6 +101,12 @@ def table_list(spark, sf):
     return views.join(table_counts(counts), "table_name")
 
 
+def month_bounds_query(spark, sf):
+    path = scratch_path(spark, "bounds")
+    save_layer(fx.typed_bars(spark, sf), path=path)
+    return month_bounds(spark, path)
+
+
 def param_query(spark, sf):
     fx.fact_bars(spark, sf).createOrReplaceTempView("fact_for_query")
     return run_sql(
@@ -284,6 +291,15 @@ def trading_days(spark, sf):
     return fx.plain(analytics.trading_days(fact, dims.dim_date_covering(fact)))
 
 
+def one_fiscal_quarter(spark, sf):
+    """The rollup of one quarter of a stored calendar: the months of the fact are pruned at run time."""
+    path = scratch_path(spark, "fact")
+    save_layer(fx.fact_bars(spark, sf), path=path)
+    fact = scan_bronze(spark, path)
+    days = _written(dims.dim_date_covering(fact)).filter("fiscal_year = 1997 AND fiscal_quarter = 2")
+    return fx.plain(analytics.trading_days(fact, days))
+
+
 # ---- quality -----------------------------------------------------------------
 
 def _suite(checks, source=None):
@@ -332,6 +348,27 @@ def _upsert_sides(spark, sf):
     return target, batch
 
 
+def _listing_table(spark, sf):
+    """The table in buckets of listings, after the loads and corrections of upsert_table."""
+    table = "fact_" + scratch_path(spark, "t").rsplit("-", 1)[1]
+    fact = _written(to_fact(fx.fact_bars(spark, sf)))
+    first, *more = fx.date_slices(fact, ["1997-01-01", "1999-01-01"])
+    create_listing_table(spark, table, scratch_path(spark, "listings"), first, buckets=8)
+    late = fact.filter(F.col("trade_date") >= _day("1997-01-01")).withColumns({
+        "close_price": (F.col("close_price") + 1).cast("decimal(18,4)")})
+    for piece in (*more, late):
+        upsert_listing_table(spark, table, piece)
+    return spark.table(table)
+
+
+def listing_table_upsert(spark, sf):
+    return fx.plain(_listing_table(spark, sf), *BAR_KEY, "close_price", "volume")
+
+
+def listing_table_averages(spark, sf):
+    return fx.plain(analytics.moving_averages(_listing_table(spark, sf)))
+
+
 def upsert_table_query(spark, sf):
     """Load in date slices through the partitioned table, then apply corrections."""
     path = scratch_path(spark, "fact")
@@ -512,6 +549,7 @@ def _own_queries():
         "bars_from_ticks": lambda s, sf: fx.plain(bars_from_ticks(fx.event_ticks(s, sf), "px", "event_id")),
         "resample_weekly": lambda s, sf: resample_bars(fx.typed_bars(s, sf), "1wk"),
         "resample_monthly": lambda s, sf: resample_bars(fx.typed_bars(s, sf), "1mo"),
+        "month_bounds": month_bounds_query,
         "table_counts": lambda s, sf: table_counts({t: fx.table(s, sf, t) for t in fx.TABLES}),
         "table_list": table_list,
         "param_query": param_query,
@@ -540,6 +578,7 @@ def _own_queries():
         "monthly_returns": lambda s, sf: analytics.monthly_returns(fx.fact_bars(s, sf)),
         "q6_sector_monthly": lambda s, sf: analytics.sector_monthly(fx.fact_bars(s, sf), fx.listings(s, sf)),
         "q7_trading_days": trading_days,
+        "q7_one_fiscal_quarter": one_fiscal_quarter,
         "ingest_counts": lambda s, sf: analytics.ingest_counts(fx.lineitem_bars(s, sf)),
         "watermark_candidates": lambda s, sf: incremental.watermark_candidates(fx.lineitem_bars(s, sf)),
         "ma_7d": _indicator("ma_7d"),
@@ -591,6 +630,8 @@ def _own_queries():
         "upsert_counts": lambda s, sf: upsert.upsert_counts(*_upsert_sides(s, sf)),
         "insert_absent": lambda s, sf: upsert.insert_absent(*_upsert_sides(s, sf), BAR_KEY).select(*BAR_KEY, "close_price"),
         "upsert_table": upsert_table_query,
+        "listing_table_upsert": listing_table_upsert,
+        "listing_table_averages": listing_table_averages,
         "incremental_gold": incremental_gold_query,
         "stream_ingest": stream_ingest_query,
         "stream_daily_bars": stream_daily_bars_query,

@@ -3,7 +3,7 @@
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from barworks.functions.dates import month_start
+from barworks.functions.dates import MONTH_COLUMN, month_start
 from barworks.functions.numeric import guarded_ratio, is_missing, pct_change, round_stable
 from barworks.operators.gold import LONG_ROWS, SHORT_ROWS, moving_average, previous_close, with_rounded
 from barworks.operators.ranks import attach_ranks, rank_key, value_ranks
@@ -182,12 +182,17 @@ def trading_days(fact, dim_date):
     Both distinct counts come from one hash aggregation per symbol and month:
     its rows are the distinct symbols, and the days of a month fit in the bits
     of a long. Counting distinct values directly would expand every bar to three.
+
+    A fact that still has its month column is also joined on the month, so a filter
+    on the calendar (one fiscal quarter) skips the other months at run time.
     """
     days = dim_date.filter(~F.col("is_weekend")).select(
-        "date_key", "month_name", "month_number", "year", "fiscal_quarter")
+        "date_key", "month_name", "month_number", "year", "fiscal_quarter", month_start("date_key").alias("_month"))
     group = ["month_name", "year", "fiscal_quarter", "month_number"]
-    bars = fact.select("symbol", "trade_date", _close().alias("close_price"), "volume")
-    joined = bars.join(days, bars["trade_date"] == days["date_key"], "inner")
+    by_month = [MONTH_COLUMN] if MONTH_COLUMN in fact.columns else []
+    bars = fact.select("symbol", "trade_date", _close().alias("close_price"), "volume", *by_month)
+    same = [F.col("trade_date") == F.col("date_key")] + [F.col(c) == F.col("_month") for c in by_month]
+    joined = bars.join(days, same, "inner")
     day_bit = F.expr("shiftleft(1L, dayofmonth(trade_date) - 1)")
     by_symbol = joined.groupBy("symbol", *group).agg(
         F.bit_or(day_bit).alias("_days"),

@@ -50,7 +50,7 @@ def has_data(spark, path):
     return any_file(spark, f"{path.rstrip('/')}/{MONTH}=*/part-*")
 
 
-def _span(df, keys):
+def batch_span(df, keys):
     """The months of a batch and its first and last day: 12 rows per year of data."""
     lacking = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
     by_month = df.groupBy(month_start("trade_date").alias(MONTH)).agg(
@@ -103,7 +103,7 @@ def upsert_table(spark, path, source, keys=BAR_KEY, settle=True, counts=None):
     replace by the join that looks for them.
     """
     recover(spark, path)
-    months, first, last = _span(source, keys)
+    months, first, last = batch_span(source, keys)
     if not months:
         return []
     given = source
@@ -154,8 +154,13 @@ def replace_days(spark, path, fresh, days):
 
 
 def _replace(spark, path, df):
+    replace_months(spark, path, lambda stage: _write(_laid_out(df), stage))
+
+
+def replace_months(spark, path, write):
+    """Put the months that ``write(folder)`` writes in place of the table's, through the redo log."""
     stage = _stage_path(spark, path)
-    _write(_laid_out(df), stage)
+    write(stage)
     touch_path(spark, f"{stage}.ready")
     _apply(spark, path, stage)
     _clear(spark, stage)

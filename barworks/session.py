@@ -1,5 +1,6 @@
 """Session settings and the shared folder for data that must outlive an executor."""
 
+import contextlib
 import re
 import tempfile
 import uuid
@@ -28,6 +29,19 @@ def build_session(app_name="barworks", master=None, **conf):
     return builder.getOrCreate()
 
 
+@contextlib.contextmanager
+def settings(spark, values):
+    """Session settings for the plans that are built and run inside; put back afterwards."""
+    before = {key: spark.conf.get(key, None) for key in values}
+    try:
+        for key, value in values.items():
+            spark.conf.set(key, value)
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
 def shared_dir(spark):
     """The folder named by spark.checkpoint.dir, which every executor can reach.
 

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from barworks import schemas
 from barworks.functions.dates import month_start
+from barworks.session import settings
 
 STAR_SCHEMA = {
     "dim_exchange": (schemas.DIM_EXCHANGE, None),
@@ -75,6 +76,25 @@ def table_counts(frames):
     return reduce(lambda a, b: a.unionByName(b), counts)
 
 
+def month_bounds(spark, path, day="trade_date"):
+    """(trade_month, row_count, first_day, last_day) of a table partitioned by month, from file footers alone.
+
+    The V2 reader answers counts, minima and maxima by partition from the footers, so no
+    column is read. Rows without a day have no month: they are counted, without bounds.
+    """
+    # Only V2 scans look at this one, when they are optimised; the other decides which reader a path gets.
+    spark.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    others = [s for s in spark.conf.get("spark.sql.sources.useV1SourceList").split(",") if s.strip() != "parquet"]
+    with settings(spark, {"spark.sql.sources.useV1SourceList": ",".join(others)}):
+        table = spark.read.parquet(path)
+    dated, undated = table.filter("trade_month IS NOT NULL"), table.filter("trade_month IS NULL")
+    rows = F.count(F.lit(1)).alias("row_count")
+    # A file without any day has no minimum in its footer, so it must not be asked for one.
+    none = F.lit(None).cast("date")
+    return dated.groupBy("trade_month").agg(rows, F.min(day).alias("first_day"), F.max(day).alias("last_day")).unionByName(
+        undated.groupBy("trade_month").agg(rows).withColumns({"first_day": none, "last_day": none}))
+
+
 def database_counts(spark, database):
     """Row counts of every table of a database; only its table names reach the driver."""
     names = [r["table_name"] for r in list_tables(spark, database).filter("table_type = 'TABLE'").collect()]

@@ -417,6 +417,15 @@ def oracle_sql(tables):
         "stream_ingest": f"WITH {FACT} SELECT {BAR_OUT}, daily_range, change_pct FROM fact",
         "stream_daily_bars": f"WITH {EVENT_BARS} SELECT {BAR_OUT} FROM event_bars",
     }
+    out["q7_one_fiscal_quarter"] = out["q7_trading_days"].replace("NOT is_weekend", "NOT is_weekend AND fiscal_year = 1997 AND fiscal_quarter = 2")
+    out["listing_table_upsert"] = out["upsert_table"]
+    corrected = "close_price + CASE WHEN trade_date >= DATE '1997-01-01' THEN 1 ELSE 0 END"
+    over = "avg({}) OVER (PARTITION BY symbol, exchange_code ORDER BY trade_date ROWS BETWEEN {} PRECEDING AND CURRENT ROW)"
+    out["listing_table_averages"] = f"""WITH {TYPED}, t AS (SELECT {KEY}, {d(corrected)} AS close_price, volume FROM typed),
+        w AS (SELECT *, {over.format('close_price', 6)} AS a, {over.format('close_price', 29)} AS b, {over.format('volume', 6)} AS v FROM t)
+        SELECT {KEY}, close_price, {r('a', 2)} AS ma_7day, {r('b', 2)} AS ma_30day, {r('v', 0)} AS avg_volume_7day FROM w"""
+    out["month_bounds"] = f"""WITH {TYPED} SELECT CAST(date_trunc('month', trade_date) AS DATE) AS trade_month, count(*) AS row_count,
+        min(trade_date) AS first_day, max(trade_date) AS last_day FROM typed GROUP BY 1"""
     out["normalize_zoned"] = out["normalize_bars"]
     out["ctas_silver"] = out["silver_sql"]
     out["load_quarantine"] = f"""WITH {CONTRACT} SELECT coalesce(symbol, 'none') AS symbol, exchange_code,
