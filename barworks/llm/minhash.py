@@ -8,12 +8,14 @@ are stored, packed in hex, and the share of equal values is corrected for equal
 bits by chance.
 """
 
+import math
 import random
 
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from barworks.llm.common import fresh
+from barworks.session import scratch_path, write_and_reread
 
 #: Bins, a power of two, and the bits kept of each: one hex digit.
 BIN_BITS, KEPT_BITS = 7, 4
@@ -21,6 +23,8 @@ BINS = 1 << BIN_BITS
 SHINGLE_WORDS = 5
 #: Bins that an empty bin tries at random before it goes on in order.
 TRIES = 24
+#: Ranges of ids at most, and so 100 MB of their table; more than 256 TB of text make larger ranges.
+MOST_RANGES = 1 << 22
 
 
 def _let(value, body):
@@ -103,18 +107,42 @@ def likeness(a, b):
     return F.when(a == b, 1.0).when((a == "") | (b == ""), 0.0).otherwise(F.greatest(F.lit(0.0), (equal - chance) / (1 - chance)))
 
 
-def _place(edges, value):
-    """How many of the sorted edges are below a value, by halving."""
-    steps = max(1, len(edges).bit_length())
-    table = F.lit(edges) if edges else F.array().cast("array<bigint>")
-    start = F.struct(F.lit(0).alias("low"), F.lit(len(edges)).alias("high"))
+def _place(edges, value, most):
+    """How many of the sorted edges (an array of at most ``most``) are below a value, by halving."""
+    start = F.struct(F.lit(0).alias("low"), F.size(edges).alias("high"))
 
     def halve(acc, _):
         return _let(((acc.low + acc.high) / 2).cast("int"), lambda m: F.when(acc.low >= acc.high, acc).when(
-            F.get(table, m) < value, F.struct((m + 1).alias("low"), acc.high.alias("high"))).otherwise(
+            F.get(edges, m) < value, F.struct((m + 1).alias("low"), acc.high.alias("high"))).otherwise(
             F.struct(acc.low.alias("low"), m.alias("high"))))
 
-    return F.aggregate(F.sequence(F.lit(1), F.lit(steps)), start, halve, lambda acc: acc.low)
+    return F.aggregate(F.sequence(F.lit(1), F.lit(max(1, most.bit_length()))), start, halve, lambda acc: acc.low)
+
+
+def _range_index(keys, fan, accuracy):
+    """One row for each block of ``keys`` (block, id): (block, edges, heads, targets), written, of at most ``fan`` rows.
+
+    A block is cut at ``edges`` into at most ``fan`` parts. ``heads`` has the largest
+    id of each part, and ``targets`` the number of the filled range above it, where range
+    block * fan + part is a part of a block. The last range is followed by the first.
+    """
+    spark = keys.sparkSession
+    cuts = F.percentile_approx("id", [k / fan for k in range(1, fan)], accuracy)
+    edges = write_and_reread(keys.groupBy("block").agg(F.array_sort(F.array_distinct(cuts)).alias("edges")), scratch_path(spark, "edges"))
+    # At most fan * fan longs, see MOST_RANGES.
+    parts = keys.join(F.broadcast(edges), "block").groupBy("block", _place(F.col("edges"), F.col("id"), fan).alias("part")).agg(F.max("id").alias("head"))
+    filled = parts.groupBy("block").agg(F.sort_array(F.collect_list(F.struct("part", "head"))).alias("filled"))
+    # A window over the blocks, of which there are at most fan.
+    up = Window.orderBy("block")
+    lowest = F.col("block") * fan + F.get("filled", F.lit(0)).part
+    above = F.coalesce(F.lead(lowest).over(up), F.first(lowest).over(up))
+    every, numbers = F.sequence(F.lit(0), F.lit(fan - 1)), F.transform("filled", lambda x: x.part)
+    after = lambda p: F.get(numbers, F.array_position(numbers, p).cast("int"))
+    index = filled.withColumn("above", above).join(F.broadcast(edges), "block").select(
+        "block", "edges",
+        F.transform(every, lambda p: F.get(F.transform("filled", lambda x: x.head), F.array_position(numbers, p).cast("int") - 1)).alias("heads"),
+        F.transform(every, lambda p: F.coalesce(F.col("block") * fan + after(p), F.col("above"))).alias("targets"))
+    return write_and_reread(index, scratch_path(spark, "ranges"))
 
 
 def with_next(docs, id_col, columns, bucket_bytes=64 << 20, text_col="text"):
@@ -122,30 +150,32 @@ def with_next(docs, id_col, columns, bucket_bytes=64 << 20, text_col="text"):
 
     Ids are cut into ranges, by quantiles; each range also gets a copy of the first
     row of the next one, so every pair meets inside a range and texts are shuffled
-    once. The driver sees two ids a range. Rows of equal ids follow one another
+    once. Quantiles are taken twice, of all ids and in each block between two of these, so the plan
+    holds only about as many as the square root of the number of ranges; edges and
+    first ids of the ranges are in a written table, which is broadcast: 24 bytes a range, at most ``MOST_RANGES``
+    of them. Rows of equal ids follow one another
     in the order of their columns; null ids come last.
     """
     spark = docs.sparkSession
     ids = F.coalesce(F.col(id_col).cast("bigint"), F.lit(-(1 << 63)))
     size = docs.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
-    ranges = max(4 * int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // bucket_bytes))
-    edges = docs.agg(F.percentile_approx(ids, [k / ranges for k in range(1, ranges)], max(10000, 2 * ranges))).first()[0] or []
-    edges = sorted(set(edges))
-    place, own, ghost = fresh("range"), fresh("id"), fresh("ghost")
-    keyed = docs.withColumn(own, ids).withColumn(place, _place(edges, F.col(own)))
-    heads = {r[0]: r[1] for r in docs.select(_place(edges, ids).alias("range"), ids.alias("id")).groupBy("range").agg(F.max("id")).toLocalIterator()}
-    down = sorted(heads, reverse=True)
-    above = {r: down[k - 1] for k, r in enumerate(down)}
-    head_ids = F.lit([heads.get(r, 0) for r in range(len(edges) + 1)])
-    targets = F.lit([above.get(r, 0) for r in range(len(edges) + 1)])
-    copies = F.when(F.col(own) == F.get(head_ids, F.col(place)), F.array(
-        F.struct(F.col(place).alias("range"), F.lit(False).alias("ghost")),
-        F.struct(F.get(targets, F.col(place)).alias("range"), F.lit(True).alias("ghost")))).otherwise(
-        F.array(F.struct(F.col(place).alias("range"), F.lit(False).alias("ghost"))))
-    spread = keyed.withColumn(ghost, F.explode(copies))
+    ranges = min(MOST_RANGES, max(4 * int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // bucket_bytes)))
+    fan = max(2, math.isqrt(ranges - 1) + 1)
+    accuracy = max(10000, 2 * fan)
+    cuts = docs.agg(F.percentile_approx(ids, [k / fan for k in range(1, fan)], accuracy)).first()[0] or []
+    block_of = _place(F.lit(sorted(set(cuts))) if cuts else F.array().cast("array<bigint>"), ids, fan).cast("bigint")
+    index = _range_index(docs.select(block_of.alias("block"), ids.alias("id")), fan, accuracy)
+    own, block, part, at, ghost = fresh("id"), fresh("block"), fresh("part"), fresh("at"), fresh("ghost")
+    index = index.select(F.col("block").alias(block), F.struct("edges", "heads", "targets").alias(at))
+    placed = (docs.withColumn(own, ids).withColumn(block, block_of).join(F.broadcast(index), block)
+              .withColumn(part, _place(F.col(f"{at}.edges"), F.col(own), fan)))
+    here = F.struct((F.col(block) * fan + F.col(part)).alias("range"), F.lit(False).alias("ghost"))
+    there = F.struct(F.get(f"{at}.targets", F.col(part)).alias("range"), F.lit(True).alias("ghost"))
+    copies = F.when(F.col(own) == F.get(f"{at}.heads", F.col(part)), F.array(here, there)).otherwise(F.array(here))
+    spread = placed.withColumn(ghost, F.explode(copies)).drop(block, part, at)
     order = Window.partitionBy(F.col(f"{ghost}.range")).orderBy(F.col(f"{ghost}.ghost"), F.col(own).desc(), *columns)
     return (spread.withColumn("next", F.lead(F.struct(*columns)).over(order))
-            .filter(~F.col(f"{ghost}.ghost")).drop(place, own, ghost))
+            .filter(~F.col(f"{ghost}.ghost")).drop(own, ghost))
 
 
 def compare_edited(docs, id_col="doc_id", text_col="text"):

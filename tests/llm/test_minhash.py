@@ -53,6 +53,17 @@ def test_next_across_ranges(spark, docs):
     rows = [(k * 7 % 300, f"text {k * 7 % 300}") for k in range(300)]
     out = with_next(docs(rows), "doc_id", ["text"], bucket_bytes=50).collect()
     assert {r.doc_id: r.next.text for r in out} == {k: f"text {(k - 1) % 300}" for k in range(300)}
+    # Most ids lie close together, some far apart, and one holds a third of the rows.
+    ids = sorted([k * k * k for k in range(-60, 60)] + [7] * 70 + [10 ** 15 + k for k in range(20)], reverse=True)
+    out = with_next(docs([(d, "x") for d in ids]), "doc_id", ["doc_id"], bucket_bytes=1).collect()
+    assert sorted((r.doc_id, r.next.doc_id) for r in out) == sorted(zip(ids, [*ids[1:], ids[0]]))
+
+
+def test_plan_holds_a_square_root_of_the_ranges(docs, plan):
+    rows = [(k, "x" * 20) for k in range(3000)]
+    text = plan(with_next(docs(rows), "doc_id", ["text"], bucket_bytes=20))
+    assert max(len(found.split(",")) for found in re.findall(r"\[([-0-9, ]+)\]", text)) <= 60
+    assert text.count("Exchange hashpartitioning") == 1
 
 
 def test_odd_rows(docs, odd_rows, plan):
