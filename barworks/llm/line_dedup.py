@@ -17,11 +17,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from barworks.llm.common import fresh, keep_columns, with_fields
-from barworks.session import scratch_path, write_and_reread
+from barworks.session import delete_path, scratch_path, settings, write_and_reread
 
 WHITE = b" \t\n\x0b\x0c\r"
 #: Stands for a null id: smaller than any other, and equal to itself.
 NO_ID = -(1 << 63)
+#: Bytes of a row of a run, and of a bucket: a merge task sorts and writes about one bucket.
+ROW_BYTES, BUCKET_BYTES = 40, 64 << 20
 
 
 def line_key(line, min_chars):
@@ -32,10 +34,8 @@ def line_key(line, min_chars):
     return xxhash.xxh3_128_digest(line)
 
 
-def document_keys(docs, id_col, text_col, min_chars, sieve=None):
-    """(id, key): each key of a document once. ``sieve`` (a bitmap over key prefixes) lets only some keys pass."""
-    bits = 0 if sieve is None else int(len(sieve) * 64).bit_length() - 1
-
+def document_keys(docs, id_col, text_col, min_chars):
+    """(id, key): each key of a document once."""
     def keys(batches):
         for batch in batches:
             ids, found = [], []
@@ -45,12 +45,7 @@ def document_keys(docs, id_col, text_col, min_chars, sieve=None):
                     if key is not None:
                         ids.append(doc)
                         found.append(key)
-            out = pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(found, pa.binary())], names=["id", "key"])
-            if sieve is not None and len(found):
-                prefix = np.frombuffer(b"".join(key[:8] for key in found), ">u8") >> np.uint64(64 - bits)
-                word = sieve[(prefix >> np.uint64(6)).astype(np.int64)]
-                out = out.filter(pa.array((word >> (prefix & np.uint64(63))) & np.uint64(1) == 1))
-            yield out
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(found, pa.binary())], names=["id", "key"])
 
     ids = F.coalesce(F.col(id_col).cast("bigint"), F.lit(NO_ID))
     return docs.select(ids.alias("id"), F.col(text_col).alias("text")).mapInArrow(keys, "id bigint, key binary")
@@ -69,8 +64,11 @@ class LineRuns:
         self.levels = [[]]
 
     def _write(self, df):
+        """A run with one file a bucket: what is shuffled by key on the way has as many partitions as there are buckets."""
         name = f"line_run_{uuid.uuid4().hex}"
-        df.write.format("parquet").bucketBy(self.buckets, "key").sortBy("key").saveAsTable(name)
+        sizes = ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.initialPartitionNum")
+        with settings(self.spark, dict.fromkeys(sizes, str(self.buckets))):
+            df.write.format("parquet").bucketBy(self.buckets, "key").sortBy("key").saveAsTable(name)
         return name
 
     def runs(self):
@@ -122,27 +120,29 @@ class LineRuns:
         self.levels = [[]]
 
 
-def _batches(docs, id_col, n):
-    """Ranges of ids, the largest first; null ids are in the last one."""
+def _batch_number(docs, id_col, n):
+    """(number of a row of keys' batch by its ``id``, number of batches): ranges of ids, the largest first, null ids last."""
     ids = F.coalesce(F.col(id_col).cast("bigint"), F.lit(NO_ID))
     cuts = docs.agg(F.percentile_approx(ids, [k / n for k in range(n - 1, 0, -1)], 1000)).first()[0] or []
-    above = None
-    for cut in [*dict.fromkeys(cuts), None]:
-        part = F.lit(True) if above is None else ids <= above
-        yield docs.filter(part if cut is None else part & (ids > cut))
-        above = cut
+    cuts = list(dict.fromkeys(cuts))
+    return sum(((F.col("id") <= cut).cast("int") for cut in cuts), F.lit(0)), len(cuts) + 1
 
 
-def frequent_lines(docs, id_col="doc_id", text_col="text", min_chars=40, min_docs=5, batches=4):
-    """Written table (key, keeper) of the lines to drop everywhere but in their keeper."""
-    spark = docs.sparkSession
-    runs = LineRuns(spark)
-    for part in _batches(docs, id_col, batches):
-        runs.add(document_keys(part, id_col, text_col, min_chars))
-    found = runs.merged().filter(F.col("docs") >= min_docs).select("key", "keeper")
-    found = write_and_reread(found, scratch_path(spark, "frequent-lines"))
-    runs.drop()
-    return found
+def frequent_lines(keys, batches, min_docs=5):
+    """Written table (key, keeper) of the lines to drop everywhere but in their keeper.
+
+    ``keys``: (id, key, batch) in a table partitioned by batch, of which 0 has the largest ids.
+    """
+    spark = keys.sparkSession
+    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-keys.count() * ROW_BYTES // BUCKET_BYTES))
+    runs = LineRuns(spark, buckets=buckets)
+    try:
+        for number in range(batches):
+            runs.add(keys.filter(F.col("batch") == number).select("id", "key"))
+        found = runs.merged().filter(F.col("docs") >= min_docs).select("key", "keeper")
+        return write_and_reread(found, scratch_path(spark, "frequent-lines"))
+    finally:
+        runs.drop()
 
 
 def _sieve(found, bits):
@@ -156,6 +156,20 @@ def _sieve(found, bits):
     return sieve.view(np.uint64)
 
 
+def _sieved(keys, sieve):
+    """The (id, key) rows whose key may be in the sieve: few pass, so few are shuffled."""
+    bits = int(len(sieve) * 64).bit_length() - 1
+
+    def passing(batches):
+        for batch in batches:
+            if batch.num_rows:
+                prefix = np.frombuffer(b"".join(batch.column(1).to_pylist()), ">u8")[::2] >> np.uint64(64 - bits)
+                word = sieve[(prefix >> np.uint64(6)).astype(np.int64)]
+                yield batch.filter(pa.array((word >> (prefix & np.uint64(63))) & np.uint64(1) == 1))
+
+    return keys.select("id", "key").mapInArrow(passing, "id bigint, key binary")
+
+
 def dedup_lines(docs, id_col="doc_id", text_col="text", min_chars=40, min_docs=5, batches=4, sieve_bits=20):
     """The documents without lines that other documents keep.
 
@@ -172,11 +186,16 @@ def dedup_lines(docs, id_col="doc_id", text_col="text", min_chars=40, min_docs=5
     """
     spark = docs.sparkSession
     docs = docs.drop("n_lines", "n_dropped")
-    found = frequent_lines(docs, id_col, text_col, min_chars, min_docs, batches)
-    sieve = _sieve(found, sieve_bits)
-    drops = (document_keys(docs, id_col, text_col, min_chars, sieve).join(found, "key")
+    # Texts are read for their keys once, and once more where lines go.
+    number, batches = _batch_number(docs, id_col, batches)
+    key_path = scratch_path(spark, "line-keys")
+    keys = write_and_reread(document_keys(docs, id_col, text_col, min_chars).withColumn("batch", number), key_path, ["batch"])
+    found = frequent_lines(keys, batches, min_docs)
+    drops = (_sieved(keys, _sieve(found, sieve_bits)).join(found, "key")
              .filter(F.col("id") != F.col("keeper"))
              .groupBy("id").agg(F.collect_set("key").alias("keys")))
+    drops = write_and_reread(drops, scratch_path(spark, "line-drops"))
+    delete_path(spark, key_path)
     own, other, drop = fresh("own"), fresh("id"), fresh("drop")
     joined = (docs.withColumn(own, F.coalesce(F.col(id_col).cast("bigint"), F.lit(NO_ID)))
               .join(drops.select(F.col("id").alias(other), F.col("keys").alias(drop)), F.col(own) == F.col(other), "left")
