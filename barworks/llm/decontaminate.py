@@ -8,9 +8,11 @@ match of two words or more lies in such a run, so nothing is missed.
 """
 
 import re
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -188,12 +190,16 @@ FOUND = T.StructType([
 
 
 def _blocks(benchmark, item_col, text_col, block_bytes):
-    """(number of blocks, the blocks one by one): lists of (item, text) of about ``block_bytes`` of text each."""
+    """(number of blocks, the blocks one by one): lists of (ids, text) of about ``block_bytes`` of text each.
+
+    Copies of an item text are one entry with the ids of all of them, so they don't add up in one block.
+    """
     rows = benchmark.select(F.col(item_col).cast("bigint").alias("item"), F.col(text_col).alias("text")).filter("text IS NOT NULL")
+    rows = rows.groupBy("text").agg(F.collect_set("item").alias("ids"))
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = max(1, -(-total // block_bytes))
     part = F.pmod(F.xxhash64("text"), F.lit(n))
-    return n, ([(r.item, r.text.encode()) for r in rows.filter(part == k).toLocalIterator()] for k in range(n))
+    return n, ([(r.ids, r.text.encode()) for r in rows.filter(part == k).toLocalIterator()] for k in range(n))
 
 
 def _union(spans):
@@ -245,7 +251,7 @@ def _pass(shared, window, text_col, number):
                 words[row:row + len(n)] = n
                 found.update({row + k: v for k, v in hits.items()})
             spans = [[list(x) for x in found[k][0]] if k in found else [] for k in range(batch.num_rows)]
-            items = [[block[i][0] for i in found[k][2]] if k in found else [] for k in range(batch.num_rows)]
+            items = [[own for i in found[k][2] for own in block[i][0]] if k in found else [] for k in range(batch.num_rows)]
             hits = [found[k][1] if k in found else 0 for k in range(batch.num_rows)]
             if number:
                 texts = batch.column(text_col).cast(pa.binary())
@@ -262,7 +268,7 @@ def _pass(shared, window, text_col, number):
             yield keep_columns(
                 batch, n_words=pa.array(words), n_hit=pa.array(hits, pa.int64()),
                 spans=pa.array([[{"start": a, "stop": b, "whole": whole} for a, b, whole in own] for own in spans], pair),
-                items=pa.array([sorted({i for i in own if i is not None}) for own in items], pa.list_(pa.int64())))
+                items=pa.array([sorted(set(own)) for own in items], pa.list_(pa.int64())))
     return scan
 
 
@@ -325,8 +331,8 @@ def _without(text, spans):
 
 
 def _decontaminate_blocks(docs, benchmark, text_col, max_coverage, max_length, options):
-    """For a benchmark of several automata: passes of search and cut until no text changes."""
-    names, first, changed = docs.columns, True, fresh("changed")
+    """For a benchmark of several automata: passes of search and cut, each over the documents the last one changed."""
+    names, first, changed, settled = docs.columns, True, fresh("changed"), []
     while True:
         found = find_contamination(docs, benchmark, text_col, **options)
         if first:
@@ -345,6 +351,7 @@ def _decontaminate_blocks(docs, benchmark, text_col, max_coverage, max_length, o
 
         schema = with_fields(docs.select(*names).schema, **{changed: T.BooleanType()})
         done = write_and_reread(found.mapInArrow(cut, schema), scratch_path(docs.sparkSession, "decontaminate"))
-        docs, first = done.drop(changed), False
-        if done.filter(changed).isEmpty():
-            return docs
+        settled.append(done.filter(~F.col(changed)).drop(changed))
+        docs, first = done.filter(changed).drop(changed), False
+        if docs.isEmpty():
+            return reduce(DataFrame.union, settled)

@@ -4,7 +4,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from barworks.llm.decontaminate import SuffixAutomaton, decontaminate, find_contamination
+from barworks.llm.decontaminate import SuffixAutomaton, _blocks, decontaminate, find_contamination
 
 WORD = re.compile("[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
@@ -100,3 +100,13 @@ def test_whole_short_items_go(spark, docs, block_bytes):
     out = {r.doc_id: r.text for r in cleaned.collect()}
     assert out == {1: f"So: , {tail}", 2: out[2], 3: texts[2][1], 4: texts[3][1]} and out[2].split() == tail.split()
     assert find_contamination(cleaned, bench).filter("n_hit > 0").count() == 0
+
+
+def test_copies_of_an_item_text_are_one_entry(spark, docs):
+    text = "a passage of the test that many items repeat word for word"
+    bench = items_frame(spark, [(k, text) for k in range(300)] + [(None, text), (900, "another item of the test, seen once")])
+    n, blocks = _blocks(bench, "item_id", "text", 64)
+    blocks = [block for block in blocks if block]
+    assert n == 2 and sorted(len(ids) for block in blocks for ids, _ in block) == [1, 300]
+    row = find_contamination(docs([(1, f"so {text} it says")]), bench, block_bytes=64).first()
+    assert row["items"] == list(range(300)) and row.n_hit == 12
