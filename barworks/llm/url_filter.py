@@ -1,7 +1,7 @@
 """URL rules behind a blocked Bloom filter, in DataFrame operations only.
 
-A url is looked up under every suffix of its host and every leading folder of its
-path. A Bloom filter of the listed keys, cut into blocks of one 64-bit word,
+A url is looked up under the suffixes of its host and the leading folders of its
+path, as far as the rules reach. A Bloom filter of the listed keys, cut into blocks of one 64-bit word,
 passes the keys that may be listed; a hash join with the rules removes the false
 positives. Each distinct (host, path) is judged once.
 """
@@ -42,16 +42,25 @@ def _folder(path):
     return F.regexp_extract(path, r"(?s)^(.*/)?", 1)
 
 
-def _suffixes(host):
-    """The host and its parent domains."""
+def _labels(host):
+    return F.size(F.split(host, r"\."))
+
+
+def _depth(folder):
+    return F.size(F.split(folder, "/")) - 1
+
+
+def _suffixes(host, most):
+    """The host and its parent domains of at most ``most`` labels."""
     return _let(F.split(host, r"\."), lambda parts: F.transform(
-        F.sequence(F.lit(1), F.size(parts)), lambda k: F.array_join(F.slice(parts, k, F.size(parts)), ".")))
+        F.sequence(F.lit(1), F.least(F.size(parts), F.lit(most))),
+        lambda k: F.array_join(F.slice(parts, F.size(parts) - k + 1, k), ".")))
 
 
-def _folders(path):
-    """Every leading part of the path that ends with a slash, and the empty one."""
+def _folders(path, most):
+    """Leading parts of the path that end with a slash, down to a depth of ``most``, and the empty one."""
     return _let(F.split(_folder(path), "/"), lambda parts: F.transform(
-        F.sequence(F.lit(0), F.size(parts) - 1),
+        F.sequence(F.lit(0), F.least(F.size(parts) - 1, F.lit(most))),
         lambda k: F.when(k == 0, F.lit("")).otherwise(F.concat(F.array_join(F.slice(parts, 1, k), "/"), F.lit("/")))))
 
 
@@ -96,8 +105,10 @@ def filter_urls(urls, rules, url_col="url", default="allow", blocks=BLOCKS):
               .withColumn("folder", _folder(F.col("rule_path"))))
     word_of = bloom_filter(listed.select(_key(F.col("rule_host"), F.col("folder")).alias("key")), blocks)
 
+    # What is longer than any rule can't be one's host or folder, so a url makes no more keys than the rules' own depths.
+    labels, depth = listed.agg(F.max(_labels(F.col("rule_host"))), F.max(_depth(F.col("folder")))).first()
     split = urls.select(host_of(F.col(url_col)).alias("host"), path_of(F.col(url_col)).alias("path")).distinct()
-    keys = (split.withColumn("suffix", F.explode(_suffixes(F.col("host")))).withColumn("under", F.explode(_folders(F.col("path"))))
+    keys = (split.withColumn("suffix", F.explode(_suffixes(F.col("host"), labels or 1))).withColumn("under", F.explode(_folders(F.col("path"), depth or 0)))
             .withColumn("key", _key(F.col("suffix"), F.col("under"))))
     maybe = (keys.join(F.broadcast(word_of), _block(F.col("key"), blocks) == F.col("block"))
              .filter(F.col("word").bitwiseAND(_bits(F.col("key"))) == _bits(F.col("key"))).drop("block", "word", "key"))
