@@ -151,7 +151,7 @@ def _sieve(found, bits):
     words = found.select(at).selectExpr("shiftright(at, 6) AS word", "shiftleft(1L, CAST(at & 63 AS INT)) AS bit").groupBy("word").agg(
         F.bit_or("bit").alias("bits"))
     sieve = np.zeros(1 << (bits - 6), np.int64)
-    for row in words.toLocalIterator():
+    for row in words.collect():
         sieve[row.word] = row.bits
     return sieve.view(np.uint64)
 
