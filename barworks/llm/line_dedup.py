@@ -198,7 +198,7 @@ def dedup_lines(docs, id_col="doc_id", text_col="text", min_chars=40, min_docs=5
     delete_path(spark, key_path)
     own, other, drop = fresh("own"), fresh("id"), fresh("drop")
     joined = (docs.withColumn(own, F.coalesce(F.col(id_col).cast("bigint"), F.lit(NO_ID)))
-              .join(drops.select(F.col("id").alias(other), F.col("keys").alias(drop)), F.col(own) == F.col(other), "left")
+              .join(drops.select(F.col("id").alias(other), F.col("keys").alias(drop)).hint("merge"), F.col(own) == F.col(other), "left")
               .drop(own, other))
 
     def rewrite(batches):
