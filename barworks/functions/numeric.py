@@ -39,12 +39,6 @@ def safe_long(c):
     return _col(c).try_cast("bigint")
 
 
-def whole_number(c):
-    """A whole number as a long, also where it is written with a fraction of zero; anything else is null."""
-    number = _col(c).try_cast("double")
-    return F.coalesce(F.when(number == F.floor(number), safe_long(c)), F.when(number == F.floor(number), number.try_cast("bigint")))
-
-
 def is_infinite(c):
     return F.abs(_col(c).try_cast("double")) == F.lit(float("inf"))
 

@@ -7,7 +7,7 @@ Instead of raising on the first bad record, a contract adds ``violations``
 from pyspark.sql import functions as F
 
 from barworks.functions.dates import safe_date
-from barworks.functions.numeric import is_infinite, is_missing, safe_double, whole_number
+from barworks.functions.numeric import is_infinite, is_missing, safe_double
 from barworks.functions.text import clean_upper
 from barworks.schemas import EXCHANGES, PRICES, RECORD_SOURCE
 
@@ -16,6 +16,29 @@ def _violations(rules):
     return F.array_compact(F.array(*[F.when(broken, F.lit(name)) for name, broken in rules.items()]))
 
 
+def _parsed(df, default_source):
+    """The bars with every text parsed, each value once.
+
+    The values come out of a generator of one row. A filter on what is derived from them stops there; through
+    a projection it would take the casts along and run them again for every rule that reads them.
+    """
+    given = lambda c: F.col(c) if c in df.columns else F.lit(None).cast("string")
+    volume = given("volume")
+    parsed = {
+        "exchange_code": F.coalesce(given("exchange_code"), F.lit("NSE")),
+        "volume": F.lit(None).cast("bigint"),
+        "source": F.coalesce(given("source"), F.lit(default_source)),
+        "symbol": clean_upper("symbol"),
+        "trade_date": safe_date("trade_date"),
+        **{c: safe_double(c) for c in PRICES},
+    }
+    extra = {"_given": volume.isNotNull(), "_number": volume.try_cast("double"), "_long": volume.try_cast("bigint")}
+    columns = [*df.columns, *[c for c in parsed if c not in df.columns]]
+    values = F.struct(*[c.alias(f"_parsed_{name}") for name, c in parsed.items()], *[c.alias(name) for name, c in extra.items()])
+    rows = df.select(*[c for c in df.columns if c not in parsed], F.inline(F.array(values)))
+    return rows.select(*[F.col(f"_parsed_{c}").alias(c) if c in parsed else F.col(c) for c in columns], *extra)
+
+
 def row_contract_bars(df, default_source=RECORD_SOURCE, strict=False):
     """Coerce a bar and list the rules it breaks.
 
@@ -24,20 +47,11 @@ def row_contract_bars(df, default_source=RECORD_SOURCE, strict=False):
     volume is 0; one that is no whole number is named and stays null. ``strict``
     also asks that open and close lie between low and high.
     """
-    defaults = {"exchange_code": F.lit("NSE"), "volume": F.lit(0).cast("bigint"), "source": F.lit(default_source)}
-    for column, value in defaults.items():
-        current = F.col(column) if column in df.columns else F.lit(None).cast("string")
-        if column == "volume":
-            given = F.when(~is_missing(current.try_cast("double"), "double") | current.try_cast("double").isNull(), current)
-            df = df.withColumn("_no_volume", given.isNotNull() & whole_number(given).isNull())
-            df = df.withColumn("volume", F.when(~F.col("_no_volume"), F.coalesce(whole_number(given), value)))
-        else:
-            df = df.withColumn(column, F.coalesce(current, value))
-    df = df.withColumns({
-        "symbol": clean_upper("symbol"),
-        "trade_date": safe_date("trade_date"),
-        **{c: safe_double(c) for c in PRICES},
-    })
+    df = _parsed(df, default_source)
+    given = F.col("_given") & ~F.coalesce(F.isnan("_number"), F.lit(False))
+    whole = F.when(F.col("_number") == F.floor("_number"), F.coalesce("_long", F.col("_number").try_cast("bigint")))
+    unparsable = given & whole.isNull()
+    df = df.withColumns({"_no_volume": unparsable, "volume": F.when(~unparsable, F.coalesce(F.when(given, whole), F.lit(0).cast("bigint")))})
     rules = {
         "symbol_missing": F.col("symbol").isNull(),
         "trade_date_missing": F.col("trade_date").isNull(),
@@ -53,7 +67,7 @@ def row_contract_bars(df, default_source=RECORD_SOURCE, strict=False):
     if strict:
         rules["open_outside_range"] = ~F.col("open_price").between(F.col("low_price"), F.col("high_price"))
         rules["close_outside_range"] = ~F.col("close_price").between(F.col("low_price"), F.col("high_price"))
-    return df.withColumn("violations", _violations(rules)).drop("_no_volume")
+    return df.withColumn("violations", _violations(rules)).drop("_no_volume", "_given", "_number", "_long")
 
 
 def row_contract_symbols(df, exchanges=EXCHANGES):
