@@ -41,10 +41,12 @@ def lineitem_bars(spark, sf_dir):
     taxed = (px * (1 + F.col("l_tax").cast("decimal(4,2)"))).cast("decimal(18,4)")
     # Order, line, part, price in cents and discount in hundredths, as the digits of one
     # number of fixed width: it sorts like the five and lets Spark aggregate by hash.
-    tick_order = F.lit(0).cast("decimal(38,0)")
-    for value, digits in [(F.col("l_orderkey"), 15), (F.col("l_linenumber"), 2), (F.col("l_partkey"), 9),
-                          (F.round(F.col("l_extendedprice") * 100), 8), (F.round(F.col("l_discount") * 100), 2)]:
-        tick_order = tick_order * F.lit(10 ** digits).cast("decimal(38,0)") + value.cast("decimal(38,0)")
+    # The digits are put together as two longs of 18, which meet in one decimal.
+    order, line, part = [F.col(c).cast("bigint") for c in ("l_orderkey", "l_linenumber", "l_partkey")]
+    cents, hundredths = [F.round(F.col(c) * 100).cast("bigint") for c in ("l_extendedprice", "l_discount")]
+    high = (order * 100 + line) * 10 + F.floor(part / 10 ** 8)
+    low = (F.pmod(part, F.lit(10 ** 8)) * 10 ** 8 + cents) * 100 + hundredths
+    tick_order = (high.cast("decimal(19,0)") * F.lit(10 ** 18).cast("decimal(19,0)") + low.cast("decimal(19,0)")).cast("decimal(38,0)")
     ticks = table(spark, sf_dir, "lineitem").select(
         "l_suppkey", (F.col("l_linestatus") == "O").alias("is_open"),
         F.col("l_shipdate").cast("date").alias("trade_date"),
