@@ -381,19 +381,22 @@ def upsert_table_query(spark, sf):
     return fx.plain(read_fact(spark, path), *BAR_KEY, "close_price", "volume")
 
 
-def _load_dirt(spark, sf, base, name="same-name", **options):
+def _dirt(spark, sf):
     dirty = fx.dirty_bronze(spark, sf, more=True)
     late = F.col("loaded_at").cast("date") > F.col("trade_date").try_cast("date")
-    dirty = dirty.withColumn("late_copy", F.when(late, 1).otherwise(0).cast("bigint"))
+    return dirty.withColumn("late_copy", F.when(late, 1).otherwise(0).cast("bigint"))
+
+
+def _load_dirt(spark, dirty, base, name="same-name", **options):
     load_batch(spark, dirty, f"{base}/fact", f"{base}/state", f"{base}/quarantine", name, **options)
-    return dirty
 
 
 def load_quarantine(spark, sf):
     """What a load sets aside, after two more of the same name: a replay, and one of other rows."""
     base = scratch_path(spark, "dirty-load")
-    dirty = _load_dirt(spark, sf, base)
-    _load_dirt(spark, sf, base)
+    dirty = _written(_dirt(spark, sf))
+    _load_dirt(spark, dirty, base)
+    _load_dirt(spark, dirty, base)
     load_batch(spark, contracts.split_valid(contracts.row_contract_bars(dirty))[0], f"{base}/fact", None, f"{base}/quarantine", "same-name")
     return spark.read.parquet(f"{base}/quarantine").select(
         F.coalesce("symbol", F.lit("none")).alias("symbol"), "exchange_code",
@@ -404,15 +407,16 @@ def load_quarantine(spark, sf):
 def run_metrics(spark, sf):
     """What is stored about a load with dirt and its repetition."""
     base = scratch_path(spark, "dirty-load")
+    dirty = _written(_dirt(spark, sf))
     for name in ("run-1", "run-2"):
-        _load_dirt(spark, sf, base, name, metrics_path=f"{base}/metrics")
+        _load_dirt(spark, dirty, base, name, metrics_path=f"{base}/metrics")
     return spark.read.parquet(f"{base}/metrics").select("batch_id", "rows_in", "rows_quarantined", "rows_inserted", "rows_updated", "status")
 
 
 def watermark_table(spark, sf):
     """The stored watermarks after a load with dirt: bad days are passed, as gaps."""
     base = scratch_path(spark, "dirty-load")
-    _load_dirt(spark, sf, base)
+    _load_dirt(spark, _dirt(spark, sf), base)
     return WatermarkTable(spark, f"{base}/state").read()
 
 
