@@ -511,14 +511,14 @@ def stream_late_ticks_query(spark, sf):
 
 
 def stream_metrics(spark, sf):
-    """One stored row for each micro-batch of bar files: four files of a year each, one file a batch, some bars negative."""
+    """One stored row for each micro-batch of bar files: four years of files that arrive one after the other, some bars negative."""
     base = scratch_path(spark, "stream-metrics")
     bars = _written(fx.lineitem_bars(spark, sf).filter(F.year("trade_date").between(1996, 1999)))
     feed = fx.raw_feed(bars).drop("Dividends").withColumn("Low", F.when(F.col("Volume") % 10 == 0, -F.col("Low")).otherwise(F.col("Low")))
     for year in range(1996, 2000):
-        feed.filter(F.year("Date") == year).coalesce(1).write.mode("append").parquet(f"{base}/in")
-    stream_ingest(spark, f"{base}/in", f"{base}/fact", f"{base}/state", f"{base}/checkpoint", quarantine_path=f"{base}/quarantine",
-                  max_files_per_trigger=1, metrics_path=f"{base}/metrics").awaitTermination()
+        feed.filter(F.year("Date") == year).write.mode("append").parquet(f"{base}/in")
+        stream_ingest(spark, f"{base}/in", f"{base}/fact", f"{base}/state", f"{base}/checkpoint", quarantine_path=f"{base}/quarantine",
+                      metrics_path=f"{base}/metrics").awaitTermination()
     return spark.read.parquet(f"{base}/metrics").select(
         "batch_id", "rows_in", "rows_quarantined", "rows_loaded", "rows_inserted", "rows_updated", "status")
 
