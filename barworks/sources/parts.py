@@ -5,7 +5,7 @@ from urllib.parse import unquote
 from pyspark.sql import functions as F
 
 from barworks.schemas import RAW_BARS
-from barworks.session import qualified_path
+from barworks.session import qualified_path, scratch_path, settings, write_and_reread
 
 OUTCOMES = ("loaded", "empty", "corrupt", "missing")
 
@@ -26,15 +26,17 @@ def read_parts(spark, root, expected=None, fmt="parquet", schema=RAW_BARS, **opt
     are looked at once more, and only these: one that does not end like its format is corrupt, one
     without bytes is empty.
 
-    Counting rows by file reads no column of a columnar format.
+    Counting rows by file reads no column of a columnar format. Opening the files is what costs, so the
+    counts are written once, to the shared folder, and folders are listed in tasks of many.
     """
     reader = spark.read.format(fmt).schema(schema).options(recursiveFileLookup="true", ignoreCorruptFiles="true", **options)
-    bars = reader.load(root)
+    with settings(spark, {"spark.sql.sources.parallelPartitionDiscovery.parallelism": str(4 * spark.sparkContext.defaultParallelism)}):
+        bars = reader.load(root)
     base = spark.range(1).select(_plain_path(F.lit(qualified_path(spark, root)))).first()[0].rstrip("/") + "/"
     relative = F.substring(_plain_path(F.col("file")), len(base) + 1, 1 << 30)
     files = spark.createDataFrame([(f,) for f in bars.inputFiles()], "file string").select("file", relative.alias("name"))
     counted = bars.select(F.col("_metadata.file_path").alias("file")).groupBy("file").agg(F.count(F.lit(1)).alias("rows"))
-    counted = counted.select(relative.alias("counted"), "rows")
+    counted = write_and_reread(counted.select(relative.alias("counted"), "rows"), scratch_path(spark, "counted"))
     found = files.join(counted, F.col("name") == F.col("counted"), "left").drop("counted")
     silent = [unquote(r.file) for r in found.filter("rows IS NULL").collect()]
     found = found.join(_unreadable(spark, silent, fmt, relative), F.col("name") == F.col("broken"), "left")
