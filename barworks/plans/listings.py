@@ -20,6 +20,15 @@ from barworks.schemas import BAR_KEY, LISTING
 from barworks.session import settings
 
 
+# A task holds one bucket while it sorts, so this and not the table bounds its memory.
+BUCKET_ROWS = 1_000_000
+
+
+def bucket_count(rows, least=8):
+    """Buckets for a table that will hold so many rows: a task's share does not grow with the table."""
+    return max(least, -(-rows // BUCKET_ROWS))
+
+
 def co_located(buckets):
     """Settings under which a join on listing and day takes the buckets as they are.
 

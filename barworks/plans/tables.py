@@ -107,27 +107,41 @@ def upsert_table(spark, path, source, keys=BAR_KEY, settle=True, counts=None):
     if not months:
         return []
     given = source
-    if settle:
+    target = same_days = None
+    if has_data(spark, path):
+        target = spark.read.parquet(path).filter(F.col(MONTH).isin(months)).drop(MONTH)
+        same_days = target.filter(F.col("trade_date").between(F.lit(first), F.lit(last)))
+    copies, updated = _copies_and_known(given, same_days, keys, settle)
+    if copies:
         source = dedupe_bars(source, keys)
     seen = Observation()
     if counts is not None:
         source = source.observe(seen, F.count(F.lit(1)).alias("rows"))
-        counts["updated"] = 0
-    if not has_data(spark, path):
+        counts["updated"] = updated
+    if target is None:
         _replace(spark, path, source)
-        return _counted(counts, seen, months)
-    target = spark.read.parquet(path).filter(F.col(MONTH).isin(months)).drop(MONTH)
-    same_days = target.filter(F.col("trade_date").between(F.lit(first), F.lit(last)))
-    known = same_days.select(*keys).join(given.select(*keys), list(keys), "left_semi")
-    if counts is not None:
-        counts["updated"] = known.count()
-    if known.isEmpty() if counts is None else not counts["updated"]:
+    elif not updated:
         _write(_laid_out(source), path, "append")
     else:
         _replace(spark, path, merge_rows(target, source, keys, given))
     return _counted(counts, seen, months)
 
 
+def _copies_and_known(given, same_days, keys, settle):
+    """Whether a key comes more than once in the batch, and how many rows of the table it replaces: one job over the keys.
+
+    Rows are sorted to settle copies only where there are any.
+    """
+    batch = given.groupBy(*keys).agg(F.count(F.lit(1)).alias("_copies")) if settle else given.select(*keys, F.lit(1).alias("_copies"))
+    known = F.lit(0) if same_days is None else F.count("_known")
+    if same_days is not None:
+        batch = batch.join(same_days.select(*keys, F.lit(1).alias("_known")), list(keys), "left")
+    elif not settle:
+        return False, 0
+    row = batch.agg(F.max("_copies").alias("copies"), known.alias("known")).first()
+    return row["copies"] > 1, row["known"]
+
+
 def _counted(counts, seen, months):
     if counts is not None:
         counts["inserted"] = seen.get["rows"] - counts["updated"]

@@ -4,6 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from barworks.operators import contracts
+from barworks.plans import listings, tables
+from barworks.sources import read_fact, read_parts, with_bar_metrics
 
 
 def test_a_contract_parses_every_value_once(spark, plan):
@@ -26,3 +28,39 @@ def test_volumes_under_the_contract(spark, kind, given, volume, broken):
     row = contracts.row_contract_bars(bar).first()
     assert row["volume"] == volume and ("volume_unparsable" in row["violations"]) == broken
     assert row.__fields__ == [*bar.columns, "exchange_code", "source", "violations"]
+
+
+def test_outcomes_open_every_file_once(spark, tmp_path, plan):
+    for n in range(3):
+        spark.range(n + 1).select(F.lit("s1.ns").alias("ticker")).coalesce(1).write.parquet(f"{tmp_path}/in/part{n}")
+    expected = spark.createDataFrame([("part0",), ("part2",), ("part9",)], "part string")
+    _, outcomes = read_parts(spark, f"{tmp_path}/in", expected)
+    assert sorted(map(tuple, outcomes.select("part", "status", "row_count").collect())) == [
+        ("part0", "loaded", 1), ("part2", "loaded", 3), ("part9", "missing", 0)]
+    assert f"{tmp_path}/in" not in plan(outcomes)
+
+
+def _fact(bars):
+    return tables.to_fact(with_bar_metrics(bars).withColumn("source", F.lit("feed")), "2024-01-01 00:00:00")
+
+
+def test_a_batch_without_copies_is_not_sorted_to_settle_it(spark, bars, rows, tmp_path, monkeypatch):
+    settled, settle = [], tables.dedupe_bars
+    monkeypatch.setattr(tables, "dedupe_bars", lambda *a, **k: settled.append(1) or settle(*a, **k))
+    path, fact, counts = str(tmp_path / "fact"), _fact(bars), {}
+    tables.upsert_table(spark, path, fact.filter("trade_date < '1997-01-01'"), counts=counts)
+    tables.upsert_table(spark, path, fact.filter("trade_date >= '1996-12-01'"), counts=counts)
+    assert not settled and counts["updated"] == fact.filter("trade_date BETWEEN '1996-12-01' AND '1996-12-31'").count()
+    assert rows(read_fact(spark, path), *fact.columns) == rows(fact, *fact.columns)
+    twice = fact.filter("trade_date < '1996-01-01'").withColumn("volume", F.col("volume") + 1)
+    twice = twice.unionByName(twice.withColumn("volume", F.col("volume") + 1))
+    tables.upsert_table(spark, path, twice, counts=counts)
+    assert settled and counts == {"updated": twice.count() // 2, "inserted": 0}
+    want = fact.withColumn("volume", F.col("volume") + F.when(F.col("trade_date") < "1996-01-01", 2).otherwise(0))
+    assert rows(read_fact(spark, path), *fact.columns) == rows(want, *fact.columns)
+
+
+def test_buckets_grow_with_the_rows():
+    assert listings.bucket_count(0) == listings.bucket_count(1000) == 8
+    for rows in (10 ** 7, 10 ** 8, 10 ** 9):
+        assert rows / listings.bucket_count(rows) <= listings.BUCKET_ROWS
