@@ -452,11 +452,12 @@ def gap_watermarks(spark, sf):
 # ---- streaming ---------------------------------------------------------------
 
 def stream_ingest_query(spark, sf):
-    """Raw bar files, one folder of them per date slice, followed to the end."""
+    """Raw bar files, one folder of them per date slice and each of few months, followed to the end."""
     base = scratch_path(spark, "stream-ingest")
     feed = fx.raw_feed(fx.lineitem_bars(spark, sf)).drop("Dividends")
     cut = F.when(F.col("Date") < _day("1997-01-01"), 1).when(F.col("Date") < _day("1999-01-01"), 2).otherwise(3)
-    feed.withColumn("slice", cut).write.partitionBy("slice").parquet(f"{base}/in")
+    feed = feed.withColumns({"slice": cut, "month": F.trunc("Date", "MM")})
+    feed.hint("rebalance", "month").drop("month").write.partitionBy("slice").parquet(f"{base}/in")
     query = stream_ingest(spark, f"{base}/in", f"{base}/fact", f"{base}/state", f"{base}/checkpoint",
                           quarantine_path=f"{base}/quarantine", max_files_per_trigger=8)
     query.awaitTermination()
