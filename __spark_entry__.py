@@ -18,7 +18,7 @@ from barworks.operators import analytics, contracts, dims, gold, incremental, qu
 from barworks.operators.ranks import volume_rank  # noqa: E402
 from barworks.plans import sql as sql_plans  # noqa: E402
 from barworks.plans.gaps import GapTable  # noqa: E402
-from barworks.plans.listings import create_listing_table, upsert_listing_table  # noqa: E402
+from barworks.plans.listings import bucket_count, create_listing_table, upsert_listing_table  # noqa: E402
 from barworks.plans.load import load_batch, run_incremental  # noqa: E402
 from barworks.plans.medallion import run_medallion  # noqa: E402
 from barworks.plans.state import WatermarkTable  # noqa: E402
@@ -353,7 +353,7 @@ def _listing_table(spark, sf):
     table = "fact_" + scratch_path(spark, "t").rsplit("-", 1)[1]
     fact = _written(to_fact(fx.fact_bars(spark, sf)))
     first, *more = fx.date_slices(fact, ["1997-01-01", "1999-01-01"])
-    create_listing_table(spark, table, scratch_path(spark, "listings"), first, buckets=8)
+    create_listing_table(spark, table, scratch_path(spark, "listings"), first, bucket_count(fact.count()))
     late = fact.filter(F.col("trade_date") >= _day("1997-01-01")).withColumns({
         "close_price": (F.col("close_price") + 1).cast("decimal(18,4)")})
     for piece in (*more, late):
