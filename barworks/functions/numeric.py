@@ -5,6 +5,9 @@ from pyspark.sql import functions as F
 # Added away from zero before rounding, so that a tie that binary arithmetic
 # stored a hair too low still rounds away from zero on every engine.
 TIE_NUDGE = 1e-9
+# Below so many units of the last place a double is off by 1e-7 units at most, so the side of a
+# tie is certain from NEAR_TIE on.
+PLAIN_UNITS, NEAR_TIE = 1e9, 1e-5
 
 
 def _col(c):
@@ -12,9 +15,19 @@ def _col(c):
 
 
 def round_stable(c, scale):
-    """Round half away from zero; never returns negative zero."""
+    """Round half away from zero; never returns negative zero.
+
+    ``F.round`` takes a double through its text. A number of ordinary size that is not near a
+    tie needs no digits to be rounded: its nearest whole multiple is divided by the power of ten, which
+    gives the same double.
+    """
     c = _col(c)
-    return F.round(c + F.signum(c) * F.lit(TIE_NUDGE), scale) + F.lit(0.0)
+    nudged = c + F.signum(c) * F.lit(TIE_NUDGE)
+    power = F.lit(10.0 ** scale)
+    units = F.abs(nudged) * power
+    # NaN sorts above every number, so it is no ordinary size either.
+    plain = (units < PLAIN_UNITS) & (F.abs(units - F.floor(units) - 0.5) > NEAR_TIE)
+    return F.when(plain, F.signum(c) * F.floor(units + 0.5) / power).otherwise(F.round(nudged, scale)) + F.lit(0.0)
 
 
 def guarded_ratio(numerator, denominator):

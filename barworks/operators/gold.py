@@ -48,17 +48,19 @@ def with_rounded(df, windows):
 def listing_indicators(silver, partition_cols=LISTING):
     """Moving averages, return and volatility: one shuffle, one sort.
 
-    Volatility reads the rounded return, so it needs a second window step, but
-    on the same partitioning and order.
+    Volatility reads the rounded return, so the return comes first, from a window step of
+    its own on the same partitioning and order. The long average and the volatility then share one frame.
     """
-    averaged = with_rounded(silver.withColumn("_previous", previous_close(partition_cols)), {
+    returned = silver.withColumn("_previous", previous_close(partition_cols))
+    returned = returned.withColumn("daily_return_pct", pct_change("close_price", "_previous", 4)).drop("_previous")
+    spread = F.stddev_samp("daily_return_pct").over(rolling(LONG_ROWS, partition_cols))
+    averaged = with_rounded(returned, {
         "ma_7d": (moving_average("close_price", SHORT_ROWS, partition_cols), 2),
         "ma_30d": (moving_average("close_price", LONG_ROWS, partition_cols), 2),
+        "volatility_30d": (spread, 4),
     })
-    returned = averaged.withColumn(
-        "daily_return_pct", pct_change("close_price", "_previous", 4)).drop("_previous")
-    spread = F.stddev_samp("daily_return_pct").over(rolling(LONG_ROWS, partition_cols))
-    return with_rounded(returned, {"volatility_30d": (spread, 4)})
+    added = ["ma_7d", "ma_30d", "daily_return_pct", "volatility_30d"]
+    return averaged.select(*[c for c in averaged.columns if c not in added], *added)
 
 
 def silver_to_gold(silver, partition_cols=LISTING):

@@ -36,21 +36,22 @@ def plain(df, *columns):
 
 def lineitem_bars(spark, sf_dir):
     """Daily bars: one symbol per supplier, exchange by line status."""
-    px = F.col("l_extendedprice").cast("decimal(12,2)")
-    discounted = (px * (1 - F.col("l_discount").cast("decimal(4,2)"))).cast("decimal(18,4)")
-    taxed = (px * (1 + F.col("l_tax").cast("decimal(4,2)"))).cast("decimal(18,4)")
+    # Prices are longs of 1/10000, as a decimal made from a double goes through its text: cents by percent.
+    cents, discount, tax = [F.floor(F.col(c) * 100 + 0.5) for c in ("l_extendedprice", "l_discount", "l_tax")]
     # Order, line, part, price in cents and discount in hundredths, as the digits of one
     # number of fixed width: it sorts like the five and lets Spark aggregate by hash.
     # The digits are put together as two longs of 18, which meet in one decimal.
     order, line, part = [F.col(c).cast("bigint") for c in ("l_orderkey", "l_linenumber", "l_partkey")]
-    cents, hundredths = [F.round(F.col(c) * 100).cast("bigint") for c in ("l_extendedprice", "l_discount")]
     high = (order * 100 + line) * 10 + F.floor(part / 10 ** 8)
-    low = (F.pmod(part, F.lit(10 ** 8)) * 10 ** 8 + cents) * 100 + hundredths
+    low = (F.pmod(part, F.lit(10 ** 8)) * 10 ** 8 + F.col("cents")) * 100 + F.col("discount")
     tick_order = (high.cast("decimal(19,0)") * F.lit(10 ** 18).cast("decimal(19,0)") + low.cast("decimal(19,0)")).cast("decimal(38,0)")
-    ticks = table(spark, sf_dir, "lineitem").select(
+    lines = table(spark, sf_dir, "lineitem").withColumns({"cents": cents, "discount": discount, "tax": tax})
+    ticks = lines.select(
         "l_suppkey", (F.col("l_linestatus") == "O").alias("is_open"),
         F.col("l_shipdate").cast("date").alias("trade_date"),
-        px.cast("decimal(18,4)").alias("px"), discounted.alias("discounted"), taxed.alias("taxed"),
+        (F.col("cents") * 100).alias("px"),
+        (F.col("cents") * (100 - F.col("discount"))).alias("discounted"),
+        (F.col("cents") * (100 + F.col("tax"))).alias("taxed"),
         F.col("l_quantity").cast("bigint").alias("quantity"),
         tick_order.alias("tick_order"),
     )
@@ -58,10 +59,12 @@ def lineitem_bars(spark, sf_dir):
         ticks, "px", "tick_order",
         keys=("l_suppkey", "is_open", "trade_date"),
         open_price="discounted", high="taxed", low="discounted", volume="quantity")
+    unit = F.lit("0.0001").cast("decimal(4,4)")
+    prices = [(F.col(c).cast("decimal(18,0)") * unit).cast("decimal(18,4)").alias(c) for c in PRICES]
     return bars.select(
         F.concat(F.lit("S"), F.col("l_suppkey").cast("string")).alias("symbol"),
         F.when(F.col("is_open"), "NSE").otherwise("BSE").alias("exchange_code"),
-        "trade_date", *PRICES, "volume")
+        "trade_date", *prices, "volume")
 
 
 def fact_bars(spark, sf_dir):
