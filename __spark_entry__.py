@@ -15,7 +15,7 @@ from pyspark.sql import functions as F  # noqa: E402
 import market_fixtures as fx  # noqa: E402
 import oracle_queries  # noqa: E402
 from barworks.operators import analytics, contracts, dims, gold, incremental, quality, silver, summary, upsert  # noqa: E402
-from barworks.operators.ranks import volume_rank  # noqa: E402
+from barworks.operators.ranks import volume_rank, volume_ranks  # noqa: E402
 from barworks.plans import sql as sql_plans  # noqa: E402
 from barworks.plans.gaps import GapTable  # noqa: E402
 from barworks.plans.listings import bucket_count, create_listing_table, upsert_listing_table  # noqa: E402
@@ -194,7 +194,8 @@ def volume_rank_query(spark, sf):
 
 
 def gold_query(spark, sf):
-    return gold.silver_to_gold(_written(_silver(spark, sf).select(*BAR_OUT))).select(*GOLD_OUT)
+    bars = _written(_silver(spark, sf).select(*BAR_OUT))
+    return gold.silver_to_gold(bars, ranks=_written(volume_ranks(bars))).select(*GOLD_OUT)
 
 
 def _indicators(spark, sf):
@@ -233,7 +234,7 @@ def gold_refresh(spark, sf):
     after = before.withColumns({
         "close_price": F.col("close_price") + F.when(hit, 1.0).otherwise(0.0),
         "volume": F.col("volume") + F.when(hit, 7).otherwise(0)})
-    old = _written(gold.silver_to_gold(before))
+    old = _written(gold.silver_to_gold(before, ranks=_written(volume_ranks(before))))
     changed = _written(after.filter(hit).select(*BAR_KEY))
     since = F.date_sub(changed.agg(F.min("trade_date")).scalar(), 90)
     older = gold.short_listings(after, changed, since)

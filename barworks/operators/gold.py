@@ -63,8 +63,9 @@ def listing_indicators(silver, partition_cols=LISTING):
     return averaged.select(*[c for c in averaged.columns if c not in added], *added)
 
 
-def silver_to_gold(silver, partition_cols=LISTING):
-    return volume_rank(listing_indicators(silver, partition_cols))
+def silver_to_gold(silver, partition_cols=LISTING, ranks=None):
+    """Indicators and the volume rank; ``ranks`` as in :func:`barworks.operators.ranks.volume_rank`."""
+    return volume_rank(listing_indicators(silver, partition_cols), ranks=ranks)
 
 
 def moving_average_cross(df, partition_cols=LISTING):
@@ -119,6 +120,26 @@ def touched_history(silver, changed, partition_cols=LISTING, since=None, older=N
         date_bounded(silver, until=F.date_sub(since, 1)).join(older, cols, "left_semi"))
 
 
+def near_changes(history, partition_cols=LISTING):
+    """The rows with at most 30 rows between them and a changed one, with ``_hit``: one that is changed or follows a change.
+
+    A hit row's windows read 30 rows before it, which lie no farther than that from its change.
+    So the sliding windows need no other rows. Positions of the changes come from frames that grow by a row at a time.
+    """
+    rows = by_listing(partition_cols)
+    whole = Window.partitionBy(*partition_cols)
+    placed = history.withColumn("_row", F.row_number().over(rows))
+    change = F.when(F.col("_changed") == 1, F.col("_row"))
+    placed = placed.withColumns({
+        "_before": F.max(change).over(rows.rowsBetween(Window.unboundedPreceding, 0)), "_last": F.max(change).over(whole)})
+    # The last change up to 30 rows ahead; a listing that ends before them has no later one than its last.
+    placed = placed.withColumn("_ahead", F.when(F.lead("_row", LONG_ROWS).over(rows).isNull(), F.col("_last")).otherwise(
+        F.lead("_before", LONG_ROWS).over(rows)))
+    hit = F.coalesce(F.col("_row") - F.col("_before") <= LONG_ROWS, F.lit(False))
+    return placed.withColumn("_hit", hit).filter(F.col("_hit") | (F.col("_ahead") > F.col("_row"))).drop(
+        "_row", "_before", "_last", "_ahead")
+
+
 def gold_delta(silver, gold, changed, partition_cols=LISTING, since=None, older=None):
     """The gold rows that must be rewritten after ``changed`` silver keys.
 
@@ -136,10 +157,7 @@ def gold_delta(silver, gold, changed, partition_cols=LISTING, since=None, older=
 
     history = touched_history(silver, changed, partition_cols, since, older).join(
         keys.withColumn("_changed", F.lit(1)), BAR_KEY, "left")
-    reach = by_listing(partition_cols).rowsBetween(-LONG_ROWS, 0)
-    fresh = listing_indicators(
-        history.withColumn("_hit", F.max("_changed").over(reach)), partition_cols
-    ).filter("_hit = 1").drop("_hit", "_changed")
+    fresh = listing_indicators(near_changes(history, partition_cols), partition_cols).filter("_hit").drop("_hit", "_changed")
 
     on_days = lambda df: date_bounded(df, **span).join(days, "trade_date", "left_semi")
     today = volume_rank(on_days(silver).select(*BAR_KEY, "volume"))

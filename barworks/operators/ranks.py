@@ -86,10 +86,20 @@ def attach_ranks(df, ranks, group, key, columns, how="left"):
     return df.join(named, [*group, key], how)
 
 
-def volume_rank(df, group=("trade_date",), column="volume", alias="volume_rank"):
-    """Dense rank by volume, largest first, within each day."""
+def volume_ranks(df, group=("trade_date",), column="volume", alias="volume_rank"):
+    """One row per day and volume with its dense rank, largest first: for :func:`volume_rank`."""
     group = list(group)
+    keyed = df.select(*group, rank_key(column, dict(df.dtypes)[column]).alias("_volume_key"))
+    return value_ranks(keyed, group, "_volume_key").select(*group, "_volume_key", F.col("dense_rank_desc").alias(alias))
+
+
+def volume_rank(df, group=("trade_date",), column="volume", alias="volume_rank", ranks=None):
+    """Dense rank by volume, largest first, within each day.
+
+    ``ranks`` are those of :func:`volume_ranks`, written. Days have few different volumes beside
+    their rows, and where a table's size is known to be small before the plan is made, the rows are not shuffled to meet it.
+    """
+    group = list(group)
+    ranks = volume_ranks(df, group, column, alias) if ranks is None else ranks
     keyed = df.withColumn("_volume_key", rank_key(column, dict(df.dtypes)[column]))
-    ranks = value_ranks(keyed, group, "_volume_key")
-    ranked = attach_ranks(keyed, ranks, group, "_volume_key", {"dense_rank_desc": alias})
-    return ranked.select(*df.columns, alias)
+    return keyed.join(ranks, [*group, "_volume_key"], "left").select(*df.columns, alias)

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from barworks.operators import analytics, gold, ranks, silver, summary
 from barworks.schemas import BAR_KEY
+from barworks.session import write_and_reread
 
 SCHEMA = ("symbol string, exchange_code string, trade_date string, open_price string, high_price string, "
           "low_price string, close_price string, volume string, loaded_at timestamp")
@@ -117,6 +118,33 @@ def test_gold_delta_equals_full_rebuild(bars, rows):
         assert delta.count() < full.count() / 2
 
 
+def test_delta_windows_read_only_rows_near_a_change(spark, bars):
+    """As by brute force: at most 30 rows lie between a kept row and a changed one; hits follow their change."""
+    places = {("S1", 70), ("S1", 71), ("S1", 200), ("S2", 0), ("S3", 149), ("S4", 5), ("S4", 14)}
+    days = {"S1": 250, "S2": 90, "S3": 150, "S4": 15, "S5": 40}
+    rows = [(s, "NSE", n, 1 if (s, n) in places else None) for s, count in days.items() for n in range(count)]
+    history = spark.createDataFrame(rows, "symbol string, exchange_code string, n int, _changed int").withColumn(
+        "trade_date", F.date_add(F.lit("2020-01-01").cast("date"), F.col("n")))
+    got = {(r.symbol, r.n, r._hit) for r in gold.near_changes(history).collect()}
+    changes = lambda s: [c for name, c in places if name == s]
+    assert got == {(s, n, any(0 <= n - c <= 30 for c in changes(s))) for s, count in days.items() for n in range(count)
+                   if any(-30 <= n - c <= 30 for c in changes(s))}
+
+
+def test_written_ranks_meet_rows_where_they_are(bars, plan, rows, tmp_path):
+    volumes = bars.select(*BAR_KEY, "volume")
+    written = write_and_reread(ranks.volume_ranks(volumes), str(tmp_path / "ranks"))
+    out = ranks.volume_rank(volumes, ranks=written)
+    assert rows(out) == rows(ranks.volume_rank(volumes))
+    assert "_volume_key" not in "".join(line for line in plan(out).splitlines() if "hashpartitioning" in line)
+
+
+def test_return_and_averages_share_one_window_step(bars, plan):
+    """The long average and the volatility read one frame; before, each was a step of its own with its own."""
+    steps = [line for line in plan(gold.listing_indicators(bars)).splitlines() if "windowspecdefinition" in line]
+    assert any("stddev_samp" in line and "avg(" in line for line in steps)
+
+
 def test_summary_variants(bars, rows):
     g = gold.silver_to_gold(bars)
     a = summary.daily_summary(g)
