@@ -1,5 +1,6 @@
 """Bronze to silver to gold to daily summary, each layer written and re-read."""
 
+import contextlib
 import time
 
 from pyspark.sql import Observation
@@ -8,6 +9,7 @@ from pyspark.sql import functions as F
 from barworks.functions.dates import MONTH_COLUMN as MONTH, date_bounded
 from barworks.operators.contracts import row_contract_bars, split_valid
 from barworks.operators.gold import gold_delta, short_listings, silver_to_gold
+from barworks.operators.ranks import volume_ranks
 from barworks.operators.silver import bronze_to_silver, silver_cast, stamp
 from barworks.operators.summary import daily_summary, sector_daily_summary
 from barworks.plans.tables import create_table, has_data, replace_days, upsert_table
@@ -45,6 +47,16 @@ def _write(spark, layer, df, target, metrics, **options):
     return load_layer(spark, **target, fmt=options.get("fmt", "parquet"))
 
 
+@contextlib.contextmanager
+def written_ranks(silver):
+    """The volume ranks of a layer as a scratch table, for the plans that run inside."""
+    stage = scratch_path(silver.sparkSession, "volume-ranks")
+    try:
+        yield write_and_reread(volume_ranks(silver), stage)
+    finally:
+        delete_path(silver.sparkSession, stage)
+
+
 def run_medallion(spark, bronze, database=None, root=None, dim_symbol=None, fmt="parquet", source="barworks", metrics=None,
                   contract=False):
     """Build all layers; returns them with ``run_metrics`` (one row per layer).
@@ -63,8 +75,9 @@ def run_medallion(spark, bronze, database=None, root=None, dim_symbol=None, fmt=
         bronze, out["quarantine"] = split_valid(row_contract_bars(bronze))
     silver = stamp(bronze_to_silver(bronze), "silver", source)
     out["silver"] = _write(spark, "silver", silver, _target("silver", database, root), metrics, fmt=fmt)
-    gold = stamp(silver_to_gold(out["silver"]), "gold")
-    out["gold"] = _write(spark, "gold", gold, _target("gold", database, root), metrics, fmt=fmt)
+    with written_ranks(out["silver"]) as ranks:
+        gold = stamp(silver_to_gold(out["silver"], ranks=ranks), "gold")
+        out["gold"] = _write(spark, "gold", gold, _target("gold", database, root), metrics, fmt=fmt)
     out["summary"] = _write(
         spark, "summary", daily_summary(out["gold"]), _target("summary", database, root), metrics,
         fmt=fmt, by_month=None)
@@ -93,7 +106,9 @@ def refresh_gold(spark, fact_path, gold_path, changed, lookback_days=None, liste
     """
     silver = silver_cast(read_fact(spark, fact_path, keep_month=True)).select(*GOLD_INPUT, MONTH)
     if not has_data(spark, gold_path):
-        create_table(spark, gold_path, silver_to_gold(silver.drop(MONTH)))
+        silver = silver.drop(MONTH)
+        with written_ranks(silver) as ranks:
+            create_table(spark, gold_path, silver_to_gold(silver, ranks=ranks))
         for path, summarise in (summaries or {}).items():
             create_table(spark, path, summarise(read_fact(spark, gold_path)))
         return None
