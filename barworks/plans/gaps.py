@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from barworks.operators.gaps import as_intervals, missed_days
 from barworks.schemas import BAR_KEY, GAP_LOG, LISTING
-from barworks.session import path_exists
+from barworks.session import no_rows, path_exists
 
 
 class GapTable:
@@ -21,7 +21,7 @@ class GapTable:
     def days(self):
         """Open days: symbol, exchange_code, trade_date."""
         if not path_exists(self.spark, self.path):
-            return self.spark.createDataFrame([], GAP_LOG).select(*BAR_KEY)
+            return no_rows(self.spark, GAP_LOG).select(*BAR_KEY)
         log = self.spark.read.schema(GAP_LOG).parquet(self.path)
         return log.groupBy(*BAR_KEY).agg(F.max_by("is_open", "turn").alias("is_open")).filter("is_open").select(*BAR_KEY)
 

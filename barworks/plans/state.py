@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from barworks.operators.incremental import watermark_candidates
 from barworks.schemas import LISTING, WATERMARK_LOG
-from barworks.session import delete_path, files_in, path_exists
+from barworks.session import delete_path, files_in, no_rows, path_exists
 
 
 class WatermarkTable:
@@ -22,7 +22,7 @@ class WatermarkTable:
 
     def _log(self):
         if not path_exists(self.spark, self.path):
-            return self.spark.createDataFrame([], WATERMARK_LOG)
+            return no_rows(self.spark, WATERMARK_LOG)
         return self.spark.read.schema(WATERMARK_LOG).parquet(self.path)
 
     def _folded(self):

@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 
 def build_session(app_name="barworks", master=None, **conf):
@@ -119,6 +120,11 @@ def touch_path(spark, path):
     fs.create(jvm_path, True).close()
 
 
+def no_rows(spark, schema):
+    """An empty frame that costs no Python task, as one made from a list would."""
+    return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema])
+
+
 def write_and_reread(df, path, partition_by=None):
     """Cut the lineage through a written table rather than through memory.
 
