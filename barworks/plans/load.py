@@ -100,11 +100,12 @@ def _load(spark, bars, fact_path, state_path, quarantine_path, batch_id, checks,
             good, bad = split_valid(checked)
             bad_rows = sizes["bad"]
             set_aside(spark, bad, quarantine_path, batch_id, sizes["digest"])
-        results = enforce(good, bar_suite() if checks is None else checks, "bar_load")
+        checks = bar_suite() if checks is None else checks
+        results = enforce(good, checks, "bar_load")
         if dry_run:
             return LoadResult(sizes["all"], 0, bad_rows, [], results, time.time() - started, message="dry run")
         counts = {}
-        months = upsert_table(spark, fact_path, to_fact(good, loaded_at), counts=counts)
+        months = upsert_table(spark, fact_path, to_fact(good, loaded_at), settle=not _known_unique(checks, results), counts=counts)
         if gold_path is not None:
             known = None if listed is None else _with_new_listings(listed(spark), good)
             refresh_gold(spark, fact_path, gold_path, good.select(*BAR_KEY), lookback_days, known, summaries)
@@ -117,6 +118,11 @@ def _load(spark, bars, fact_path, state_path, quarantine_path, batch_id, checks,
         delete_path(spark, stage)
 
 
+def _known_unique(checks, results):
+    """Whether the suite has already counted the keys of the batch and found none twice."""
+    return any(c.distinct and sorted(c.columns) == sorted(BAR_KEY) and r["passed"] for c, r in zip(checks, results))
+
+
 def seen_days(good, bad):
     """The days a batch brought, taken or not; bad rows without a symbol or a date name none."""
     return good.select(*BAR_KEY).unionByName(bad.filter("symbol IS NOT NULL AND trade_date IS NOT NULL").select(*BAR_KEY))

@@ -373,3 +373,20 @@ def test_default_calendar(spark):
     assert [str(r.date_key) for r in ends] == ["2024-03-31", "2024-06-30", "2024-09-30", "2024-12-31"]
     holiday = spark.createDataFrame([(dt.date(2026, 3, 5),)], "d date")
     assert not dims.dim_date(spark, holidays=holiday).filter("date_key = date'2026-03-05'").first().is_trading_day
+
+
+def test_keys_the_suite_found_unique_are_not_counted_again(bars, tmp_path, monkeypatch):
+    from barworks.plans import load
+    settled = []
+    monkeypatch.setattr(load, "upsert_table", lambda *a, settle=True, **k: settled.append(settle) or tables.upsert_table(*a, settle=settle, **k))
+    few = bars.filter("symbol IN ('S1', 'S2')")
+    load_batch(bars.sparkSession, few, str(tmp_path / "fact"))
+    load_batch(bars.sparkSession, few.unionByName(few), str(tmp_path / "fact"))
+    load_batch(bars.sparkSession, few, str(tmp_path / "fact"), checks=[])
+    assert settled == [False, True, True]
+    assert read_fact(bars.sparkSession, str(tmp_path / "fact")).count() == few.count()
+
+
+def test_missing_state_is_read_without_python_tasks(spark, plan, tmp_path):
+    for frame in (GapTable(spark, str(tmp_path / "none")).days(), WatermarkTable(spark, str(tmp_path / "none")).read()):
+        assert frame.isEmpty() and "ExistingRDD" not in plan(frame)
