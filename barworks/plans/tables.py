@@ -10,6 +10,7 @@ Concurrent writers of one table are out of scope; a table format with MERGE has
 them.
 """
 
+import math
 from functools import reduce
 
 from pyspark.sql import Observation
@@ -21,7 +22,10 @@ from barworks.operators.silver import dedupe_bars
 from barworks.operators.upsert import merge_rows
 from barworks.functions.numeric import is_infinite
 from barworks.schemas import BAR_KEY, FACT_BARS, PRICES
-from barworks.session import any_file, delete_path, folders_in, path_exists, qualified_path, replace_path, touch_path
+from barworks.session import PACKED, any_file, delete_path, folders_in, path_exists, qualified_path, replace_path, tidy, touch_path
+
+# A batch in which a key comes so often at most is settled where its months are laid out, a million rows of a month a task.
+FEW_COPIES, SLICE_ROWS = 16, 1_000_000
 
 
 def to_fact(df, loaded_at=None):
@@ -50,19 +54,26 @@ def has_data(spark, path):
     return any_file(spark, f"{path.rstrip('/')}/{MONTH}=*/part-*")
 
 
-def batch_span(df, keys):
-    """The months of a batch and its first and last day: 12 rows per year of data."""
+def batch_months(df, keys):
+    """The months of a batch with their rows, first and last day: 12 rows per year of data."""
     lacking = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
     by_month = df.groupBy(month_start("trade_date").alias(MONTH)).agg(
-        F.min("trade_date").alias("lo"), F.max("trade_date").alias("hi"), F.count_if(lacking).alias("lacking"))
+        F.min("trade_date").alias("lo"), F.max("trade_date").alias("hi"), F.count_if(lacking).alias("lacking"),
+        F.count(F.lit(1)).alias("rows"))
     rows = by_month.collect()
     if any(r[MONTH] is None or r["lacking"] for r in rows):
         raise ValueError(f"a batch to upsert must not hold rows without {', '.join(keys)}")
-    return sorted(r[MONTH] for r in rows), min((r["lo"] for r in rows), default=None), max((r["hi"] for r in rows), default=None)
+    return sorted(rows, key=lambda r: r[MONTH])
+
+
+def batch_span(df, keys):
+    """The months of a batch and its first and last day."""
+    rows = batch_months(df, keys)
+    return [r[MONTH] for r in rows], min((r["lo"] for r in rows), default=None), max((r["hi"] for r in rows), default=None)
 
 
 def _write(df, path, mode="overwrite"):
-    df.write.mode(mode).option("partitionOverwriteMode", "static").partitionBy(MONTH).parquet(path)
+    df.write.mode(mode).options(**PACKED).option("partitionOverwriteMode", "static").partitionBy(MONTH).parquet(path)
 
 
 def recover(spark, path):
@@ -101,34 +112,52 @@ def upsert_table(spark, path, source, keys=BAR_KEY, settle=True, counts=None):
     the months that were touched. A dict given as ``counts`` gets ``inserted`` and
     ``updated``: the settled rows are counted as they are written, the keys they
     replace by the join that looks for them.
+
+    A batch with copies is settled by the shuffle that lays out its months, unless one key has so
+    many copies that they should not meet in one task. Where the batch replaces every row of its months
+    (a replay, a whole history sent again), the table's rows are not read for the merge.
     """
+    with tidy(spark):
+        return _upsert(spark, path, source, keys, settle, counts)
+
+
+def _upsert(spark, path, source, keys, settle, counts):
     recover(spark, path)
-    months, first, last = batch_span(source, keys)
+    found = batch_months(source, keys)
+    months = [r[MONTH] for r in found]
     if not months:
         return []
     given = source
     target = same_days = None
     if has_data(spark, path):
         target = spark.read.parquet(path).filter(F.col(MONTH).isin(months)).drop(MONTH)
-        same_days = target.filter(F.col("trade_date").between(F.lit(first), F.lit(last)))
+        same_days = target.filter(F.col("trade_date").between(F.lit(found[0]["lo"]), F.lit(found[-1]["hi"])))
     copies, updated = _copies_and_known(given, same_days, keys, settle)
-    if copies:
-        source = dedupe_bars(source, keys)
-    seen = Observation()
     if counts is not None:
-        source = source.observe(seen, F.count(F.lit(1)).alias("rows"))
         counts["updated"] = updated
+    # Keys of a settled batch come once, so as many known ones as the table has rows are all of its rows.
+    if settle and updated and updated == target.count():
+        target, whole = target.filter(F.lit(False)), True
+    else:
+        whole = not updated
+    seen = Observation()
+    observed = (lambda df: df) if counts is None else (lambda df: df.observe(seen, F.count(F.lit(1)).alias("rows")))
+    if copies > 1 and whole and copies <= FEW_COPIES and {"symbol", "trade_date"} <= set(keys):
+        slices = math.ceil(max(r["rows"] for r in found) / SLICE_ROWS)
+        lay_out = lambda df: _sorted(observed(_settled_months(df, keys, slices)))
+    else:
+        lay_out, source = _laid_out, observed(dedupe_bars(source, keys) if copies > 1 else source)
     if target is None:
-        _replace(spark, path, source)
+        replace_months(spark, path, lambda stage: _write(lay_out(source), stage))
     elif not updated:
-        _write(_laid_out(source), path, "append")
+        _write(lay_out(source), path, "append")
     else:
-        _replace(spark, path, merge_rows(target, source, keys, given))
+        replace_months(spark, path, lambda stage: _write(lay_out(merge_rows(target, source, keys, given)), stage))
     return _counted(counts, seen, months)
 
 
 def _copies_and_known(given, same_days, keys, settle):
-    """Whether a key comes more than once in the batch, and how many rows of the table it replaces: one job over the keys.
+    """The most copies of a key in the batch, and how many rows of the table it replaces: one job over the keys.
 
     Rows are sorted to settle copies only where there are any.
     """
@@ -137,9 +166,9 @@ def _copies_and_known(given, same_days, keys, settle):
     if same_days is not None:
         batch = batch.join(same_days.select(*keys, F.lit(1).alias("_known")), list(keys), "left")
     elif not settle:
-        return False, 0
+        return 1, 0
     row = batch.agg(F.max("_copies").alias("copies"), known.alias("known")).first()
-    return row["copies"] > 1, row["known"]
+    return row["copies"], row["known"]
 
 
 def _counted(counts, seen, months):
@@ -151,7 +180,8 @@ def _counted(counts, seen, months):
 def create_table(spark, path, df):
     """The first content of a table, through the same redo log."""
     recover(spark, path)
-    _replace(spark, path, df)
+    with tidy(spark):
+        _replace(spark, path, df)
 
 
 def replace_days(spark, path, fresh, days):
@@ -163,7 +193,8 @@ def replace_days(spark, path, fresh, days):
     months = [r[0] for r in days.select(month_start("trade_date")).distinct().collect()]
     if months:
         kept = spark.read.parquet(path).filter(F.col(MONTH).isin(months)).drop(MONTH).join(days, "trade_date", "left_anti")
-        _replace(spark, path, kept.unionByName(fresh))
+        with tidy(spark):
+            _replace(spark, path, kept.unionByName(fresh))
     return sorted(months)
 
 
@@ -184,6 +215,18 @@ def _sorted(df):
     return df.sortWithinPartitions(*[c for c in (MONTH, "symbol", "trade_date") if c in df.columns])
 
 
+def _settled_months(df, keys, slices):
+    """One row per key, in tasks of whole listings of a month: the shuffle that settles the copies also lays the months out.
+
+    A month is cut into ``slices`` by listing. Rows come sorted as ``_sorted`` wants them.
+    """
+    cut = F.pmod(F.xxhash64(*sorted(k for k in keys if k != "trade_date")), F.lit(slices))
+    dealt = df.withColumns({MONTH: month_start("trade_date"), "_slice": cut}).repartition(MONTH, "_slice")
+    first = [MONTH, "symbol", "trade_date"]
+    within = [*first, *[k for k in keys if k not in first], "_slice"]
+    return dedupe_bars(dealt, within).drop("_slice")
+
+
 def _laid_out(df):
     """Files of one month each, sized by adaptive execution, sorted by listing."""
     return _sorted(df.withColumn(MONTH, month_start("trade_date")).hint("rebalance", F.col(MONTH)))

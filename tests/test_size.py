@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from barworks.operators import contracts
 from barworks.plans import listings, tables
+from barworks.session import write_and_reread
 from barworks.sources import read_fact, read_parts, with_bar_metrics
 
 
@@ -64,3 +65,42 @@ def test_buckets_grow_with_the_rows():
     assert listings.bucket_count(0) == listings.bucket_count(1000) == 8
     for rows in (10 ** 7, 10 ** 8, 10 ** 9):
         assert rows / listings.bucket_count(rows) <= listings.BUCKET_ROWS
+
+
+def _twice(fact):
+    """Each row and a later copy, which is to win."""
+    return fact.unionByName(fact.withColumns({"volume": F.col("volume") + 1, "loaded_at": F.col("loaded_at") + F.expr("interval 1 day")}))
+
+
+def test_copies_are_settled_by_the_shuffle_that_lays_out(spark, bars, rows, plan, tmp_path, monkeypatch):
+    plans, write = [], tables._write
+    monkeypatch.setattr(tables, "_write", lambda df, *a: plans.append(plan(df)) or write(df, *a))
+    path, fact, counts = str(tmp_path / "fact"), _fact(bars), {}
+    batch = write_and_reread(_twice(fact), str(tmp_path / "batch"))
+    want = rows(fact.withColumn("volume", F.col("volume") + 1), *[c for c in fact.columns if c != "loaded_at"])
+    for updated in (0, fact.count()):
+        tables.upsert_table(spark, path, batch, counts=counts)
+        assert plans[-1].count("Exchange") == 1 and "Join" not in plans[-1]
+        assert counts == {"updated": updated, "inserted": fact.count() - updated}
+        assert rows(read_fact(spark, path), *[c for c in fact.columns if c != "loaded_at"]) == want
+
+
+def test_rows_the_batch_does_not_name_stay(spark, bars, rows, tmp_path):
+    path, fact, counts = str(tmp_path / "fact"), _fact(bars), {}
+    tables.upsert_table(spark, path, fact)
+    part = _twice(fact.filter("exchange_code = 'NSE'"))
+    tables.upsert_table(spark, path, write_and_reread(part, str(tmp_path / "batch")), counts=counts)
+    assert counts == {"updated": part.count() // 2, "inserted": 0}
+    named = [c for c in fact.columns if c != "loaded_at"]
+    want = fact.withColumn("volume", F.col("volume") + F.when(F.col("exchange_code") == "NSE", 1).otherwise(0))
+    assert rows(read_fact(spark, path), *named) == rows(want, *named)
+
+
+def test_many_copies_of_a_key_are_ranked_before_they_meet(spark, bars, rows, plan, tmp_path, monkeypatch):
+    plans, write = [], tables._write
+    monkeypatch.setattr(tables, "_write", lambda df, *a: plans.append(plan(df)) or write(df, *a))
+    path, fact = str(tmp_path / "fact"), _fact(bars.limit(40))
+    one = fact.limit(1).crossJoin(spark.range(1, 100)).withColumn("volume", F.col("volume") + F.col("id")).drop("id")
+    batch = write_and_reread(fact.unionByName(one), str(tmp_path / "batch"))
+    tables.upsert_table(spark, path, batch)
+    assert "Partial" in plans[-1] and read_fact(spark, path).count() == batch.select("symbol", "exchange_code", "trade_date").distinct().count()
\ No newline at end of file
