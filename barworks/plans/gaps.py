@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from barworks.operators.gaps import as_intervals, missed_days
 from barworks.schemas import BAR_KEY, GAP_LOG, LISTING
-from barworks.session import no_rows, path_exists
+from barworks.session import PACKED, no_rows, path_exists
 
 
 class GapTable:
@@ -71,4 +71,4 @@ def set_aside(spark, rows, path, name, digest):
     if path_exists(spark, path):
         stored = spark.read.schema("row_digest bigint").option("recursiveFileLookup", "true").parquet(path)
         rows = rows.join(stored, "row_digest", "left_anti")
-    rows.write.mode("overwrite").parquet(own)
+    rows.write.mode("overwrite").options(**PACKED).parquet(own)

@@ -16,7 +16,7 @@ from barworks.plans.medallion import refresh_gold
 from barworks.plans.state import WatermarkTable
 from barworks.plans.tables import to_fact, upsert_table
 from barworks.schemas import BAR_KEY, LISTING
-from barworks.session import delete_path, scratch_path, write_and_reread
+from barworks.session import delete_path, scratch_path, tidy, write_and_reread
 from barworks.sources.bars import with_bar_metrics
 
 
@@ -52,7 +52,8 @@ def load_batch(spark, bars, fact_path, state_path=None, quarantine_path=None, ba
     started = time.time()
     batch_id = uuid.uuid4().hex if batch_id is None else batch_id
     try:
-        result = _load(spark, bars, fact_path, state_path, quarantine_path, batch_id, checks, loaded_at, dry_run, gold_path, lookback_days, listed, summaries)
+        with tidy(spark):
+            result = _load(spark, bars, fact_path, state_path, quarantine_path, batch_id, checks, loaded_at, dry_run, gold_path, lookback_days, listed, summaries)
     except Exception as exc:
         if metrics_path is not None:
             _record(spark, metrics_path, batch_id, started, LoadResult(0, 0, 0, [], [], time.time() - started, False, str(exc)))

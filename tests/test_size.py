@@ -1,10 +1,13 @@
 """Steps whose cost must not multiply with the input: what is parsed, sorted or read more often than needed."""
 
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
 from barworks.operators import contracts
 from barworks.plans import listings, tables
+from barworks.plans.load import load_batch
 from barworks.session import write_and_reread
 from barworks.sources import read_fact, read_parts, with_bar_metrics
 
@@ -67,6 +70,34 @@ def test_buckets_grow_with_the_rows():
         assert rows / listings.bucket_count(rows) <= listings.BUCKET_ROWS
 
 
+def _shuffle_files(spark):
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    names = [files.apply(k).getName() for k in range(files.size())]
+    return {n for n in names if n.startswith("shuffle_")}
+
+
+def _gone(spark, before):
+    """Whether no shuffle files stay but those of before; they are removed beside the run."""
+    for _ in range(50):
+        if not _shuffle_files(spark) - before:
+            return True
+        time.sleep(0.1)
+    return False
+
+
+def _packed(path):
+    files = [p.name for p in path.rglob("*.parquet")]
+    return files and all(".zstd." in n for n in files)
+
+
+def test_a_load_leaves_no_shuffle_files(spark, bars, tmp_path):
+    before, flag = _shuffle_files(spark), "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    asked = spark.conf.get(flag)
+    load_batch(spark, _fact(bars), f"{tmp_path}/fact", f"{tmp_path}/state", f"{tmp_path}/bad", "one", gold_path=f"{tmp_path}/gold")
+    assert _gone(spark, before) and spark.conf.get(flag) == asked
+    assert _packed(tmp_path / "fact") and _packed(tmp_path / "gold")
+
+
 def _twice(fact):
     """Each row and a later copy, which is to win."""
     return fact.unionByName(fact.withColumns({"volume": F.col("volume") + 1, "loaded_at": F.col("loaded_at") + F.expr("interval 1 day")}))
