@@ -45,14 +45,17 @@ def lineitem_bars(spark, sf_dir):
     high = (order * 100 + line) * 10 + F.floor(part / 10 ** 8)
     low = (F.pmod(part, F.lit(10 ** 8)) * 10 ** 8 + F.col("cents")) * 100 + F.col("discount")
     tick_order = (high.cast("decimal(19,0)") * F.lit(10 ** 18).cast("decimal(19,0)") + low.cast("decimal(19,0)")).cast("decimal(38,0)")
-    lines = table(spark, sf_dir, "lineitem").withColumns({"cents": cents, "discount": discount, "tax": tax})
+    lines = table(spark, sf_dir, "lineitem").select(
+        "l_suppkey", (F.col("l_linestatus") == "O").alias("is_open"), F.col("l_shipdate").cast("date").alias("trade_date"),
+        "l_orderkey", "l_linenumber", "l_partkey", "l_quantity", cents.alias("cents"), discount.alias("discount"), tax.alias("tax"))
+    # Lines meet before they are aggregated: few share a supplier and a day, and a line is smaller than what its bar is made of.
+    lines = lines.withColumn("l_quantity", F.col("l_quantity").cast("bigint")).repartition("l_suppkey", "is_open", "trade_date")
     ticks = lines.select(
-        "l_suppkey", (F.col("l_linestatus") == "O").alias("is_open"),
-        F.col("l_shipdate").cast("date").alias("trade_date"),
+        "l_suppkey", "is_open", "trade_date",
         (F.col("cents") * 100).alias("px"),
         (F.col("cents") * (100 - F.col("discount"))).alias("discounted"),
         (F.col("cents") * (100 + F.col("tax"))).alias("taxed"),
-        F.col("l_quantity").cast("bigint").alias("quantity"),
+        F.col("l_quantity").alias("quantity"),
         tick_order.alias("tick_order"),
     )
     bars = bars_from_ticks(

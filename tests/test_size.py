@@ -1,10 +1,12 @@
 """Steps whose cost must not multiply with the input: what is parsed, sorted or read more often than needed."""
 
+import datetime as dt
 import time
 
 import pytest
 from pyspark.sql import functions as F
 
+import market_fixtures as fx
 from barworks.operators import contracts
 from barworks.plans import listings, tables
 from barworks.plans.load import load_batch
@@ -134,4 +136,22 @@ def test_many_copies_of_a_key_are_ranked_before_they_meet(spark, bars, rows, pla
     one = fact.limit(1).crossJoin(spark.range(1, 100)).withColumn("volume", F.col("volume") + F.col("id")).drop("id")
     batch = write_and_reread(fact.unionByName(one), str(tmp_path / "batch"))
     tables.upsert_table(spark, path, batch)
-    assert "Partial" in plans[-1] and read_fact(spark, path).count() == batch.select("symbol", "exchange_code", "trade_date").distinct().count()
\ No newline at end of file
+    assert "Partial" in plans[-1] and read_fact(spark, path).count() == batch.select("symbol", "exchange_code", "trade_date").distinct().count()
+
+
+def test_lines_meet_before_they_are_bars(spark, rows, plan, tmp_path):
+    line = dict(l_orderkey=1, l_partkey=1, l_suppkey=1, l_linenumber=1, l_quantity=2.0, l_extendedprice=10.0, l_discount=0.1, l_tax=0.2,
+                l_linestatus="O", l_shipdate=dt.datetime(1998, 3, 1))
+    given = [line, line, {**line, "l_orderkey": 2, "l_extendedprice": 8.0, "l_tax": None}, {**line, "l_suppkey": 2, "l_linenumber": None},
+             {**line, "l_suppkey": None, "l_linestatus": None}, {**line, "l_suppkey": 3, "l_shipdate": None, "l_quantity": None}]
+    kinds = ("l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, l_extendedprice double, "
+             "l_discount double, l_tax double, l_linestatus string, l_shipdate timestamp_ntz")
+    names = [k.split()[0] for k in kinds.split(", ")]
+    spark.createDataFrame([tuple(g[n] for n in names) for g in given], kinds).write.parquet(f"{tmp_path}/lineitem.parquet")
+    made = fx.lineitem_bars(spark, str(tmp_path))
+    text = plan(made)
+    assert text.count("Exchange") == 1 and text.index("partial_min_by") < text.index("Exchange") and "tick_order" not in text[text.index("Exchange"):]
+    got = {(r.symbol, r.exchange_code, r.trade_date and str(r.trade_date)): [x if x is None else float(x) for x in r[3:]] for r in made.collect()}
+    assert got == {
+        ("S1", "NSE", "1998-03-01"): [9.0, 12.0, 7.2, 8.0, 6.0], ("S2", "NSE", "1998-03-01"): [None, 12.0, 9.0, None, 2.0],
+        (None, "BSE", "1998-03-01"): [9.0, 12.0, 9.0, 10.0, 2.0], ("S3", "NSE", None): [9.0, 12.0, 9.0, 10.0, None]}
