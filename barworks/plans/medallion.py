@@ -73,11 +73,11 @@ def run_medallion(spark, bronze, database=None, root=None, dim_symbol=None, fmt=
     out = {}
     if contract:
         bronze, out["quarantine"] = split_valid(row_contract_bars(bronze))
-    silver = stamp(bronze_to_silver(bronze), "silver", source)
-    out["silver"] = _write(spark, "silver", silver, _target("silver", database, root), metrics, fmt=fmt)
+    out["silver"] = _write(spark, "silver", bronze_to_silver(bronze), _target("silver", database, root), metrics, fmt=fmt,
+                           finish=lambda df: stamp(df, "silver", source))
     with written_ranks(out["silver"]) as ranks:
-        gold = stamp(silver_to_gold(out["silver"], ranks=ranks), "gold")
-        out["gold"] = _write(spark, "gold", gold, _target("gold", database, root), metrics, fmt=fmt)
+        out["gold"] = _write(spark, "gold", silver_to_gold(out["silver"], ranks=ranks), _target("gold", database, root), metrics, fmt=fmt,
+                             finish=lambda df: stamp(df, "gold"))
     out["summary"] = _write(
         spark, "summary", daily_summary(out["gold"]), _target("summary", database, root), metrics,
         fmt=fmt, by_month=None)

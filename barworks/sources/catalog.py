@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from barworks import schemas
 from barworks.functions.dates import month_start
-from barworks.session import settings
+from barworks.session import PACKED, settings, tidy
 
 STAR_SCHEMA = {
     "dim_exchange": (schemas.DIM_EXCHANGE, None),
@@ -107,9 +107,11 @@ def run_sql(spark, statement, args=None, limit=None):
     return df if limit is None else df.limit(limit)
 
 
-def save_layer(df, table=None, path=None, fmt="parquet", by_month="trade_date"):
+def save_layer(df, table=None, path=None, fmt="parquet", by_month="trade_date", finish=None):
     """Overwrite a layer, a catalog table or a plain path, partitioned by month.
 
+    ``finish`` is a function of the frame that adds columns which need not travel through the shuffle, constants say.
+
     The rebalance hint lets adaptive execution size the output files: small
     months are merged and a month far larger than the rest is split over many
     tasks instead of being written by one. Sorting inside the files keeps a
@@ -119,13 +121,16 @@ def save_layer(df, table=None, path=None, fmt="parquet", by_month="trade_date"):
         df = df.withColumn("trade_month", month_start(by_month)).hint("rebalance", F.col("trade_month"))
         if "symbol" in df.columns:
             df = df.sortWithinPartitions("trade_month", "symbol", by_month)
-    writer = df.write.format(fmt).mode("overwrite")
+    if finish is not None:
+        df = finish(df)
+    writer = df.write.format(fmt).mode("overwrite").options(**(PACKED if fmt == "parquet" else {}))
     if by_month is not None:
         writer = writer.partitionBy("trade_month")
-    if table is None:
-        writer.save(path)
-    else:
-        (writer.option("path", path) if path else writer).saveAsTable(table)
+    with tidy(df.sparkSession):
+        if table is None:
+            writer.save(path)
+        else:
+            (writer.option("path", path) if path else writer).saveAsTable(table)
 
 
 def load_layer(spark, table=None, path=None, fmt="parquet"):

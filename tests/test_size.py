@@ -10,6 +10,7 @@ import market_fixtures as fx
 from barworks.operators import contracts
 from barworks.plans import listings, tables
 from barworks.plans.load import load_batch
+from barworks.plans.medallion import run_medallion
 from barworks.session import write_and_reread
 from barworks.sources import read_fact, read_parts, with_bar_metrics
 
@@ -100,6 +101,14 @@ def test_a_load_leaves_no_shuffle_files(spark, bars, tmp_path):
     assert _packed(tmp_path / "fact") and _packed(tmp_path / "gold")
 
 
+def test_layers_leave_no_shuffle_files_and_stamps_do_not_travel(spark, bars, tmp_path):
+    before = _shuffle_files(spark)
+    layers = run_medallion(spark, _fact(bars), root=str(tmp_path))
+    assert _gone(spark, before) and _packed(tmp_path / "silver_stock_prices") and _packed(tmp_path / "gold_stock_analytics")
+    assert layers["silver"].columns[-2:] == ["_silver_loaded_at", "_source"] and layers["gold"].columns[-1] == "_gold_loaded_at"
+    assert layers["gold"].filter("_gold_loaded_at IS NULL OR _source <> 'barworks'").isEmpty()
+
+
 def _twice(fact):
     """Each row and a later copy, which is to win."""
     return fact.unionByName(fact.withColumns({"volume": F.col("volume") + 1, "loaded_at": F.col("loaded_at") + F.expr("interval 1 day")}))
